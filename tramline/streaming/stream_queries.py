@@ -1 +1,283 @@
-"""Streaming queries (registered in the query registry)."""
+"""Streaming queries: each drains a file stream staged from the driver
+tables with ``availableNow`` into a durable sink and returns the sink table.
+
+Append-mode oracles keep the windows the watermark has closed: with delay 0
+that is every window whose end is at most the latest event time among the
+rows the aggregate sees (the last window stays open).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tramline.operators.grouped import bucket_histogram
+from tramline.plans.batch_queries import (
+    BUCKET_KM, DAY, DAY_SQL, MAX_SPEED, VEHICLE, haversine, wall,
+)
+from tramline.plans.oracle import with_tables
+from tramline.plans.registry import register
+from tramline.plans.scan_queries import SCAN_SQL, bus_out
+from tramline.plans.transit import congestion_by_hour
+from tramline.session import fresh_dir
+from tramline.sources.csv import read_bus_csv_stream, read_lines, split_bus_lines, typed
+from tramline.sources.staging import staged_bus_csv, write_lines
+from tramline.sources.csv import bus_lines
+from tramline.sources.tables import telemetry
+from tramline.streaming import forms
+from tramline.streaming.runner import flatten_window, latest_rows, run
+from tramline.streaming.state import path_distance_state
+
+
+def bus_stream(spark: SparkSession, sf: str, path: str | None = None) -> DataFrame:
+    return typed(read_bus_csv_stream(spark, path or staged_bus_csv(spark, sf)))
+
+
+def closed(start: str, end: str, rows: str = "telemetry") -> str:
+    """Oracle condition: the window is closed by the watermark (delay 0)."""
+    return f"{end} <= (SELECT max(date) FROM {rows})"
+
+
+# ---------------------------------------------------------------- sources
+
+@register("scan_csv_stream", SCAN_SQL)
+def q_scan_csv_stream(spark: SparkSession, sf: str) -> DataFrame:
+    table, _ = run(bus_out(bus_stream(spark, sf)), label="scan-csv-stream")
+    return table
+
+
+@register("stream_text_parse", SCAN_SQL)
+def q_stream_text_parse(spark: SparkSession, sf: str) -> DataFrame:
+    lines = read_lines(spark, staged_bus_csv(spark, sf), stream=True)
+    good, _ = split_bus_lines(lines)
+    table, _ = run(bus_out(good), label="text-stream")
+    return table
+
+
+# ---------------------------------------------------------------- windows
+
+@register("stream_tumbling_append", with_tables(f"""
+SELECT window_start, window_end, n FROM (
+  SELECT date_trunc('hour', date) AS window_start,
+         date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end, count(*) AS n
+  FROM telemetry GROUP BY 1, 2)
+WHERE {closed('window_start', 'window_end')}"""))
+def q_stream_tumbling_append(spark: SparkSession, sf: str) -> DataFrame:
+    counts = forms.windowed_counts(bus_stream(spark, sf), width="1 hour")
+    table, _ = run(flatten_window(counts), label="tumbling")
+    return table
+
+
+@register("stream_sliding_append", with_tables(f"""
+SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n
+FROM (SELECT date_trunc('hour', date) AS window_start FROM telemetry
+      UNION ALL
+      SELECT date_trunc('hour', date) - INTERVAL 1 HOUR FROM telemetry)
+GROUP BY 1
+HAVING {closed('window_start', 'window_start + INTERVAL 2 HOUR')}"""))
+def q_stream_sliding_append(spark: SparkSession, sf: str) -> DataFrame:
+    counts = forms.windowed_counts(bus_stream(spark, sf), width="2 hours", slide="1 hour")
+    table, _ = run(flatten_window(counts), label="sliding")
+    return table
+
+
+@register("stream_congestion", with_tables(f"""
+SELECT * FROM (
+  SELECT date_trunc('day', date) AS window_start,
+         date_trunc('day', date) + INTERVAL 1 DAY AS window_end,
+         strftime(date, '%H') AS hour,
+         round(100.0::DOUBLE * sum(congestion) / count(*), 2) AS percentage,
+         count(*) AS numMeasurements,
+         CAST(sum(congestion) AS BIGINT) AS congestionMeasurements
+  FROM picked GROUP BY 1, 2, 3)
+WHERE {closed('window_start', 'window_end', 'picked')}""", """
+picked AS (SELECT * FROM telemetry
+           WHERE latitude BETWEEN 53.3343619 AND 53.3702027
+             AND longitude BETWEEN -6.2886331 AND -6.2043634
+             AND isodow(date) <= 5 AND hour(date) IN (7, 8, 9))"""))
+def q_stream_congestion(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.congestion_windows(bus_stream(spark, sf), width="1 day")
+    table, _ = run(flatten_window(out), label="congestion")
+    return table
+
+
+@register("stream_arrivals_sliding", with_tables(f"""
+SELECT DISTINCT window_start, window_start + INTERVAL 2 HOUR AS window_end,
+       strftime(date, '%H:%M:%S') AS arrival_time, busLineID AS lineID, closerStopID AS stationID
+FROM (SELECT date_trunc('hour', date) AS window_start, * FROM picked
+      UNION ALL
+      SELECT date_trunc('hour', date) - INTERVAL 1 HOUR AS window_start, * FROM picked)
+WHERE {closed('window_start', 'window_start + INTERVAL 2 HOUR', 'picked')}""", f"""
+picked AS (SELECT * FROM telemetry WHERE atStop <> 0 AND vehicleID = {VEHICLE} AND {DAY_SQL})"""))
+def q_stream_arrivals_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.arrivals_sliding(bus_stream(spark, sf), vehicle=VEHICLE, day=DAY,
+                                 width="2 hours", slide="1 hour")
+    table, _ = run(flatten_window(out), label="arrivals")
+    return table
+
+
+@register("stream_change_points", with_tables(f"""
+SELECT window_start, window_end, vehicleID, busLineID, date, closerStopID, delay
+FROM (SELECT date_trunc('day', date) AS window_start,
+             date_trunc('day', date) + INTERVAL 1 DAY AS window_end, *,
+             lag(closerStopID) OVER w AS prev_stop, row_number() OVER w AS rn
+      FROM picked
+      WINDOW w AS (PARTITION BY vehicleID, busLineID, date_trunc('day', date)
+                   ORDER BY date, closerStopID, delay))
+WHERE (rn = 1 OR prev_stop IS DISTINCT FROM closerStopID)
+  AND {closed('window_start', 'window_end', 'picked')}""",
+    "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)"))
+def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.change_points_windowed(bus_stream(spark, sf), width="1 day")
+    table, _ = run(flatten_window(out).withColumn("date", wall("date")), label="change-points")
+    return table
+
+
+@register("stream_busiest", with_tables(f"""
+SELECT c.window_start, c.window_start + INTERVAL 6 HOUR AS window_end,
+       c.stationID, c.vehicles, c.numVehicles
+FROM counts c JOIN best b ON c.window_start = b.window_start AND c.numVehicles = b.top
+WHERE {closed('c.window_start', 'c.window_start + INTERVAL 6 HOUR', 'picked')}""", """
+picked AS (SELECT * FROM telemetry WHERE atStop = 1),
+pairs AS (SELECT DISTINCT date_trunc('day', date) + to_hours(CAST(hour(date) // 6 * 6 AS BIGINT))
+                            AS window_start,
+                          closerStopID AS stationID, vehicleID FROM picked),
+counts AS (SELECT window_start, stationID, count(*) AS numVehicles,
+                  string_agg(CAST(vehicleID AS VARCHAR), ',' ORDER BY vehicleID) AS vehicles
+           FROM pairs GROUP BY 1, 2),
+best AS (SELECT window_start, max(numVehicles) AS top FROM counts GROUP BY 1)"""))
+def q_stream_busiest(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.busiest_windowed(bus_stream(spark, sf), width="6 hours")
+    table, _ = run(flatten_window(out), label="busiest")
+    return table
+
+
+# ---------------------------------------------------------------- running state
+
+@register("stream_complete_sorted", with_tables(f"""
+SELECT vehicleID, count(DISTINCT closerStopID) AS numStations
+FROM telemetry WHERE {DAY_SQL} GROUP BY 1"""))
+def q_stream_complete_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.distinct_stops_running(bus_stream(spark, sf), day=DAY)
+    table, _ = run(out, mode="complete", label="complete-sorted")
+    return table.orderBy(F.col("vehicleID").desc())
+
+
+@register("stream_running_total", with_tables(
+    "SELECT vehicleID, CAST(sum(delay) AS BIGINT) AS total FROM telemetry GROUP BY 1"))
+def q_stream_running_total(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.running_totals(bus_stream(spark, sf), key="vehicleID", value="delay")
+    table, _ = run(out, mode="complete", label="running-total")
+    return table
+
+
+@register("stream_per_batch", with_tables("""
+SELECT strftime(date, '%H') AS hour,
+       round(100.0::DOUBLE * count_if(congestion = 1) / count(*), 2) AS percentage,
+       count(*) AS numMeasurements,
+       count_if(congestion = 1) AS congestionMeasurements
+FROM telemetry
+WHERE latitude BETWEEN 53.3343619 AND 53.3702027 AND longitude BETWEEN -6.2886331 AND -6.2043634
+  AND isodow(date) <= 5 AND hour(date) IN (7, 8, 9)
+GROUP BY 1"""))
+def q_stream_per_batch(spark: SparkSession, sf: str) -> DataFrame:
+    # Each micro-batch is analysed on its own (the batch operator applied to
+    # the batch), results appended with the batch id.
+    sink = fresh_dir(spark, "per-batch-sink")
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        (congestion_by_hour(batch).withColumn("batch_id", F.lit(epoch).cast("long"))
+         .write.mode("append").parquet(sink))
+
+    stream = bus_stream(spark, sf)
+    from tramline.streaming.runner import start
+    query = start(stream, sink=sink, checkpoint=fresh_dir(spark, "per-batch-ckpt"),
+                  per_batch=per_batch)
+    query.awaitTermination()
+    return spark.read.parquet(sink).drop("batch_id")
+
+
+PATH_CTES = f"""
+pts AS (SELECT vehicleID, date, latitude, longitude,
+               lag(date) OVER w AS pdate, lag(latitude) OVER w AS plat,
+               lag(longitude) OVER w AS plon
+        FROM telemetry WHERE {DAY_SQL}
+        WINDOW w AS (PARTITION BY vehicleID ORDER BY date, latitude, longitude)),
+steps AS (SELECT vehicleID, pdate, {haversine('plat', 'plon', 'latitude', 'longitude')} AS d,
+                 (epoch_us(date) - epoch_us(pdate)) / 1000000.0::DOUBLE AS dt FROM pts),
+km AS (SELECT vehicleID,
+              sum(CASE WHEN pdate IS NOT NULL AND dt > 0 AND d / dt <= {MAX_SPEED} THEN d ELSE 0.0 END)
+                / 1000.0::DOUBLE AS km
+       FROM steps GROUP BY vehicleID)"""
+
+
+def _stream_km(spark: SparkSession, sf: str) -> DataFrame:
+    day_rows = bus_stream(spark, sf).where(
+        (F.col("date") >= F.lit(DAY).cast("timestamp"))
+        & (F.col("date") < F.lit(DAY).cast("timestamp") + F.expr("INTERVAL 1 DAY")))
+    table, _ = run(path_distance_state(day_rows, max_speed=MAX_SPEED), mode="update",
+                   label="path-state")
+    return latest_rows(table, ["vehicleID"])
+
+
+@register("stream_path_distance", with_tables(
+    "SELECT vehicleID, round(km, 3) AS km FROM km", PATH_CTES))
+def q_stream_path_distance(spark: SparkSession, sf: str) -> DataFrame:
+    return _stream_km(spark, sf).select("vehicleID", F.round("km", 3).alias("km"))
+
+
+@register("stream_distance_histogram", with_tables(f"""
+SELECT CAST(floor(km / {BUCKET_KM}.0) AS BIGINT) AS bucket,
+       CAST(CAST(floor(km / {BUCKET_KM}.0) AS BIGINT) * {BUCKET_KM} AS VARCHAR) || '_' ||
+       CAST(CAST(floor(km / {BUCKET_KM}.0) AS BIGINT) * {BUCKET_KM} + {BUCKET_KM} AS VARCHAR)
+         AS bucket_range,
+       count(*) AS numVehicles
+FROM km GROUP BY 1, 2""", PATH_CTES))
+def q_stream_distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return bucket_histogram(_stream_km(spark, sf), "km", BUCKET_KM, count="numVehicles")
+
+
+# ---------------------------------------------------------------- restart, late rows
+
+DAILY_CLOSED_SQL = with_tables(f"""
+SELECT window_start, window_end, n FROM (
+  SELECT date_trunc('day', date) AS window_start,
+         date_trunc('day', date) + INTERVAL 1 DAY AS window_end, count(*) AS n
+  FROM telemetry GROUP BY 1, 2)
+WHERE {closed('window_start', 'window_end')}""")
+
+SPLIT_DAY = "2024-01-15"
+
+
+def _daily_counts(spark: SparkSession, source: str) -> DataFrame:
+    return flatten_window(forms.windowed_counts(typed(read_bus_csv_stream(spark, source)),
+                                                width="1 day"))
+
+
+@register("stream_restart", DAILY_CLOSED_SQL)
+def q_stream_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Run on the first half of the days, stop, add the rest, restart on the
+    same checkpoint: the sink equals a single run over everything."""
+    source, sink, ckpt = (fresh_dir(spark, f"restart-{p}") for p in ("src", "sink", "ckpt"))
+    rows = telemetry(spark, sf)
+    split = F.lit(SPLIT_DAY).cast("timestamp")
+    write_lines(bus_lines(rows.where(F.col("date") < split)), source)
+    run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    write_lines(bus_lines(rows.where(F.col("date") >= split)), source)
+    table, _ = run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    return table
+
+
+@register("stream_late_rows", DAILY_CLOSED_SQL)
+def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """After a run over all readings, the first day's readings arrive again
+    (a late re-delivery). With watermark delay 0 they are behind the
+    watermark, dropped, and the daily counts do not change."""
+    source, sink, ckpt = (fresh_dir(spark, f"late-{p}") for p in ("src", "sink", "ckpt"))
+    rows = telemetry(spark, sf)
+    write_lines(bus_lines(rows), source)
+    run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    first_day_end = F.lit("2024-01-02").cast("timestamp")
+    write_lines(bus_lines(rows.where(F.col("date") < first_day_end)), source)
+    table, _ = run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    return table
