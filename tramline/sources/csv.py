@@ -61,7 +61,7 @@ def parse_bus_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     fields = F.split(F.trim(F.col(value)), ",", -1)
     cols: list[Column] = []
     for i, (name, dtype) in enumerate(BUS_COLUMNS):
-        raw = fields.getItem(i)
+        raw = F.get(fields, i)  # NULL past the end (short lines)
         if name == "date":
             cols.append(parse_time(raw, TIME_FORMAT).alias(name))
         elif dtype.simpleString() == "string":
