@@ -47,11 +47,12 @@ def busiest_with_ties(df: DataFrame, group: str, member: str, *,
     its sorted member list (text "a,b" or an array) and the member count.
     """
     pairs = distinct_pairs(df, group, member)
-    counts = pairs.groupBy(group).agg(F.count(F.lit(1)).alias(count_out))
-    top = counts.agg(F.max(count_out).alias(count_out))          # exactly one row
-    winners = counts.join(F.broadcast(top), on=count_out).select(group, count_out)
-    chosen = pairs.join(winners, on=group)
     listed = F.array_sort(F.collect_list(member))
-    return chosen.groupBy(group, count_out).agg(
-        (F.array_join(listed, ",") if as_text else listed).alias(members_out)
-    ).select(group, members_out, count_out)
+    per_group = pairs.groupBy(group).agg(
+        F.count(F.lit(1)).alias(count_out),
+        (F.array_join(listed, ",") if as_text else listed).alias(members_out))
+    # The maximum is one row; joining on the aggregate's own output keeps the
+    # subtree below the exchange identical in both branches, so Spark reuses
+    # the shuffle instead of recomputing the pairs.
+    top = per_group.agg(F.max(count_out).alias(count_out))
+    return per_group.join(F.broadcast(top), on=count_out).select(group, members_out, count_out)

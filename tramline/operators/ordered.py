@@ -6,14 +6,17 @@ ordered by time and a unique tie-breaker). A plain ``lag`` over
 vehicle holding a third of the data would be one task. ``with_previous``
 splits every series into time slices instead:
 
-1. ``lag`` inside each (key, slice) — the window shuffle is spread over the
-   slices, so a hot key fans out to as many tasks as it has slices;
-2. the last row of each slice (one row per key and slice, found with
-   ``lead(...) IS NULL`` on the same window, so the shuffle is reused) is
-   carried to the next non-empty slice of its key with a second ``lag``
-   over the small slice table;
-3. the carried row is joined back on (key, slice), which is the window's
-   own partitioning, so only the small side is shuffled.
+1. the last row of every (key, slice) is found with ``max(struct(ts, tie,
+   ...))`` — a decomposable aggregate, combined map-side, so the shuffle
+   carries one row per key, slice and task;
+2. a ``lag`` over that small slice table (per key, ordered by slice) carries
+   each slice's last row to the next non-empty slice of its key;
+3. the carried row is left-joined to the rows on (key, slice), and one
+   ``lag`` inside each (key, slice) gives every other row its predecessor.
+   The join and the window share the (key, slice) hash partitioning, so the
+   rows are shuffled once (or not at all for the join, when AQE broadcasts
+   the carried rows), and a hot key fans out to as many tasks as it has
+   slices.
 
 The result is exact: the first row of a slice sees the last row of the
 previous non-empty slice.
@@ -31,7 +34,6 @@ from tramline.functions.geo import haversine_m, seconds_between
 DEFAULT_SLICE_SECONDS = 3600
 
 _SLICE = "__slice"
-_PREV = "__prev_in_slice"
 _LAST = "__last_of_slice"
 _CARRY = "__carry"
 
@@ -58,19 +60,15 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
         return df.withColumn(prev, F.lag(payload).over(w))
 
     sliced = df.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)))
-    w = Window.partitionBy(*keys, _SLICE).orderBy(ts, tiebreak)
-    inner = (sliced
-             .withColumn(_PREV, F.lag(payload).over(w))
-             .withColumn(_LAST, F.lead(F.lit(True)).over(w).isNull()))
-
+    lasts = sliced.groupBy(*keys, _SLICE).agg(F.max(payload).alias(_LAST))
     w_slices = Window.partitionBy(*keys).orderBy(_SLICE)
-    carry = (inner.where(F.col(_LAST))
-             .select(*keys, _SLICE, F.lag(payload).over(w_slices).alias(_CARRY)))
+    carry = lasts.select(*keys, _SLICE, F.lag(_LAST).over(w_slices).alias(_CARRY))
 
-    joined = inner.join(carry, on=[*keys, _SLICE], how="left")
+    joined = sliced.join(carry, on=[*keys, _SLICE], how="left")
+    w = Window.partitionBy(*keys, _SLICE).orderBy(ts, tiebreak)
     return (joined
-            .withColumn(prev, F.coalesce(F.col(_PREV), F.col(_CARRY)))
-            .drop(_PREV, _LAST, _CARRY, _SLICE))
+            .withColumn(prev, F.coalesce(F.lag(payload).over(w), F.col(_CARRY)))
+            .drop(_CARRY, _SLICE))
 
 
 def change_points(df: DataFrame, partition: Sequence[str], ts: str, tiebreak: str,
