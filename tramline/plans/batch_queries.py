@@ -111,6 +111,19 @@ def q_vehicles_per_stop(spark: SparkSession, sf: str) -> DataFrame:
                                      horizon=HORIZON_SECONDS, exact=True)
 
 
+@register("vehicles_per_stop_approx", with_tables(f"""
+SELECT closerStopID AS stationID, TRUE AS approx_within_15pct
+FROM telemetry WHERE atStop = 1 AND {HORIZON_SQL} GROUP BY 1"""))
+def q_vehicles_per_stop_approx(spark: SparkSession, sf: str) -> DataFrame:
+    t = telemetry(spark, sf)
+    approx = transit.vehicles_per_stop(t, start=HORIZON_START, horizon=HORIZON_SECONDS,
+                                       exact=False).withColumnRenamed("numVehicles", "approx")
+    exact = transit.vehicles_per_stop(t, start=HORIZON_START, horizon=HORIZON_SECONDS, exact=True)
+    both = approx.join(exact, "stationID")
+    ok = F.abs(F.col("approx") - F.col("numVehicles")) <= F.col("numVehicles") * F.lit(0.15)
+    return both.select("stationID", ok.alias("approx_within_15pct"))
+
+
 BUSIEST_CTES = """
 pairs AS (SELECT DISTINCT {g} AS {gname}, {m} AS {mname} FROM {src} WHERE {where}),
 counts AS (SELECT {gname}, count(*) AS {cname},

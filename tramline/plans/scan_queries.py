@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.plans import bikes
+from tramline.plans.batch_queries import BIKE_AVG_SQL
 from tramline.plans.oracle import with_tables
 from tramline.plans.registry import register
-from tramline.sources.csv import parse_bus_lines, read_bus_csv, read_lines, split_bus_lines, typed
-from tramline.sources.staging import staged_bus_csv
+from tramline.sources.csv import (
+    parse_bus_lines, read_bike_csv, read_bus_csv, read_lines, split_bus_lines, typed,
+)
+from tramline.sources.staging import staged_bike_csv, staged_bus_csv
 
 BUS_OUT = ["date", "busLineID", "busLinePatternID", "congestion", "longitude", "latitude",
            "delay", "vehicleID", "closerStopID", "atStop"]
@@ -41,3 +45,14 @@ FROM telemetry GROUP BY 1"""))
 def q_scan_bad_records(spark: SparkSession, sf: str) -> DataFrame:
     parsed = parse_bus_lines(read_lines(spark, staged_bus_csv(spark, sf, dirty=True)))
     return parsed.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scan_bike_csv", with_tables("""
+SELECT e.hrs AS HOUR, e.min_bike, e.max_bike,
+       a.station_id AS min_bike_station_id, b.station_id AS max_bike_station_id
+FROM ext e
+JOIN avgs a ON a.hrs = e.hrs AND a.bikes = e.min_bike
+JOIN avgs b ON b.hrs = e.hrs AND b.bikes = e.max_bike""", BIKE_AVG_SQL))
+def q_scan_bike_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The bike extremes job on its own source format: an 11-column CSV."""
+    return bikes.bike_extremes_by_hour(read_bike_csv(spark, staged_bike_csv(spark, sf)))

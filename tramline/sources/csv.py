@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions.scalars import parse_time
-from tramline.sources.schemas import BUS_COLUMNS, BUS_FIELD_COUNT, BUS_SCHEMA, TIME_FORMAT
+from tramline.sources.schemas import (
+    BIKE_SCHEMA, BUS_COLUMNS, BUS_FIELD_COUNT, BUS_SCHEMA, TIME_FORMAT,
+)
 
 CSV_OPTIONS = {"sep": ",", "quote": "", "header": "false", "mode": "PERMISSIVE"}
 
@@ -40,6 +42,40 @@ def read_bus_csv_stream(spark: SparkSession, path: str, *,
     return reader.csv(path)
 
 
+def read_bike_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Batch CSV scan of bike-station readings (11 declared columns);
+    ``time`` is parsed to a timestamp."""
+    raw = spark.read.options(**CSV_OPTIONS).schema(BIKE_SCHEMA).csv(path)
+    return raw.withColumn("time", parse_time("time"))
+
+
+def bike_lines(readings: DataFrame) -> DataFrame:
+    """Bike readings (station_id, time, available_bikes, status, and any of
+    the other layout columns) as CSV text lines; absent columns are derived
+    from the station (name, address, stands) or left empty."""
+    have = set(readings.columns)
+    station = F.col("station_id").cast("string")
+
+    def pick(name: str, fallback):
+        return F.col(name).cast("string") if name in have else fallback
+
+    fields = [
+        station,
+        F.date_format("time", TIME_FORMAT),
+        pick("last_updated", F.date_format("time", TIME_FORMAT)),
+        pick("name", F.concat(F.lit("STATION "), station)),
+        pick("bike_stands", F.lit("40")),
+        pick("available_bike_stands", (F.lit(40) - F.col("available_bikes")).cast("string")),
+        F.col("available_bikes").cast("string"),
+        F.col("status"),
+        pick("address", F.concat(F.lit("Street "), station)),
+        pick("latitude", F.lit("")),
+        pick("longitude", F.lit("")),
+    ]
+    return readings.select(F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+                           .alias("value"))
+
+
 def read_lines(spark: SparkSession, path: str, *, stream: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Text lines (column ``value``), batch or streaming."""

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.session import fresh_dir
-from tramline.sources.csv import bus_fields, bus_lines
-from tramline.sources.tables import telemetry
+from tramline.sources.csv import bike_lines, bus_fields, bus_lines
+from tramline.sources.tables import bike_readings, telemetry
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
@@ -43,3 +43,12 @@ def staged_bus_csv(spark: SparkSession, sf_dir: str, *, dirty: bool = False) ->
         lines = dirty_bus_lines(rows) if dirty else bus_lines(rows)
         _STAGED[key] = write_lines(lines, fresh_dir(spark, f"bus-csv-{key[2]}"))
     return _STAGED[key]
+
+
+def staged_bike_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of bike-station CSV files holding all bike readings (cached)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "bikes")
+    if key not in _STAGED:
+        _STAGED[key] = write_lines(bike_lines(bike_readings(spark, sf_dir)),
+                                   fresh_dir(spark, "bike-csv"))
+    return _STAGED[key]

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.functions.predicates import hour_in, in_box, is_weekday, on_day
+from tramline.functions.predicates import hour_in, in_box, is_weekday, on_day, within_horizon
 from tramline.functions.scalars import clock_text, hour_text, percent
 from tramline.plans.transit import CITY_BOX, PEAK_HOURS
 
@@ -111,3 +111,21 @@ def busiest_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",
     return (per_window.select("window", F.explode(best).alias("s"))
             .select("window", "s.stationID",
                     F.array_join("s.vehicle_ids", ",").alias("vehicles"), "s.numVehicles"))
+
+
+def vehicles_per_stop_windows(df: DataFrame, *, start: str, horizon: int, width: str,
+                              delay: str = "0 seconds", rsd: float = 0.05,
+                              ts: str = TS) -> DataFrame:
+    """Distinct vehicles at each stop per event-time window, inside the
+    horizon [start, start + horizon]: HLL++ estimate (``numVehiclesApprox``)
+    and the exact count (``size(collect_set)``, bounded by the fleet)."""
+    picked = df.where((F.col("atStop") == 1) & within_horizon(ts, start, horizon))
+    return (picked.withWatermark(ts, delay)
+            .groupBy(F.window(ts, width).alias("window"), F.col("closerStopID").alias("stationID"))
+            .agg(F.approx_count_distinct("vehicleID", rsd).alias("numVehiclesApprox"),
+                 F.size(F.collect_set("vehicleID")).alias("numVehicles")))
+
+
+def within(approx: str, exact: str, tolerance: float = 0.15):
+    """Boolean: an estimate is within ``tolerance`` of the exact value."""
+    return F.abs(F.col(approx) - F.col(exact)) <= F.col(exact) * F.lit(tolerance)

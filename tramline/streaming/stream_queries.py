@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tramline.operators.grouped import bucket_histogram
 from tramline.plans.batch_queries import (
-    BUCKET_KM, DAY, DAY_SQL, MAX_SPEED, VEHICLE, haversine, wall,
+    BUCKET_KM, DAY, DAY_SQL, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
+    haversine, wall,
 )
 from tramline.plans.oracle import with_tables
 from tramline.plans.registry import register
@@ -152,6 +153,24 @@ def q_stream_busiest(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
+@register("stream_vehicles_per_stop", with_tables(f"""
+SELECT * FROM (
+  SELECT date_trunc('hour', date) AS window_start,
+         date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end,
+         closerStopID AS stationID, count(DISTINCT vehicleID) AS numVehicles,
+         TRUE AS approx_within_15pct
+  FROM picked GROUP BY 1, 2, 3)
+WHERE {closed('window_start', 'window_end', 'picked')}""",
+    f"picked AS (SELECT * FROM telemetry WHERE atStop = 1 AND {HORIZON_SQL})"))
+def q_stream_vehicles_per_stop(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.vehicles_per_stop_windows(bus_stream(spark, sf), start=HORIZON_START,
+                                          horizon=HORIZON_SECONDS, width="1 hour")
+    table, _ = run(flatten_window(out), label="vehicles-per-stop")
+    return table.select("window_start", "window_end", "stationID", "numVehicles",
+                        forms.within("numVehiclesApprox", "numVehicles")
+                        .alias("approx_within_15pct"))
+
+
 # ---------------------------------------------------------------- running state
 
 @register("stream_complete_sorted", with_tables(f"""
