@@ -24,7 +24,7 @@ from tramline.operators.grouped import (
 )
 from tramline.operators.ordered import pair_distances, path_distance, with_previous
 from tramline.plans import bikes, transit
-from tramline.plans.oracle import haversine, with_tables
+from tramline.plans.oracle import haversine, texted, with_tables
 from tramline.plans.registry import register
 from tramline.sources.schemas import TIME_FORMAT
 from tramline.sources.tables import bike_readings, telemetry
@@ -48,10 +48,14 @@ HORIZON_SQL = f"date BETWEEN TIMESTAMP '{HORIZON_START}' AND TIMESTAMP '{HORIZON
 WEEKDAY_SQL = "isodow({ts}) <= 5"
 
 
-def wall(col: str | Column) -> Column:
-    """Timestamp as zone-less wall clock (what DuckDB's TIMESTAMP holds)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("timestamp_ntz")
+def ts_text(col: str | Column) -> Column:
+    """Timestamp as ISO text "yyyy-MM-dd HH:mm:ss" (registered outputs carry
+    times as text so their value hashes do not depend on timestamp units)."""
+    return F.date_format(col, TIME_FORMAT)
+
+
+def as_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({c: ts_text(c) for c in cols})
 
 
 # ---------------------------------------------------------------- composites
@@ -60,7 +64,7 @@ def wall(col: str | Column) -> Column:
 SELECT strftime(date, '%H') AS hour,
        round(100.0::DOUBLE * count_if(congestion = 1) / count(*), 2) AS percentage,
        count(*) AS numMeasurements,
-       count_if(congestion = 1) AS congestionMeasurements
+       CAST(count_if(congestion = 1) AS BIGINT) AS congestionMeasurements
 FROM telemetry
 WHERE {BOX_SQL} AND isodow(date) <= 5 AND hour(date) IN (7, 8, 9)
 GROUP BY 1"""))
@@ -78,12 +82,12 @@ FROM (SELECT *,
 WHERE rn = 1 OR prev_stop IS DISTINCT FROM closerStopID"""
 
 
-@register("change_points", with_tables(CHANGE_SQL.format(
+@register("change_points", texted(with_tables(CHANGE_SQL.format(
     cols="reading_id, vehicleID, busLineID, closerStopID, date",
-    where="atStop <> 0", part="vehicleID, busLineID")))
+    where="atStop <> 0", part="vehicleID, busLineID")), ["date"]))
 def q_change_points(spark: SparkSession, sf: str) -> DataFrame:
     kept = transit.stop_changes(telemetry(spark, sf))
-    return kept.select("reading_id", "vehicleID", "busLineID", "closerStopID", wall("date").alias("date"))
+    return kept.select("reading_id", "vehicleID", "busLineID", "closerStopID", ts_text("date").alias("date"))
 
 
 @register("vehicle_arrivals", with_tables(CHANGE_SQL.format(
@@ -280,11 +284,13 @@ def q_project_alias(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("project_retype", with_tables("""
-SELECT reading_id, strptime(strftime(date, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS date
+SELECT reading_id,
+       CAST(epoch(strptime(strftime(date, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')) AS BIGINT)
+         AS epoch_s
 FROM telemetry"""))
 def q_project_retype(spark: SparkSession, sf: str) -> DataFrame:
     text = telemetry(spark, sf).select("reading_id", F.date_format("date", TIME_FORMAT).alias("date"))
-    return text.withColumn("date", wall(parse_time("date")))
+    return text.select("reading_id", F.unix_seconds(parse_time("date")).alias("epoch_s"))
 
 
 # ---------------------------------------------------------------- filters
@@ -421,7 +427,7 @@ def q_agg_sum_count_avg(spark: SparkSession, sf: str) -> DataFrame:
 SELECT busLineID,
        round(100.0::DOUBLE * count_if(congestion = 1) / count(*), 2) AS percentage,
        count(*) AS numMeasurements,
-       count_if(congestion = 1) AS congestionMeasurements
+       CAST(count_if(congestion = 1) AS BIGINT) AS congestionMeasurements
 FROM telemetry GROUP BY 1"""))
 def q_agg_share(spark: SparkSession, sf: str) -> DataFrame:
     return share_by(telemetry(spark, sf), "busLineID", "congestion")
@@ -463,14 +469,14 @@ def q_agg_distinct_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("agg_collect_set", with_tables("""
-SELECT vehicleID, CAST(date AS DATE) AS day,
+SELECT vehicleID, CAST(CAST(date AS DATE) AS VARCHAR) AS day,
        string_agg(DISTINCT CAST(busLineID AS VARCHAR) || ',' || CAST(closerStopID AS VARCHAR), ';'
                   ORDER BY CAST(busLineID AS VARCHAR) || ',' || CAST(closerStopID AS VARCHAR))
          AS line_stops
 FROM telemetry WHERE atStop <> 0 GROUP BY 1, 2"""))
 def q_agg_collect_set(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf).where(F.col("atStop") != 0)
-    t = t.select("vehicleID", F.to_date("date").alias("day"),
+    t = t.select("vehicleID", F.to_date("date").cast("string").alias("day"),
                  F.concat_ws(",", "busLineID", "closerStopID").alias("line_stop"))
     # De-duplicate first, so the set per group is built from distinct values.
     distinct = t.distinct()
@@ -514,21 +520,22 @@ def q_sort_desc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("sort_multi", with_tables("""
-SELECT reading_id, busLineID, date FROM telemetry ORDER BY busLineID, date, reading_id"""))
+SELECT reading_id, busLineID, strftime(date, '%Y-%m-%d %H:%M:%S') AS date
+FROM telemetry ORDER BY busLineID, date, reading_id"""))
 def q_sort_multi(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf)
     return t.orderBy("busLineID", "date", "reading_id").select(
-        "reading_id", "busLineID", wall("date").alias("date"))
+        "reading_id", "busLineID", ts_text("date").alias("date"))
 
 
 @register("array_sort", with_tables("""
-SELECT vehicleID, CAST(date AS DATE) AS day,
+SELECT vehicleID, CAST(CAST(date AS DATE) AS VARCHAR) AS day,
        string_agg(DISTINCT CAST(closerStopID AS VARCHAR), ',' ORDER BY CAST(closerStopID AS VARCHAR))
          AS stops
 FROM telemetry WHERE atStop <> 0 GROUP BY 1, 2"""))
 def q_array_sort(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf).where(F.col("atStop") != 0)
-    pairs = t.select("vehicleID", F.to_date("date").alias("day"),
+    pairs = t.select("vehicleID", F.to_date("date").cast("string").alias("day"),
                      F.col("closerStopID").cast("string").alias("stop")).distinct()
     return pairs.groupBy("vehicleID", "day").agg(
         F.array_join(F.array_sort(F.collect_list("stop")), ",").alias("stops"))
@@ -553,13 +560,13 @@ def q_scalar_string(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("scalar_datetime", with_tables("""
-SELECT reading_id, CAST(date AS DATE) AS day, CAST(hour(date) AS INTEGER) AS hour,
+SELECT reading_id, CAST(CAST(date AS DATE) AS VARCHAR) AS day, CAST(hour(date) AS INTEGER) AS hour,
        strftime(date, '%H:%M:%S') AS clock,
        CAST(isodow(date) % 7 + 1 AS INTEGER) AS day_of_week
 FROM telemetry"""))
 def q_scalar_datetime(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf)
-    return t.select("reading_id", F.to_date("date").alias("day"), F.hour("date").alias("hour"),
+    return t.select("reading_id", F.to_date("date").cast("string").alias("day"), F.hour("date").alias("hour"),
                     clock_text("date").alias("clock"), F.dayofweek("date").alias("day_of_week"))
 
 

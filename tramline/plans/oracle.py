@@ -40,3 +40,14 @@ def with_tables(body: str, ctes: str = "") -> str:
 
 def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return HAVERSINE_M.format(lat1=lat1, lon1=lon1, lat2=lat2, lon2=lon2)
+
+
+TS_TEXT_SQL = "%Y-%m-%d %H:%M:%S"
+
+
+def texted(sql: str, cols: list[str]) -> str:
+    """Wrap a query so the timestamp columns ``cols`` come out as ISO text
+    (the registered Spark queries do the same), which keeps value hashes
+    independent of timestamp units."""
+    repl = ", ".join(f"strftime({c}, '{TS_TEXT_SQL}') AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"

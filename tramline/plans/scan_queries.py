@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.plans import bikes
-from tramline.plans.batch_queries import BIKE_AVG_SQL
-from tramline.plans.oracle import with_tables
+from tramline.plans.batch_queries import BIKE_AVG_SQL, ts_text
+from tramline.plans.oracle import texted, with_tables
 from tramline.plans.registry import register
 from tramline.sources.csv import (
     parse_bus_lines, read_bike_csv, read_bus_csv, read_lines, split_bus_lines, typed,
@@ -18,12 +18,11 @@ from tramline.sources.staging import staged_bike_csv, staged_bus_csv
 BUS_OUT = ["date", "busLineID", "busLinePatternID", "congestion", "longitude", "latitude",
            "delay", "vehicleID", "closerStopID", "atStop"]
 
-SCAN_SQL = with_tables(f"SELECT {', '.join(BUS_OUT)} FROM telemetry")
+SCAN_SQL = texted(with_tables(f"SELECT {', '.join(BUS_OUT)} FROM telemetry"), ["date"])
 
 
 def bus_out(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "date" else F.col(c)
-                       for c in BUS_OUT])
+    return df.select(*[ts_text(c).alias(c) if c == "date" else F.col(c) for c in BUS_OUT])
 
 
 @register("scan_csv_batch", SCAN_SQL)

@@ -62,7 +62,7 @@ def distinct_stops_running(df: DataFrame, *, day: str, ts: str = TS) -> DataFram
     set per vehicle is bounded by the number of stops."""
     picked = df.where(on_day(ts, day))
     return (picked.groupBy("vehicleID")
-            .agg(F.size(F.collect_set("closerStopID")).alias("numStations"))
+            .agg(F.size(F.collect_set("closerStopID")).cast("long").alias("numStations"))
             .orderBy(F.col("vehicleID").desc()))
 
 
@@ -102,7 +102,7 @@ def busiest_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",
                 .groupBy(F.window(ts, width).alias("window"),
                          F.col("closerStopID").alias("stationID"))
                 .agg(F.array_sort(F.collect_set("vehicleID")).alias("vehicle_ids")))
-    stop = F.struct(F.size("vehicle_ids").alias("numVehicles"), "stationID", "vehicle_ids")
+    stop = F.struct(F.size("vehicle_ids").cast("long").alias("numVehicles"), "stationID", "vehicle_ids")
     per_window = (per_stop
                   .groupBy(F.window(F.window_time("window"), width).alias("window"))
                   .agg(F.collect_list(stop).alias("stops")))
@@ -123,7 +123,7 @@ def vehicles_per_stop_windows(df: DataFrame, *, start: str, horizon: int, width:
     return (picked.withWatermark(ts, delay)
             .groupBy(F.window(ts, width).alias("window"), F.col("closerStopID").alias("stationID"))
             .agg(F.approx_count_distinct("vehicleID", rsd).alias("numVehiclesApprox"),
-                 F.size(F.collect_set("vehicleID")).alias("numVehicles")))
+                 F.size(F.collect_set("vehicleID")).cast("long").alias("numVehicles")))
 
 
 def within(approx: str, exact: str, tolerance: float = 0.15):

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tramline.operators.grouped import bucket_histogram
 from tramline.plans.batch_queries import (
     BUCKET_KM, DAY, DAY_SQL, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
-    haversine, wall,
+    as_text, haversine,
 )
-from tramline.plans.oracle import with_tables
+from tramline.plans.oracle import texted, with_tables
 from tramline.plans.registry import register
 from tramline.plans.scan_queries import SCAN_SQL, bus_out
 from tramline.plans.transit import congestion_by_hour
@@ -30,6 +30,20 @@ from tramline.streaming.runner import flatten_window, latest_rows, run
 from tramline.streaming.state import path_distance_state
 
 
+def register_windowed(name: str, sql: str, extra: tuple[str, ...] = ()):
+    """Register a windowed stream query; window bounds (and ``extra``
+    timestamp columns) are returned as ISO text on both sides."""
+    cols = ["window_start", "window_end", *extra]
+
+    def wrap(fn):
+        def build(spark: SparkSession, sf: str) -> DataFrame:
+            return as_text(fn(spark, sf), cols)
+        build.__name__, build.__doc__ = fn.__name__, fn.__doc__
+        register(name, texted(sql, cols))(build)
+        return fn
+    return wrap
+
+
 def bus_stream(spark: SparkSession, sf: str, path: str | None = None) -> DataFrame:
     return typed(read_bus_csv_stream(spark, path or staged_bus_csv(spark, sf)))
 
@@ -57,7 +71,7 @@ def q_stream_text_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- windows
 
-@register("stream_tumbling_append", with_tables(f"""
+@register_windowed("stream_tumbling_append", with_tables(f"""
 SELECT window_start, window_end, n FROM (
   SELECT date_trunc('hour', date) AS window_start,
          date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end, count(*) AS n
@@ -69,7 +83,7 @@ def q_stream_tumbling_append(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_sliding_append", with_tables(f"""
+@register_windowed("stream_sliding_append", with_tables(f"""
 SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n
 FROM (SELECT date_trunc('hour', date) AS window_start FROM telemetry
       UNION ALL
@@ -82,7 +96,7 @@ def q_stream_sliding_append(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_congestion", with_tables(f"""
+@register_windowed("stream_congestion", with_tables(f"""
 SELECT * FROM (
   SELECT date_trunc('day', date) AS window_start,
          date_trunc('day', date) + INTERVAL 1 DAY AS window_end,
@@ -102,7 +116,7 @@ def q_stream_congestion(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_arrivals_sliding", with_tables(f"""
+@register_windowed("stream_arrivals_sliding", with_tables(f"""
 SELECT DISTINCT window_start, window_start + INTERVAL 2 HOUR AS window_end,
        strftime(date, '%H:%M:%S') AS arrival_time, busLineID AS lineID, closerStopID AS stationID
 FROM (SELECT date_trunc('hour', date) AS window_start, * FROM picked
@@ -117,7 +131,7 @@ def q_stream_arrivals_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_change_points", with_tables(f"""
+@register_windowed("stream_change_points", with_tables(f"""
 SELECT window_start, window_end, vehicleID, busLineID, date, closerStopID, delay
 FROM (SELECT date_trunc('day', date) AS window_start,
              date_trunc('day', date) + INTERVAL 1 DAY AS window_end, *,
@@ -127,14 +141,14 @@ FROM (SELECT date_trunc('day', date) AS window_start,
                    ORDER BY date, closerStopID, delay))
 WHERE (rn = 1 OR prev_stop IS DISTINCT FROM closerStopID)
   AND {closed('window_start', 'window_end', 'picked')}""",
-    "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)"))
+    "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)"), extra=("date",))
 def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.change_points_windowed(bus_stream(spark, sf), width="1 day")
-    table, _ = run(flatten_window(out).withColumn("date", wall("date")), label="change-points")
+    table, _ = run(flatten_window(out), label="change-points")
     return table
 
 
-@register("stream_busiest", with_tables(f"""
+@register_windowed("stream_busiest", with_tables(f"""
 SELECT c.window_start, c.window_start + INTERVAL 6 HOUR AS window_end,
        c.stationID, c.vehicles, c.numVehicles
 FROM counts c JOIN best b ON c.window_start = b.window_start AND c.numVehicles = b.top
@@ -153,7 +167,7 @@ def q_stream_busiest(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_vehicles_per_stop", with_tables(f"""
+@register_windowed("stream_vehicles_per_stop", with_tables(f"""
 SELECT * FROM (
   SELECT date_trunc('hour', date) AS window_start,
          date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end,
@@ -194,7 +208,7 @@ def q_stream_running_total(spark: SparkSession, sf: str) -> DataFrame:
 SELECT strftime(date, '%H') AS hour,
        round(100.0::DOUBLE * count_if(congestion = 1) / count(*), 2) AS percentage,
        count(*) AS numMeasurements,
-       count_if(congestion = 1) AS congestionMeasurements
+       CAST(count_if(congestion = 1) AS BIGINT) AS congestionMeasurements
 FROM telemetry
 WHERE latitude BETWEEN 53.3343619 AND 53.3702027 AND longitude BETWEEN -6.2886331 AND -6.2043634
   AND isodow(date) <= 5 AND hour(date) IN (7, 8, 9)
@@ -273,7 +287,7 @@ def _daily_counts(spark: SparkSession, source: str) -> DataFrame:
                                                 width="1 day"))
 
 
-@register("stream_restart", DAILY_CLOSED_SQL)
+@register_windowed("stream_restart", DAILY_CLOSED_SQL)
 def q_stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     """Run on the first half of the days, stop, add the rest, restart on the
     same checkpoint: the sink equals a single run over everything."""
@@ -287,7 +301,7 @@ def q_stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_late_rows", DAILY_CLOSED_SQL)
+@register_windowed("stream_late_rows", DAILY_CLOSED_SQL)
 def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """After a run over all readings, the first day's readings arrive again
     (a late re-delivery). With watermark delay 0 they are behind the
