@@ -7,8 +7,9 @@ sink's own commit log keeps the output exactly-once.
 * append mode   -> parquet file sink (only committed files are read back)
 * complete mode -> ``foreachBatch`` overwriting a parquet folder with the
                    whole result table of each epoch (idempotent on retry)
-* update mode   -> ``foreachBatch`` appending each epoch's changed rows with
-                   its epoch id; ``latest_rows`` folds them to the current table
+* update mode   -> ``foreachBatch`` writing each epoch's changed rows to its
+                   own partition folder (``epoch_id=N``, overwritten on retry);
+                   ``latest_rows`` folds them to the current table
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
@@ -44,9 +46,10 @@ def _writer(stream: DataFrame, *, mode: str, sink: str, checkpoint: str,
             batch.write.mode("overwrite").parquet(sink)
         return writer.foreachBatch(overwrite)
 
-    def append_epoch(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn(EPOCH, F.lit(epoch).cast("long")).write.mode("append").parquet(sink)
-    return writer.foreachBatch(append_epoch)
+    def write_epoch(batch: DataFrame, epoch: int) -> None:
+        # One partition folder per epoch, overwritten on retry: idempotent.
+        batch.write.mode("overwrite").parquet(f"{sink}/{EPOCH}={epoch}")
+    return writer.foreachBatch(write_epoch)
 
 
 def start(stream: DataFrame, *, mode: str = "append", sink: str, checkpoint: str,
@@ -83,7 +86,7 @@ def run(stream: DataFrame, *, mode: str = "append", label: str = "stream",
         raise query.exception()
     schema = stream.schema
     if mode == "update":
-        schema = schema.add(EPOCH, "long")
+        schema = T.StructType([*schema.fields, T.StructField(EPOCH, T.LongType())])
     return read_sink(spark, sink, schema), query
 
 

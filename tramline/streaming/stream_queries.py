@@ -219,8 +219,8 @@ def q_stream_per_batch(spark: SparkSession, sf: str) -> DataFrame:
     sink = fresh_dir(spark, "per-batch-sink")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        (congestion_by_hour(batch).withColumn("batch_id", F.lit(epoch).cast("long"))
-         .write.mode("append").parquet(sink))
+        # One folder per batch, overwritten if the batch is retried.
+        congestion_by_hour(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
 
     stream = bus_stream(spark, sf)
     from tramline.streaming.runner import start
