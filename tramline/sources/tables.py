@@ -14,8 +14,21 @@ from pyspark.sql import functions as F
 from tramline.session import prepare
 
 
+# Lazy plans (not data) per session and path: listing files, reading the
+# parquet footer and analysing the derived projections happens once.
+_PLANS: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _memo(spark: SparkSession, kind: str, path: str, build) -> DataFrame:
+    key = (id(spark), kind, path)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _memo(spark, "table", path, lambda: spark.read.parquet(path))
 
 
 def _props_k() -> Column:
@@ -52,9 +65,11 @@ def bike_readings_from_events(events: DataFrame) -> DataFrame:
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return telemetry_from_events(read_table(spark, sf_dir, "events"))
+    return _memo(spark, "telemetry", sf_dir,
+                 lambda: telemetry_from_events(read_table(spark, sf_dir, "events")))
 
 
 def bike_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return bike_readings_from_events(read_table(spark, sf_dir, "events"))
+    return _memo(spark, "bike_readings", sf_dir,
+                 lambda: bike_readings_from_events(read_table(spark, sf_dir, "events")))
