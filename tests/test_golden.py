@@ -1,7 +1,6 @@
 """Tiny literal tables with known answers (FIXTURES.md §6)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import at, telemetry_rows
 from tramline.functions.predicates import in_box

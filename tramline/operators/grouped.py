@@ -27,17 +27,6 @@ def share_by(df: DataFrame, group: str | Sequence[str], flag: str, *,
     return agg.select(*groups, percent(ones, total).alias(pct), total, ones)
 
 
-def sum_count_avg(df: DataFrame, group: str | Sequence[str], value: str, *,
-                  digits: int = 2) -> DataFrame:
-    """Per group: ``sum``, ``count(*)`` and rounded ``avg`` of ``value``."""
-    groups = [group] if isinstance(group, str) else list(group)
-    return df.groupBy(*groups).agg(
-        F.sum(value).alias(f"sum_{value}"),
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(value), digits).alias(f"avg_{value}"),
-    )
-
-
 def distinct_pairs(df: DataFrame, group: str, member: str) -> DataFrame:
     """Distinct (group, member) pairs; partial de-duplication before the shuffle."""
     return df.select(group, member).distinct()

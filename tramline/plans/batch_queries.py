@@ -15,14 +15,12 @@ from tramline.functions.geo import haversine_m
 from tramline.functions.predicates import (
     contains, hour_between, hour_in, in_box, is_weekday, on_day, within_horizon,
 )
-from tramline.functions.scalars import (
-    bucket_index, bucket_label, clock_text, hour_text, on_time_flag, parse_time, percent,
-)
+from tramline.functions.scalars import clock_text, hour_text, on_time_flag, parse_time
 from tramline.operators.extremes import busiest_with_ties, extremes_with_owners
 from tramline.operators.grouped import (
     bucket_histogram, distinct_count, distinct_members, share_by,
 )
-from tramline.operators.ordered import pair_distances, path_distance, with_previous
+from tramline.operators.ordered import with_previous
 from tramline.plans import bikes, transit
 from tramline.plans.oracle import haversine, texted, with_tables
 from tramline.plans.registry import register
@@ -45,7 +43,6 @@ BOX_SQL = ("latitude BETWEEN 53.3343619 AND 53.3702027 "
            "AND longitude BETWEEN -6.2886331 AND -6.2043634")
 DAY_SQL = f"date >= TIMESTAMP '{DAY}' AND date < TIMESTAMP '{NEXT_DAY}'"
 HORIZON_SQL = f"date BETWEEN TIMESTAMP '{HORIZON_START}' AND TIMESTAMP '{HORIZON_END}'"
-WEEKDAY_SQL = "isodow({ts}) <= 5"
 
 
 def ts_text(col: str | Column) -> Column:
@@ -597,9 +594,3 @@ def q_sql_over_view(spark: SparkSession, sf: str) -> DataFrame:
         FROM (SELECT station_id, hour(time) AS hrs, available_bikes FROM {picked}
               WHERE hour(time) BETWEEN :first AND :last)
         GROUP BY station_id, hrs""", args={"first": 7, "last": 19}, picked=picked)
-
-
-# Re-exported for the streaming registry.
-__all__ = ["DAY", "VEHICLE", "HORIZON_START", "HORIZON_SECONDS", "MAX_SPEED", "BUCKET_KM",
-           "DELAY_LIMIT", "wall", "bucket_index", "bucket_label", "percent", "pair_distances",
-           "path_distance"]

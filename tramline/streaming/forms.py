@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.predicates import hour_in, in_box, is_weekday, on_day, within_horizon
 from tramline.functions.scalars import clock_text, hour_text, percent
+from tramline.operators.grouped import running_total
 from tramline.plans.transit import CITY_BOX, PEAK_HOURS
 
 TS = "date"
@@ -67,8 +68,9 @@ def distinct_stops_running(df: DataFrame, *, day: str, ts: str = TS) -> DataFram
 
 
 def running_totals(df: DataFrame, *, key: str, value: str, out: str = "total") -> DataFrame:
-    """Running total per key (complete or update mode)."""
-    return df.groupBy(key).agg(F.sum(value).alias(out))
+    """Running total per key (complete or update mode): the batch operator,
+    kept incrementally by the streaming aggregate's state."""
+    return running_total(df, key, value, out=out)
 
 
 def change_points_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",

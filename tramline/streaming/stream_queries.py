@@ -21,12 +21,11 @@ from tramline.plans.registry import register
 from tramline.plans.scan_queries import SCAN_SQL, bus_out
 from tramline.plans.transit import congestion_by_hour
 from tramline.session import fresh_dir
-from tramline.sources.csv import read_bus_csv_stream, read_lines, split_bus_lines, typed
+from tramline.sources.csv import bus_lines, read_bus_csv_stream, read_lines, split_bus_lines, typed
 from tramline.sources.staging import staged_bus_csv, write_lines
-from tramline.sources.csv import bus_lines
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
-from tramline.streaming.runner import flatten_window, latest_rows, run
+from tramline.streaming.runner import flatten_window, latest_rows, run, start
 from tramline.streaming.state import path_distance_state
 
 
@@ -48,7 +47,7 @@ def bus_stream(spark: SparkSession, sf: str, path: str | None = None) -> DataFra
     return typed(read_bus_csv_stream(spark, path or staged_bus_csv(spark, sf)))
 
 
-def closed(start: str, end: str, rows: str = "telemetry") -> str:
+def closed(end: str, rows: str = "telemetry") -> str:
     """Oracle condition: the window is closed by the watermark (delay 0)."""
     return f"{end} <= (SELECT max(date) FROM {rows})"
 
@@ -76,7 +75,7 @@ SELECT window_start, window_end, n FROM (
   SELECT date_trunc('hour', date) AS window_start,
          date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end, count(*) AS n
   FROM telemetry GROUP BY 1, 2)
-WHERE {closed('window_start', 'window_end')}"""))
+WHERE {closed('window_end')}"""))
 def q_stream_tumbling_append(spark: SparkSession, sf: str) -> DataFrame:
     counts = forms.windowed_counts(bus_stream(spark, sf), width="1 hour")
     table, _ = run(flatten_window(counts), label="tumbling")
@@ -89,7 +88,7 @@ FROM (SELECT date_trunc('hour', date) AS window_start FROM telemetry
       UNION ALL
       SELECT date_trunc('hour', date) - INTERVAL 1 HOUR FROM telemetry)
 GROUP BY 1
-HAVING {closed('window_start', 'window_start + INTERVAL 2 HOUR')}"""))
+HAVING {closed('window_start + INTERVAL 2 HOUR')}"""))
 def q_stream_sliding_append(spark: SparkSession, sf: str) -> DataFrame:
     counts = forms.windowed_counts(bus_stream(spark, sf), width="2 hours", slide="1 hour")
     table, _ = run(flatten_window(counts), label="sliding")
@@ -105,7 +104,7 @@ SELECT * FROM (
          count(*) AS numMeasurements,
          CAST(sum(congestion) AS BIGINT) AS congestionMeasurements
   FROM picked GROUP BY 1, 2, 3)
-WHERE {closed('window_start', 'window_end', 'picked')}""", """
+WHERE {closed('window_end', 'picked')}""", """
 picked AS (SELECT * FROM telemetry
            WHERE latitude BETWEEN 53.3343619 AND 53.3702027
              AND longitude BETWEEN -6.2886331 AND -6.2043634
@@ -122,7 +121,7 @@ SELECT DISTINCT window_start, window_start + INTERVAL 2 HOUR AS window_end,
 FROM (SELECT date_trunc('hour', date) AS window_start, * FROM picked
       UNION ALL
       SELECT date_trunc('hour', date) - INTERVAL 1 HOUR AS window_start, * FROM picked)
-WHERE {closed('window_start', 'window_start + INTERVAL 2 HOUR', 'picked')}""", f"""
+WHERE {closed('window_start + INTERVAL 2 HOUR', 'picked')}""", f"""
 picked AS (SELECT * FROM telemetry WHERE atStop <> 0 AND vehicleID = {VEHICLE} AND {DAY_SQL})"""))
 def q_stream_arrivals_sliding(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.arrivals_sliding(bus_stream(spark, sf), vehicle=VEHICLE, day=DAY,
@@ -140,7 +139,7 @@ FROM (SELECT date_trunc('day', date) AS window_start,
       WINDOW w AS (PARTITION BY vehicleID, busLineID, date_trunc('day', date)
                    ORDER BY date, closerStopID, delay))
 WHERE (rn = 1 OR prev_stop IS DISTINCT FROM closerStopID)
-  AND {closed('window_start', 'window_end', 'picked')}""",
+  AND {closed('window_end', 'picked')}""",
     "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)"), extra=("date",))
 def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.change_points_windowed(bus_stream(spark, sf), width="1 day")
@@ -152,7 +151,7 @@ def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
 SELECT c.window_start, c.window_start + INTERVAL 6 HOUR AS window_end,
        c.stationID, c.vehicles, c.numVehicles
 FROM counts c JOIN best b ON c.window_start = b.window_start AND c.numVehicles = b.top
-WHERE {closed('c.window_start', 'c.window_start + INTERVAL 6 HOUR', 'picked')}""", """
+WHERE {closed('c.window_start + INTERVAL 6 HOUR', 'picked')}""", """
 picked AS (SELECT * FROM telemetry WHERE atStop = 1),
 pairs AS (SELECT DISTINCT date_trunc('day', date) + to_hours(CAST(hour(date) // 6 * 6 AS BIGINT))
                             AS window_start,
@@ -174,7 +173,7 @@ SELECT * FROM (
          closerStopID AS stationID, count(DISTINCT vehicleID) AS numVehicles,
          TRUE AS approx_within_15pct
   FROM picked GROUP BY 1, 2, 3)
-WHERE {closed('window_start', 'window_end', 'picked')}""",
+WHERE {closed('window_end', 'picked')}""",
     f"picked AS (SELECT * FROM telemetry WHERE atStop = 1 AND {HORIZON_SQL})"))
 def q_stream_vehicles_per_stop(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.vehicles_per_stop_windows(bus_stream(spark, sf), start=HORIZON_START,
@@ -223,7 +222,6 @@ def q_stream_per_batch(spark: SparkSession, sf: str) -> DataFrame:
         congestion_by_hour(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
 
     stream = bus_stream(spark, sf)
-    from tramline.streaming.runner import start
     query = start(stream, sink=sink, checkpoint=fresh_dir(spark, "per-batch-ckpt"),
                   per_batch=per_batch)
     query.awaitTermination()
@@ -277,7 +275,7 @@ SELECT window_start, window_end, n FROM (
   SELECT date_trunc('day', date) AS window_start,
          date_trunc('day', date) + INTERVAL 1 DAY AS window_end, count(*) AS n
   FROM telemetry GROUP BY 1, 2)
-WHERE {closed('window_start', 'window_end')}""")
+WHERE {closed('window_end')}""")
 
 SPLIT_DAY = "2024-01-15"
 
