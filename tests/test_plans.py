@@ -77,6 +77,14 @@ def test_bounded_sides_are_broadcast(spark):
 
 def test_scans_are_pruned(spark):
     text = plan(QUERIES["congestion_by_hour"](spark, SF_SMALL))
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in text
-    text = plan(QUERIES["change_points"](spark, SF_SMALL))
-    assert "PushedFilters: [In(event_type, [purchase,signup,view])]" in text
+    assert ("ReadSchema: struct<date:timestamp,congestion:int,longitude:double,latitude:double>"
+            in text), text
+
+
+def test_day_filters_prune_partitions_and_push_down(spark):
+    text = plan(QUERIES["vehicle_arrivals"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(day" in text and "(day#" in text
+    assert "EqualTo(vehicleID,7)" in text
+    assert "GreaterThanOrEqual(date,2024-01-08 00:00:00.0)" in text
+    text = plan(QUERIES["vehicles_per_stop"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(day" in text and "EqualTo(atStop,1)" in text

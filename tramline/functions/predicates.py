@@ -7,6 +7,7 @@ stored, Catalyst pushes them to the scan as ``PushedFilters``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -44,16 +45,35 @@ def hour_between(ts: str | Column, first: int, last: int) -> Column:
     return F.hour(_c(ts)).between(first, last)
 
 
-def on_day(ts: str | Column, day: str) -> Column:
-    """Timestamp falls on calendar day ``day`` (yyyy-MM-dd), as a range."""
+def _days(col: str, first: dt.date, last: dt.date) -> Column:
+    return F.col(col).between(F.lit(first.isoformat()).cast("date"),
+                              F.lit(last.isoformat()).cast("date"))
+
+
+def on_day(ts: str | Column, day: str, *, day_col: str | None = None) -> Column:
+    """Timestamp falls on calendar day ``day`` (yyyy-MM-dd), as a range.
+
+    ``day_col`` names a stored date column equal to ``to_date(ts)`` (e.g. the
+    partition column of a day-partitioned table); the same day is then also
+    required of it, which lets Spark prune partitions."""
     start = ts_literal(day)
-    return (_c(ts) >= start) & (_c(ts) < start + F.expr("INTERVAL 1 DAY"))
+    cond = (_c(ts) >= start) & (_c(ts) < start + F.expr("INTERVAL 1 DAY"))
+    if day_col:
+        d = dt.date.fromisoformat(day[:10])
+        cond = cond & _days(day_col, d, d)
+    return cond
 
 
-def within_horizon(ts: str | Column, start: str, seconds: int) -> Column:
-    """Closed horizon ``[start, start + seconds]``."""
+def within_horizon(ts: str | Column, start: str, seconds: int, *,
+                   day_col: str | None = None) -> Column:
+    """Closed horizon ``[start, start + seconds]`` (``day_col`` as in ``on_day``)."""
     lo = ts_literal(start)
-    return _c(ts).between(lo, lo + F.make_dt_interval(secs=F.lit(seconds)))
+    cond = _c(ts).between(lo, lo + F.make_dt_interval(secs=F.lit(seconds)))
+    if day_col:
+        first = dt.datetime.fromisoformat(start)
+        last = first + dt.timedelta(seconds=seconds)
+        cond = cond & _days(day_col, first.date(), last.date())
+    return cond
 
 
 def equals(col: str | Column, value) -> Column:

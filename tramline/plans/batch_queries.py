@@ -329,13 +329,15 @@ def q_filter_eq(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("filter_day", with_tables(f"SELECT reading_id, vehicleID FROM telemetry WHERE {DAY_SQL}"))
 def q_filter_day(spark: SparkSession, sf: str) -> DataFrame:
-    return telemetry(spark, sf).where(on_day("date", DAY)).select("reading_id", "vehicleID")
+    t = telemetry(spark, sf)
+    return t.where(on_day("date", DAY, day_col=transit.day_col(t))).select("reading_id", "vehicleID")
 
 
 @register("filter_horizon", with_tables(
     f"SELECT reading_id, closerStopID FROM telemetry WHERE {HORIZON_SQL}"))
 def q_filter_horizon(spark: SparkSession, sf: str) -> DataFrame:
-    t = telemetry(spark, sf).where(within_horizon("date", HORIZON_START, HORIZON_SECONDS))
+    t = telemetry(spark, sf)
+    t = t.where(within_horizon("date", HORIZON_START, HORIZON_SECONDS, day_col=transit.day_col(t)))
     return t.select("reading_id", "closerStopID")
 
 
@@ -574,7 +576,8 @@ FROM telemetry WHERE atStop <> 0 AND {DAY_SQL}"""))
 def q_explode_split(spark: SparkSession, sf: str) -> DataFrame:
     # Collect "time,line,stop" texts per vehicle, explode them back to rows
     # and split each into its three fields.
-    t = telemetry(spark, sf).where((F.col("atStop") != 0) & on_day("date", DAY))
+    t = telemetry(spark, sf)
+    t = t.where((F.col("atStop") != 0) & on_day("date", DAY, day_col=transit.day_col(t)))
     combined = F.concat_ws(",", clock_text("date"), "busLineID", "closerStopID")
     sets = t.groupBy("vehicleID").agg(F.collect_set(combined).alias("items"))
     rows = sets.select("vehicleID", F.explode("items").alias("item"))

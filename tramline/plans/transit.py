@@ -20,6 +20,12 @@ from tramline.operators.ordered import DEFAULT_SLICE_SECONDS, change_points, pat
 TS = "date"
 TIE = "reading_id"
 
+
+def day_col(df: DataFrame) -> str | None:
+    """The stored day column, when the frame has one (partition pruning)."""
+    return "day" if "day" in df.columns else None
+
+
 # The city-centre box and the morning peak hours the congestion
 # analysis is defined with.
 CITY_BOX = {"north": 53.3702027, "east": -6.2043634, "south": 53.3343619, "west": -6.2886331}
@@ -51,7 +57,8 @@ def vehicle_arrivals(df: DataFrame, *, vehicle: int, day: str, delay_limit: int,
                      slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """One vehicle's stop arrivals on a day: repeats of a stop within a line
     collapsed, with the arrival time of day and an on-time flag."""
-    rows = at_stop_rows(df).where((F.col("vehicleID") == vehicle) & on_day(TS, day))
+    rows = at_stop_rows(df).where((F.col("vehicleID") == vehicle)
+                                  & on_day(TS, day, day_col=day_col(df)))
     kept = change_points(rows, ["busLineID"], TS, TIE, "closerStopID", slice_seconds=slice_seconds)
     return (kept.orderBy(TS, TIE)
             .select(F.col("busLineID").alias("lineID"),
@@ -63,7 +70,8 @@ def vehicle_arrivals(df: DataFrame, *, vehicle: int, day: str, delay_limit: int,
 def vehicle_arrivals_distinct(df: DataFrame, *, vehicle: int, day: str) -> DataFrame:
     """One vehicle's distinct (time of day, line, stop) at-stop triples on a
     day, no collapsing, in time order."""
-    rows = at_stop_rows(df).where((F.col("vehicleID") == vehicle) & on_day(TS, day))
+    rows = at_stop_rows(df).where((F.col("vehicleID") == vehicle)
+                                  & on_day(TS, day, day_col=day_col(df)))
     return (rows.select(clock_text(TS).alias("arrival_time"),
                         F.col("busLineID").alias("lineID"),
                         F.col("closerStopID").alias("stationID"))
@@ -72,7 +80,8 @@ def vehicle_arrivals_distinct(df: DataFrame, *, vehicle: int, day: str) -> DataF
 
 
 def horizon_stops(df: DataFrame, *, start: str, horizon: int) -> DataFrame:
-    return df.where((F.col("atStop") == 1) & within_horizon(TS, start, horizon))
+    return df.where((F.col("atStop") == 1)
+                    & within_horizon(TS, start, horizon, day_col=day_col(df)))
 
 
 def vehicles_per_stop(df: DataFrame, *, start: str, horizon: int, exact: bool = True) -> DataFrame:
@@ -93,7 +102,7 @@ def busiest_stops(df: DataFrame, *, start: str, horizon: int) -> DataFrame:
 
 def stops_per_vehicle(df: DataFrame, *, day: str, exact: bool = True) -> DataFrame:
     """Distinct stops per vehicle on a day, vehicle descending."""
-    picked = df.where(on_day(TS, day)).select("vehicleID", "closerStopID")
+    picked = df.where(on_day(TS, day, day_col=day_col(df))).select("vehicleID", "closerStopID")
     return (distinct_count(picked, "vehicleID", "closerStopID", out="numStations", exact=exact)
             .orderBy(F.col("vehicleID").desc()))
 
@@ -101,7 +110,7 @@ def stops_per_vehicle(df: DataFrame, *, day: str, exact: bool = True) -> DataFra
 def vehicle_distances(df: DataFrame, *, day: str, max_speed: float, segment: str | None = None,
                       slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """Kilometres per vehicle on a day, speed-noise filtered."""
-    picked = df.where(on_day(TS, day))
+    picked = df.where(on_day(TS, day, day_col=day_col(df)))
     return path_distance(picked, "vehicleID", TS, TIE, "latitude", "longitude",
                          max_speed=max_speed, segment=segment, slice_seconds=slice_seconds)
 
