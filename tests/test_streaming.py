@@ -117,3 +117,48 @@ def test_path_state_equals_batch(spark, tmp_dir, k):
                           max_speed=28.0)
     want = {r.vehicleID: round(r.km, 6) for r in batch.collect()}
     assert got == want
+
+
+FORMS = {   # form, and the rows its aggregate sees (they set the watermark)
+    "change_points": (lambda df: forms.change_points_windowed(df, width="1 day"),
+                      lambda: F.col("atStop") != 0),
+    "busiest": (lambda df: forms.busiest_windowed(df, width="6 hours"),
+                lambda: F.col("atStop") == 1),
+    "vehicles_per_stop": (lambda df: forms.vehicles_per_stop_windows(
+        df, start="2024-01-02 00:00:00", horizon=5 * 86400, width="6 hours"),
+        lambda: (F.col("atStop") == 1) & F.col("date").between(
+            F.lit("2024-01-02 00:00:00").cast("timestamp"),
+            F.lit("2024-01-07 00:00:00").cast("timestamp"))),
+}
+
+
+@pytest.mark.parametrize("k", [1, 3, 7])
+@pytest.mark.parametrize("form", sorted(FORMS))
+def test_windowed_forms_stream_equals_batch(spark, tmp_dir, form, k):
+    build, picked = FORMS[form]
+    src = os.path.join(tmp_dir, "src")
+    rows = _stage_in_time_order(spark, src, k).drop("reading_id", "day")
+    stream = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
+    table, _ = run(flatten_window(build(stream)))
+    closed_at = rows.where(picked()).agg(F.max("date")).first()[0]
+    batch = flatten_window(build(rows)).where(
+        F.col("window_end") <= F.lit(closed_at).cast("timestamp_ntz"))
+    cols = table.columns
+    assert table.count() > 0
+    assert sorted(map(tuple, table.collect())) == \
+        sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_path_state_counts_late_readings(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [
+        [line("2024-01-08 07:00:00").replace("-6.25,53.35", "-6.25,53.35"),
+         line("2024-01-08 07:01:40").replace("-6.25,53.35", "-6.25,53.36")],
+        [line("2024-01-08 07:00:50").replace("-6.25,53.35", "-6.25,53.40")],   # late
+        [line("2024-01-08 07:03:20").replace("-6.25,53.35", "-6.25,53.35")],
+    ])
+    stream = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
+    table, _ = run(path_distance_state(stream, max_speed=28.0), mode="update")
+    row = latest_rows(table, ["vehicleID"]).collect()[0]
+    assert row.late_rows == 1
+    assert row.km == pytest.approx(2 * 1.1119508, abs=1e-6)
