@@ -162,3 +162,24 @@ def test_path_state_counts_late_readings(spark, tmp_dir):
     row = latest_rows(table, ["vehicleID"]).collect()[0]
     assert row.late_rows == 1
     assert row.km == pytest.approx(2 * 1.1119508, abs=1e-6)
+
+
+def test_live_trigger_and_per_batch(spark, tmp_dir):
+    from tramline.streaming.runner import read_sink, run_per_batch, start
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    write_files(src, [[line("2024-01-08 07:00:00"), line("2024-01-08 07:00:05")],
+                      [line("2024-01-08 07:00:12")]])
+    stream = typed(read_bus_csv_stream(spark, src))
+    agg = flatten_window(forms.windowed_counts(stream, width="10 seconds"))
+    query = start(agg, mode="complete", sink=sink, checkpoint=ckpt, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = sorted((r.window_start.strftime("%H:%M:%S"), r.n)
+                 for r in read_sink(spark, sink, agg.schema).collect())
+    assert got == [("07:00:00", 2), ("07:00:10", 1)]
+
+    per_file = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
+    out = run_per_batch(per_file, lambda b: b.groupBy().count())
+    assert sorted((r.batch_id, r["count"]) for r in out.collect()) == [(0, 2), (1, 1)]

@@ -90,6 +90,27 @@ def run(stream: DataFrame, *, mode: str = "append", label: str = "stream",
     return read_sink(spark, sink, schema), query
 
 
+def run_per_batch(stream: DataFrame, batch_op: Callable[[DataFrame], DataFrame], *,
+                  label: str = "per-batch", sink: str | None = None,
+                  checkpoint: str | None = None) -> DataFrame:
+    """Apply a batch operator to every micro-batch on its own (the result of
+    a batch does not depend on earlier batches) and keep each batch's output
+    in its own folder (``batch_id=N``, overwritten if the batch is retried).
+    Returns all batches' outputs with their ``batch_id``."""
+    spark = stream.sparkSession
+    sink = sink or fresh_dir(spark, f"{label}-sink")
+    checkpoint = checkpoint or fresh_dir(spark, f"{label}-ckpt")
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        batch_op(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
+
+    query = start(stream, sink=sink, checkpoint=checkpoint, per_batch=per_batch)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return spark.read.parquet(sink)
+
+
 def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fold update-mode epochs to the current row per key (last epoch wins)."""
     w = Window.partitionBy(*keys).orderBy(F.col(EPOCH).desc())

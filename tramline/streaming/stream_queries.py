@@ -25,7 +25,7 @@ from tramline.sources.csv import bus_lines, read_bus_csv_stream, read_lines, spl
 from tramline.sources.staging import staged_bus_csv, write_lines
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
-from tramline.streaming.runner import flatten_window, latest_rows, run, start
+from tramline.streaming.runner import flatten_window, latest_rows, run, run_per_batch
 from tramline.streaming.state import path_distance_state
 
 
@@ -214,18 +214,9 @@ WHERE latitude BETWEEN 53.3343619 AND 53.3702027 AND longitude BETWEEN -6.288633
 GROUP BY 1"""))
 def q_stream_per_batch(spark: SparkSession, sf: str) -> DataFrame:
     # Each micro-batch is analysed on its own (the batch operator applied to
-    # the batch), results appended with the batch id.
-    sink = fresh_dir(spark, "per-batch-sink")
-
-    def per_batch(batch: DataFrame, epoch: int) -> None:
-        # One folder per batch, overwritten if the batch is retried.
-        congestion_by_hour(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
-
-    stream = bus_stream(spark, sf)
-    query = start(stream, sink=sink, checkpoint=fresh_dir(spark, "per-batch-ckpt"),
-                  per_batch=per_batch)
-    query.awaitTermination()
-    return spark.read.parquet(sink).drop("batch_id")
+    # the batch), as a per-interval report.
+    table = run_per_batch(bus_stream(spark, sf), congestion_by_hour, label="per-batch")
+    return table.drop("batch_id")
 
 
 PATH_CTES = f"""
