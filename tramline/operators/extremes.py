@@ -16,7 +16,7 @@ from tramline.operators.grouped import distinct_pairs
 # Broadcast the per-group extremes only when the caller can bound the number
 # of groups (e.g. 24 hours of a day) below this many rows; otherwise the join
 # stays a shuffle join and AQE decides at run time from measured sizes.
-BROADCAST_GROUP_LIMIT = 1_000_000
+BROADCAST_GROUP_LIMIT = 100_000
 
 
 def extremes_with_owners(df: DataFrame, group: str, entity: str, measure: str, *,
@@ -26,8 +26,10 @@ def extremes_with_owners(df: DataFrame, group: str, entity: str, measure: str, *
     """Per group: min and max of ``measure`` and the entity having each.
 
     Ties are kept: a group with ``a`` min-owners and ``b`` max-owners yields
-    ``a * b`` rows (every min-owner paired with every max-owner). Equality is
-    exact, so round the measure first when it is a computed double.
+    ``a * b`` rows (every min-owner paired with every max-owner) — that
+    product is the defined result, and only the holders of an extreme take
+    part in the final join, never the group's other rows. Equality is exact,
+    so round the measure first when it is a computed double.
     """
     extremes = df.groupBy(group).agg(F.min(measure).alias(min_out), F.max(measure).alias(max_out))
     if group_bound is not None and group_bound <= BROADCAST_GROUP_LIMIT:

@@ -13,7 +13,7 @@ SELECT event_id AS reading_id,
        53.30::DOUBLE + ((event_id * 91) % 1000) / 10000.0::DOUBLE AS latitude,
        CAST(floor(value) AS INTEGER) - 50 AS delay,
        CAST(user_id % 25 AS INTEGER) AS vehicleID,
-       CAST(props::json->>'$.k' AS INTEGER) % 8 AS closerStopID,
+       TRY_CAST(props::json->>'$.k' AS INTEGER) % 8 AS closerStopID,
        CAST(event_type IN ('purchase', 'signup', 'view') AS INTEGER) AS atStop
 FROM events
 """
@@ -21,7 +21,7 @@ FROM events
 BIKES_SQL = """
 SELECT CAST(user_id % 20 AS INTEGER) AS station_id,
        ts AS time,
-       CAST(props::json->>'$.k' AS INTEGER) % 30 AS available_bikes,
+       TRY_CAST(props::json->>'$.k' AS INTEGER) % 30 AS available_bikes,
        CASE WHEN event_type = 'error' THEN 'Close' ELSE 'Open' END AS status
 FROM events
 """

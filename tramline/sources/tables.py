@@ -41,7 +41,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _props_k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.get_json_object("props", "$.k").try_cast("int")
 
 
 def telemetry_from_events(events: DataFrame) -> DataFrame:
