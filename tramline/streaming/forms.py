@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.predicates import hour_in, in_box, is_weekday, on_day, within_horizon
-from tramline.functions.scalars import clock_text, hour_text, percent
+from tramline.functions.scalars import clock_text, hour_text, on_time_flag, percent
 from tramline.operators.grouped import running_total
 from tramline.plans.transit import CITY_BOX, PEAK_HOURS
 
@@ -57,13 +57,16 @@ def arrivals_sliding(df: DataFrame, *, vehicle: int, day: str, width: str, slide
     return sets.select("window", F.explode("items").alias("item")).select("window", "item.*")
 
 
-def distinct_stops_running(df: DataFrame, *, day: str, ts: str = TS) -> DataFrame:
-    """Distinct stops per vehicle on a day, running total over the stream,
-    vehicle descending (complete mode). Exact: ``size(collect_set)``; the
-    set per vehicle is bounded by the number of stops."""
+def distinct_stops_running(df: DataFrame, *, day: str, rsd: float = 0.05,
+                           ts: str = TS) -> DataFrame:
+    """Distinct stops per vehicle on a day, running over the stream, vehicle
+    descending (complete mode): HLL++ estimate (``numStationsApprox``) and
+    the exact count (``size(collect_set)``; the set per vehicle is bounded by
+    the number of stops)."""
     picked = df.where(on_day(ts, day))
     return (picked.groupBy("vehicleID")
-            .agg(F.size(F.collect_set("closerStopID")).cast("long").alias("numStations"))
+            .agg(F.approx_count_distinct("closerStopID", rsd).alias("numStationsApprox"),
+                 F.size(F.collect_set("closerStopID")).cast("long").alias("numStations"))
             .orderBy(F.col("vehicleID").desc()))
 
 
@@ -73,24 +76,44 @@ def running_totals(df: DataFrame, *, key: str, value: str, out: str = "total") -
     return running_total(df, key, value, out=out)
 
 
-def change_points_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",
-                           ts: str = TS) -> DataFrame:
+def _collapse(items):
+    """Keep the first item and every item whose stop differs from the one
+    before it (items sorted by time)."""
+    return F.filter(items, lambda x, i: (i == 0) | ~x["closerStopID"].eqNullSafe(
+        F.get(items, i - 1)["closerStopID"]))
+
+
+def change_points_windowed(df: DataFrame, *, width: str, slide: str | None = None,
+                           delay: str = "0 seconds", ts: str = TS,
+                           partition: tuple[str, ...] = ("vehicleID", "busLineID")) -> DataFrame:
     """At-stop readings with consecutive repeats of a stop collapsed, per
-    (vehicle, line) inside each event-time window. The window's readings
-    are sorted by (time, stop, delay) and filtered with ``filter(a, (x, i) ->
-    i = 0 OR a[i-1].stop <> x.stop)``."""
+    series (``partition``) inside each event-time window (tumbling, or
+    sliding with ``slide``). The window's readings are sorted by (time, stop,
+    delay) and filtered with ``filter(a, (x, i) -> i = 0 OR a[i-1].stop <>
+    x.stop)``; a window holds one series' readings of ``width`` only."""
     picked = df.where(F.col("atStop") != 0)
     item = F.struct(F.col(ts).alias("date"), F.col("closerStopID").alias("closerStopID"),
                     F.col("delay").alias("delay"))
+    win = F.window(ts, width, slide) if slide else F.window(ts, width)
     grouped = (picked.withWatermark(ts, delay)
-               .groupBy(F.window(ts, width).alias("window"), "vehicleID", "busLineID")
+               .groupBy(win.alias("window"), *partition)
                .agg(F.array_sort(F.collect_list(item)).alias("items")))
-    items = F.col("items")
-    kept = F.filter(items, lambda x, i: (i == 0) | ~x["closerStopID"].eqNullSafe(
-        F.get(items, i - 1)["closerStopID"]))
-    return (grouped.select("window", "vehicleID", "busLineID", F.explode(kept).alias("item"))
-            .select("window", "vehicleID", "busLineID", "item.date", "item.closerStopID",
-                    "item.delay"))
+    return (grouped.select("window", *partition, F.explode(_collapse(F.col("items"))).alias("item"))
+            .select("window", *partition, "item.date", "item.closerStopID", "item.delay"))
+
+
+def arrivals_windowed(df: DataFrame, *, vehicle: int, day: str, delay_limit: int, width: str,
+                      slide: str, delay: str = "0 seconds", ts: str = TS) -> DataFrame:
+    """One vehicle's stop arrivals on a day per sliding window: repeats of a
+    stop within a line collapsed inside the window, with the time of day and
+    an on-time flag (|delay| <= |limit|)."""
+    picked = df.where((F.col("vehicleID") == vehicle) & on_day(ts, day))
+    kept = change_points_windowed(picked, width=width, slide=slide, delay=delay, ts=ts,
+                                  partition=("busLineID",))
+    return kept.select("window", F.col("busLineID").alias("lineID"),
+                       F.col("closerStopID").alias("stationID"),
+                       clock_text("date").alias("arrivalTime"),
+                       on_time_flag("delay", delay_limit).alias("onTime"))
 
 
 def busiest_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",

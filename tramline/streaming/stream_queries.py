@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tramline.operators.grouped import bucket_histogram
 from tramline.plans.batch_queries import (
-    BUCKET_KM, DAY, DAY_SQL, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
+    BUCKET_KM, DAY, DAY_SQL, DELAY_LIMIT, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
     as_text, haversine,
 )
 from tramline.plans.oracle import texted, with_tables
@@ -147,6 +147,26 @@ def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
+@register_windowed("stream_arrivals_collapsed", with_tables(f"""
+SELECT window_start, window_end, busLineID AS lineID, closerStopID AS stationID,
+       strftime(date, '%H:%M:%S') AS arrivalTime,
+       CASE WHEN abs(delay) <= {DELAY_LIMIT} THEN 1 ELSE 0 END AS onTime
+FROM (SELECT *, window_start + INTERVAL 2 HOUR AS window_end,
+             lag(closerStopID) OVER w AS prev_stop, row_number() OVER w AS rn
+      FROM (SELECT date_trunc('hour', date) AS window_start, * FROM picked
+            UNION ALL
+            SELECT date_trunc('hour', date) - INTERVAL 1 HOUR AS window_start, * FROM picked)
+      WINDOW w AS (PARTITION BY window_start, busLineID ORDER BY date, closerStopID, delay))
+WHERE (rn = 1 OR prev_stop IS DISTINCT FROM closerStopID)
+  AND {closed('window_end', 'picked')}""", f"""
+picked AS (SELECT * FROM telemetry WHERE atStop <> 0 AND vehicleID = {VEHICLE} AND {DAY_SQL})"""))
+def q_stream_arrivals_collapsed(spark: SparkSession, sf: str) -> DataFrame:
+    out = forms.arrivals_windowed(bus_stream(spark, sf), vehicle=VEHICLE, day=DAY,
+                                  delay_limit=DELAY_LIMIT, width="2 hours", slide="1 hour")
+    table, _ = run(flatten_window(out), label="arrivals-collapsed")
+    return table
+
+
 @register_windowed("stream_busiest", with_tables(f"""
 SELECT c.window_start, c.window_start + INTERVAL 6 HOUR AS window_end,
        c.stationID, c.vehicles, c.numVehicles
@@ -187,12 +207,14 @@ def q_stream_vehicles_per_stop(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- running state
 
 @register("stream_complete_sorted", with_tables(f"""
-SELECT vehicleID, count(DISTINCT closerStopID) AS numStations
+SELECT vehicleID, count(DISTINCT closerStopID) AS numStations, TRUE AS approx_within_15pct
 FROM telemetry WHERE {DAY_SQL} GROUP BY 1"""))
 def q_stream_complete_sorted(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.distinct_stops_running(bus_stream(spark, sf), day=DAY)
     table, _ = run(out, mode="complete", label="complete-sorted")
-    return table.orderBy(F.col("vehicleID").desc())
+    return table.select("vehicleID", "numStations",
+                        forms.within("numStationsApprox", "numStations")
+                        .alias("approx_within_15pct")).orderBy(F.col("vehicleID").desc())
 
 
 @register("stream_running_total", with_tables(
