@@ -183,3 +183,21 @@ def test_live_trigger_and_per_batch(spark, tmp_dir):
     per_file = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
     out = run_per_batch(per_file, lambda b: b.groupBy().count())
     assert sorted((r.batch_id, r["count"]) for r in out.collect()) == [(0, 2), (1, 1)]
+
+
+def test_histogram_per_batch_equals_batch(spark, tmp_dir):
+    from tramline.operators import bucket_histogram
+    from tramline.streaming.state import histogram_per_batch, latest_histogram
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    rows = _stage_in_time_order(spark, src, 3)
+    stream = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
+    query = histogram_per_batch(path_distance_state(stream, max_speed=28.0), size=50,
+                                sink=sink, checkpoint=ckpt)
+    query.awaitTermination()
+    got = sorted(map(tuple, latest_histogram(spark, sink).collect()))
+    ordered = rows.withColumn("tb", F.struct("latitude", "longitude"))
+    km = path_distance(ordered, "vehicleID", "date", "tb", "latitude", "longitude", max_speed=28.0)
+    want = sorted(map(tuple, bucket_histogram(km, "km", 50, count="numVehicles").collect()))
+    assert got == want
+    # one histogram per trigger
+    assert spark.read.parquet(f"{sink}/histogram").select("epoch_id").distinct().count() == 3

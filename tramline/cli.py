@@ -27,7 +27,7 @@ from tramline.session import build_session, fresh_dir
 from tramline.sources.csv import read_bike_csv, read_bus_csv, read_bus_csv_stream, typed
 from tramline.streaming import forms
 from tramline.streaming.runner import flatten_window, start
-from tramline.streaming.state import path_distance_state
+from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
 
 
 def _bus(spark: SparkSession, args) -> DataFrame:
@@ -90,7 +90,7 @@ def _distance_histogram(spark, args):
         day_rows = _bus(spark, args).where(
             (F.col("date") >= F.lit(args.day).cast("timestamp"))
             & (F.col("date") < F.lit(args.day).cast("timestamp") + F.expr("INTERVAL 1 DAY")))
-        return path_distance_state(day_rows, max_speed=args.max_speed), "update"
+        return path_distance_state(day_rows, max_speed=args.max_speed), "histogram"
     return transit.distance_histogram(_bus(spark, args), day=args.day, max_speed=args.max_speed,
                                       size=args.bucket), None
 
@@ -158,6 +158,14 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
             out.show(args.rows, truncate=False)
         return out
     checkpoint = args.checkpoint or fresh_dir(spark, f"cli-{args.analysis}-ckpt")
+    if mode == "histogram":
+        sink = args.output or fresh_dir(spark, "cli-histogram")
+        query = histogram_per_batch(out, size=args.bucket, sink=sink, checkpoint=checkpoint,
+                                    processing_time=args.trigger)
+        query.awaitTermination()
+        if not args.output:
+            latest_histogram(spark, sink).orderBy("bucket").show(args.rows, truncate=False)
+        return sink
     if args.output:
         query = start(out, mode=mode, sink=args.output, checkpoint=checkpoint,
                       processing_time=args.trigger)

@@ -75,3 +75,45 @@ def path_distance_state(df: DataFrame, *, max_speed: float, ts: str = "date") ->
     return readings.groupBy("vehicleID").applyInPandasWithState(
         make_advance(max_speed), OUTPUT_SCHEMA, STATE_SCHEMA, "update",
         GroupStateTimeout.NoTimeout)
+
+
+def histogram_per_batch(km_updates: DataFrame, *, size: float, sink: str, checkpoint: str,
+                        processing_time: str | None = None):
+    """Keep a histogram of kilometres per vehicle current after every trigger.
+
+    ``km_updates`` is the update-mode output of ``path_distance_state``. Each
+    epoch merges its changed vehicles into the previous epoch's totals (one
+    row per vehicle, so bounded by the fleet), writes the new totals to
+    ``sink/totals/epoch_id=N`` and their histogram to
+    ``sink/histogram/epoch_id=N``. Epoch ids are consecutive, and an epoch
+    that is retried rewrites the same folders from the same inputs.
+    """
+    from pyspark.sql.utils import AnalysisException
+
+    from tramline.operators.grouped import bucket_histogram
+    from tramline.streaming.runner import start
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        updates = batch.select("vehicleID", "km")
+        totals = updates
+        if epoch > 0:
+            try:
+                prev = spark.read.parquet(f"{sink}/totals/epoch_id={epoch - 1}")
+                totals = prev.join(updates, "vehicleID", "left_anti").unionByName(updates)
+            except AnalysisException:
+                pass
+        totals.write.mode("overwrite").parquet(f"{sink}/totals/epoch_id={epoch}")
+        current = spark.read.parquet(f"{sink}/totals/epoch_id={epoch}")
+        (bucket_histogram(current, "km", size, count="numVehicles")
+         .write.mode("overwrite").parquet(f"{sink}/histogram/epoch_id={epoch}"))
+
+    return start(km_updates, mode="update", sink=sink, checkpoint=checkpoint,
+                 processing_time=processing_time, per_batch=per_batch)
+
+
+def latest_histogram(spark, sink: str) -> DataFrame:
+    """The histogram written by the last epoch."""
+    table = spark.read.parquet(f"{sink}/histogram")
+    last = table.agg(F.max("epoch_id").alias("epoch_id"))          # one row
+    return table.join(F.broadcast(last), "epoch_id").drop("epoch_id")

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.operators.grouped import bucket_histogram
 from tramline.plans.batch_queries import (
     BUCKET_KM, DAY, DAY_SQL, DELAY_LIMIT, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
     as_text, haversine,
@@ -26,7 +25,7 @@ from tramline.sources.staging import staged_bus_csv, write_lines
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
 from tramline.streaming.runner import flatten_window, latest_rows, run, run_per_batch
-from tramline.streaming.state import path_distance_state
+from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
 
 
 def register_windowed(name: str, sql: str, extra: tuple[str, ...] = ()):
@@ -278,7 +277,17 @@ SELECT CAST(floor(km / {BUCKET_KM}.0) AS BIGINT) AS bucket,
        count(*) AS numVehicles
 FROM km GROUP BY 1, 2""", PATH_CTES))
 def q_stream_distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return bucket_histogram(_stream_km(spark, sf), "km", BUCKET_KM, count="numVehicles")
+    # Keyed-state kilometres, and after every trigger the histogram over the
+    # running totals of all vehicles (foreachBatch); the last epoch's is returned.
+    day_rows = bus_stream(spark, sf).where(
+        (F.col("date") >= F.lit(DAY).cast("timestamp"))
+        & (F.col("date") < F.lit(DAY).cast("timestamp") + F.expr("INTERVAL 1 DAY")))
+    sink = fresh_dir(spark, "distance-histogram-sink")
+    query = histogram_per_batch(path_distance_state(day_rows, max_speed=MAX_SPEED),
+                                size=BUCKET_KM, sink=sink,
+                                checkpoint=fresh_dir(spark, "distance-histogram-ckpt"))
+    query.awaitTermination()
+    return latest_histogram(spark, sink)
 
 
 # ---------------------------------------------------------------- restart, late rows
