@@ -114,3 +114,27 @@ def test_bad_lines(spark):
     assert [r.busLinePatternID for r in rows] == ["", "027B1001"]
     assert rows[0].closerStopID == -1 and rows[1].delay == 90
     assert bad.count() == 4
+
+
+def test_hour_range_is_closed_and_weekdays_are_mon_to_fri(spark):
+    from tramline.functions.predicates import hour_between, is_weekday
+    times = ["2024-01-08 06:59:59", "2024-01-08 07:00:00", "2024-01-08 19:59:59",
+             "2024-01-08 20:00:00", "2024-01-12 12:00:00", "2024-01-13 12:00:00",
+             "2024-01-14 12:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").selectExpr(
+        "t", "cast(t as timestamp) as ts")
+    kept = [r.t for r in df.where(hour_between("ts", 7, 19) & is_weekday("ts")).collect()]
+    assert kept == ["2024-01-08 07:00:00", "2024-01-08 19:59:59", "2024-01-12 12:00:00"]
+
+
+def test_bike_extremes_filters_closed_stations_and_weekends(spark):
+    from tramline.plans.bikes import bike_extremes_by_hour
+    rows = [(1, "2024-01-08 07:10:00", 4, "Open"), (2, "2024-01-08 07:20:00", 9, "Open"),
+            (3, "2024-01-08 07:30:00", 0, "Close"),           # closed: ignored
+            (3, "2024-01-13 07:30:00", 1, "Open"),            # Saturday: ignored
+            (1, "2024-01-08 20:00:00", 7, "Open")]            # after 19:59: ignored
+    df = spark.createDataFrame(rows, "station_id int, time string, available_bikes int, "
+                                     "status string").selectExpr(
+        "station_id", "cast(time as timestamp) as time", "available_bikes", "status")
+    out = [tuple(r) for r in bike_extremes_by_hour(df).collect()]
+    assert out == [(7, 4.0, 9.0, 1, 2)]
