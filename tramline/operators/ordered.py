@@ -6,9 +6,9 @@ ordered by time and a unique tie-breaker). A plain ``lag`` over
 vehicle holding a third of the data would be one task. ``with_previous``
 splits every series into time slices instead:
 
-1. the last row of every (key, slice) is found with ``max(struct(ts, tie,
-   ...))`` — a decomposable aggregate, combined map-side, so the shuffle
-   carries one row per key, slice and task;
+1. the last row of every (key, slice) is found with a decomposable
+   aggregate (``max_by`` on one numeric order of (ts, tie)), combined
+   map-side, so the shuffle carries one row per key, slice and task;
 2. a ``lag`` over that small slice table (per key, ordered by slice) carries
    each slice's last row to the next non-empty slice of its key;
 3. the carried row is left-joined to the rows on (key, slice), and one
@@ -25,9 +25,11 @@ previous non-empty slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.functions.geo import haversine_m, seconds_between
 
@@ -43,6 +45,29 @@ def _payload(ts: str, tiebreak: str, cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in names])
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _slice_last(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
+                cols: Sequence[str]) -> DataFrame:
+    """The last row (by ts, tiebreak) of every (key, slice), as a struct.
+
+    With an integral tie-breaker the order is one DECIMAL(38,0) number,
+    ``micros(ts) * 10^19 + (tiebreak + 2^63)``, and every field is taken with
+    ``max_by(field, order)``: all buffers are fixed-width, so Spark runs a
+    hash aggregate (partial, map-side). Otherwise ``max(struct)`` (a sort-
+    based aggregate) is used."""
+    names = list(dict.fromkeys([ts, tiebreak, *cols]))
+    if isinstance(df.schema[tiebreak].dataType, _INTEGRAL):
+        dec = "decimal(38,0)"
+        order = (F.unix_micros(F.col(ts)).cast(dec) * F.lit(Decimal(10 ** 19)).cast(dec)
+                 + (F.col(tiebreak).cast(dec) + F.lit(Decimal(2 ** 63)).cast(dec)))
+        picked = df.withColumn("__order", order).groupBy(*keys, _SLICE).agg(
+            *[F.max_by(c, "__order").alias(c) for c in names])
+        return picked.select(*keys, _SLICE, F.struct(*names).alias(_LAST))
+    return df.groupBy(*keys, _SLICE).agg(F.max(_payload(ts, tiebreak, cols)).alias(_LAST))
+
+
 def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                   cols: Sequence[str], *, prev: str = "prev",
                   slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
@@ -60,7 +85,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
         return df.withColumn(prev, F.lag(payload).over(w))
 
     sliced = df.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)))
-    lasts = sliced.groupBy(*keys, _SLICE).agg(F.max(payload).alias(_LAST))
+    lasts = _slice_last(sliced, keys, ts, tiebreak, cols)
     w_slices = Window.partitionBy(*keys).orderBy(_SLICE)
     carry = lasts.select(*keys, _SLICE, F.lag(_LAST).over(w_slices).alias(_CARRY))
 
