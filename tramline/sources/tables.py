@@ -75,17 +75,16 @@ def bike_readings_from_events(events: DataFrame) -> DataFrame:
 _STORED: dict[tuple[str, str], str] = {}
 
 
-def store_telemetry(rows: DataFrame, path: str, *, files: int | None = None) -> str:
+def store_telemetry(rows: DataFrame, path: str) -> str:
     """Write telemetry rows as a day-partitioned parquet table.
 
-    Rows are range-partitioned by (day, vehicle, time) first: Spark samples
-    the keys, so every write task gets a contiguous, similar-sized range — a
-    hot day is split over several tasks, and each task writes few files with
-    tight row-group statistics (sorted by vehicle and time)."""
-    spark = rows.sparkSession
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    The ``rebalance`` hint lets AQE size the write tasks from the measured
+    data (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): a hot day is
+    split over several tasks and small days are merged, whatever the shuffle
+    width. Sorting within each task by (day, vehicle, time) keeps files and
+    row groups clustered, so vehicle and time filters skip row groups."""
     (rows.withColumn(DAY_COLUMN, F.to_date("date"))
-     .repartitionByRange(n, DAY_COLUMN, "vehicleID", "date")
+     .hint("rebalance", DAY_COLUMN)
      .sortWithinPartitions(DAY_COLUMN, "vehicleID", "date")
      .write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(path))
     return path
