@@ -88,3 +88,29 @@ def test_day_filters_prune_partitions_and_push_down(spark):
     assert "GreaterThanOrEqual(date,2024-01-08 00:00:00.0)" in text
     text = plan(QUERIES["vehicles_per_stop"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(day" in text and "EqualTo(atStop,1)" in text
+
+
+def test_series_rows_shuffled_once_without_broadcast(spark):
+    # At scale the carried slice ends do not fit a broadcast: the join becomes
+    # a sort-merge join on (key, slice), and the window reuses its partitioning.
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        final = executed(QUERIES["change_points"](spark, SF_SMALL)).split("Initial Plan")[0]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+    lines = final.splitlines()
+    row_shuffles = [ln for i, ln in enumerate(lines)
+                    if "Exchange hashpartitioning(vehicleID" in ln and "__slice" in ln
+                    and "Aggregate" not in (lines[i + 1] if i + 1 < len(lines) else "")
+                    and "Window" not in (lines[i + 1] if i + 1 < len(lines) else "")]
+    # the rows' exchange, and the carried ends' exchange into the join
+    assert len(row_shuffles) <= 2, final
+    assert final.count("Exchange hashpartitioning(vehicleID") <= 4, final
