@@ -29,9 +29,15 @@ def in_box(lat: str | Column, lon: str | Column, *, north: float, east: float,
     return _c(lat).between(F.lit(south), F.lit(north)) & _c(lon).between(F.lit(west), F.lit(east))
 
 
-def is_weekday(ts: str | Column) -> Column:
-    """Monday to Friday (``weekday``: Monday = 0 ... Sunday = 6)."""
-    return F.weekday(_c(ts)) < 5
+def is_weekday(ts: str | Column, *, day_col: str | None = None) -> Column:
+    """Monday to Friday (``weekday``: Monday = 0 ... Sunday = 6).
+
+    With ``day_col`` (a stored ``to_date(ts)``, e.g. a partition column) the
+    same test on it prunes weekend partitions."""
+    cond = F.weekday(_c(ts)) < 5
+    if day_col:
+        cond = cond & (F.weekday(F.col(day_col)) < 5)
+    return cond
 
 
 def hour_in(ts: str | Column, hours: Iterable[int | str]) -> Column:

@@ -301,7 +301,8 @@ def q_filter_bbox(spark: SparkSession, sf: str) -> DataFrame:
 @register("filter_weekday", with_tables(
     "SELECT reading_id, CAST(isodow(date) AS INTEGER) AS iso_dow FROM telemetry WHERE isodow(date) <= 5"))
 def q_filter_weekday(spark: SparkSession, sf: str) -> DataFrame:
-    t = telemetry(spark, sf).where(is_weekday("date"))
+    t = telemetry(spark, sf)
+    t = t.where(is_weekday("date", day_col=transit.day_col(t)))
     return t.select("reading_id", (F.weekday("date") + 1).alias("iso_dow"))
 
 
@@ -591,7 +592,7 @@ def q_explode_split(spark: SparkSession, sf: str) -> DataFrame:
 @register("sql_over_view", with_tables("SELECT station_id, hrs, bikes FROM avgs", BIKE_AVG_SQL))
 def q_sql_over_view(spark: SparkSession, sf: str) -> DataFrame:
     readings = bike_readings(spark, sf)
-    picked = readings.where(is_weekday("time") & (F.col("status") == "Open"))
+    picked = readings.where(is_weekday("time", day_col="day") & (F.col("status") == "Open"))
     return spark.sql("""
         SELECT station_id, hrs, round(avg(available_bikes), 2) AS bikes
         FROM (SELECT station_id, hour(time) AS hrs, available_bikes FROM {picked}

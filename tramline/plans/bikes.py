@@ -16,7 +16,8 @@ def hourly_station_average(df: DataFrame, *, first_hour: int = 7, last_hour: int
                            ts: str = "time") -> DataFrame:
     """Average available bikes per (station, hour of day), rounded to 2 digits,
     over weekday readings of open stations within [first_hour, last_hour]."""
-    picked = df.where(is_weekday(ts) & (F.col("status") == STATUS_OPEN)
+    day_col = "day" if "day" in df.columns else None
+    picked = df.where(is_weekday(ts, day_col=day_col) & (F.col("status") == STATUS_OPEN)
                       & hour_between(ts, first_hour, last_hour))
     return (picked.groupBy("station_id", F.hour(ts).alias("hrs"))
             .agg(F.round(F.avg("available_bikes"), 2).alias("bikes")))

@@ -37,7 +37,8 @@ def congestion_by_hour(df: DataFrame, *, box: dict = CITY_BOX,
     """Per hour of day (weekdays, inside the box, listed hours): congestion
     share in percent, number of measurements, congested measurements.
     Sorted by share, highest first."""
-    picked = df.where(in_box("latitude", "longitude", **box) & is_weekday(ts) & hour_in(ts, hours))
+    picked = df.where(in_box("latitude", "longitude", **box)
+                      & is_weekday(ts, day_col=day_col(df)) & hour_in(ts, hours))
     out = share_by(picked.select(hour_text(ts).alias("hour"), "congestion"), "hour", "congestion")
     return out.orderBy(F.col("percentage").desc(), "hour")
 
