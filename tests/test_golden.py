@@ -138,3 +138,14 @@ def test_bike_extremes_filters_closed_stations_and_weekends(spark):
         "station_id", "cast(time as timestamp) as time", "available_bikes", "status")
     out = [tuple(r) for r in bike_extremes_by_hour(df).collect()]
     assert out == [(7, 4.0, 9.0, 1, 2)]
+
+
+def test_null_members_are_not_counted(spark):
+    from tramline.operators import distinct_count, distinct_members
+    df = spark.createDataFrame([(1, 5), (1, None), (1, 5), (2, None)], "g int, m int")
+    exact = {r.g: r.n for r in distinct_count(df, "g", "m", out="n").collect()}
+    assert exact == {1: 1, 2: 0}
+    lists = {r.g: (r.members, r.n_members) for r in distinct_members(df, "g", "m").collect()}
+    assert lists == {1: ("5", 1), 2: ("", 0)}
+    top = [tuple(r) for r in busiest_with_ties(df, "g", "m").collect()]
+    assert top == [(1, "5", 1)]

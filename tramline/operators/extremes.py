@@ -51,7 +51,7 @@ def busiest_with_ties(df: DataFrame, group: str, member: str, *,
     pairs = distinct_pairs(df, group, member)
     listed = F.array_sort(F.collect_list(member))
     per_group = pairs.groupBy(group).agg(
-        F.count(F.lit(1)).alias(count_out),
+        F.count(member).alias(count_out),
         (F.array_join(listed, ",") if as_text else listed).alias(members_out))
     # The maximum is one row; joining on the aggregate's own output keeps the
     # subtree below the exchange identical in both branches, so Spark reuses

@@ -36,7 +36,8 @@ def distinct_count(df: DataFrame, group: str, member: str, *, out: str,
                    exact: bool = True, rsd: float = 0.05) -> DataFrame:
     """Distinct members per group, exact (two-level aggregate) or HLL++."""
     if exact:
-        return distinct_pairs(df, group, member).groupBy(group).agg(F.count(F.lit(1)).alias(out))
+        # count(member): a NULL member is not a member (as in count(DISTINCT ...)).
+        return distinct_pairs(df, group, member).groupBy(group).agg(F.count(member).alias(out))
     return df.groupBy(group).agg(F.approx_count_distinct(member, rsd).alias(out))
 
 
@@ -51,7 +52,7 @@ def distinct_members(df: DataFrame, group: str, member: str, *, out: str = "memb
     members = F.array_sort(F.collect_list(member))
     cols = [(F.array_join(members, ",") if as_text else members).alias(out)]
     if count:
-        cols.append(F.count(F.lit(1)).alias(count))
+        cols.append(F.count(member).alias(count))
     return pairs.groupBy(group).agg(*cols)
 
 
