@@ -31,3 +31,29 @@ def test_text_parse_agrees_with_csv_scan_on_good_lines(spark, tmp_dir):
     good, bad = split_bus_lines(read_lines(spark, path))
     assert bad.count() == 0
     assert sorted(map(tuple, scan.collect())) == sorted(map(tuple, good.select(*scan.columns).collect()))
+
+
+def test_sql_over_registered_views_equals_operators(spark):
+    from conftest import SF_SMALL
+    from tramline.plans import bikes, transit
+    from tramline.sources.tables import register_views, telemetry
+    register_views(spark, SF_SMALL)
+    sql = spark.sql("""
+        SELECT date_format(date, 'HH') AS hour,
+               round(100.0D * sum(congestion) / count(*), 2) AS percentage,
+               count(*) AS numMeasurements, sum(congestion) AS congestionMeasurements
+        FROM telemetry
+        WHERE latitude BETWEEN 53.3343619D AND 53.3702027D
+          AND longitude BETWEEN -6.2886331D AND -6.2043634D
+          AND weekday(date) < 5 AND hour(date) IN (7, 8, 9)
+        GROUP BY 1""")
+    ops = transit.congestion_by_hour(telemetry(spark, SF_SMALL))
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, ops.collect()))
+    avg_sql = spark.sql("""
+        SELECT station_id, hrs, round(avg(available_bikes), 2) AS bikes
+        FROM (SELECT station_id, hour(time) AS hrs, available_bikes FROM bike_readings
+              WHERE weekday(time) < 5 AND status = 'Open' AND hour(time) BETWEEN 7 AND 19)
+        GROUP BY station_id, hrs""")
+    from tramline.sources.tables import bike_readings
+    avg_ops = bikes.hourly_station_average(bike_readings(spark, SF_SMALL))
+    assert sorted(map(tuple, avg_sql.collect())) == sorted(map(tuple, avg_ops.collect()))

@@ -127,3 +127,11 @@ def bike_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(_STORED[key])
 
     return _memo(spark, "bike_readings", sf_dir, load)
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Register ``telemetry`` and ``bike_readings`` as temporary views, for
+    analyses written as SQL text (``spark.sql("SELECT ... FROM telemetry")``)."""
+    telemetry(spark, sf_dir).createOrReplaceTempView("telemetry")
+    bike_readings(spark, sf_dir).createOrReplaceTempView("bike_readings")
+    return ["telemetry", "bike_readings"]
