@@ -201,3 +201,17 @@ def test_histogram_per_batch_equals_batch(spark, tmp_dir):
     assert got == want
     # one histogram per trigger
     assert spark.read.parquet(f"{sink}/histogram").select("epoch_id").distinct().count() == 3
+
+
+def test_arrival_time_windows(spark, tmp_dir):
+    # Windows on arrival time (stamped when a batch is read), hours from the
+    # readings' own time: every reading is counted once, in the current window.
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[line("2024-01-08 07:10:00"), line("2024-01-08 08:20:00"),
+                       line("2024-01-08 09:30:00"), line("2024-01-08 12:00:00")]])
+    stream = typed(read_bus_csv_stream(spark, src)).withColumn("arrival", F.current_timestamp())
+    box = {"north": 90.0, "east": 180.0, "south": -90.0, "west": -180.0}
+    out = forms.congestion_windows(stream, width="1 hour", box=box, window_ts="arrival")
+    table, _ = run(flatten_window(out), mode="complete")
+    got = sorted((r.hour, r.numMeasurements) for r in table.collect())
+    assert got == [("07", 1), ("08", 1), ("09", 1)]

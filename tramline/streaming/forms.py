@@ -22,21 +22,29 @@ from tramline.plans.transit import CITY_BOX, PEAK_HOURS
 TS = "date"
 
 
+def _window(ts: str, width: str, slide: str | None = None):
+    return F.window(ts, width, slide) if slide else F.window(ts, width)
+
+
 def windowed_counts(df: DataFrame, *, width: str, slide: str | None = None,
-                    delay: str = "0 seconds", ts: str = TS) -> DataFrame:
+                    delay: str = "0 seconds", ts: str = TS,
+                    window_ts: str | None = None) -> DataFrame:
     """Rows per event-time window (tumbling, or sliding with ``slide``)."""
-    win = F.window(ts, width, slide) if slide else F.window(ts, width)
-    return (df.withWatermark(ts, delay).groupBy(win.alias("window"))
+    wt = window_ts or ts
+    return (df.withWatermark(wt, delay).groupBy(_window(wt, width, slide).alias("window"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 def congestion_windows(df: DataFrame, *, width: str, box: dict = CITY_BOX,
                        hours: Iterable = PEAK_HOURS, delay: str = "0 seconds",
-                       ts: str = TS) -> DataFrame:
-    """Congestion share per (event-time window, hour of day)."""
+                       ts: str = TS, window_ts: str | None = None) -> DataFrame:
+    """Congestion share per (window, hour of day). Weekday and hour come from
+    the reading's time ``ts``; the window and watermark use ``window_ts``
+    (default ``ts``; an arrival-time column gives arrival-time windows)."""
+    wt = window_ts or ts
     picked = df.where(in_box("latitude", "longitude", **box) & is_weekday(ts) & hour_in(ts, hours))
-    agg = (picked.withWatermark(ts, delay)
-           .groupBy(F.window(ts, width).alias("window"), hour_text(ts).alias("hour"))
+    agg = (picked.withWatermark(wt, delay)
+           .groupBy(F.window(wt, width).alias("window"), hour_text(ts).alias("hour"))
            .agg(F.count(F.lit(1)).alias("numMeasurements"),
                 F.sum("congestion").alias("congestionMeasurements")))
     return agg.select("window", "hour", percent("congestionMeasurements", "numMeasurements")
