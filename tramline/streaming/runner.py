@@ -55,14 +55,27 @@ def _writer(stream: DataFrame, *, mode: str, sink: str, checkpoint: str,
 def start(stream: DataFrame, *, mode: str = "append", sink: str, checkpoint: str,
           processing_time: str | None = None,
           per_batch: Callable[[DataFrame, int], None] | None = None,
-          name: str | None = None) -> StreamingQuery:
+          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start a query; ``processing_time`` (e.g. "10 seconds") for a live
-    feed, otherwise it drains what is available now and stops."""
+    feed, otherwise it drains what is available now and stops.
+
+    ``state_partitions`` is the number of state-store partitions of the
+    stateful operators (the shuffle width when the query first starts; a
+    restart keeps the checkpoint's). Default: the cluster's default
+    parallelism, one state partition per core."""
+    spark = stream.sparkSession
     writer = _writer(stream, mode=mode, sink=sink, checkpoint=checkpoint, per_batch=per_batch)
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    width = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(width))
+    try:
+        return writer.trigger(**trigger).start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_sink(spark: SparkSession, sink: str, schema) -> DataFrame:
