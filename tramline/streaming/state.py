@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tramline.functions.geo import EARTH_RADIUS_M
+from tramline.session import ship_package
 
 OUTPUT_SCHEMA = "vehicleID int, km double, late_rows long"
 STATE_SCHEMA = "last_us long, lat double, lon double, metres double, late long"
@@ -70,6 +71,7 @@ def make_advance(max_speed: float):
 
 def path_distance_state(df: DataFrame, *, max_speed: float, ts: str = "date") -> DataFrame:
     """Running kilometres per vehicle (update mode)."""
+    ship_package(df.sparkSession)     # the state function runs in Python workers
     readings = df.select("vehicleID", F.unix_micros(F.col(ts)).alias("ts_us"),
                          "latitude", "longitude")
     return readings.groupBy("vehicleID").applyInPandasWithState(
