@@ -114,3 +114,10 @@ def test_series_rows_shuffled_once_without_broadcast(spark):
     # the rows' exchange, and the carried ends' exchange into the join
     assert len(row_shuffles) <= 2, final
     assert final.count("Exchange hashpartitioning(vehicleID") <= 4, final
+
+
+def test_bike_weekday_prunes_partitions_and_status_is_pushed(spark):
+    text = plan(QUERIES["bike_extremes_by_hour"](spark, SF_SMALL))
+    assert "(weekday(day" in text and "PartitionFilters" in text
+    assert "EqualTo(status,Open)" in text
+    assert "ReadSchema: struct<station_id:int,time:timestamp,available_bikes:int,status:string>" in text
