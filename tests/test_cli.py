@@ -33,3 +33,18 @@ def test_cli_bikes(spark, tmp_dir):
     assert out.columns == ["HOUR", "min_bike", "max_bike", "min_bike_station_id",
                            "max_bike_station_id"]
     assert out.count() > 0
+
+
+def test_cli_stream_outputs(spark, tmp_dir):
+    bus = os.path.join(tmp_dir, "bus")
+    bus_lines(telemetry(spark, SF_SMALL)).write.text(bus)
+    out = os.path.join(tmp_dir, "congestion")
+    cli.run(["congestion", "--input", bus, "--stream", "--width", "1 day", "--output", out],
+            spark=spark)
+    rows = spark.read.parquet(out)
+    assert {"window_start", "window_end", "hour", "percentage"} <= set(rows.columns)
+    arrivals = os.path.join(tmp_dir, "arrivals")
+    cli.run(["arrivals", "--input", bus, "--stream", "--vehicle", "7", "--day", "2024-01-08",
+             "--width", "2 hours", "--slide", "1 hour", "--output", arrivals], spark=spark)
+    assert spark.read.parquet(arrivals).columns == [
+        "window_start", "window_end", "lineID", "stationID", "arrivalTime", "onTime"]
