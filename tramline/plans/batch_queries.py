@@ -84,7 +84,8 @@ WHERE rn = 1 OR prev_stop IS DISTINCT FROM closerStopID"""
     where="atStop <> 0", part="vehicleID, busLineID")), ["date"]))
 def q_change_points(spark: SparkSession, sf: str) -> DataFrame:
     kept = transit.stop_changes(telemetry(spark, sf))
-    return kept.select("reading_id", "vehicleID", "busLineID", "closerStopID", ts_text("date").alias("date"))
+    return kept.select("reading_id", "vehicleID", "busLineID", "closerStopID",
+                       ts_text("date").alias("date"))
 
 
 @register("vehicle_arrivals", with_tables(CHANGE_SQL.format(
@@ -222,7 +223,8 @@ def q_haversine_pairs(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf)
     marked = with_previous(t, ["vehicleID"], "date", "reading_id", ["latitude", "longitude"])
     d = haversine_m("prev.latitude", "prev.longitude", "latitude", "longitude")
-    return marked.where(F.col("prev").isNotNull()).select("reading_id", F.round(d, 3).alias("step_m"))
+    return (marked.where(F.col("prev").isNotNull())
+            .select("reading_id", F.round(d, 3).alias("step_m")))
 
 
 BIKE_AVG_SQL = """
@@ -286,7 +288,8 @@ SELECT reading_id,
          AS epoch_s
 FROM telemetry"""))
 def q_project_retype(spark: SparkSession, sf: str) -> DataFrame:
-    text = telemetry(spark, sf).select("reading_id", F.date_format("date", TIME_FORMAT).alias("date"))
+    text = telemetry(spark, sf).select("reading_id",
+                                       F.date_format("date", TIME_FORMAT).alias("date"))
     return text.select("reading_id", F.unix_seconds(parse_time("date")).alias("epoch_s"))
 
 
@@ -295,7 +298,8 @@ def q_project_retype(spark: SparkSession, sf: str) -> DataFrame:
 @register("filter_bbox", with_tables(f"SELECT reading_id, vehicleID FROM telemetry WHERE {BOX_SQL}"))
 def q_filter_bbox(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf)
-    return t.where(in_box("latitude", "longitude", **transit.CITY_BOX)).select("reading_id", "vehicleID")
+    return (t.where(in_box("latitude", "longitude", **transit.CITY_BOX))
+            .select("reading_id", "vehicleID"))
 
 
 @register("filter_weekday", with_tables(
@@ -331,7 +335,8 @@ def q_filter_eq(spark: SparkSession, sf: str) -> DataFrame:
 @register("filter_day", with_tables(f"SELECT reading_id, vehicleID FROM telemetry WHERE {DAY_SQL}"))
 def q_filter_day(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf)
-    return t.where(on_day("date", DAY, day_col=transit.day_col(t))).select("reading_id", "vehicleID")
+    return (t.where(on_day("date", DAY, day_col=transit.day_col(t)))
+            .select("reading_id", "vehicleID"))
 
 
 @register("filter_horizon", with_tables(
@@ -369,7 +374,7 @@ SELECT e.hrs, e.min_bike, a.station_id
 FROM ext e JOIN avgs a ON a.hrs = e.hrs AND a.bikes = e.min_bike""", BIKE_AVG_SQL))
 def q_join_inner_two_keys(spark: SparkSession, sf: str) -> DataFrame:
     avgs = bikes.hourly_station_average(bike_readings(spark, sf))
-    ext = avgs.groupBy("hrs").agg(F.min("bikes").alias("min_bike"))
+    ext = avgs.groupBy("hrs").agg(F.min("bikes").alias("min_bike"))   # at most 24 rows
     a = avgs.alias("a")
     joined = F.broadcast(ext).alias("e").join(
         a, (F.col("a.hrs") == F.col("e.hrs")) & (F.col("a.bikes") == F.col("e.min_bike")), "inner")
@@ -384,7 +389,8 @@ JOIN (SELECT a.hrs, a.station_id FROM avgs a JOIN ext e ON a.hrs = e.hrs AND a.b
   ON mn.hrs = mx.hrs""", BIKE_AVG_SQL))
 def q_join_inner_one_key(spark: SparkSession, sf: str) -> DataFrame:
     avgs = bikes.hourly_station_average(bike_readings(spark, sf))
-    ext = F.broadcast(avgs.groupBy("hrs").agg(F.min("bikes").alias("lo"), F.max("bikes").alias("hi")))
+    ext = F.broadcast(avgs.groupBy("hrs")                     # at most 24 hours
+                      .agg(F.min("bikes").alias("lo"), F.max("bikes").alias("hi")))
     tagged = avgs.join(ext, "hrs")
     mins = tagged.where(F.col("bikes") == F.col("lo")).select(
         F.col("hrs").alias("min_hrs"), F.col("station_id").alias("min_bike_station_id"))
@@ -441,7 +447,8 @@ def q_agg_avg_round(spark: SparkSession, sf: str) -> DataFrame:
 @register("agg_min_max", with_tables("SELECT hrs, min_bike, max_bike FROM ext", BIKE_AVG_SQL))
 def q_agg_min_max(spark: SparkSession, sf: str) -> DataFrame:
     avgs = bikes.hourly_station_average(bike_readings(spark, sf))
-    return avgs.groupBy("hrs").agg(F.min("bikes").alias("min_bike"), F.max("bikes").alias("max_bike"))
+    return avgs.groupBy("hrs").agg(F.min("bikes").alias("min_bike"),
+                                   F.max("bikes").alias("max_bike"))
 
 
 @register("agg_approx_distinct", with_tables(

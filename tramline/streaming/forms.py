@@ -135,7 +135,8 @@ def busiest_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",
                 .groupBy(F.window(ts, width).alias("window"),
                          F.col("closerStopID").alias("stationID"))
                 .agg(F.array_sort(F.collect_set("vehicleID")).alias("vehicle_ids")))
-    stop = F.struct(F.size("vehicle_ids").cast("long").alias("numVehicles"), "stationID", "vehicle_ids")
+    stop = F.struct(F.size("vehicle_ids").cast("long").alias("numVehicles"), "stationID",
+                    "vehicle_ids")
     per_window = (per_stop
                   .groupBy(F.window(F.window_time("window"), width).alias("window"))
                   .agg(F.collect_list(stop).alias("stops")))
