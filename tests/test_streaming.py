@@ -215,3 +215,20 @@ def test_arrival_time_windows(spark, tmp_dir):
     table, _ = run(flatten_window(out), mode="complete")
     got = sorted((r.hour, r.numMeasurements) for r in table.collect())
     assert got == [("07", 1), ("08", 1), ("09", 1)]
+
+
+def test_state_partitions_follow_cores_and_session_is_restored(spark, tmp_dir):
+    import glob
+    import json
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    write_files(src, [[line("2024-01-08 07:00:00"), line("2024-01-08 07:00:12")]])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        counts(spark, src, width="10 seconds", sink=sink, checkpoint=ckpt)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    first = sorted(glob.glob(os.path.join(ckpt, "offsets", "0")))[0]
+    meta = json.loads(open(first).read().splitlines()[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == str(spark.sparkContext.defaultParallelism)
