@@ -10,10 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
+from tramline.plans import registry  # noqa: E402
 from oracle_check import compare, duck_connection  # noqa: E402
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,8 @@ def con():
     return duck_connection(SF_SMALL)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_is_registered_and_has_an_oracle():
+    assert set(QUERIES) <= set(entry.queries())
     assert set(QUERIES) == set(SQL)
 
 
