@@ -49,3 +49,13 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
 
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows of a few words each up to which a table counts as small.
+SMALL_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """``df`` (stored, of a few narrow columns) marked for broadcast if a count
+    shows that it is small; else as it is, for a join by shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
