@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from tramline.llm.common import held_out, python_ready, scratch_name, table
 
 BLOCK = 256
-#: Blocks parsed in lockstep (bounds the memory of a batch).
+#: Blocks parsed in lockstep (with ``BLOCK``, this bounds the memory of a batch
+#: of texts; a longer text is one batch).
 ROWS = 16_384
 
 SCHEMA = "lang_pred string, score double, rate double, rejected boolean"
@@ -143,22 +144,36 @@ def _parsers(samples: tuple[tuple[str, str], ...]):
 def rates(texts: list[str], samples: tuple[tuple[str, str], ...]) -> np.ndarray:
     """Phrases per byte, text by language; 0 bytes give rate 1."""
     symbol_of, width, parsers = _parsers(samples)
-    coded = [symbol_of[_classes(t)] for t in texts]
-    sizes = np.array([len(c) for c in coded], dtype=np.int64)
+    total = np.zeros((len(texts), len(parsers)))
+    sizes = np.zeros(len(texts), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        coded, held, stop = [], 0, start
+        while stop < len(texts) and (stop == start or held < ROWS * BLOCK):
+            coded.append(symbol_of[_classes(texts[stop])])
+            held += len(coded[-1])
+            stop += 1
+        sizes[start:stop] = [len(c) for c in coded]
+        total[start:stop] = _phrases(coded, sizes[start:stop], parsers, width)
+        start = stop
+    return np.where(sizes[:, None] > 0, total / np.maximum(sizes, 1)[:, None], 1.0)
+
+
+def _phrases(coded: list[np.ndarray], sizes: np.ndarray, parsers, width: int) -> np.ndarray:
     n_blocks = -(-sizes // BLOCK)
-    owner = np.repeat(np.arange(len(texts)), n_blocks)
+    owner = np.repeat(np.arange(len(coded)), n_blocks)
     flat = np.full(int(n_blocks.sum()) * BLOCK, width - 1, dtype=np.int32)
     at = 0
     for c, n in zip(coded, n_blocks):
         flat[at:at + len(c)] = c
         at += int(n) * BLOCK
     grid = flat.reshape(-1, BLOCK)
-    total = np.zeros((len(texts), len(parsers)))
+    total = np.zeros((len(coded), len(parsers)))
     for a in range(0, len(grid), ROWS):
         part = np.ascontiguousarray(grid[a:a + ROWS].T)
         for k, (_, parser) in enumerate(parsers):
-            total[:, k] += np.bincount(owner[a:a + ROWS], parser.phrases(part), len(texts))
-    return np.where(sizes[:, None] > 0, total / np.maximum(sizes, 1)[:, None], 1.0)
+            total[:, k] += np.bincount(owner[a:a + ROWS], parser.phrases(part), len(coded))
+    return total
 
 
 def fit(docs: DataFrame, chars: int = 60_000, docs_per_lang: int = 400) -> Model:
