@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import scratch_name, stored, table
+from tramline.llm.common import broadcast_if_small, scratch_name, stored, table
 
 
 @dataclass(frozen=True)
@@ -41,31 +41,30 @@ class Settings:
     broadcast_hashes: int = 1_000_000
 
 
-def _segment(i: int, length: Column, s: Settings) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment i (from 1) of a line of a length;
-    the last segments take the characters left over."""
-    parts = s.edits + 1
-    base, longer = F.floor(length / parts).cast("int"), length % parts
-    first_longer = F.lit(parts) - longer  # segments after this many are longer
-    start = F.lit(1) + base * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1) - first_longer)
-    return start.cast("int"), base + F.when(F.lit(i) > first_longer, 1).otherwise(0)
-
-
-def segment_hashes(line: Column, s: Settings) -> Column:
-    """Array of (hash, own): a line's own segments, which also probe lines of
-    its length, and the other substrings it probes with."""
-    length, rows, t = F.char_length(line), [], s.edits
-    for shorter in range(t + 1):
-        of = length - shorter
-        for i in range(1, t + 2):
-            start, size = _segment(i, of, s)
-            low = max(-(i - 1), shorter - (t + 1 - i))
-            high = min(i - 1, shorter + (t + 1 - i))
+def with_segment_hashes(lines: DataFrame, s: Settings) -> DataFrame:
+    """``lines`` with ``segs``, hashes of a line's own segments, which also
+    probe lines of its length, and of the other substrings it probes with. The
+    lowest bit of a hash tells own ones."""
+    parts, rows = s.edits + 1, []
+    # Lengths are columns of their own, so that no expression repeats them.
+    lines = lines.withColumn("chars", F.char_length("line"))
+    lines = lines.select("*", *[F.expr(f"INT((chars - {k}) div {parts})").alias(f"base{k}")
+                                for k in range(parts)])
+    lines = lines.select("*", *[F.expr(f"{parts} - (chars - {k} - {parts} * base{k})")
+                                .alias(f"even{k}") for k in range(parts)])
+    for shorter in range(parts):
+        base, even = f"base{shorter}", f"even{shorter}"
+        for i in range(1, parts + 1):
+            # Segments after the first ``even`` ones take a character more.
+            start = f"1 + {i - 1} * {base} + GREATEST(0, {i - 1} - {even})"
+            size = f"{base} + INT({i} > {even})"
+            low = max(-(i - 1), shorter - (parts - i))
+            high = min(i - 1, shorter + (parts - i))
             for shift in range(low, high + 1):
-                piece = line.substr(start + shift, size)
-                rows.append(F.struct(F.xxhash64(F.lit(i), of, piece).alias("key"),
-                                     F.lit(shorter == 0 and shift == 0).alias("own")))
-    return F.array(*rows)
+                own = int(shorter == 0 and shift == 0)
+                rows.append(f"(XXHASH64({i}, chars - {shorter}, SUBSTRING(line, {start} + {shift},"
+                            f" {size})) & -2L) | {own}L")
+    return lines.withColumn("segs", F.expr(f"ARRAY({', '.join(rows)})"))
 
 
 def parity(line: Column) -> Column:
@@ -108,8 +107,10 @@ def edit_distance(p: str, t: str, k: int) -> str:
 def lines_of(docs: DataFrame, s: Settings) -> DataFrame:
     """One row per line that may go: where it is, its hashes, and itself."""
     split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                        F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    return (split.where(F.char_length(F.trim("line")) >= s.least_chars)
+                        F.split("text", "\n").alias("lines"))
+    # Outer, as a plain explode would split every text once more for a filter.
+    lines = split.select("doc_id", "text_hash", F.posexplode_outer("lines").alias("n", "line"))
+    return (lines.where(F.char_length(F.trim("line")) >= s.least_chars)
             .select(F.struct("doc_id", "text_hash", "n").alias("at"),
                     F.xxhash64("line").alias("h1"),
                     F.xxhash64(F.lit(7), "line").alias("h2"), "line"))
@@ -118,11 +119,14 @@ def lines_of(docs: DataFrame, s: Settings) -> DataFrame:
 def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Hashes of the lines that have a different, near line before them."""
     spark = lines.sparkSession
-    keyed = lines.withColumn("seg", F.explode(segment_hashes(F.col("line"), s))).select(
-        F.col("seg.key").alias("key"), F.col("seg.own").alias("own"), "at", "h1", "h2", "line")
+    # An outer explode: a plain one would first compute the array as a filter.
+    keyed = with_segment_hashes(lines, s).select(
+        "at", "h1", "h2", "line", F.explode_outer("segs").alias("seg")).select(
+        F.col("seg").bitwiseAND(F.lit(-2)).alias("key"),
+        F.col("seg").bitwiseAND(F.lit(1)).alias("own"), "at", "h1", "h2", "line")
     shared = stored(keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("z"),
                                              F.max("own").alias("own"))
-                    .where("a <> z AND own").select("key"), "line-hashes")
+                    .where("a <> z AND own = 1").select("key"), "line-hashes")
     if shared.count() <= s.broadcast_hashes:
         shared = F.broadcast(shared)
     found = (keyed.join(shared, "key", "left_semi")
@@ -134,7 +138,7 @@ def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     near = spark.sql(f"""
         SELECT DISTINCT h1, h2 FROM (
         SELECT b.h1, b.h2 FROM {view} b LEFT SEMI JOIN {view} a
-        ON a.seg.key = b.seg.key AND (a.seg.own OR b.seg.own) AND a.at < b.at
+        ON a.seg.key = b.seg.key AND a.seg.own + b.seg.own > 0 AND a.at < b.at
            AND ABS(CHAR_LENGTH(a.line) - CHAR_LENGTH(b.line)) <= {s.edits}
            AND BIT_COUNT(a.bits ^ b.bits) <= {2 * s.edits}
            AND {edit_distance('a.line', 'b.line', s.edits)} <= {s.edits})""")
@@ -148,12 +152,14 @@ def dropped_lines(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     near = near_lines(lines, s).withColumn("near", F.lit(True))
     places = lines.drop("line")
     first = places.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n"))
-    # Only lines seen twice and near lines matter from here on.
-    marked = (first.join(near, ["h1", "h2"], "left").where("n > 1 OR near")
-              .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")))
+    # Only lines seen twice and near lines matter from here on. They are stored,
+    # so that the join below stands alone and its hot lines can be split.
+    marked = stored(first.join(near, ["h1", "h2"], "left").where("n > 1 OR near")
+                    .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")),
+                    "line-marked")
     exact = F.col("at") != F.col("first")
     # Sets, so that a row that occurs twice counts once.
-    return (places.join(marked, ["h1", "h2"]).where("near OR at <> first")
+    return (places.join(broadcast_if_small(marked), ["h1", "h2"]).where("near OR at <> first")
             .groupBy("at.doc_id", "at.text_hash")
             .agg(F.collect_set("at.n").alias("gone"),
                  F.size(F.collect_set(F.when(exact, F.col("at.n")))).alias("n_exact")))
