@@ -46,8 +46,9 @@ DATE = "1970-01-01T00:00:00Z"
 
 MANIFEST = "path string, n_records long"
 RANGES = "path string, first long, last long, places binary"
-RECORDS = ("record_id string, record_type string, target_uri string, page_id long, "
-           "refers_to long, payload_bytes long, payload_digest string, payload binary")
+#: Ids pass through pandas as text: long columns with nulls would turn to floats.
+RECORDS = ("record_id string, record_type string, target_uri string, page_id string, "
+           "refers_to string, payload_bytes long, payload_digest string, payload binary")
 
 
 # ---------------------------------------------------------------- writing
@@ -81,10 +82,6 @@ def warc_record(page_id, url: str | None, html: str | None, refers_to) -> bytes:
     return packer.compress(raw) + packer.flush()
 
 
-def _whole(x):
-    return None if x is None or pd.isna(x) else int(x)
-
-
 def _open_out(uri: str):
     from pyarrow import fs
     system, path = fs.FileSystem.from_uri(uri)
@@ -136,7 +133,6 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             for batch in batches:
                 for page, url, html, to in zip(*(batch[c] for c in
                                                  ("page_id", "url", "html", "refers_to"))):
-                    page, to = _whole(page), _whole(to)
                     yield _page_urn(page), warc_record(page, url, html, to)
         source = records()
         while True:
@@ -145,7 +141,9 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 return
             yield pd.DataFrame({"path": [uri], "n_records": [n]})
 
-    return stored(archive_rows(pages).mapInPandas(run, MANIFEST), "warc-manifest")
+    rows = archive_rows(pages).withColumns(
+        {c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    return stored(rows.mapInPandas(run, MANIFEST), "warc-manifest")
 
 
 # ---------------------------------------------------------------- reading
@@ -177,9 +175,11 @@ def directory(reader) -> dict[str, tuple[int, int, int]]:
     from the central directory (ZIP64 or not)."""
     tail_at = max(0, reader.size - 22 - 65535 - 20)
     tail = reader.read(tail_at, reader.size - tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    # A record of 22 bytes and its comment end the file; the comment itself may
+    # hold the signature.
+    end = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
-        end = tail.rfind(b"PK\x05\x06", 0, end)  # a signature inside the comment
+        end = tail.rfind(b"PK\x05\x06", 0, end + 3)
     if end < 0:
         raise ValueError("no end-of-central-directory record")
     n, size, at = struct.unpack_from("<HII", tail, end + 10)
@@ -252,9 +252,8 @@ def _head(raw: bytes) -> tuple[dict[str, str], bytes]:
     return {k.lower(): v.strip() for k, _, v in fields}, rest
 
 
-def _page_of(urn: str | None) -> int | None:
-    number = (urn or "").strip("<>").rpartition(":")[2]
-    return int(number) if number else None
+def _page_of(urn: str | None) -> str | None:
+    return (urn or "").strip("<>").rpartition(":")[2] or None
 
 
 def parse_record(member: bytes, with_payload: bool) -> tuple:
@@ -290,14 +289,12 @@ def read_archives(paths: DataFrame, with_payload: bool = True) -> DataFrame:
                     raw = reader.read(int(first), int(last - first))
                 rows = [parse_record(raw[a:a + n], with_payload)
                         for a, n in np.frombuffer(places, dtype="<i8").reshape(-1, 2).tolist()]
-                frame = pd.DataFrame(rows, columns=names)
-                for c in ("page_id", "refers_to"):
-                    frame[c] = frame[c].astype("Int64")
-                yield frame
+                yield pd.DataFrame(rows, columns=names)
 
     tasks = max(1, paths.sparkSession.sparkContext.defaultParallelism)
     return (paths.select("path").mapInPandas(locate, RANGES)
-            .repartition(4 * tasks).mapInPandas(read, RECORDS))
+            .repartition(4 * tasks).mapInPandas(read, RECORDS)
+            .withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")}))
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
