@@ -50,15 +50,17 @@ class Settings:
     cell: int = 64
     #: Starts in a block, for anchors with more classes than that.
     blocks: tuple[int, ...] = (64, 8, 1)
-    #: Bytes of texts that are hashed together.
-    batch_bytes: int = 2 << 20
+    #: Bytes of texts that are hashed together; a batch takes some 150 times as
+    #: much memory. A longer text is one batch.
+    batch_bytes: int = 512 << 10
 
     @property
     def window(self) -> int:
         return self.length - self.gram + 1
 
 
-RUN = "doc_id long, text_hash long, start int, starts int"
+#: Ids pass through pandas as text: long columns with nulls would turn to floats.
+RUN = "doc_id string, text_hash long, start int, starts int"
 ANCHORS = f"{RUN}, key long, class long, distance int, count long"
 BODIES = f"{RUN}, key long, class long, distance int, witness boolean, body binary"
 
@@ -144,7 +146,7 @@ def anchors(docs: DataFrame, s: Settings) -> DataFrame:
     count). Rows without key are runs already known to be repeated."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = batch["doc_id"].astype("Int64").to_numpy(dtype=object)
+            ids = batch["doc_id"].to_numpy(dtype=object)
             marks = batch["text_hash"].to_numpy()
             for at, parts in _batches(list(batch["text"]), s):
                 r = runs_of(parts, s)
@@ -167,11 +169,9 @@ def anchors(docs: DataFrame, s: Settings) -> DataFrame:
                         "doc_id": ids[at + bt], "text_hash": marks[at + bt], "start": bs,
                         "starts": bn, "key": nothing, "class": nothing, "distance": nothing,
                         "count": nothing})]
-                for f in frames:
-                    f["doc_id"] = f["doc_id"].astype("Int64")
-                    yield f
+                yield from frames
 
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return stored(docs.select(F.col("doc_id").cast("string").alias("doc_id"),
                               F.xxhash64("text").alias("text_hash"), "text")
                   .mapInPandas(run, ANCHORS), "repeat-anchors")
 
@@ -181,7 +181,8 @@ def bodies(docs: DataFrame, picked: DataFrame, s: Settings) -> DataFrame:
     lists = stored(picked.groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("start", "starts", "distance", "key", "class", "witness"))
         .alias("runs")), "repeat-picked")
-    rows = with_runs(docs, lists, "inner")
+    rows = with_runs(docs, lists, "inner").select(
+        F.col("id_text").alias("doc_id"), "text_hash", "text", "runs")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -193,26 +194,24 @@ def bodies(docs: DataFrame, picked: DataFrame, s: Settings) -> DataFrame:
                     a = r["start"]
                     out.append((doc, mark, a, r["starts"], r["key"], r["class"], r["distance"],
                                 r["witness"], raw[a:a + r["starts"] + s.length - 1]))
-            frame = pd.DataFrame(out, columns=_BODY_NAMES)
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=_BODY_NAMES)
 
     return stored(rows.mapInPandas(run, BODIES), "repeat-bodies")
 
 
 def with_runs(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """doc_id, text_hash and text of ``docs``, joined with the lists of runs of
-    documents (stored: doc_id, text_hash, runs); these are broadcast if a count
-    of documents and runs shows them small."""
+    """doc_id (as it was, and as text), text_hash and text of ``docs``, joined
+    with the lists of runs of documents (stored: doc_id, text_hash, runs); these
+    are broadcast if a count of documents and runs shows them small."""
     size = lists.agg(F.count("*").alias("n"), F.sum(F.size("runs")).alias("runs")).first()
     lists = lists.select(F.col("doc_id").alias("r_doc"), F.col("text_hash").alias("r_hash"), "runs")
     if size["n"] <= 200_000 and (size["runs"] or 0) <= 2_000_000:
         lists = F.broadcast(lists)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+    rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("id_text"), "text",
                        F.xxhash64("text").alias("text_hash"))
-    return rows.join(lists, F.col("doc_id").eqNullSafe(F.col("r_doc"))
+    return rows.join(lists, F.col("id_text").eqNullSafe(F.col("r_doc"))
                      & (F.col("text_hash") == F.col("r_hash")), how).select(
-                         "doc_id", "text_hash", "text", "runs")
+                         "doc_id", "id_text", "text_hash", "text", "runs")
 
 
 _BODY_NAMES = [c.split()[0] for c in BODIES.split(", ")]
@@ -319,11 +318,9 @@ def _cell(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
     owner = np.repeat(np.arange(len(starts)), starts)
     at = np.flatnonzero(hit & ~rows["witness"].to_numpy(dtype=bool)[owner])
     o, f, n = _merged(owner[at], at - begin[owner[at]], np.ones(len(at), dtype=np.int64))
-    out = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").to_numpy(dtype=object)[o],
-                        "text_hash": rows["text_hash"].to_numpy()[o],
-                        "start": rows["start"].to_numpy()[o] + f, "starts": n})
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out
+    return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(dtype=object)[o],
+                         "text_hash": rows["text_hash"].to_numpy()[o],
+                         "start": rows["start"].to_numpy()[o] + f, "starts": n})
 
 
 def cut(rows: DataFrame, block: int, s: Settings) -> DataFrame:
@@ -352,9 +349,7 @@ def cut(rows: DataFrame, block: int, s: Settings) -> DataFrame:
                     out.append((doc, mark, start + at, n, _digest(tag, core),
                                 _digest(f"{far} {n}".encode(), part), far, witness, part))
                     at += n
-            frame = pd.DataFrame(out, columns=_BODY_NAMES)
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=_BODY_NAMES)
 
     return rows.mapInPandas(run, BODIES)
 

@@ -12,8 +12,9 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
-#: Bytes of text that are hashed together (bounds the memory of a batch).
-BATCH_BYTES = 4 << 20
+#: Bytes of text that are hashed together; a batch takes some 80 times as much
+#: memory. A longer text is one batch.
+BATCH_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,15 +33,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = []
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        _POWERS[size] = _powers(_BASE, size), _powers(_INVERSE, size)
-    return _POWERS[size]
+    """Powers of the base and of its inverse, at least ``n`` of them."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _POWERS[:] = _powers(_BASE, size), _powers(_INVERSE, size)
+    return _POWERS[0], _POWERS[1]
 
 
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
