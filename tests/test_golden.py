@@ -54,7 +54,7 @@ def test_busiest_empty_input(spark):
 def test_extremes_with_owners_tie_product(spark, bound):
     df = spark.createDataFrame([(7, 1, 2.0), (7, 2, 2.0), (7, 3, 9.0), (8, 1, 4.0)],
                                "hour int, station int, avg double")
-    out = extremes_with_owners(df, "hour", "station", "avg", group_bound=bound)
+    out = extremes_with_owners(df, "hour", "station", "avg")
     got = sorted(tuple(r) for r in out.collect())
     assert got == [(7, 2.0, 9.0, 1, 3), (7, 2.0, 9.0, 2, 3), (8, 4.0, 4.0, 1, 1)]
 

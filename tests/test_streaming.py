@@ -6,12 +6,18 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tramline.operators import path_distance
-from tramline.sources.csv import bus_lines, read_bus_csv_stream, typed
+from pyspark.sql.utils import StreamingQueryException
+
+from tramline.operators import bucket_histogram, path_distance
+from tramline.sources.csv import bus_lines, bus_rows_stream, read_bus_csv_stream, typed
+from tramline.sources.staging import FEED_FILES, write_feed
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
-from tramline.streaming.runner import flatten_window, latest_rows, rows_dropped_by_watermark, run
-from tramline.streaming.state import path_distance_state
+from tramline.streaming.runner import (
+    await_end, epochs, flatten_window, latest_rows, rows_dropped_by_watermark, run, run_carried,
+    run_latest, run_per_batch, start,
+)
+from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
 from conftest import SF_SMALL
 
 
@@ -87,7 +93,7 @@ def _stage_in_time_order(spark, folder, k):
     return rows
 
 
-@pytest.mark.parametrize("k", [1, 3, 7])
+@pytest.mark.parametrize("k", [1, 4])
 def test_congestion_stream_equals_batch(spark, tmp_dir, k):
     src = os.path.join(tmp_dir, "src")
     rows = _stage_in_time_order(spark, src, k)
@@ -119,34 +125,89 @@ def test_path_state_equals_batch(spark, tmp_dir, k):
     assert got == want
 
 
-FORMS = {   # form, and the rows its aggregate sees (they set the watermark)
-    "change_points": (lambda df: forms.change_points_windowed(df, width="1 day"),
-                      lambda: F.col("atStop") != 0),
-    "busiest": (lambda df: forms.busiest_windowed(df, width="6 hours"),
-                lambda: F.col("atStop") == 1),
+def _feed(spark, folder, parts):
+    """Telemetry (sf0.001) staged as the registered streams stage it."""
+    rows = telemetry(spark, SF_SMALL).drop("day")
+    write_feed(rows, folder, parts=parts)
+    stream, _ = bus_rows_stream(spark, folder, max_files_per_trigger=FEED_FILES)
+    return rows, stream
+
+
+def _rows(df, columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=str)
+
+
+FORMS = {   # form, and the keys of its rows
+    "counts": (lambda df: forms.windowed_counts(df, width="2 hours", slide="1 hour",
+                                                delay="1 hour"), []),
+    "congestion": (lambda df: forms.congestion_windows(df, width="1 day", delay="1 hour"),
+                   ["hour"]),
     "vehicles_per_stop": (lambda df: forms.vehicles_per_stop_windows(
-        df, start="2024-01-02 00:00:00", horizon=5 * 86400, width="6 hours"),
-        lambda: (F.col("atStop") == 1) & F.col("date").between(
-            F.lit("2024-01-02 00:00:00").cast("timestamp"),
-            F.lit("2024-01-07 00:00:00").cast("timestamp"))),
+        df, start="2024-01-02 00:00:00", horizon=5 * 86400, width="6 hours", delay="1 hour"),
+        ["stationID"]),
 }
 
 
-@pytest.mark.parametrize("k", [1, 3, 7])
+@pytest.mark.parametrize("k", [1, 4])
 @pytest.mark.parametrize("form", sorted(FORMS))
-def test_windowed_forms_stream_equals_batch(spark, tmp_dir, form, k):
-    build, picked = FORMS[form]
-    src = os.path.join(tmp_dir, "src")
-    rows = _stage_in_time_order(spark, src, k).drop("reading_id", "day")
-    stream = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
-    table, _ = run(flatten_window(build(stream)))
-    closed_at = rows.where(picked()).agg(F.max("date")).first()[0]
-    batch = flatten_window(build(rows)).where(
-        F.col("window_end") <= F.lit(closed_at).cast("timestamp_ntz"))
-    cols = table.columns
+def test_every_window_whatever_the_triggers(spark, tmp_dir, form, k):
+    build, keys = FORMS[form]
+    rows, stream = _feed(spark, os.path.join(tmp_dir, "src"), k)
+    table, query = run_latest(flatten_window(build(stream)),
+                              ["window_start", "window_end", *keys])
+    assert query.lastProgress.batchId >= k - 1
+    assert rows_dropped_by_watermark(query) == 0
+    batch = flatten_window(build(rows))
     assert table.count() > 0
-    assert sorted(map(tuple, table.collect())) == \
-        sorted(map(tuple, batch.select(*cols).collect()))
+    assert _rows(table, table.columns) == _rows(batch, table.columns)
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_busiest_whatever_the_triggers(spark, tmp_dir, k):
+    rows, stream = _feed(spark, os.path.join(tmp_dir, "src"), k)
+    table, _ = run(flatten_window(forms.vehicles_at_stops_windows(stream, width="6 hours")),
+                   mode="update")
+    got = forms.busiest_of_windows(table.drop("epoch_id").distinct())
+    pairs = flatten_window(forms.vehicles_at_stops_windows(rows, width="6 hours"))
+    assert _rows(got, got.columns) == _rows(forms.busiest_of_windows(pairs), got.columns)
+
+
+@pytest.mark.parametrize("slide", [None, "6 hours"])
+@pytest.mark.parametrize("k", [1, 4])
+def test_change_points_whatever_the_triggers(spark, tmp_dir, k, slide):
+    rows, stream = _feed(spark, os.path.join(tmp_dir, "src"), k)
+    step = forms.change_points_step(width="1 day", slide=slide)
+    sink = run_carried(stream, step, label="changes")
+    want = step(rows, None)["changes"]
+    got = spark.read.parquet(f"{sink}/changes")
+    assert got.count() > 100
+    assert _rows(got, want.columns) == _rows(want, want.columns)
+    assert spark.read.parquet(f"{sink}/late").agg(F.sum("late_rows")).first()[0] == 0
+
+
+def test_change_points_of_a_hot_series(spark):
+    """A third of all readings in one series: no task sorts all of them."""
+    rows = (spark.range(30_000).select(
+        F.timestamp_seconds(F.lit(1704672000) + F.col("id") * 2).alias("date"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).cast("int")
+        .alias("vehicleID"), F.lit(1).alias("busLineID"), F.lit(1).alias("atStop"),
+        (F.col("id") % 7).cast("int").alias("closerStopID"), F.lit(0).alias("delay")))
+    changes = forms.change_points_step(width="1 day")(rows, None)["changes"]
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "__slice" in plan and "collect_list" not in plan
+    assert changes.where("vehicleID = 1").count() > 9_000
+
+
+def test_late_readings_of_change_points(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[line("2024-01-08 07:00:00", stop=1), line("2024-01-08 07:30:00", stop=2)],
+                      [line("2024-01-08 07:10:00", stop=5), line("2024-01-08 07:40:00", stop=2)],
+                      [line("2024-01-09 07:00:00", stop=2)], [line("2024-01-08 08:00:00", stop=9)]])
+    stream, _ = bus_rows_stream(spark, src, max_files_per_trigger=1)
+    sink = run_carried(stream, forms.change_points_step(width="1 day"), label="late")
+    got = spark.read.parquet(f"{sink}/changes")
+    assert sorted(r.closerStopID for r in got.collect()) == [1, 2, 2]
+    assert spark.read.parquet(f"{sink}/late").agg(F.sum("late_rows")).first()[0] == 2
 
 
 def test_path_state_counts_late_readings(spark, tmp_dir):
@@ -177,7 +238,7 @@ def test_live_trigger_and_per_batch(spark, tmp_dir):
     finally:
         query.stop()
     got = sorted((r.window_start.strftime("%H:%M:%S"), r.n)
-                 for r in read_sink(spark, sink, agg.schema).collect())
+                 for r in read_sink(spark, sink, agg.schema, mode="complete").collect())
     assert got == [("07:00:00", 2), ("07:00:10", 1)]
 
     per_file = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
@@ -185,22 +246,125 @@ def test_live_trigger_and_per_batch(spark, tmp_dir):
     assert sorted((r.batch_id, r["count"]) for r in out.collect()) == [(0, 2), (1, 1)]
 
 
-def test_histogram_per_batch_equals_batch(spark, tmp_dir):
-    from tramline.operators import bucket_histogram
-    from tramline.streaming.state import histogram_per_batch, latest_histogram
-    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
-    rows = _stage_in_time_order(spark, src, 3)
-    stream = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
-    query = histogram_per_batch(path_distance_state(stream, max_speed=28.0), size=50,
-                                sink=sink, checkpoint=ckpt)
-    query.awaitTermination()
-    got = sorted(map(tuple, latest_histogram(spark, sink).collect()))
+@pytest.mark.parametrize("k", [1, 4])
+def test_histogram_per_batch_equals_batch(spark, tmp_dir, k):
+    sink, ckpt = (os.path.join(tmp_dir, p) for p in ("sink", "ckpt"))
+    rows, stream = _feed(spark, os.path.join(tmp_dir, "src"), k)
+    await_end(histogram_per_batch(stream, max_speed=28.0, size=50, sink=sink, checkpoint=ckpt))
     ordered = rows.withColumn("tb", F.struct("latitude", "longitude"))
     km = path_distance(ordered, "vehicleID", "date", "tb", "latitude", "longitude", max_speed=28.0)
-    want = sorted(map(tuple, bucket_histogram(km, "km", 50, count="numVehicles").collect()))
-    assert got == want
-    # one histogram per trigger
-    assert spark.read.parquet(f"{sink}/histogram").select("epoch_id").distinct().count() == 3
+    want = bucket_histogram(km, "km", 50, count="numVehicles")
+    got = latest_histogram(spark, sink)
+    assert _rows(got, want.columns) == _rows(want, want.columns)
+    last = max(epochs(spark, f"{sink}/histogram"))
+    totals = {r.vehicleID: r for r in spark.read.parquet(f"{sink}/carry/epoch_id={last}").collect()}
+    assert {v: round(r.metres / 1000, 6) for v, r in totals.items()} == \
+        {r.vehicleID: round(r.km, 6) for r in km.collect()}
+    assert all(r.late_rows == 0 for r in totals.values())
+    # a histogram for each trigger; old totals are removed
+    assert len(epochs(spark, f"{sink}/histogram")) == k
+    assert len(epochs(spark, f"{sink}/carry")) <= 2
+
+
+def test_totals_restart_and_wrong_sink(spark, tmp_dir):
+    """A restart goes on with the totals; with another sink it fails loudly."""
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+
+    def go(to):
+        stream, _ = bus_rows_stream(spark, src, max_files_per_trigger=1)
+        await_end(histogram_per_batch(stream, max_speed=28.0, size=1, sink=to, checkpoint=ckpt))
+
+    write_files(src, [[line("2024-01-08 07:00:00", vehicle=1)],
+                      [line("2024-01-08 07:00:30", vehicle=2)]])
+    go(sink)
+    write_files(src, [[line("2024-01-08 07:00:40", vehicle=2),
+                       line("2024-01-08 06:00:00", vehicle=1)]], start=5)
+    go(sink)
+    assert [r.numVehicles for r in latest_histogram(spark, sink).collect()] == [2]
+    carry = spark.read.parquet(f"{sink}/carry/epoch_id=2")
+    assert {r.vehicleID: r.late_rows for r in carry.collect()} == {1: 1, 2: 0}
+    write_files(src, [[line("2024-01-08 07:00:50", vehicle=2)]], start=9)
+    with pytest.raises(StreamingQueryException, match="not the sink"):
+        go(os.path.join(tmp_dir, "other"))
+
+
+def test_null_keys_and_places_do_not_stop_the_path_stream(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[line("2024-01-08 07:00:00"), line("2024-01-08 07:00:05").replace(",1,1,1", ",x,1,1"),
+                       line("2024-01-08 07:00:10").replace("53.35", ""), line("2024-01-08 07:01:40")]])
+    raw = typed(read_bus_csv_stream(spark, src))
+    table, _ = run(path_distance_state(raw, max_speed=28.0), mode="update")
+    assert [r.vehicleID for r in latest_rows(table, ["vehicleID"]).collect()] == [1]
+    sink = os.path.join(tmp_dir, "sink")
+    await_end(histogram_per_batch(raw, max_speed=28.0, size=1, sink=sink,
+                                  checkpoint=os.path.join(tmp_dir, "ckpt")))
+    assert [r.numVehicles for r in latest_histogram(spark, sink).collect()] == [1]
+
+
+def test_complete_mode_keeps_whole_epochs(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    write_files(src, [[line("2024-01-08 07:00:00")], [line("2024-01-08 07:00:05", vehicle=2)],
+                      [line("2024-01-08 07:00:06", vehicle=2)]])
+    stream = typed(read_bus_csv_stream(spark, src, max_files_per_trigger=1))
+    out = forms.running_totals(stream, key="vehicleID", value="closerStopID")
+    table, _ = run(out, mode="complete", sink=sink, checkpoint=ckpt)
+    assert sorted(map(tuple, table.collect())) == [(1, 1), (2, 2)]
+    assert len(epochs(spark, sink)) == 2
+
+
+def test_per_batch_of_an_empty_source(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    stream = typed(read_bus_csv_stream(spark, src))
+    out = run_per_batch(stream, lambda b: b.groupBy("vehicleID").count())
+    assert out.columns == ["vehicleID", "count", "batch_id"] and out.count() == 0
+
+
+def test_drops_are_counted_over_many_epochs(spark, tmp_dir):
+    """More epochs than a query keeps progress entries."""
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[line("2024-01-08 07:00:00")], *[
+        [line(f"2024-01-08 {8 + i // 30:02d}:{2 * (i % 30):02d}:00"), line("2024-01-08 06:00:00")]
+        for i in range(14)]])
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    try:
+        _, query = counts(spark, src, width="10 seconds", per_trigger=1)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert len(query.recentProgress) <= 4 and rows_dropped_by_watermark(query) >= 12
+
+
+ARRIVAL_FORMS = {
+    "counts": lambda df: forms.windowed_counts(df, width="1 hour", window_ts="arrival"),
+    "arrivals": lambda df: forms.arrivals_sliding(df, vehicle=1, day="2024-01-08", width="2 hours",
+                                                  slide="1 hour", window_ts="arrival"),
+    "vehicles_at_stops": lambda df: forms.vehicles_at_stops_windows(df, width="1 hour",
+                                                                    window_ts="arrival"),
+    "vehicles_per_stop": lambda df: forms.vehicles_per_stop_windows(
+        df, start="2024-01-08 00:00:00", horizon=86400, width="1 hour", window_ts="arrival"),
+}
+
+
+@pytest.mark.parametrize("form", sorted(ARRIVAL_FORMS))
+def test_forms_on_arrival_time(spark, tmp_dir, form):
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[line("2024-01-08 07:10:00"), line("2024-01-08 12:00:00")]])
+    stream, _ = bus_rows_stream(spark, src)
+    out = flatten_window(ARRIVAL_FORMS[form](stream.withColumn("arrival", F.current_timestamp())))
+    table, _ = run(out, mode="update")
+    assert table.count() > 0
+    assert table.where("window_start < timestamp_ntz'2025-01-01 00:00:00'").isEmpty()
+
+
+def test_change_points_on_arrival_time(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[line("2024-01-08 07:10:00"), line("2024-01-08 12:00:00", stop=2)]])
+    stream, _ = bus_rows_stream(spark, src)
+    sink = run_carried(stream.withColumn("arrival", F.current_timestamp()),
+                       forms.change_points_step(width="1 day", window_ts="arrival"), label="arr")
+    got = spark.read.parquet(f"{sink}/changes")
+    assert got.count() == 2 and got.where("window_start < timestamp'2025-01-01'").isEmpty()
 
 
 def test_arrival_time_windows(spark, tmp_dir):
@@ -217,18 +381,19 @@ def test_arrival_time_windows(spark, tmp_dir):
     assert got == [("07", 1), ("08", 1), ("09", 1)]
 
 
-def test_state_partitions_follow_cores_and_session_is_restored(spark, tmp_dir):
+@pytest.mark.parametrize("given", [None, 3])
+def test_state_partitions(spark, tmp_dir, given):
+    """The session's shuffle width, or the width given; the session's is kept."""
     import glob
     import json
     src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
     write_files(src, [[line("2024-01-08 07:00:00"), line("2024-01-08 07:00:12")]])
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "50")
-    try:
-        counts(spark, src, width="10 seconds", sink=sink, checkpoint=ckpt)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    stream = typed(read_bus_csv_stream(spark, src))
+    agg = flatten_window(forms.windowed_counts(stream, width="10 seconds"))
+    await_end(start(agg, sink=sink, checkpoint=ckpt, state_partitions=given))
+    assert spark.conf.get(key) == before
     first = sorted(glob.glob(os.path.join(ckpt, "offsets", "0")))[0]
     meta = json.loads(open(first).read().splitlines()[1])
-    assert meta["conf"]["spark.sql.shuffle.partitions"] == str(spark.sparkContext.defaultParallelism)
+    assert meta["conf"][key] == str(given or before)

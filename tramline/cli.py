@@ -17,90 +17,123 @@ restarts must resume) or, without it, are shown on the console.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.predicates import on_day, within_horizon
 from tramline.plans import bikes, transit
 from tramline.session import build_session, fresh_dir
-from tramline.sources.csv import read_bike_csv, read_bus_csv, read_bus_csv_stream, typed
+from tramline.sources.csv import bike_rows, bus_rows, bus_rows_stream
 from tramline.streaming import forms
-from tramline.streaming.runner import flatten_window, start
-from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
+from tramline.streaming.runner import await_end, carried, flatten_window, read_sink, start
+from tramline.streaming.state import histogram_per_batch, latest_histogram
+
+
+#: A running stream: how to start it on (sink, checkpoint, trigger), and its
+#: result table read from the sink.
+Stream = tuple[Callable, Callable[[SparkSession, str], DataFrame]]
 
 
 def _bus(spark: SparkSession, args) -> DataFrame:
+    """Good readings; rejected lines are counted and told (batch)."""
     if args.stream:
-        return typed(read_bus_csv_stream(spark, args.input,
-                                         max_files_per_trigger=args.max_files_per_trigger))
-    # Batch CSV has no reading id: ties in time are broken by file position.
-    rows = typed(read_bus_csv(spark, args.input))
-    return rows.withColumn("reading_id", F.monotonically_increasing_id())
+        good, _ = bus_rows_stream(spark, args.input,
+                                  max_files_per_trigger=args.max_files_per_trigger)
+        return good.withColumn("arrival", F.current_timestamp()) if args.arrival_time else good
+    good, bad = bus_rows(spark, args.input)
+    _tell_rejected(bad)
+    return good
+
+
+def _tell_rejected(bad: DataFrame) -> None:
+    for r in bad.groupBy("reason").count().collect():   # two reasons at most
+        print(f"rejected lines ({r['reason']}): {r['count']}", file=sys.stderr)
+
+
+def _window_ts(args) -> str | None:
+    return "arrival" if args.arrival_time else None
+
+
+def _plain(out: DataFrame, mode: str) -> Stream:
+    """A stream whose sink is its result (in update mode folded by its keys)."""
+    def begin(sink, checkpoint, trigger):
+        return start(out, mode=mode, sink=sink, checkpoint=checkpoint, processing_time=trigger)
+    begin.console = (out, mode)
+    return begin, lambda spark, sink: read_sink(spark, sink, out.schema, mode=mode)
 
 
 def _congestion(spark, args):
     box = {"north": args.north, "east": args.east, "south": args.south, "west": args.west}
     if args.stream:
-        return flatten_window(forms.congestion_windows(_bus(spark, args), width=args.width,
-                                                       box=box, hours=args.hours,
-                                                       delay=args.delay)), "append"
-    return transit.congestion_by_hour(_bus(spark, args), box=box, hours=args.hours), None
+        return _plain(flatten_window(forms.congestion_windows(
+            _bus(spark, args), width=args.width, box=box, hours=args.hours, delay=args.delay,
+            window_ts=_window_ts(args))), "append")
+    return transit.congestion_by_hour(_bus(spark, args), box=box, hours=args.hours)
 
 
 def _arrivals(spark, args):
     if args.stream:
-        out = forms.arrivals_windowed(_bus(spark, args), vehicle=args.vehicle, day=args.day,
-                                      delay_limit=args.delay_limit, width=args.width,
-                                      slide=args.slide, delay=args.delay)
-        return flatten_window(out), "append"
+        picked = _bus(spark, args).where((F.col("vehicleID") == args.vehicle)
+                                         & on_day("date", args.day))
+        step = forms.change_points_step(width=args.width, slide=args.slide,
+                                        partition=("busLineID",), window_ts=_window_ts(args))
+
+        def begin(sink, checkpoint, trigger):
+            return carried(picked, step, sink=sink, checkpoint=checkpoint, processing_time=trigger)
+        return begin, lambda spark, sink: forms.arrivals_of(
+            spark.read.parquet(f"{sink}/changes"), args.delay_limit)
     return transit.vehicle_arrivals(_bus(spark, args), vehicle=args.vehicle, day=args.day,
-                                    delay_limit=args.delay_limit), None
+                                    delay_limit=args.delay_limit)
 
 
 def _busiest(spark, args):
     if args.stream:
-        rows = _bus(spark, args).where(
-            F.col("date").between(F.lit(args.start).cast("timestamp"),
-                                  F.lit(args.start).cast("timestamp")
-                                  + F.make_dt_interval(secs=F.lit(args.horizon))))
-        return flatten_window(forms.busiest_windowed(rows, width=args.width,
-                                                     delay=args.delay)), "append"
-    return transit.busiest_stops(_bus(spark, args), start=args.start, horizon=args.horizon), None
+        rows = _bus(spark, args).where(within_horizon("date", args.start, args.horizon))
+        pairs = flatten_window(forms.vehicles_at_stops_windows(
+            rows, width=args.width, delay=args.delay, window_ts=_window_ts(args)))
+        begin, read = _plain(pairs, "update")
+        del begin.console
+        return begin, lambda spark, sink: forms.busiest_of_windows(read(spark, sink).distinct())
+    return transit.busiest_stops(_bus(spark, args), start=args.start, horizon=args.horizon)
 
 
 def _vehicles_per_stop(spark, args):
     if args.stream:
-        return flatten_window(forms.vehicles_per_stop_windows(
+        return _plain(flatten_window(forms.vehicles_per_stop_windows(
             _bus(spark, args), start=args.start, horizon=args.horizon, width=args.width,
-            delay=args.delay)), "append"
+            delay=args.delay, window_ts=_window_ts(args))), "append")
     return transit.vehicles_per_stop(_bus(spark, args), start=args.start, horizon=args.horizon,
-                                     exact=not args.approx), None
+                                     exact=not args.approx)
 
 
 def _stops_per_vehicle(spark, args):
     if args.stream:
-        return forms.distinct_stops_running(_bus(spark, args), day=args.day), "complete"
-    return transit.stops_per_vehicle(_bus(spark, args), day=args.day,
-                                     exact=not args.approx), None
+        return _plain(forms.distinct_stops_running(_bus(spark, args), day=args.day), "complete")
+    return transit.stops_per_vehicle(_bus(spark, args), day=args.day, exact=not args.approx)
 
 
 def _distance_histogram(spark, args):
     if args.stream:
-        day_rows = _bus(spark, args).where(
-            (F.col("date") >= F.lit(args.day).cast("timestamp"))
-            & (F.col("date") < F.lit(args.day).cast("timestamp") + F.expr("INTERVAL 1 DAY")))
-        return path_distance_state(day_rows, max_speed=args.max_speed), "histogram"
+        day_rows = _bus(spark, args).where(on_day("date", args.day))
+
+        def begin(sink, checkpoint, trigger):
+            return histogram_per_batch(day_rows, max_speed=args.max_speed, size=args.bucket,
+                                       sink=sink, checkpoint=checkpoint, processing_time=trigger)
+        return begin, latest_histogram
     return transit.distance_histogram(_bus(spark, args), day=args.day, max_speed=args.max_speed,
-                                      size=args.bucket), None
+                                      size=args.bucket)
 
 
 def _bike_extremes(spark, args):
     if args.stream:
         raise SystemExit("bike-extremes is a batch analysis")
-    return bikes.bike_extremes_by_hour(read_bike_csv(spark, args.input),
-                                       first_hour=args.first_hour,
-                                       last_hour=args.last_hour), None
+    good, bad = bike_rows(spark, args.input)
+    _tell_rejected(bad)
+    return bikes.bike_extremes_by_hour(good, first_hour=args.first_hour,
+                                       last_hour=args.last_hour)
 
 
 ANALYSES = {
@@ -126,6 +159,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--width", default="10 seconds", help="event-time window width (streams)")
     p.add_argument("--slide", default="5 seconds", help="window slide (sliding streams)")
     p.add_argument("--delay", default="0 seconds", help="watermark delay (streams)")
+    p.add_argument("--arrival-time", action="store_true",
+                   help="windows on the time of arrival, not the reading's own (streams)")
     # The defaults are the box and peak hours of the congestion analysis.
     p.add_argument("--north", type=float, default=transit.CITY_BOX["north"])
     p.add_argument("--east", type=float, default=transit.CITY_BOX["east"])
@@ -146,38 +181,44 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _show(table: DataFrame, rows: int) -> None:
+    """Print the first rows, and say how many there are."""
+    table = table.persist()
+    table.show(rows, truncate=False)
+    n = table.count()
+    if n > rows:
+        print(f"first {rows} of {n} rows; --output writes them all", file=sys.stderr)
+    table.unpersist()
+
+
 def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     """Run one analysis; returns the batch result, or the stream's sink path."""
     args = parser().parse_args(argv)
     spark = spark or build_session()
-    out, mode = ANALYSES[args.analysis](spark, args)
-    if mode is None:
+    out = ANALYSES[args.analysis](spark, args)
+    if isinstance(out, DataFrame):
         if args.output:
             out.write.mode("overwrite").parquet(args.output)
         else:
-            out.show(args.rows, truncate=False)
+            _show(out, args.rows)
         return out
+    begin, result = out
     checkpoint = args.checkpoint or fresh_dir(spark, f"cli-{args.analysis}-ckpt")
-    if mode == "histogram":
-        sink = args.output or fresh_dir(spark, "cli-histogram")
-        query = histogram_per_batch(out, size=args.bucket, sink=sink, checkpoint=checkpoint,
-                                    processing_time=args.trigger)
-        query.awaitTermination()
+    if args.output or not hasattr(begin, "console"):
+        # A sink belongs to its checkpoint, also where only the latter is named.
+        sink = args.output or f"{checkpoint.rstrip('/')}-sink"
+        await_end(begin(sink, checkpoint, args.trigger))
         if not args.output:
-            latest_histogram(spark, sink).orderBy("bucket").show(args.rows, truncate=False)
+            _show(result(spark, sink), args.rows)
         return sink
-    if args.output:
-        query = start(out, mode=mode, sink=args.output, checkpoint=checkpoint,
-                      processing_time=args.trigger)
-    else:
-        # Console: for watching a feed interactively (rows go through the driver).
-        writer = (out.writeStream.outputMode(mode).format("console")
-                  .option("numRows", args.rows).option("truncate", "false")
-                  .option("checkpointLocation", checkpoint))
-        trigger = {"processingTime": args.trigger} if args.trigger else {"availableNow": True}
-        query = writer.trigger(**trigger).start()
-    query.awaitTermination()
-    return args.output
+    # Console: for watching a feed interactively (rows go through the driver).
+    stream, mode = begin.console
+    writer = (stream.writeStream.outputMode(mode).format("console")
+              .option("numRows", args.rows).option("truncate", "false")
+              .option("checkpointLocation", checkpoint))
+    trigger = {"processingTime": args.trigger} if args.trigger else {"availableNow": True}
+    writer.trigger(**trigger).start().awaitTermination()
+    return None
 
 
 def main() -> None:

@@ -1,6 +1,6 @@
-from tramline.functions.geo import EARTH_RADIUS_M, haversine_m, seconds_between, speed_mps
+from tramline.functions.geo import EARTH_RADIUS_M, haversine_m, seconds_between
 from tramline.functions.predicates import (
-    contains, equals, hour_between, hour_in, in_box, is_weekday, not_equals, on_day,
+    contains, hour_between, hour_in, in_box, is_weekday, on_day,
     ts_literal, within_horizon,
 )
 from tramline.functions.scalars import (
@@ -8,8 +8,8 @@ from tramline.functions.scalars import (
 )
 
 __all__ = [
-    "EARTH_RADIUS_M", "haversine_m", "seconds_between", "speed_mps",
-    "contains", "equals", "hour_between", "hour_in", "in_box", "is_weekday", "not_equals",
+    "EARTH_RADIUS_M", "haversine_m", "seconds_between",
+    "contains", "hour_between", "hour_in", "in_box", "is_weekday",
     "on_day", "ts_literal", "within_horizon",
     "bucket_index", "bucket_label", "clock_text", "hour_text", "on_time_flag", "parse_time",
     "percent",

@@ -26,8 +26,3 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
 def seconds_between(earlier, later) -> Column:
     """Seconds from ``earlier`` to ``later`` with microsecond precision."""
     return (F.unix_micros(_c(later)) - F.unix_micros(_c(earlier))) / F.lit(1_000_000.0)
-
-
-def speed_mps(distance_m, seconds) -> Column:
-    """Metres per second; NULL when no time passed (no division error)."""
-    return F.try_divide(_c(distance_m), F.when(_c(seconds) > 0, _c(seconds)))

@@ -82,14 +82,6 @@ def within_horizon(ts: str | Column, start: str, seconds: int, *,
     return cond
 
 
-def equals(col: str | Column, value) -> Column:
-    return _c(col) == F.lit(value)
-
-
-def not_equals(col: str | Column, value) -> Column:
-    return _c(col) != F.lit(value)
-
-
 def contains(col: str | Column, text: str) -> Column:
     """Substring test, e.g. a day on a raw text line before parsing."""
     return _c(col).contains(text)

@@ -13,17 +13,12 @@ from pyspark.sql import functions as F
 
 from tramline.operators.grouped import distinct_pairs
 
-# Broadcast the per-group extremes only when the caller can bound the number
-# of groups (e.g. 24 hours of a day) below this many rows; otherwise the join
-# stays a shuffle join and AQE decides at run time from measured sizes.
-BROADCAST_GROUP_LIMIT = 100_000
-
-
 def extremes_with_owners(df: DataFrame, group: str, entity: str, measure: str, *,
-                         group_bound: int | None = None,
                          min_out: str = "min_value", max_out: str = "max_value",
                          min_owner: str = "min_owner", max_owner: str = "max_owner") -> DataFrame:
-    """Per group: min and max of ``measure`` and the entity having each.
+    """Per group: min and max of ``measure`` and the entity having each, every
+    holder of the one beside every holder of the other (``extreme_owners`` is
+    the same without that product).
 
     Ties are kept: a group with ``a`` min-owners and ``b`` max-owners yields
     ``a * b`` rows (every min-owner paired with every max-owner) — that
@@ -32,8 +27,6 @@ def extremes_with_owners(df: DataFrame, group: str, entity: str, measure: str, *
     so round the measure first when it is a computed double.
     """
     extremes = df.groupBy(group).agg(F.min(measure).alias(min_out), F.max(measure).alias(max_out))
-    if group_bound is not None and group_bound <= BROADCAST_GROUP_LIMIT:
-        extremes = F.broadcast(extremes)
     tagged = df.select(group, entity, measure).join(extremes, on=group)
     mins = (tagged.where(F.col(measure) == F.col(min_out))
             .select(group, min_out, max_out, F.col(entity).alias(min_owner)))
@@ -42,6 +35,19 @@ def extremes_with_owners(df: DataFrame, group: str, entity: str, measure: str, *
     return mins.join(maxs, on=group).select(group, min_out, max_out, min_owner, max_owner)
 
 
+def extreme_owners(df: DataFrame, group: str, entity: str, measure: str) -> DataFrame:
+    """Per group, the holders of its extremes in rows: (group, which, value,
+    owner), ``which`` being "min" or "max". Ties give a row each, so the output
+    never exceeds two rows per input row."""
+    extremes = df.groupBy(group).agg(F.min(measure).alias("__min"), F.max(measure).alias("__max"))
+    tagged = df.select(group, entity, measure).join(extremes, on=group)
+    which = F.filter(F.array(F.when(F.col(measure) == F.col("__min"), "min"),
+                             F.when(F.col(measure) == F.col("__max"), "max")),
+                     lambda x: x.isNotNull())
+    return tagged.select(group, F.explode(which).alias("which"), F.col(measure).alias("value"),
+                         F.col(entity).alias("owner")).distinct()
+
+
 def busiest_with_ties(df: DataFrame, group: str, member: str, *,
                       members_out: str = "members", count_out: str = "n_members",
                       as_text: bool = True) -> DataFrame:

@@ -26,6 +26,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,8 +62,12 @@ def _slice_last(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
     names = list(dict.fromkeys([ts, tiebreak, *cols]))
     if isinstance(df.schema[tiebreak].dataType, _INTEGRAL):
         dec = "decimal(38,0)"
-        order = (F.unix_micros(F.col(ts)).cast(dec) * F.lit(Decimal(10 ** 19)).cast(dec)
-                 + (F.col(tiebreak).cast(dec) + F.lit(Decimal(2 ** 63)).cast(dec)))
+        # A slice holds either times or NULL times only, so any number does for
+        # these; a NULL tie-breaker comes before all others.
+        order = (F.coalesce(F.unix_micros(F.col(ts)), F.lit(0)).cast(dec)
+                 * F.lit(Decimal(10 ** 19)).cast(dec)
+                 + F.coalesce(F.col(tiebreak).cast(dec) + F.lit(Decimal(2 ** 63)).cast(dec),
+                              F.lit(Decimal(-1)).cast(dec)))
         picked = df.withColumn("__order", order).groupBy(*keys, _SLICE).agg(
             *[F.max_by(c, "__order").alias(c) for c in names])
         return picked.select(*keys, _SLICE, F.struct(*names).alias(_LAST))
@@ -74,9 +80,9 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     """Add struct column ``prev`` = (ts, tiebreak, *cols) of the previous row.
 
     The series is ``keys``, ordered by (``ts``, ``tiebreak``); ``tiebreak``
-    must make the order total. Key columns must not be NULL (the typed scans
-    route such rows to the bad-record side). ``slice_seconds=None`` uses one
-    window per key, for series known to be small.
+    must make the order total. NULL keys are a key like any other, and rows with
+    a NULL time come first in their series, for every ``slice_seconds``;
+    ``slice_seconds=None`` uses one window per key, for series known to be small.
     """
     keys = list(keys)
     payload = _payload(ts, tiebreak, cols)
@@ -87,13 +93,15 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     sliced = df.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)))
     lasts = _slice_last(sliced, keys, ts, tiebreak, cols)
     w_slices = Window.partitionBy(*keys).orderBy(_SLICE)
-    carry = lasts.select(*keys, _SLICE, F.lag(_LAST).over(w_slices).alias(_CARRY))
-
-    joined = sliced.join(carry, on=[*keys, _SLICE], how="left")
+    # Joined null-safe: a NULL key or time is a series or slice of its own.
+    carry = lasts.select(*[F.col(c).alias(f"__c_{c}") for c in (*keys, _SLICE)],
+                         F.lag(_LAST).over(w_slices).alias(_CARRY))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in (*keys, _SLICE)))
+    joined = sliced.join(carry, on=same, how="left")
     w = Window.partitionBy(*keys, _SLICE).orderBy(ts, tiebreak)
     return (joined
             .withColumn(prev, F.coalesce(F.lag(payload).over(w), F.col(_CARRY)))
-            .drop(_CARRY, _SLICE))
+            .drop(_CARRY, _SLICE, *[f"__c_{c}" for c in (*keys, _SLICE)]))
 
 
 def change_points(df: DataFrame, partition: Sequence[str], ts: str, tiebreak: str,

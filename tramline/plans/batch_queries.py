@@ -16,7 +16,7 @@ from tramline.functions.predicates import (
     contains, hour_between, hour_in, in_box, is_weekday, on_day, within_horizon,
 )
 from tramline.functions.scalars import clock_text, hour_text, on_time_flag, parse_time
-from tramline.operators.extremes import busiest_with_ties, extremes_with_owners
+from tramline.operators.extremes import busiest_with_ties, extreme_owners, extremes_with_owners
 from tramline.operators.grouped import (
     bucket_histogram, distinct_count, distinct_members, share_by,
 )
@@ -24,7 +24,9 @@ from tramline.operators.ordered import with_previous
 from tramline.plans import bikes, transit
 from tramline.plans.oracle import haversine, texted, with_tables
 from tramline.plans.registry import register
+from tramline.sources.csv import read_lines, split_bus_lines
 from tramline.sources.schemas import TIME_FORMAT
+from tramline.sources.staging import staged_bus_csv
 from tramline.sources.tables import bike_readings, telemetry
 
 # Query parameters on the derived tables.
@@ -258,7 +260,21 @@ def q_extremes_with_owners(spark: SparkSession, sf: str) -> DataFrame:
     t = telemetry(spark, sf)
     avgs = (t.groupBy(F.hour("date").alias("hr"), "vehicleID")
             .agg(F.round(F.avg("delay"), 2).alias("avg_delay")))
-    return extremes_with_owners(avgs, "hr", "vehicleID", "avg_delay", group_bound=24)
+    return extremes_with_owners(avgs, "hr", "vehicleID", "avg_delay")
+
+
+@register("extreme_owners", with_tables("""
+SELECT DISTINCT e.hr, which, a.avg_delay AS value, a.vehicleID AS owner
+FROM (SELECT hr, 'min' AS which, min(avg_delay) AS v FROM avgs GROUP BY hr
+      UNION ALL SELECT hr, 'max', max(avg_delay) FROM avgs GROUP BY hr) e
+JOIN avgs a ON a.hr = e.hr AND a.avg_delay = e.v""", """
+avgs AS (SELECT CAST(hour(date) AS INTEGER) AS hr, vehicleID, round(avg(delay), 2) AS avg_delay
+         FROM telemetry GROUP BY 1, 2)"""))
+def q_extreme_owners(spark: SparkSession, sf: str) -> DataFrame:
+    t = telemetry(spark, sf)
+    avgs = (t.groupBy(F.hour("date").alias("hr"), "vehicleID")
+            .agg(F.round(F.avg("delay"), 2).alias("avg_delay")))
+    return extreme_owners(avgs, "hr", "vehicleID", "avg_delay")
 
 
 @register("on_time_flag", with_tables(f"""
@@ -348,14 +364,14 @@ def q_filter_horizon(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("filter_contains", with_tables(f"""
-SELECT reading_id FROM telemetry
-WHERE contains(strftime(date, '%Y-%m-%d %H:%M:%S') || ',' || CAST(busLineID AS VARCHAR)
-               || ',' || busLinePatternID, '{DAY}')"""))
+SELECT strftime(date, '%Y-%m-%d %H:%M:%S') AS date, vehicleID, closerStopID, delay
+FROM telemetry WHERE contains(strftime(date, '%Y-%m-%d %H:%M:%S'), '{DAY}')"""))
 def q_filter_contains(spark: SparkSession, sf: str) -> DataFrame:
-    t = telemetry(spark, sf)
-    line = F.concat_ws(",", F.date_format("date", TIME_FORMAT), F.col("busLineID").cast("string"),
-                       "busLinePatternID")
-    return t.where(contains(line, DAY)).select("reading_id")
+    # Raw lines that hold the day's text, tested before they are parsed.
+    lines = read_lines(spark, staged_bus_csv(spark, sf)).where(contains("value", DAY))
+    good, _ = split_bus_lines(lines)
+    return good.select(F.date_format("date", TIME_FORMAT).alias("date"), "vehicleID",
+                       "closerStopID", "delay")
 
 
 @register("filter_hidden_col", with_tables(
@@ -455,10 +471,11 @@ def q_agg_min_max(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT vehicleID, TRUE AS within_tolerance FROM telemetry GROUP BY 1"))
 def q_agg_approx_distinct(spark: SparkSession, sf: str) -> DataFrame:
     # Approximate values are never compared directly: each group reports
-    # whether HLL++ is within 15 % of the exact distinct count.
+    # whether HLL++ is within 15 % of the exact distinct count, which is cheap
+    # here (few stops; pairs fold before the shuffle).
     t = telemetry(spark, sf)
-    approx = distinct_count(t, "vehicleID", "reading_id", out="approx", exact=False)
-    exact = distinct_count(t, "vehicleID", "reading_id", out="exact", exact=True)
+    approx = distinct_count(t, "vehicleID", "closerStopID", out="approx", exact=False)
+    exact = distinct_count(t, "vehicleID", "closerStopID", out="exact", exact=True)
     both = approx.join(exact, "vehicleID")
     ok = F.abs(F.col("approx") - F.col("exact")) <= F.col("exact") * F.lit(0.15)
     return both.select("vehicleID", ok.alias("within_tolerance"))
@@ -582,12 +599,13 @@ SELECT DISTINCT vehicleID, strftime(date, '%H:%M:%S') AS arrival_time,
        CAST(busLineID AS VARCHAR) AS lineID, CAST(closerStopID AS VARCHAR) AS stationID
 FROM telemetry WHERE atStop <> 0 AND {DAY_SQL}"""))
 def q_explode_split(spark: SparkSession, sf: str) -> DataFrame:
-    # Collect "time,line,stop" texts per vehicle, explode them back to rows
-    # and split each into its three fields.
+    # Collect "time,line,stop" texts per vehicle and hour (so that a set stays
+    # small for a hot vehicle), explode them back to rows and split each.
     t = telemetry(spark, sf)
     t = t.where((F.col("atStop") != 0) & on_day("date", DAY, day_col=transit.day_col(t)))
     combined = F.concat_ws(",", clock_text("date"), "busLineID", "closerStopID")
-    sets = t.groupBy("vehicleID").agg(F.collect_set(combined).alias("items"))
+    sets = t.groupBy("vehicleID", F.hour("date").alias("hour")).agg(
+        F.collect_set(combined).alias("items"))
     rows = sets.select("vehicleID", F.explode("items").alias("item"))
     parts = F.split("item", ",")
     return rows.select("vehicleID", parts.getItem(0).alias("arrival_time"),

@@ -9,9 +9,6 @@ from tramline.functions.predicates import hour_between, is_weekday
 from tramline.operators.extremes import extremes_with_owners
 from tramline.sources.schemas import STATUS_OPEN
 
-HOURS_PER_DAY = 24
-
-
 def hourly_station_average(df: DataFrame, *, first_hour: int = 7, last_hour: int = 19,
                            ts: str = "time") -> DataFrame:
     """Average available bikes per (station, hour of day), rounded to 2 digits,
@@ -28,7 +25,7 @@ def bike_extremes_by_hour(df: DataFrame, *, first_hour: int = 7, last_hour: int
     """Per hour: lowest and highest station average and the station(s) having
     them (ties give every min-station with every max-station)."""
     avg = hourly_station_average(df, first_hour=first_hour, last_hour=last_hour, ts=ts)
-    ext = extremes_with_owners(avg, "hrs", "station_id", "bikes", group_bound=HOURS_PER_DAY,
+    ext = extremes_with_owners(avg, "hrs", "station_id", "bikes",
                                min_out="min_bike", max_out="max_bike",
                                min_owner="min_bike_station_id", max_owner="max_bike_station_id")
     return ext.select(F.col("hrs").alias("HOUR"), "min_bike", "max_bike",

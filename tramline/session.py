@@ -61,18 +61,29 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, staged files and stream sinks.
 
     Uses the session's checkpoint directory (``spark.checkpoint.dir`` or a
-    directory set with ``setCheckpointDir``). Only when none is configured,
-    as in local tests, a fresh local folder is set.
+    directory set with ``setCheckpointDir``). Where none is configured, a
+    fresh local folder is set if the master runs in this process, as in local
+    tests; on a cluster, whose machines do not share it, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tramline-ckpt-"))
+        if not configured:
+            require_local(sc.master)
+            configured = tempfile.mkdtemp(prefix="tramline-ckpt-")
+        sc.setCheckpointDir(configured)
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 
 
+def require_local(master: str) -> None:
+    """Raise unless the master runs in this process (local, local[8], ...)."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir is not set; on {master} it must name a folder "
+                           "that the driver and all executors share")
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique sub-folder of the shared folder (never reused)."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -49,6 +49,42 @@ def read_bike_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("time", parse_time("time"))
 
 
+def bus_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a folder of bus CSV files. Good rows have a
+    ``reading_id`` from file name and line, so that ties in time are broken
+    alike however the files are packed into tasks; rows equal in it are equal."""
+    lines = read_lines(spark, path).withColumn(
+        "reading_id", F.xxhash64(F.input_file_name(), "value"))
+    return split_bus_lines(lines, keep=("reading_id",))
+
+
+def bus_rows_stream(spark: SparkSession, path: str, *,
+                    max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a streamed folder of bus CSV files."""
+    return split_bus_lines(read_lines(spark, path, stream=True,
+                                      max_files_per_trigger=max_files_per_trigger))
+
+
+def bike_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a folder of bike-station CSV files: a good line has
+    eleven fields, a station, a time and a number of bikes that parse."""
+    fields = F.split(F.trim("value"), ",", -1)
+    names = [f.name for f in BIKE_SCHEMA.fields]
+    cols = []
+    for i, f in enumerate(BIKE_SCHEMA.fields):
+        raw = F.get(fields, i)
+        text = f.dataType.simpleString() == "string"
+        cols.append((parse_time(raw, TIME_FORMAT) if f.name == "time" else
+                     raw if text else raw.try_cast(f.dataType)).alias(f.name))
+    parsed = read_lines(spark, path).select("value", F.size(fields).alias("__n"), *cols)
+    reason = (F.when(F.col("__n") != len(names), F.lit(BAD_FIELD_COUNT))
+              .when(F.col("station_id").isNull() | F.col("time").isNull()
+                    | F.col("available_bikes").isNull(), F.lit(BAD_VALUE)))
+    marked = parsed.withColumn("reason", reason)
+    return (marked.where("reason IS NULL").select(*names),
+            marked.where("reason IS NOT NULL").select(F.col("value").alias("line"), "reason"))
+
+
 def bike_lines(readings: DataFrame) -> DataFrame:
     """Bike readings (station_id, time, available_bikes, status, and any of
     the other layout columns) as CSV text lines; absent columns are derived
@@ -92,8 +128,10 @@ def typed(df: DataFrame) -> DataFrame:
     return df.withColumn("date", parse_time("date"))
 
 
-def parse_bus_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Text lines -> typed bus columns plus ``status`` (good / reason)."""
+def parse_bus_lines(lines: DataFrame, value: str = "value",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text lines -> typed bus columns plus ``status`` (good / reason) and the
+    columns of ``lines`` named in ``keep``."""
     fields = F.split(F.trim(F.col(value)), ",", -1)
     cols: list[Column] = []
     for i, (name, dtype) in enumerate(BUS_COLUMNS):
@@ -104,7 +142,7 @@ def parse_bus_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             cols.append(raw.alias(name))
         else:
             cols.append(raw.try_cast(dtype).alias(name))
-    parsed = lines.select(F.size(fields).alias("__n"), F.col(value).alias("line"), *cols)
+    parsed = lines.select(F.size(fields).alias("__n"), F.col(value).alias("line"), *cols, *keep)
     names = [n for n, _ in BUS_COLUMNS if n != "busLinePatternID"]
     values_ok = F.lit(True)
     for n in names:
@@ -115,9 +153,10 @@ def parse_bus_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return parsed.withColumn("status", status).drop("__n")
 
 
-def split_bus_lines(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+def split_bus_lines(lines: DataFrame, value: str = "value",
+                    keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(good typed rows, bad raw lines with their reason)."""
-    parsed = parse_bus_lines(lines, value)
+    parsed = parse_bus_lines(lines, value, keep)
     good = parsed.where(F.col("status") == GOOD).drop("status", "line")
     bad = parsed.where(F.col("status") != GOOD).select("line", F.col("status").alias("reason"))
     return good, bad

@@ -17,13 +17,41 @@ from tramline.sources.tables import bike_readings, telemetry
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def write_lines(lines: DataFrame, path: str, *, files: int | None = None) -> str:
+def write_lines(lines: DataFrame, path: str) -> str:
     """Append text lines (column ``value``) under ``path``."""
-    out = lines.coalesce(files) if files else lines
-    out.write.mode("append").text(path)
+    lines.write.mode("append").text(path)
     return path
 
 
+#: Parts that a feed staged in time order arrives in, and files in each.
+FEED_PARTS = 4
+FEED_FILES = 2
+
+
+def write_feed(rows: DataFrame, path: str, *, parts: int = FEED_PARTS,
+               files: int = FEED_FILES) -> str:
+    """Write telemetry as a feed delivers it: ``parts`` consecutive stretches
+    of time, each as ``files`` CSV files, one stretch after the other. A stream
+    that takes ``files`` files per trigger sees one stretch in each."""
+    bounds = rows.agg(F.min(F.unix_micros("date")).alias("lo"),
+                      F.max(F.unix_micros("date")).alias("hi")).first()
+    if bounds.lo is None:
+        return write_lines(bus_lines(rows), path)
+    width = (bounds.hi - bounds.lo) // parts + 1
+    part = F.floor((F.unix_micros("date") - F.lit(bounds.lo)) / F.lit(width))
+    for i in range(parts):
+        write_lines(bus_lines(rows.where(part == i)).repartition(files), path)
+    return path
+
+
+def staged_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of bus CSV files in time order, for streams (cached)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "feed")
+    if key not in _STAGED:
+        _STAGED[key] = write_feed(telemetry(spark, sf_dir), fresh_dir(spark, "bus-feed"))
+    return _STAGED[key]
+
+
 def dirty_bus_lines(rows: DataFrame) -> DataFrame:
     """Telemetry as text lines with the defects a field feed shows:
     readings taken in congestion carry an eleventh diagnostics field, and a

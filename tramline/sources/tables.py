@@ -15,6 +15,8 @@ analyses prunes weekend partitions and the status test reaches the reader.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +74,29 @@ def bike_readings_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, int], str] = {}
+_STORING = threading.Lock()
+
+
+def stamp(spark: SparkSession, path: str) -> int:
+    """Latest change of the files at ``path``: a stored copy is made anew when
+    its table has changed."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listStatus(p)
+    return max([fs.getFileStatus(p).getModificationTime(),
+                *[f.getModificationTime() for f in files]])
+
+
+def _stored(spark: SparkSession, kind: str, sf_dir: str, write) -> DataFrame:
+    """The stored copy of a derived table, written on first use (by one thread)
+    and again when the events have changed."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#{kind}",
+           stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    with _STORING:
+        if key not in _STORED:
+            _STORED[key] = write(fresh_dir(spark, kind))
+    return _memo(spark, kind, _STORED[key], lambda: spark.read.parquet(_STORED[key]))
 
 
 def store_telemetry(rows: DataFrame, path: str) -> str:
@@ -94,15 +118,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry of ``sf_dir``: the stored, day-partitioned table (written on
     first use in this application)."""
     prepare(spark)
-
-    def load() -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in _STORED:
-            rows = telemetry_from_events(read_table(spark, sf_dir, "events"))
-            _STORED[key] = store_telemetry(rows, fresh_dir(spark, "telemetry"))
-        return spark.read.parquet(_STORED[key])
-
-    return _memo(spark, "telemetry", sf_dir, load)
+    return _stored(spark, "telemetry", sf_dir, lambda path: store_telemetry(
+        telemetry_from_events(read_table(spark, sf_dir, "events")), path))
 
 
 def store_bike_readings(rows: DataFrame, path: str) -> str:
@@ -118,15 +135,8 @@ def store_bike_readings(rows: DataFrame, path: str) -> str:
 def bike_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bike readings of ``sf_dir``: the stored, day-partitioned table."""
     prepare(spark)
-
-    def load() -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir + "#bikes")
-        if key not in _STORED:
-            rows = bike_readings_from_events(read_table(spark, sf_dir, "events"))
-            _STORED[key] = store_bike_readings(rows, fresh_dir(spark, "bike-readings"))
-        return spark.read.parquet(_STORED[key])
-
-    return _memo(spark, "bike_readings", sf_dir, load)
+    return _stored(spark, "bike-readings", sf_dir, lambda path: store_bike_readings(
+        bike_readings_from_events(read_table(spark, sf_dir, "events")), path))
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:

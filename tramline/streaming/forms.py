@@ -2,14 +2,19 @@
 
 Event time is the reading's own ``date``. Filters are applied before
 ``withWatermark`` so the watermark follows exactly the rows the aggregate
-sees. Order-dependent operators that cannot use window functions on a
-stream are written with time windows plus sorted arrays and higher-order
-functions (change points, busiest stops) or with keyed state (path length).
+sees. ``window_ts`` names another time for windows and watermark, such as the
+time of arrival. Order-dependent operators that cannot use window functions on
+a stream run batch operators on each micro-batch and carry a small table on
+(change points), or keep keyed state (path length). In append mode a window is
+returned once the watermark has passed it; ``runner.run_latest`` returns every
+window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +22,7 @@ from pyspark.sql import functions as F
 from tramline.functions.predicates import hour_in, in_box, is_weekday, on_day, within_horizon
 from tramline.functions.scalars import clock_text, hour_text, on_time_flag, percent
 from tramline.operators.grouped import running_total
+from tramline.operators.ordered import change_points
 from tramline.plans.transit import CITY_BOX, PEAK_HOURS
 
 TS = "date"
@@ -52,17 +58,20 @@ def congestion_windows(df: DataFrame, *, width: str, box: dict = CITY_BOX,
 
 
 def arrivals_sliding(df: DataFrame, *, vehicle: int, day: str, width: str, slide: str,
-                     delay: str = "0 seconds", ts: str = TS) -> DataFrame:
+                     delay: str = "0 seconds", ts: str = TS,
+                     window_ts: str | None = None) -> DataFrame:
     """A vehicle's distinct (time of day, line, stop) at-stop triples per
     sliding window; ints stay ints and the window is kept, so a triple seen
     in two windows appears once per window."""
     picked = df.where((F.col("atStop") != 0) & (F.col("vehicleID") == vehicle) & on_day(ts, day))
-    triple = F.struct(clock_text(ts).alias("arrival_time"), F.col("busLineID").alias("lineID"),
-                      F.col("closerStopID").alias("stationID"))
-    sets = (picked.withWatermark(ts, delay)
-            .groupBy(F.window(ts, width, slide).alias("window"))
-            .agg(F.array_sort(F.collect_set(triple)).alias("items")))
-    return sets.select("window", F.explode("items").alias("item")).select("window", "item.*")
+    triple = [clock_text(ts).alias("arrival_time"), F.col("busLineID").alias("lineID"),
+              F.col("closerStopID").alias("stationID")]
+    # The triples are keys of the state: no list of a window's triples is built.
+    wt = window_ts or ts
+    seen = (picked.withWatermark(wt, delay)
+            .groupBy(F.window(wt, width, slide).alias("window"), *triple)
+            .agg(F.count(F.lit(1)).alias("n")))
+    return seen.drop("n")
 
 
 def distinct_stops_running(df: DataFrame, *, day: str, rsd: float = 0.05,
@@ -84,78 +93,96 @@ def running_totals(df: DataFrame, *, key: str, value: str, out: str = "total") -
     return running_total(df, key, value, out=out)
 
 
-def _collapse(items):
-    """Keep the first item and every item whose stop differs from the one
-    before it (items sorted by time)."""
-    return F.filter(items, lambda x, i: (i == 0) | ~x["closerStopID"].eqNullSafe(
-        F.get(items, i - 1)["closerStopID"]))
-
-
-def change_points_windowed(df: DataFrame, *, width: str, slide: str | None = None,
-                           delay: str = "0 seconds", ts: str = TS,
-                           partition: tuple[str, ...] = ("vehicleID", "busLineID")) -> DataFrame:
-    """At-stop readings with consecutive repeats of a stop collapsed, per
-    series (``partition``) inside each event-time window (tumbling, or
-    sliding with ``slide``). The window's readings are sorted by (time, stop,
-    delay) and filtered with ``filter(a, (x, i) -> i = 0 OR a[i-1].stop <>
-    x.stop)``; a window holds one series' readings of ``width`` only."""
-    picked = df.where(F.col("atStop") != 0)
-    item = F.struct(F.col(ts).alias("date"), F.col("closerStopID").alias("closerStopID"),
-                    F.col("delay").alias("delay"))
-    win = F.window(ts, width, slide) if slide else F.window(ts, width)
-    grouped = (picked.withWatermark(ts, delay)
-               .groupBy(win.alias("window"), *partition)
-               .agg(F.array_sort(F.collect_list(item)).alias("items")))
-    return (grouped.select("window", *partition, F.explode(_collapse(F.col("items"))).alias("item"))
-            .select("window", *partition, "item.date", "item.closerStopID", "item.delay"))
-
-
-def arrivals_windowed(df: DataFrame, *, vehicle: int, day: str, delay_limit: int, width: str,
-                      slide: str, delay: str = "0 seconds", ts: str = TS) -> DataFrame:
-    """One vehicle's stop arrivals on a day per sliding window: repeats of a
-    stop within a line collapsed inside the window, with the time of day and
-    an on-time flag (|delay| <= |limit|)."""
-    picked = df.where((F.col("vehicleID") == vehicle) & on_day(ts, day))
-    kept = change_points_windowed(picked, width=width, slide=slide, delay=delay, ts=ts,
-                                  partition=("busLineID",))
-    return kept.select("window", F.col("busLineID").alias("lineID"),
-                       F.col("closerStopID").alias("stationID"),
-                       clock_text("date").alias("arrivalTime"),
-                       on_time_flag("delay", delay_limit).alias("onTime"))
-
-
-def busiest_windowed(df: DataFrame, *, width: str, delay: str = "0 seconds",
-                     ts: str = TS) -> DataFrame:
-    """Per event-time window: the stop(s) with the most distinct vehicles at
-    stop, ties kept, with the sorted vehicle list. Two chained windowed
-    aggregates: vehicles per (window, stop), then the stops per window
-    (one small row per stop) filtered to the maximum."""
-    picked = df.where(F.col("atStop") == 1)
-    per_stop = (picked.withWatermark(ts, delay)
-                .groupBy(F.window(ts, width).alias("window"),
-                         F.col("closerStopID").alias("stationID"))
-                .agg(F.array_sort(F.collect_set("vehicleID")).alias("vehicle_ids")))
-    stop = F.struct(F.size("vehicle_ids").cast("long").alias("numVehicles"), "stationID",
-                    "vehicle_ids")
-    per_window = (per_stop
-                  .groupBy(F.window(F.window_time("window"), width).alias("window"))
-                  .agg(F.collect_list(stop).alias("stops")))
-    top = F.array_max(F.transform("stops", lambda s: s["numVehicles"]))
-    best = F.filter("stops", lambda s: s["numVehicles"] == top)
-    return (per_window.select("window", F.explode(best).alias("s"))
-            .select("window", "s.stationID",
-                    F.array_join("s.vehicle_ids", ",").alias("vehicles"), "s.numVehicles"))
+def change_points_step(*, width: str, slide: str | None = None,
+                       partition: tuple[str, ...] = ("vehicleID", "busLineID"), ts: str = TS,
+                       window_ts: str | None = None):
+    """A step for ``runner.carried``: at-stop readings with consecutive repeats
+    of a stop collapsed, per series (``partition``) inside each event-time
+    window (tumbling, or sliding with ``slide``), ties ordered by stop and delay.
+
+    The batch operator does the work, so a hot series is split into time
+    slices; only the last reading of each open series is carried on. Readings
+    older than that, or of windows that are over, are late: counted in
+    ``late``, not used."""
+    keys = ["window_start", "window_end", *partition]
+    cols = [*keys, "date", "closerStopID", "delay"]
+    tie = F.struct("new", "closerStopID", "delay")
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> dict[str, DataFrame]:
+        wt = window_ts or ts
+        # A window never holds a NULL time: such rows have no window.
+        rows = (batch.where(F.col("atStop") != 0)
+                .select(_window(wt, width, slide).alias("window"), *partition,
+                        F.col(ts).alias("date"), "closerStopID", "delay")
+                .select(F.col("window.start").alias("window_start"),
+                        F.col("window.end").alias("window_end"),
+                        *partition, "date", "closerStopID", "delay"))
+        late = rows.limit(0)
+        if carry is not None:
+            now = carry.agg(F.max(F.unix_micros("date"))).first()[0]
+            last = carry.select(*[F.col(c).alias(f"__{c}") for c in keys],
+                                F.col("date").alias("__last"))
+            same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys))
+            dated = rows.join(last, same, "left")
+            is_late = F.coalesce((F.col("date") < F.col("__last"))
+                                 | (F.unix_micros("window_end") <= F.lit(now)), F.lit(False))
+            late = dated.where(is_late).select(*cols)
+            rows = dated.where(~is_late).select(*cols, F.lit(1).alias("new")).unionByName(
+                carry.select(*cols, F.lit(0).alias("new")))
+        else:
+            rows = rows.select(*cols, F.lit(1).alias("new"))
+        kept = change_points(rows.withColumn("tie", tie), keys, "date", "tie", "closerStopID")
+        order = F.struct("date", tie)
+        ends = rows.groupBy(*keys).agg(*[F.max_by(c, order).alias(c)
+                                         for c in ("date", "closerStopID", "delay")])
+        newest = ends.agg(F.max(F.unix_micros("date"))).first()[0]
+        still = ends.where(F.unix_micros("window_end") > F.lit(newest))
+        return {"carry": still, "changes": kept.where("new = 1").select(*cols),
+                "late": late.groupBy().agg(F.count("*").alias("late_rows"))}
+
+    return step
+
+
+def arrivals_of(changes: DataFrame, delay_limit: int) -> DataFrame:
+    """Collapsed readings as arrivals: line, stop, time of day, on-time flag."""
+    return changes.select("window_start", "window_end", F.col("busLineID").alias("lineID"),
+                          F.col("closerStopID").alias("stationID"),
+                          clock_text("date").alias("arrivalTime"),
+                          on_time_flag("delay", delay_limit).alias("onTime"))
+
+
+def vehicles_at_stops_windows(df: DataFrame, *, width: str, delay: str = "0 seconds",
+                              ts: str = TS, window_ts: str | None = None) -> DataFrame:
+    """Distinct (window, stop, vehicle) at stop: one small state row each."""
+    wt = window_ts or ts
+    return (df.where(F.col("atStop") == 1).withWatermark(wt, delay)
+            .groupBy(F.window(wt, width).alias("window"), F.col("closerStopID").alias("stationID"),
+                     "vehicleID").agg(F.count(F.lit(1)).alias("n")).drop("n"))
+
+
+def busiest_of_windows(pairs: DataFrame) -> DataFrame:
+    """Per window (``window_start``, ``window_end``): the stop(s) with the most
+    distinct vehicles, ties kept, with the sorted vehicle list, of the distinct
+    (window, stop, vehicle) rows a stream has gathered."""
+    window = ["window_start", "window_end"]
+    per_stop = pairs.groupBy(*window, "stationID").agg(
+        F.count("vehicleID").alias("numVehicles"),
+        F.array_join(F.array_sort(F.collect_list("vehicleID")), ",").alias("vehicles"))
+    top = per_stop.groupBy(*window).agg(F.max("numVehicles").alias("numVehicles"))
+    return per_stop.join(top, [*window, "numVehicles"]).select(
+        *window, "stationID", "vehicles", "numVehicles")
 
 
 def vehicles_per_stop_windows(df: DataFrame, *, start: str, horizon: int, width: str,
-                              delay: str = "0 seconds", rsd: float = 0.05,
-                              ts: str = TS) -> DataFrame:
+                              delay: str = "0 seconds", rsd: float = 0.05, ts: str = TS,
+                              window_ts: str | None = None) -> DataFrame:
     """Distinct vehicles at each stop per event-time window, inside the
     horizon [start, start + horizon]: HLL++ estimate (``numVehiclesApprox``)
     and the exact count (``size(collect_set)``, bounded by the fleet)."""
+    wt = window_ts or ts
     picked = df.where((F.col("atStop") == 1) & within_horizon(ts, start, horizon))
-    return (picked.withWatermark(ts, delay)
-            .groupBy(F.window(ts, width).alias("window"), F.col("closerStopID").alias("stationID"))
+    return (picked.withWatermark(wt, delay)
+            .groupBy(F.window(wt, width).alias("window"), F.col("closerStopID").alias("stationID"))
             .agg(F.approx_count_distinct("vehicleID", rsd).alias("numVehiclesApprox"),
                  F.size(F.collect_set("vehicleID")).cast("long").alias("numVehicles")))
 

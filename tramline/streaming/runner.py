@@ -5,18 +5,21 @@ lost executor resumes from the checkpoint (offsets, commits, state) and the
 sink's own commit log keeps the output exactly-once.
 
 * append mode   -> parquet file sink (only committed files are read back)
-* complete mode -> ``foreachBatch`` overwriting a parquet folder with the
-                   whole result table of each epoch (idempotent on retry)
+* complete mode -> ``foreachBatch`` writing the whole result table of each epoch
+                   to a folder of its own (``epoch_id=N``); readers take the last
+                   one, and all but the last two are removed
 * update mode   -> ``foreachBatch`` writing each epoch's changed rows to its
                    own partition folder (``epoch_id=N``, overwritten on retry);
                    ``latest_rows`` folds them to the current table
+* ``carried``   -> a table goes from epoch to epoch (running state kept by batch
+                   operators); a missing one stops the query
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -41,17 +44,36 @@ def _writer(stream: DataFrame, *, mode: str, sink: str, checkpoint: str,
         return writer.foreachBatch(per_batch)
     if mode == "append":
         return writer.format("parquet").option("path", sink)
-    if mode == "complete":
-        def overwrite(batch: DataFrame, epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(sink)
-        return writer.foreachBatch(overwrite)
+    spark = stream.sparkSession
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
         # One partition folder per epoch, overwritten on retry: idempotent.
         batch.write.mode("overwrite").parquet(f"{sink}/{EPOCH}={epoch}")
+        if mode == "complete":
+            drop_epochs(spark, sink, before=epoch - 1)
     return writer.foreachBatch(write_epoch)
 
 
+def epochs(spark: SparkSession, sink: str) -> list[int]:
+    """Epochs that have a folder in the sink, in order."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sink)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(int(n.removeprefix(f"{EPOCH}=")) for n in names if n.startswith(f"{EPOCH}="))
+
+
+def drop_epochs(spark: SparkSession, sink: str, *, before: int) -> None:
+    """Remove the folders of old epochs (a retried epoch needs the one before)."""
+    jvm = spark.sparkContext._jvm
+    for epoch in epochs(spark, sink):
+        if epoch < before:
+            path = jvm.org.apache.hadoop.fs.Path(f"{sink}/{EPOCH}={epoch}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def start(stream: DataFrame, *, mode: str = "append", sink: str, checkpoint: str,
           processing_time: str | None = None,
           per_batch: Callable[[DataFrame, int], None] | None = None,
@@ -60,25 +82,31 @@ def start(stream: DataFrame, *, mode: str = "append", sink: str, checkpoint: str
     feed, otherwise it drains what is available now and stops.
 
     ``state_partitions`` is the number of state-store partitions of the
-    stateful operators (the shuffle width when the query first starts; a
-    restart keeps the checkpoint's). Default: the cluster's default
-    parallelism, one state partition per core."""
+    stateful operators; a checkpoint keeps it for good. Default: the session's
+    shuffle width, which does not depend on the executors there at the start.
+    Where given, the width is set for the moment the query starts."""
     spark = stream.sparkSession
     writer = _writer(stream, mode=mode, sink=sink, checkpoint=checkpoint, per_batch=per_batch)
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    width = state_partitions or spark.sparkContext.defaultParallelism
+    writer = writer.trigger(**trigger)
+    if not state_partitions:
+        return writer.start()
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(width))
+    spark.conf.set(key, str(state_partitions))
     try:
-        return writer.trigger(**trigger).start()
+        return writer.start()
     finally:
         spark.conf.set(key, before)
 
 
-def read_sink(spark: SparkSession, sink: str, schema) -> DataFrame:
+def read_sink(spark: SparkSession, sink: str, schema, *, mode: str = "append") -> DataFrame:
+    """The sink's table; in complete mode that of the last epoch."""
+    if mode == "complete":
+        there = epochs(spark, sink)
+        sink = f"{sink}/{EPOCH}={there[-1]}" if there else sink
     try:
         return spark.read.schema(schema).parquet(sink)
     except AnalysisException:
@@ -94,13 +122,63 @@ def run(stream: DataFrame, *, mode: str = "append", label: str = "stream",
     sink = sink or fresh_dir(spark, f"{label}-sink")
     checkpoint = checkpoint or fresh_dir(spark, f"{label}-ckpt")
     query = start(stream, mode=mode, sink=sink, checkpoint=checkpoint)
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+    await_end(query)
     schema = stream.schema
     if mode == "update":
         schema = T.StructType([*schema.fields, T.StructField(EPOCH, T.LongType())])
-    return read_sink(spark, sink, schema), query
+    return read_sink(spark, sink, schema, mode=mode), query
+
+
+def run_latest(stream: DataFrame, keys: Sequence[str], *, label: str = "stream",
+               sink: str | None = None, checkpoint: str | None = None
+               ) -> tuple[DataFrame, StreamingQuery]:
+    """Drain in update mode and fold to the current rows of each key: every
+    window is there, also those the watermark has not closed yet."""
+    table, query = run(stream, mode="update", label=label, sink=sink, checkpoint=checkpoint)
+    return latest_rows(table, keys), query
+
+
+def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dict[str, DataFrame]],
+            *, sink: str, checkpoint: str, processing_time: str | None = None) -> StreamingQuery:
+    """Run ``step(batch, carry)`` on every micro-batch. It returns tables by
+    name, or functions of those written before; each is written to
+    ``sink/<name>/epoch_id=N``, and ``carry`` is handed to the next epoch (only
+    its last two are kept). A retried epoch starts from the same carry and
+    rewrites its folders. An epoch after the first whose carry is missing
+    raises: its sink does not belong to the checkpoint."""
+    spark = stream.sparkSession
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        carry = None
+        if epoch > 0:
+            if epoch - 1 not in epochs(spark, f"{sink}/carry"):
+                raise RuntimeError(f"{sink} has no state of epoch {epoch - 1}: it is not the sink "
+                                   "this checkpoint was run with")
+            carry = spark.read.parquet(f"{sink}/carry/{EPOCH}={epoch - 1}")
+        batch.persist()
+        try:
+            written: dict[str, DataFrame] = {}
+            for name, table in step(batch, carry).items():
+                table = table(written) if callable(table) else table
+                path = f"{sink}/{name}/{EPOCH}={epoch}"
+                table.write.mode("overwrite").parquet(path)
+                written[name] = spark.read.schema(table.schema).parquet(path)
+        finally:
+            batch.unpersist()
+        drop_epochs(spark, f"{sink}/carry", before=epoch)
+
+    return start(stream, mode="append", sink=sink, checkpoint=checkpoint,
+                 processing_time=processing_time, per_batch=per_batch)
+
+
+def run_carried(stream: DataFrame, step, *, label: str, sink: str | None = None,
+                checkpoint: str | None = None) -> str:
+    """Drain a ``carried`` query; returns its sink."""
+    spark = stream.sparkSession
+    sink = sink or fresh_dir(spark, f"{label}-sink")
+    query = carried(stream, step, sink=sink, checkpoint=checkpoint or fresh_dir(spark, f"{label}-ckpt"))
+    await_end(query)
+    return sink
 
 
 def run_per_batch(stream: DataFrame, batch_op: Callable[[DataFrame], DataFrame], *,
@@ -118,26 +196,47 @@ def run_per_batch(stream: DataFrame, batch_op: Callable[[DataFrame], DataFrame],
         batch_op(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
 
     query = start(stream, sink=sink, checkpoint=checkpoint, per_batch=per_batch)
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+    await_end(query)
+    if not there(spark, sink):
+        empty = batch_op(spark.createDataFrame([], stream.schema))
+        return empty.withColumn("batch_id", F.lit(None).cast("int"))
     return spark.read.parquet(sink)
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fold update-mode epochs to the current row per key (last epoch wins)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(EPOCH).desc())
-    return (table.withColumn("__rank", F.row_number().over(w))
-            .where(F.col("__rank") == 1).drop("__rank", EPOCH))
+    """Fold update-mode epochs to the current rows per key (those of its last
+    epoch; a key may have several rows)."""
+    last = table.groupBy(*keys).agg(F.max(EPOCH).alias(EPOCH))
+    return table.join(last, [*keys, EPOCH], "left_semi").drop(EPOCH)
 
 
-def rows_dropped_by_watermark(query: StreamingQuery) -> int:
-    """Total late rows the stateful operators dropped in this run."""
-    total = 0
+# Late rows by run and epoch: a query itself keeps its last progress entries only.
+_DROPS: dict[str, dict[int, int]] = {}
+
+
+def _note_drops(query: StreamingQuery) -> dict[int, int]:
+    seen = _DROPS.setdefault(str(query.runId), {})
     for progress in query.recentProgress:
-        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else \
-                progress.stateOperators:
-            value = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else \
-                op.numRowsDroppedByWatermark
-            total += int(value or 0)
-    return total
+        seen[progress.batchId] = sum(int(op.numRowsDroppedByWatermark or 0)
+                                     for op in progress.stateOperators)
+    return seen
+
+
+def await_end(query: StreamingQuery, poll_seconds: float = 0.5) -> None:
+    """Wait for a query's end, noting its progress on the way; raise its error."""
+    while not query.awaitTermination(poll_seconds):
+        _note_drops(query)
+    _note_drops(query)
+    if query.exception():
+        raise query.exception()
+
+
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late rows the stateful operators dropped in this run, over all epochs
+    that ``await_end`` has seen."""
+    return sum(_note_drops(query).values())

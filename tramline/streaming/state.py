@@ -7,6 +7,9 @@ that vehicle's readings of the trigger — so a group is bounded by one
 trigger's input (size triggers with ``maxFilesPerTrigger``). Inside, the
 step distances are vectorised numpy, not a Python loop per row.
 
+``histogram_per_batch`` keeps the same totals without Python and without one
+vehicle's trigger in one task; use it where a vehicle's share may be large.
+
 Readings older than the stored last reading are counted as late and skipped;
 pairs with no elapsed time count 0 m; a pair faster than ``max_speed`` m/s is
 noise and counts 0 m. With in-order input this equals the batch
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tramline.functions.geo import EARTH_RADIUS_M
+from tramline.operators.ordered import pair_distances
 from tramline.session import ship_package
 
 OUTPUT_SCHEMA = "vehicleID int, km double, late_rows long"
@@ -72,50 +76,79 @@ def make_advance(max_speed: float):
 def path_distance_state(df: DataFrame, *, max_speed: float, ts: str = "date") -> DataFrame:
     """Running kilometres per vehicle (update mode)."""
     ship_package(df.sparkSession)     # the state function runs in Python workers
-    readings = df.select("vehicleID", F.unix_micros(F.col(ts)).alias("ts_us"),
-                         "latitude", "longitude")
+    readings = known(df.withColumn("date", F.col(ts))).select(
+        "vehicleID", F.unix_micros("date").alias("ts_us"), "latitude", "longitude")
     return readings.groupBy("vehicleID").applyInPandasWithState(
         make_advance(max_speed), OUTPUT_SCHEMA, STATE_SCHEMA, "update",
         GroupStateTimeout.NoTimeout)
 
 
-def histogram_per_batch(km_updates: DataFrame, *, size: float, sink: str, checkpoint: str,
-                        processing_time: str | None = None):
+def _totals_step(max_speed: float, ts: str):
+    """One epoch of running kilometres, by batch operators: the readings of the
+    epoch follow the last known reading of their vehicle (``carry``)."""
+    def step(batch: DataFrame, carry: DataFrame | None) -> dict[str, DataFrame]:
+        rows = known(batch.select("vehicleID", F.col(ts).alias("date"), "latitude", "longitude"))
+        fresh = rows.select("*", F.struct(F.lit(1).alias("new"), "latitude", "longitude")
+                            .alias("tie"))
+        late = None
+        if carry is not None:
+            last = carry.select("vehicleID", F.col("date").alias("__last"))
+            dated = fresh.join(last, "vehicleID", "left")
+            is_late = F.coalesce(F.col("date") < F.col("__last"), F.lit(False))
+            late = dated.where(is_late).groupBy("vehicleID").agg(F.count("*").alias("late"))
+            fresh = dated.where(~is_late).drop("__last").unionByName(
+                carry.select("vehicleID", "date", "latitude", "longitude",
+                             F.struct(F.lit(0).alias("new"), "latitude", "longitude").alias("tie")))
+        steps = pair_distances(fresh, "vehicleID", "date", "tie", "latitude", "longitude",
+                               max_speed=max_speed)
+        order = F.struct("date", "tie")
+        sums = steps.groupBy("vehicleID").agg(
+            F.sum("step_m").alias("m"), F.max("date").alias("date"),
+            F.max_by("latitude", order).alias("latitude"),
+            F.max_by("longitude", order).alias("longitude"))
+        if carry is None:
+            return {"carry": sums.withColumnRenamed("m", "metres")
+                    .withColumn("late_rows", F.lit(0).cast("long"))}
+        return {"carry": sums.join(carry.select("vehicleID", "metres", "late_rows"), "vehicleID",
+                                   "left").join(late, "vehicleID", "left").select(
+            "vehicleID", (F.coalesce("metres", F.lit(0.0)) + F.col("m")).alias("metres"), "date",
+            "latitude", "longitude",
+            (F.coalesce("late_rows", F.lit(0)) + F.coalesce("late", F.lit(0))).alias("late_rows"))}
+    return step
+
+
+def known(rows: DataFrame) -> DataFrame:
+    """Readings that have a vehicle, a time and a place (others are for the
+    bad-record side of the scans)."""
+    return rows.dropna(subset=["vehicleID", "date", "latitude", "longitude"])
+
+
+def histogram_per_batch(readings: DataFrame, *, max_speed: float, size: float, sink: str,
+                        checkpoint: str, processing_time: str | None = None, ts: str = "date"):
     """Keep a histogram of kilometres per vehicle current after every trigger.
 
-    ``km_updates`` is the update-mode output of ``path_distance_state``. Each
-    epoch merges its changed vehicles into the previous epoch's totals (one
-    row per vehicle, so bounded by the fleet), writes the new totals to
-    ``sink/totals/epoch_id=N`` and their histogram to
-    ``sink/histogram/epoch_id=N``. Epoch ids are consecutive, and an epoch
-    that is retried rewrites the same folders from the same inputs.
-    """
-    from pyspark.sql.utils import AnalysisException
-
+    The totals (one row per vehicle: kilometres, last reading, late readings)
+    are carried from epoch to epoch. Steps inside an epoch are computed by the
+    batch operator, which splits a hot vehicle into time slices, so no task
+    holds one vehicle's whole trigger. Late readings are counted and skipped."""
     from tramline.operators.grouped import bucket_histogram
-    from tramline.streaming.runner import start
-
-    def per_batch(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        updates = batch.select("vehicleID", "km")
-        totals = updates
-        if epoch > 0:
-            try:
-                prev = spark.read.parquet(f"{sink}/totals/epoch_id={epoch - 1}")
-                totals = prev.join(updates, "vehicleID", "left_anti").unionByName(updates)
-            except AnalysisException:
-                pass
-        totals.write.mode("overwrite").parquet(f"{sink}/totals/epoch_id={epoch}")
-        current = spark.read.parquet(f"{sink}/totals/epoch_id={epoch}")
-        (bucket_histogram(current, "km", size, count="numVehicles")
-         .write.mode("overwrite").parquet(f"{sink}/histogram/epoch_id={epoch}"))
-
-    return start(km_updates, mode="update", sink=sink, checkpoint=checkpoint,
-                 processing_time=processing_time, per_batch=per_batch)
+    from tramline.streaming.runner import carried
+
+    totals = _totals_step(max_speed, ts)
+
+    def histogram(written: dict[str, DataFrame]) -> DataFrame:
+        km = written["carry"].select("vehicleID", (F.col("metres") / F.lit(1000.0)).alias("km"))
+        return bucket_histogram(km, "km", size, count="numVehicles")
+
+    def step(batch: DataFrame, carry: DataFrame | None) -> dict:
+        return {**totals(batch, carry), "histogram": histogram}
+
+    return carried(readings, step, sink=sink, checkpoint=checkpoint,
+                   processing_time=processing_time)
 
 
 def latest_histogram(spark, sink: str) -> DataFrame:
-    """The histogram written by the last epoch."""
-    table = spark.read.parquet(f"{sink}/histogram")
-    last = table.agg(F.max("epoch_id").alias("epoch_id"))          # one row
-    return table.join(F.broadcast(last), "epoch_id").drop("epoch_id")
+    """The histogram written by the last epoch (only that one is read)."""
+    from tramline.streaming.runner import EPOCH, epochs
+    last = epochs(spark, f"{sink}/histogram")[-1]
+    return spark.read.parquet(f"{sink}/histogram/{EPOCH}={last}")

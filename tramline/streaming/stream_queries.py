@@ -1,9 +1,11 @@
-"""Streaming queries: each drains a file stream staged from the driver
-tables with ``availableNow`` into a durable sink and returns the sink table.
-
-Append-mode oracles keep the windows the watermark has closed: with delay 0
-that is every window whose end is at most the latest event time among the
-rows the aggregate sees (the last window stays open).
+"""Streaming queries: each drains a feed staged from the driver tables, in
+several triggers, into a durable sink and returns the sink's table.
+
+Windowed queries run in update mode and return every window, also those the
+watermark has not closed, so their answers do not depend on the number of
+triggers; the oracles are plain aggregates over all rows. Only
+``stream_tumbling_append`` shows append mode, whose oracle keeps the windows
+that the watermark has closed.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.functions.predicates import on_day
 from tramline.plans.batch_queries import (
     BUCKET_KM, DAY, DAY_SQL, DELAY_LIMIT, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
     as_text, haversine,
@@ -20,13 +23,30 @@ from tramline.plans.registry import register
 from tramline.plans.scan_queries import SCAN_SQL, bus_out
 from tramline.plans.transit import congestion_by_hour
 from tramline.session import fresh_dir
-from tramline.sources.csv import bus_lines, read_bus_csv_stream, read_lines, split_bus_lines, typed
-from tramline.sources.staging import staged_bus_csv, write_lines
+from tramline.sources.csv import (
+    bus_lines, bus_rows_stream, read_bus_csv_stream, read_lines, split_bus_lines, typed,
+)
+from tramline.sources.staging import (
+    FEED_FILES, FEED_PARTS, staged_bus_csv, staged_feed, write_feed, write_lines,
+)
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
-from tramline.streaming.runner import flatten_window, latest_rows, run, run_per_batch
+from tramline.streaming.runner import (
+    EPOCH, await_end, flatten_window, latest_rows, run, run_carried, run_latest, run_per_batch,
+)
 from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
 
+#: How far readings may lag behind the newest one before they count as late.
+LATENESS = "1 hour"
+
+
+WINDOW = ["window_start", "window_end"]
+
+
+def out_keys(out: DataFrame) -> list[str]:
+    """All columns of a frame whose rows are keys (its window flattened)."""
+    return [*WINDOW, *[c for c in out.columns if c != "window"]]
+
 
 def register_windowed(name: str, sql: str, extra: tuple[str, ...] = ()):
     """Register a windowed stream query; window bounds (and ``extra``
@@ -43,19 +63,23 @@ def register_windowed(name: str, sql: str, extra: tuple[str, ...] = ()):
 
 
 def bus_stream(spark: SparkSession, sf: str, path: str | None = None) -> DataFrame:
-    return typed(read_bus_csv_stream(spark, path or staged_bus_csv(spark, sf)))
+    """Good readings of the feed, a stretch of time per trigger."""
+    good, _ = bus_rows_stream(spark, path or staged_feed(spark, sf),
+                              max_files_per_trigger=FEED_FILES)
+    return good
 
 
 def closed(end: str, rows: str = "telemetry") -> str:
-    """Oracle condition: the window is closed by the watermark (delay 0)."""
-    return f"{end} <= (SELECT max(date) FROM {rows})"
+    """Oracle condition: the window is closed by the watermark."""
+    return f"{end} <= (SELECT max(date) FROM {rows}) - INTERVAL {LATENESS}"
 
 
 # ---------------------------------------------------------------- sources
 
 @register("scan_csv_stream", SCAN_SQL)
 def q_scan_csv_stream(spark: SparkSession, sf: str) -> DataFrame:
-    table, _ = run(bus_out(bus_stream(spark, sf)), label="scan-csv-stream")
+    rows = typed(read_bus_csv_stream(spark, staged_feed(spark, sf), max_files_per_trigger=FEED_FILES))
+    table, _ = run(bus_out(rows), label="scan-csv-stream")
     return table
 
 
@@ -76,60 +100,68 @@ SELECT window_start, window_end, n FROM (
   FROM telemetry GROUP BY 1, 2)
 WHERE {closed('window_end')}"""))
 def q_stream_tumbling_append(spark: SparkSession, sf: str) -> DataFrame:
-    counts = forms.windowed_counts(bus_stream(spark, sf), width="1 hour")
+    counts = forms.windowed_counts(bus_stream(spark, sf), width="1 hour", delay=LATENESS)
     table, _ = run(flatten_window(counts), label="tumbling")
     return table
 
 
-@register_windowed("stream_sliding_append", with_tables(f"""
+@register_windowed("stream_tumbling_all", with_tables("""
+SELECT date_trunc('hour', date) AS window_start,
+       date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end, count(*) AS n
+FROM telemetry GROUP BY 1, 2"""))
+def q_stream_tumbling_all(spark: SparkSession, sf: str) -> DataFrame:
+    counts = forms.windowed_counts(bus_stream(spark, sf), width="1 hour", delay=LATENESS)
+    table, _ = run_latest(flatten_window(counts), WINDOW, label="tumbling-all")
+    return table
+
+
+@register_windowed("stream_sliding_append", with_tables("""
 SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n
 FROM (SELECT date_trunc('hour', date) AS window_start FROM telemetry
       UNION ALL
       SELECT date_trunc('hour', date) - INTERVAL 1 HOUR FROM telemetry)
-GROUP BY 1
-HAVING {closed('window_start + INTERVAL 2 HOUR')}"""))
+GROUP BY 1"""))
 def q_stream_sliding_append(spark: SparkSession, sf: str) -> DataFrame:
-    counts = forms.windowed_counts(bus_stream(spark, sf), width="2 hours", slide="1 hour")
-    table, _ = run(flatten_window(counts), label="sliding")
+    counts = forms.windowed_counts(bus_stream(spark, sf), width="2 hours", slide="1 hour",
+                                   delay=LATENESS)
+    table, _ = run_latest(flatten_window(counts), WINDOW, label="sliding")
     return table
 
 
-@register_windowed("stream_congestion", with_tables(f"""
-SELECT * FROM (
-  SELECT date_trunc('day', date) AS window_start,
+@register_windowed("stream_congestion", with_tables("""
+SELECT date_trunc('day', date) AS window_start,
          date_trunc('day', date) + INTERVAL 1 DAY AS window_end,
          strftime(date, '%H') AS hour,
          round(100.0::DOUBLE * sum(congestion) / count(*), 2) AS percentage,
          count(*) AS numMeasurements,
          CAST(sum(congestion) AS BIGINT) AS congestionMeasurements
-  FROM picked GROUP BY 1, 2, 3)
-WHERE {closed('window_end', 'picked')}""", """
+  FROM picked GROUP BY 1, 2, 3""", """
 picked AS (SELECT * FROM telemetry
            WHERE latitude BETWEEN 53.3343619 AND 53.3702027
              AND longitude BETWEEN -6.2886331 AND -6.2043634
              AND isodow(date) <= 5 AND hour(date) IN (7, 8, 9))"""))
 def q_stream_congestion(spark: SparkSession, sf: str) -> DataFrame:
-    out = forms.congestion_windows(bus_stream(spark, sf), width="1 day")
-    table, _ = run(flatten_window(out), label="congestion")
+    out = forms.congestion_windows(bus_stream(spark, sf), width="1 day", delay=LATENESS)
+    table, _ = run_latest(flatten_window(out), [*WINDOW, "hour"], label="congestion")
     return table
 
 
-@register_windowed("stream_arrivals_sliding", with_tables(f"""
+@register_windowed("stream_arrivals_sliding", with_tables("""
 SELECT DISTINCT window_start, window_start + INTERVAL 2 HOUR AS window_end,
        strftime(date, '%H:%M:%S') AS arrival_time, busLineID AS lineID, closerStopID AS stationID
 FROM (SELECT date_trunc('hour', date) AS window_start, * FROM picked
       UNION ALL
-      SELECT date_trunc('hour', date) - INTERVAL 1 HOUR AS window_start, * FROM picked)
-WHERE {closed('window_start + INTERVAL 2 HOUR', 'picked')}""", f"""
+      SELECT date_trunc('hour', date) - INTERVAL 1 HOUR AS window_start, * FROM picked)""", f"""
 picked AS (SELECT * FROM telemetry WHERE atStop <> 0 AND vehicleID = {VEHICLE} AND {DAY_SQL})"""))
 def q_stream_arrivals_sliding(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.arrivals_sliding(bus_stream(spark, sf), vehicle=VEHICLE, day=DAY,
-                                 width="2 hours", slide="1 hour")
-    table, _ = run(flatten_window(out), label="arrivals")
+                                 width="2 hours", slide="1 hour", delay=LATENESS)
+    # A triple is told again whenever it is seen again.
+    table, _ = run_latest(flatten_window(out), out_keys(out), label="arrivals")
     return table
 
 
-@register_windowed("stream_change_points", with_tables(f"""
+@register_windowed("stream_change_points", with_tables("""
 SELECT window_start, window_end, vehicleID, busLineID, date, closerStopID, delay
 FROM (SELECT date_trunc('day', date) AS window_start,
              date_trunc('day', date) + INTERVAL 1 DAY AS window_end, *,
@@ -137,13 +169,12 @@ FROM (SELECT date_trunc('day', date) AS window_start,
       FROM picked
       WINDOW w AS (PARTITION BY vehicleID, busLineID, date_trunc('day', date)
                    ORDER BY date, closerStopID, delay))
-WHERE (rn = 1 OR prev_stop IS DISTINCT FROM closerStopID)
-  AND {closed('window_end', 'picked')}""",
+WHERE rn = 1 OR prev_stop IS DISTINCT FROM closerStopID""",
     "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)"), extra=("date",))
 def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
-    out = forms.change_points_windowed(bus_stream(spark, sf), width="1 day")
-    table, _ = run(flatten_window(out), label="change-points")
-    return table
+    sink = run_carried(bus_stream(spark, sf), forms.change_points_step(width="1 day"),
+                       label="change-points")
+    return spark.read.parquet(f"{sink}/changes").drop(EPOCH)
 
 
 @register_windowed("stream_arrivals_collapsed", with_tables(f"""
@@ -156,21 +187,19 @@ FROM (SELECT *, window_start + INTERVAL 2 HOUR AS window_end,
             UNION ALL
             SELECT date_trunc('hour', date) - INTERVAL 1 HOUR AS window_start, * FROM picked)
       WINDOW w AS (PARTITION BY window_start, busLineID ORDER BY date, closerStopID, delay))
-WHERE (rn = 1 OR prev_stop IS DISTINCT FROM closerStopID)
-  AND {closed('window_end', 'picked')}""", f"""
+WHERE rn = 1 OR prev_stop IS DISTINCT FROM closerStopID""", f"""
 picked AS (SELECT * FROM telemetry WHERE atStop <> 0 AND vehicleID = {VEHICLE} AND {DAY_SQL})"""))
 def q_stream_arrivals_collapsed(spark: SparkSession, sf: str) -> DataFrame:
-    out = forms.arrivals_windowed(bus_stream(spark, sf), vehicle=VEHICLE, day=DAY,
-                                  delay_limit=DELAY_LIMIT, width="2 hours", slide="1 hour")
-    table, _ = run(flatten_window(out), label="arrivals-collapsed")
-    return table
+    picked = bus_stream(spark, sf).where((F.col("vehicleID") == VEHICLE) & on_day("date", DAY))
+    step = forms.change_points_step(width="2 hours", slide="1 hour", partition=("busLineID",))
+    sink = run_carried(picked, step, label="arrivals-collapsed")
+    return forms.arrivals_of(spark.read.parquet(f"{sink}/changes"), DELAY_LIMIT)
 
 
-@register_windowed("stream_busiest", with_tables(f"""
+@register_windowed("stream_busiest", with_tables("""
 SELECT c.window_start, c.window_start + INTERVAL 6 HOUR AS window_end,
        c.stationID, c.vehicles, c.numVehicles
-FROM counts c JOIN best b ON c.window_start = b.window_start AND c.numVehicles = b.top
-WHERE {closed('c.window_start + INTERVAL 6 HOUR', 'picked')}""", """
+FROM counts c JOIN best b ON c.window_start = b.window_start AND c.numVehicles = b.top""", """
 picked AS (SELECT * FROM telemetry WHERE atStop = 1),
 pairs AS (SELECT DISTINCT date_trunc('day', date) + to_hours(CAST(hour(date) // 6 * 6 AS BIGINT))
                             AS window_start,
@@ -180,24 +209,24 @@ counts AS (SELECT window_start, stationID, count(*) AS numVehicles,
            FROM pairs GROUP BY 1, 2),
 best AS (SELECT window_start, max(numVehicles) AS top FROM counts GROUP BY 1)"""))
 def q_stream_busiest(spark: SparkSession, sf: str) -> DataFrame:
-    out = forms.busiest_windowed(bus_stream(spark, sf), width="6 hours")
-    table, _ = run(flatten_window(out), label="busiest")
-    return table
+    pairs = flatten_window(forms.vehicles_at_stops_windows(bus_stream(spark, sf), width="6 hours",
+                                                           delay=LATENESS))
+    table, _ = run(pairs, mode="update", label="busiest")
+    return forms.busiest_of_windows(table.drop(EPOCH).distinct())
 
 
-@register_windowed("stream_vehicles_per_stop", with_tables(f"""
-SELECT * FROM (
+@register_windowed("stream_vehicles_per_stop", with_tables("""
   SELECT date_trunc('hour', date) AS window_start,
          date_trunc('hour', date) + INTERVAL 1 HOUR AS window_end,
          closerStopID AS stationID, count(DISTINCT vehicleID) AS numVehicles,
          TRUE AS approx_within_15pct
-  FROM picked GROUP BY 1, 2, 3)
-WHERE {closed('window_end', 'picked')}""",
+  FROM picked GROUP BY 1, 2, 3""",
     f"picked AS (SELECT * FROM telemetry WHERE atStop = 1 AND {HORIZON_SQL})"))
 def q_stream_vehicles_per_stop(spark: SparkSession, sf: str) -> DataFrame:
     out = forms.vehicles_per_stop_windows(bus_stream(spark, sf), start=HORIZON_START,
-                                          horizon=HORIZON_SECONDS, width="1 hour")
-    table, _ = run(flatten_window(out), label="vehicles-per-stop")
+                                          horizon=HORIZON_SECONDS, width="1 hour",
+                                          delay=LATENESS)
+    table, _ = run_latest(flatten_window(out), [*WINDOW, "stationID"], label="vehicles-per-stop")
     return table.select("window_start", "window_end", "stationID", "numVehicles",
                         forms.within("numVehiclesApprox", "numVehicles")
                         .alias("approx_within_15pct"))
@@ -224,20 +253,20 @@ def q_stream_running_total(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register("stream_per_batch", with_tables("""
-SELECT strftime(date, '%H') AS hour,
+@register("stream_per_batch", with_tables(f"""
+SELECT CAST((epoch_us(date) - lo) // ((hi - lo) // {FEED_PARTS} + 1) AS INTEGER) AS batch_id,
+       strftime(date, '%H') AS hour,
        round(100.0::DOUBLE * count_if(congestion = 1) / count(*), 2) AS percentage,
        count(*) AS numMeasurements,
        CAST(count_if(congestion = 1) AS BIGINT) AS congestionMeasurements
-FROM telemetry
+FROM telemetry, (SELECT min(epoch_us(date)) AS lo, max(epoch_us(date)) AS hi FROM telemetry)
 WHERE latitude BETWEEN 53.3343619 AND 53.3702027 AND longitude BETWEEN -6.2886331 AND -6.2043634
   AND isodow(date) <= 5 AND hour(date) IN (7, 8, 9)
-GROUP BY 1"""))
+GROUP BY 1, 2"""))
 def q_stream_per_batch(spark: SparkSession, sf: str) -> DataFrame:
-    # Each micro-batch is analysed on its own (the batch operator applied to
-    # the batch), as a per-interval report.
-    table = run_per_batch(bus_stream(spark, sf), congestion_by_hour, label="per-batch")
-    return table.drop("batch_id")
+    # Each micro-batch (a stretch of the feed) is analysed on its own by the
+    # batch operator, as a per-interval report.
+    return run_per_batch(bus_stream(spark, sf), congestion_by_hour, label="per-batch")
 
 
 PATH_CTES = f"""
@@ -255,9 +284,7 @@ km AS (SELECT vehicleID,
 
 
 def _stream_km(spark: SparkSession, sf: str) -> DataFrame:
-    day_rows = bus_stream(spark, sf).where(
-        (F.col("date") >= F.lit(DAY).cast("timestamp"))
-        & (F.col("date") < F.lit(DAY).cast("timestamp") + F.expr("INTERVAL 1 DAY")))
+    day_rows = bus_stream(spark, sf).where(on_day("date", DAY))
     table, _ = run(path_distance_state(day_rows, max_speed=MAX_SPEED), mode="update",
                    label="path-state")
     return latest_rows(table, ["vehicleID"])
@@ -277,60 +304,55 @@ SELECT CAST(floor(km / {BUCKET_KM}.0) AS BIGINT) AS bucket,
        count(*) AS numVehicles
 FROM km GROUP BY 1, 2""", PATH_CTES))
 def q_stream_distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    # Keyed-state kilometres, and after every trigger the histogram over the
-    # running totals of all vehicles (foreachBatch); the last epoch's is returned.
-    day_rows = bus_stream(spark, sf).where(
-        (F.col("date") >= F.lit(DAY).cast("timestamp"))
-        & (F.col("date") < F.lit(DAY).cast("timestamp") + F.expr("INTERVAL 1 DAY")))
+    # Running kilometres by batch operators, and after every trigger the
+    # histogram over all vehicles; the last epoch's is returned.
+    day_rows = bus_stream(spark, sf).where(on_day("date", DAY))
     sink = fresh_dir(spark, "distance-histogram-sink")
-    query = histogram_per_batch(path_distance_state(day_rows, max_speed=MAX_SPEED),
-                                size=BUCKET_KM, sink=sink,
+    query = histogram_per_batch(day_rows, max_speed=MAX_SPEED, size=BUCKET_KM, sink=sink,
                                 checkpoint=fresh_dir(spark, "distance-histogram-ckpt"))
-    query.awaitTermination()
+    await_end(query)
     return latest_histogram(spark, sink)
 
 
 # ---------------------------------------------------------------- restart, late rows
 
-DAILY_CLOSED_SQL = with_tables(f"""
-SELECT window_start, window_end, n FROM (
-  SELECT date_trunc('day', date) AS window_start,
-         date_trunc('day', date) + INTERVAL 1 DAY AS window_end, count(*) AS n
-  FROM telemetry GROUP BY 1, 2)
-WHERE {closed('window_end')}""")
+DAILY_SQL = with_tables("""
+SELECT date_trunc('day', date) AS window_start,
+       date_trunc('day', date) + INTERVAL 1 DAY AS window_end, count(*) AS n
+FROM telemetry GROUP BY 1, 2""")
 
 SPLIT_DAY = "2024-01-15"
 
 
-def _daily_counts(spark: SparkSession, source: str) -> DataFrame:
-    return flatten_window(forms.windowed_counts(typed(read_bus_csv_stream(spark, source)),
-                                                width="1 day"))
+def _daily_counts(spark: SparkSession, source: str, delay: str = LATENESS) -> DataFrame:
+    return flatten_window(forms.windowed_counts(bus_stream(spark, "", source), width="1 day",
+                                                delay=delay))
 
 
-@register_windowed("stream_restart", DAILY_CLOSED_SQL)
+@register_windowed("stream_restart", DAILY_SQL)
 def q_stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     """Run on the first half of the days, stop, add the rest, restart on the
     same checkpoint: the sink equals a single run over everything."""
     source, sink, ckpt = (fresh_dir(spark, f"restart-{p}") for p in ("src", "sink", "ckpt"))
     rows = telemetry(spark, sf)
     split = F.lit(SPLIT_DAY).cast("timestamp")
-    write_lines(bus_lines(rows.where(F.col("date") < split)), source)
-    run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
-    write_lines(bus_lines(rows.where(F.col("date") >= split)), source)
-    table, _ = run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    write_feed(rows.where(F.col("date") < split), source, parts=2)
+    run_latest(_daily_counts(spark, source), WINDOW, sink=sink, checkpoint=ckpt)
+    write_feed(rows.where(F.col("date") >= split), source, parts=2)
+    table, _ = run_latest(_daily_counts(spark, source), WINDOW, sink=sink, checkpoint=ckpt)
     return table
 
 
-@register_windowed("stream_late_rows", DAILY_CLOSED_SQL)
+@register_windowed("stream_late_rows", DAILY_SQL)
 def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """After a run over all readings, the first day's readings arrive again
-    (a late re-delivery). With watermark delay 0 they are behind the
-    watermark, dropped, and the daily counts do not change."""
+    (a late re-delivery). They are behind the watermark, dropped, and the daily
+    counts do not change."""
     source, sink, ckpt = (fresh_dir(spark, f"late-{p}") for p in ("src", "sink", "ckpt"))
     rows = telemetry(spark, sf)
-    write_lines(bus_lines(rows), source)
-    run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    write_feed(rows, source)
+    run_latest(_daily_counts(spark, source), WINDOW, sink=sink, checkpoint=ckpt)
     first_day_end = F.lit("2024-01-02").cast("timestamp")
     write_lines(bus_lines(rows.where(F.col("date") < first_day_end)), source)
-    table, _ = run(_daily_counts(spark, source), sink=sink, checkpoint=ckpt)
+    table, _ = run_latest(_daily_counts(spark, source), WINDOW, sink=sink, checkpoint=ckpt)
     return table
