@@ -128,3 +128,27 @@ def test_box_filter_is_monotone(spark, grow_lat, grow_lon):
     inner = t.where(in_box("latitude", "longitude", **CITY_BOX)).select("reading_id")
     outer = t.where(in_box("latitude", "longitude", **big)).select("reading_id")
     assert inner.subtract(outer).count() == 0
+
+
+keyed = st.tuples(st.sampled_from([None, 0, 1]), st.sampled_from([None, 0]),
+                  st.one_of(st.none(), st.integers(0, 9000)), st.sampled_from([None, 1, 2]))
+
+
+@SETTINGS
+@given(rows=st.lists(keyed, max_size=14), seconds=st.sampled_from([None, 600, 3600]))
+def test_change_points_with_null_keys_and_times(spark, rows, seconds):
+    """A NULL key is a key like any other; NULL times come first in a series."""
+    data = [(i, v, ln, None if s is None else BASE + dt.timedelta(seconds=s), stop)
+            for i, (v, ln, s, stop) in enumerate(rows)]
+    df = spark.createDataFrame(data, "reading_id long, vehicleID int, busLineID int, "
+                                     "date timestamp, closerStopID int")
+    got = {r.reading_id for r in change_points(
+        df, ["vehicleID", "busLineID"], "date", "reading_id", "closerStopID",
+        slice_seconds=seconds).collect()}
+    want, last = set(), {}
+    for i in sorted(range(len(rows)), key=lambda i: (-1 if rows[i][2] is None else rows[i][2], i)):
+        v, ln, _, stop = rows[i]
+        if (v, ln) not in last or last[v, ln] != stop:
+            want.add(i)
+        last[v, ln] = stop
+    assert got == want

@@ -57,3 +57,80 @@ def test_sql_over_registered_views_equals_operators(spark):
     from tramline.sources.tables import bike_readings
     avg_ops = bikes.hourly_station_average(bike_readings(spark, SF_SMALL))
     assert sorted(map(tuple, avg_sql.collect())) == sorted(map(tuple, avg_ops.collect()))
+
+
+GOOD = "2024-01-08 07:00:00,1,p,0,-6.25,53.35,10,7,3,1"
+BAD = [GOOD + ",extra", "2024-01-08 07:00:00,1,p", GOOD.replace(",10,", ",n/a,"),
+       GOOD.replace("2024-01-08", "8 Jan")]
+
+
+def test_bus_rows_reject_malformed_lines(spark, tmp_dir):
+    from tramline.plans.transit import congestion_by_hour
+    from tramline.sources.csv import bus_rows
+    spark.createDataFrame([(x,) for x in [GOOD, *BAD]], "value string").write.text(f"{tmp_dir}/bus")
+    good, bad = bus_rows(spark, f"{tmp_dir}/bus")
+    row = congestion_by_hour(good).collect()
+    assert [(r.hour, r.percentage, r.numMeasurements) for r in row] == [("07", 0.0, 1)]
+    assert sorted(r.reason for r in bad.collect()) == ["bad_value"] * 2 + ["field_count"] * 2
+
+
+def test_reading_ids_do_not_depend_on_packing(spark, tmp_dir):
+    from tramline.sources.csv import bus_rows
+    lines = [(GOOD.replace(",3,", f",{i},"),) for i in range(40)]
+    spark.createDataFrame(lines, "value string").repartition(4).write.text(f"{tmp_dir}/bus")
+    key = "spark.sql.files.maxPartitionBytes"
+    before, seen = spark.conf.get(key), []
+    try:
+        for size in ("128m", "300b"):
+            spark.conf.set(key, size)
+            good, _ = bus_rows(spark, f"{tmp_dir}/bus")
+            seen.append(sorted((r.reading_id, r.closerStopID) for r in good.collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert seen[0] == seen[1] and len({i for i, _ in seen[0]}) == 40
+
+
+def test_bike_rows_reject_malformed_lines(spark, tmp_dir):
+    from tramline.sources.csv import bike_lines, bike_rows
+    from tramline.sources.tables import bike_readings
+    from conftest import SF_SMALL
+    lines = bike_lines(bike_readings(spark, SF_SMALL))
+    one = lines.first()[0]
+    dirty = [one + ",x", "a,b", one.replace(one.split(",")[1], "yesterday", 1)]
+    lines.unionByName(spark.createDataFrame([(x,) for x in dirty], "value string")).write.text(
+        f"{tmp_dir}/bikes")
+    good, bad = bike_rows(spark, f"{tmp_dir}/bikes")
+    assert good.count() == lines.count() and bad.count() == 3
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    import pytest
+    from tramline.session import require_local
+    for master in ("local", "local[4]", "local[*]"):
+        require_local(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            require_local(master)
+
+
+def test_stored_copy_follows_its_table(spark, tmp_dir):
+    import time
+    from tramline.sources.tables import read_table, telemetry
+    from conftest import SF_SMALL
+    events = read_table(spark, SF_SMALL, "events")
+    events.limit(50).write.parquet(f"{tmp_dir}/events.parquet")
+    assert telemetry(spark, tmp_dir).count() == 50
+    time.sleep(1.1)
+    events.limit(70).write.mode("append").parquet(f"{tmp_dir}/events.parquet")
+    assert telemetry(spark, tmp_dir).count() == 120
+
+
+def test_extremes_in_rows(spark):
+    """Ties give a row each, not a product."""
+    from tramline.operators import extreme_owners
+    df = spark.createDataFrame([("a", i, float(i % 2)) for i in range(600)] + [("b", 1, 5.0)],
+                               "g string, e int, v double")
+    got = extreme_owners(df, "g", "e", "v").collect()
+    assert len(got) == 602
+    assert sorted((r.which, r.value, r.owner) for r in got if r.g == "b") == [
+        ("max", 5.0, 1), ("min", 5.0, 1)]

@@ -39,7 +39,7 @@ def _memo(spark: SparkSession, kind: str, path: str, build) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, "table", path, lambda: spark.read.parquet(path))
+    return _memo(spark, f"table {stamp(spark, path)}", path, lambda: spark.read.parquet(path))
 
 
 def _props_k() -> Column:
