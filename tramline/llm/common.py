@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,18 @@ def python_ready(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def with_release(rows: Iterator, *caches: Callable[[], None]) -> Iterator:
+    """``rows``, and at the end of the partition the worker's caches emptied: a
+    worker lives on for other stages, whose memory it would take."""
+    try:
+        yield from rows
+    finally:
+        import pyarrow
+        for clear in caches:
+            clear()
+        pyarrow.default_memory_pool().release_unused()
+
+
 def scratch_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, whatever its columns are."""
     taken = {c.lower() for c in df.columns}

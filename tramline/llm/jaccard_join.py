@@ -7,14 +7,15 @@ counted fragment by fragment and summed. Which pairs are counted:
 * Two linked sets share one of their first shingles in the global order (the
   prefix), at places i and j with i + j no more than the differences the
   threshold leaves. Prefix shingles meet in blocks.
-* A block of at most ``small_block`` nodes gives its pairs. A parity bitmap of
-  each set (every differing shingle flips one bit) drops most false ones; for
-  the rest, both sets' segments are joined fragment by fragment.
-* Larger blocks, mostly groups of many near copies, are joined to each other
-  through the nodes they share. Such a group is dealt over cells of two tiles
-  of nodes; a cell counts overlaps as products of incidence matrices, one for
-  each fragment, summed, and returns a spanning forest of its links, so a
-  group of n near copies gives no n * n rows.
+* A block of at most ``small_block`` nodes gives its pairs; larger blocks are
+  dealt over cells of two tiles of nodes. Parity bitmaps, about a bit for each
+  shingle, drop most false ties: every differing shingle flips one bit. A cell
+  returns a spanning forest of the ties that are left.
+* Ties make nodes into groups. Each group is dealt over cells
+  of two tiles of nodes, to which each set goes whole; a cell counts overlaps
+  as products of incidence matrices, one for each fragment of the order, summed,
+  and returns a spanning forest of its links. So a group of n near copies gives
+  no n * n rows, and a set is sent once for each tile of its group.
 
 The order needs only be one order: shingles that many documents share come
 last, by the logarithm of their counts (counted over all documents in batches;
@@ -37,7 +38,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import broadcast_if_small, python_ready, stored, table, width
+from tramline.llm import shingles
+from tramline.llm.common import (
+    broadcast_if_small, python_ready, stored, table, width, with_release,
+)
 from tramline.llm.components import components
 from tramline.llm.shingles import mix, set_digest, shingle_sets
 
@@ -52,11 +56,12 @@ class Settings:
     batch_least: int = 3
     #: Hashes that a task gathers before it passes them on.
     gather: int = 2_000_000
-    fragments: int = 4
-    #: Nodes in a tile, and shingles in a cell's fragment.
-    tile: int = 1024
-    columns: int = 2048
-    sketch_words: int = 8
+    #: Nodes in a tile, and shingles in a fragment of the order.
+    tile: int = 256
+    columns: int = 4096
+    #: Nodes in a tile of bitmaps, and the fewest bits of one.
+    bitmap_tile: int = 1024
+    least_bits: int = 512
 
     def linked(self, overlap, a, b):
         return 100 * overlap >= self.percent * (a + b - overlap)
@@ -70,21 +75,37 @@ class Settings:
 
 
 ENTRY = np.dtype([("h", "<u8"), ("d", "<i8"), ("n", "<u4"), ("p", "<u4")])
-PROFILE = ("doc_id long, text_hash long, n_shingles long, node long, sketch binary, "
+#: Ids pass through pandas as text: long columns with nulls would turn to floats.
+PROFILE = ("doc_id string, text_hash long, n_shingles long, node long, sketch binary, "
            "h long, count long")
 
 
+def _releasing(run):
+    """A function of batches that gives its tables' memory back in the end."""
+    return lambda batches: with_release(run(batches), shingles.release)
+
+
 def _hash_column(v: np.ndarray) -> np.ndarray:
     return v.view(np.int64)
 
 
-def _sketch(s: np.ndarray, words: int) -> bytes:
-    """Parity of the number of hashes in each of 64 * words classes."""
-    bits = np.bincount((mix(s) >> np.uint64(40)) % np.uint64(64 * words),
-                       minlength=64 * words) & 1
+def _bitmap(hashes: np.ndarray, least: int) -> bytes:
+    """Parity of the number of hashes in each class; the number of classes is
+    the power of two from the set's size on. Halving a bitmap (by ``_folded``)
+    gives that of half as many classes."""
+    size = max(least, 1 << (len(hashes) - 1).bit_length())
+    bits = np.bincount((mix(hashes) >> np.uint64(20)) & np.uint64(size - 1), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def _folded(bitmap: bytes, n_bytes: int) -> np.ndarray:
+    """A bitmap with its halves laid over each other until it has so few bytes."""
+    b = np.frombuffer(bitmap, dtype=np.uint8)
+    while len(b) > n_bytes:
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return b
+
+
 def profile(docs: DataFrame, s: Settings) -> DataFrame:
     """Two kinds of rows: one per document (its node: the digest of its set),
     and counts of shingles that are frequent within a batch (column h)."""
@@ -105,14 +126,16 @@ def profile(docs: DataFrame, s: Settings) -> DataFrame:
                     rows.append((0, None, None))
                     continue
                 node = set_digest(hashes)
-                rows.append((len(hashes), node, _sketch(hashes, s.sketch_words)))
+                rows.append((len(hashes), node, _bitmap(hashes, s.least_bits)))
                 if node not in seen:
                     seen.add(node)
                     gathered.append(hashes)
                     size += len(hashes)
-            out = pd.DataFrame(rows, columns=["n_shingles", "node", "sketch"])
-            out["node"] = out["node"].astype("Int64")
-            out["doc_id"] = batch["doc_id"].astype("Int64").to_numpy()
+            sizes, nodes, sketches = zip(*rows) if rows else ((), (), ())
+            out = pd.DataFrame({"n_shingles": pd.array(sizes, dtype="Int64"),
+                                "node": pd.array(nodes, dtype="Int64"),
+                                "sketch": pd.Series(sketches, dtype=object)})
+            out["doc_id"] = batch["doc_id"].to_numpy(dtype=object)
             out["text_hash"] = batch["text_hash"].to_numpy()
             out["h"] = pd.array([pd.NA] * len(out), dtype="Int64")
             out["count"] = pd.array([pd.NA] * len(out), dtype="Int64")
@@ -125,9 +148,10 @@ def profile(docs: DataFrame, s: Settings) -> DataFrame:
         if size:
             yield _padded(counts())
 
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+    return stored(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text",
                               F.xxhash64("text").alias("text_hash"))
-                  .mapInPandas(run, PROFILE), "shingle-profile")
+                  .mapInPandas(_releasing(run), PROFILE)
+                  .withColumn("doc_id", F.col("doc_id").cast("long")), "shingle-profile")
 
 
 _PROFILE_NAMES = [c.split()[0] for c in PROFILE.split(", ")]
@@ -135,7 +159,7 @@ _PROFILE_NAMES = [c.split()[0] for c in PROFILE.split(", ")]
 
 def _padded(counts: pd.DataFrame) -> pd.DataFrame:
     for c in _PROFILE_NAMES:
-        if c == "sketch":
+        if c in ("sketch", "doc_id"):
             counts[c] = None
         elif c not in counts:
             counts[c] = pd.array([pd.NA] * len(counts), dtype="Int64")
@@ -225,7 +249,7 @@ def blocks(docs: DataFrame, frequent, s: Settings) -> DataFrame:
             "a": np.concatenate([pairs[:, 0], members[:, 0]]),
             "b": np.concatenate([pairs[:, 1], members[:, 1]])})
 
-    dealt = docs.select("text").mapInPandas(prefixes, "part long, entries binary")
+    dealt = docs.select("text").mapInPandas(_releasing(prefixes), "part long, entries binary")
     return stored(dealt.groupBy("part").applyInPandas(meet, "kind int, a long, b long"),
                   "shingle-blocks")
 
@@ -283,44 +307,12 @@ def _pairs(e: np.ndarray, s: Settings) -> np.ndarray:
     return np.unique(np.concatenate(found), axis=0)
 
 
-def segments(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """Sets of the wanted documents (doc_id, text_hash, node), cut into
-    fragments of the global order: (node, fragment, hashes)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for node, hashes in zip(batch["node"], shingle_sets(list(batch["text"]), s.words)):
-                # Any cut by the hash alone is a cut of the order within each rank.
-                cut = np.searchsorted(hashes, _cuts(s.fragments))
-                for f, part in enumerate(np.split(hashes, cut)):
-                    rows.append((node, f, len(hashes), part.tobytes()))
-            yield pd.DataFrame(rows, columns=["node", "fragment", "n", "hashes"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.xxhash64("text").alias("text_hash"))
-    want = wanted.select(F.col("doc_id").alias("w_doc"), F.col("text_hash").alias("w_hash"), "node")
-    picked = rows.join(broadcast_if_small(want), F.col("doc_id").eqNullSafe(F.col("w_doc"))
-                       & (F.col("text_hash") == F.col("w_hash"))).select("node", "text")
-    # A node's representative may stand in several equal rows.
-    return stored(picked.mapInPandas(run, "node long, fragment int, n long, hashes binary")
-                  .dropDuplicates(["node", "fragment"]), "shingle-segments")
-
-
-def _cuts(fragments: int) -> np.ndarray:
-    return np.array([(i << 64) // fragments for i in range(1, fragments)], dtype=np.uint64)
-
-
-def _overlap(x: pd.Series, y: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"),
-                                         assume_unique=True)) for a, b in zip(x, y)],
-                     dtype="int64")
-
-
 def _parity_differences(x: pd.Series, y: pd.Series) -> pd.Series:
-    a = np.array([np.frombuffer(v, np.uint8) for v in x])
-    b = np.array([np.frombuffer(v, np.uint8) for v in y])
-    return pd.Series(np.unpackbits(a ^ b, axis=1).sum(axis=1).astype(np.int64)
-                     if len(x) else [], dtype="int64")
+    out = np.zeros(len(x), dtype=np.int64)
+    for i, (a, b) in enumerate(zip(x, y)):
+        size = min(len(a), len(b))
+        out[i] = np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum()
+    return pd.Series(out)
 
 
 def possible_pairs(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
@@ -334,64 +326,121 @@ def possible_pairs(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame
     return both.where(differences("sketch_a", "sketch_b") <= most).select("a", "b")
 
 
-def pair_links(pairs: DataFrame, segs: DataFrame, s: Settings) -> DataFrame:
-    """Links among pairs: overlaps counted fragment by fragment, then summed."""
-    def side(x: str) -> DataFrame:
-        return segs.select(F.col("node").alias(x), "fragment", F.col("n").alias(f"n_{x}"),
-                           F.col("hashes").alias(f"hashes_{x}"))
-    fragments = F.explode(F.sequence(F.lit(0), F.lit(s.fragments - 1)))
-    overlap = F.pandas_udf(_overlap, "long")
-    counted = (pairs.withColumn("fragment", fragments)
-               .join(side("a"), ["a", "fragment"]).join(side("b"), ["b", "fragment"])
-               .select("a", "b", "n_a", "n_b", overlap("hashes_a", "hashes_b").alias("o")))
-    return (counted.groupBy("a", "b", "n_a", "n_b").agg(F.sum("o").alias("o"))
-            .where(s.linked(F.col("o"), F.col("n_a"), F.col("n_b"))).select("a", "b"))
-
-
-def cell_links(groups: DataFrame, segs: DataFrame, s: Settings) -> DataFrame:
-    """A spanning forest of the links within each group (node, root)."""
+def possible_ties(members: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    """Of larger blocks (shingle a, node b), a spanning forest of the pairs whose
+    parity bitmaps differ no more than links allow."""
+    sizes = members.groupBy("a").agg(F.ceil(F.count("*") / s.bitmap_tile).cast("int")
+                                     .alias("tiles"))
+    cells = (members.join(sizes, "a")
+             .withColumn("tile", F.pmod(F.xxhash64("b"), F.col("tiles")).cast("int"))
+             .withColumn("other", F.explode_outer(F.sequence(F.lit(0), F.col("tiles") - 1)))
+             .select("a", F.least("tile", "other").alias("i"),
+                     F.greatest("tile", "other").alias("j"), F.col("b").alias("node")))
+    places = 8 * width(members.sparkSession)
+
+    def ties(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [_tied(cell["node"].to_numpy(dtype=np.int64),
+                       cell["n_shingles"].to_numpy(dtype=np.int64), list(cell["sketch"]), s)
+                 for _, cell in rows.groupby(["a", "i", "j"], sort=False)]
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    return (cells.join(nodes.select("node", "n_shingles", "sketch"), "node")
+            .withColumn("place", F.pmod(F.xxhash64("a", "i", "j"), F.lit(places)))
+            .groupBy("place").applyInPandas(ties, "a long, b long"))
+
+
+def _tied(nodes: np.ndarray, n: np.ndarray, bitmaps: list[bytes], s: Settings) -> np.ndarray:
+    """A forest (node, node) of one cell's possible links. Linked sets are of
+    like size, so their bitmaps have one size or are a halving apart."""
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    size = np.array([len(x) for x in bitmaps])
+    for small in np.unique(size):
+        at = np.flatnonzero((size == small) | (size == 2 * small))
+        bits = np.unpackbits(np.stack([_folded(bitmaps[i], int(small)) for i in at]),
+                             axis=1).astype(np.float32)
+        ones, m = bits.sum(axis=1), n[at]
+        differ = ones[:, None] + ones[None, :] - 2 * (bits @ bits.T)
+        possible = ((differ <= s.most_differing(m[:, None], m[None, :]))
+                    & (100 * np.minimum(m[:, None], m[None, :])
+                       >= s.percent * np.maximum(m[:, None], m[None, :])))
+        label = _labels(possible)
+        moved = label != np.arange(len(at))
+        found.append(np.stack([nodes[at[moved]], nodes[at[label[moved]]]], 1))
+    return np.concatenate(found)
+
+
+def _labels(linked: np.ndarray) -> np.ndarray:
+    """The smallest number in each one's component of a link matrix."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.minimum(np.where(linked, label[None, :], len(linked)).min(axis=1), label)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+CELL = "root long, i int, j int, node long, hashes binary"
+
+
+def cell_links(docs: DataFrame, groups: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
+    """A spanning forest (a, b) of the links within each group (node, root)."""
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / s.tile).cast("int").alias("tiles"))
-    own = (groups.join(sizes, "root")
-           .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
-    cells = own.select("root", F.least("tile", "other").alias("i"),
-                       F.greatest("tile", "other").alias("j"), "node")
-    rows = cells.join(segs, "node").select("root", "i", "j", "node", "n", "hashes")
-
-    def count(cell: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_forest(cell, s), columns=["a", "b"])
-
-    return rows.groupBy("root", "i", "j").applyInPandas(count, "a long, b long")
-
-
-def _forest(cell: pd.DataFrame, s: Settings) -> np.ndarray:
-    nodes, row = np.unique(cell["node"].to_numpy(dtype=np.int64), return_inverse=True)
-    n = np.zeros(len(nodes), dtype=np.int64)
-    n[row] = cell["n"].to_numpy()
-    parts = [np.frombuffer(x, "<u8") for x in cell["hashes"]]
-    h = np.concatenate(parts)
-    owner = np.repeat(row, [len(p) for p in parts])
+    wanted = stored(
+        groups.join(sizes, "root").join(nodes.select("node", "rep"), "node")
+        .select(F.col("rep.doc_id").alias("w_doc"), F.col("rep.text_hash").alias("w_hash"), "node",
+                "root", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+                .alias("tile")), "shingle-wanted")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.xxhash64("text").alias("text_hash"))
+    picked = rows.join(broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("w_doc"))
+                       & (F.col("text_hash") == F.col("w_hash"))).select(
+                           "root", "tiles", "tile", "node", "text")
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for root, tiles, tile, node, hashes in zip(
+                    batch["root"], batch["tiles"], batch["tile"], batch["node"],
+                    shingle_sets(list(batch["text"]), s.words)):
+                rows += [(root, min(tile, other), max(tile, other), node, hashes.tobytes())
+                         for other in range(tiles)]
+            yield pd.DataFrame(rows, columns=["root", "i", "j", "node", "hashes"])
+
+    def count(cells: pd.DataFrame) -> pd.DataFrame:
+        # Rows equal in doc_id and text bring a set twice.
+        cells = cells.drop_duplicates(["root", "i", "j", "node"])
+        found = [_forest(cell["node"].to_numpy(dtype=np.int64), list(cell["hashes"]), s)
+                 for _, cell in cells.groupby(["root", "i", "j"], sort=False)]
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    places = 8 * width(docs.sparkSession)
+    return (picked.mapInPandas(_releasing(sets), CELL)
+            .withColumn("place", F.pmod(F.xxhash64("root", "i", "j"), F.lit(places)))
+            .groupBy("place").applyInPandas(count, "a long, b long"))
+
+
+def _forest(nodes: np.ndarray, sets: list[bytes], s: Settings) -> np.ndarray:
+    """Links of one cell's sets, as (node, smallest node tied to it)."""
+    order = np.argsort(nodes)
+    nodes = nodes[order]
+    parts = [np.frombuffer(sets[i], "<u8") for i in order]
+    n = np.array([len(p) for p in parts], dtype=np.int64)
+    h, owner = np.concatenate(parts), np.repeat(np.arange(len(nodes)), n)
     order = np.argsort(h, kind="stable")
     h, owner = h[order], owner[order]
     _, column, count = _groups(h)
     held = count[column] > 1  # a shingle of one node adds to no overlap
     owner, column = owner[held], np.unique(column[held], return_inverse=True)[1]
     overlap = np.zeros((len(nodes), len(nodes)), dtype=np.float32)
-    ends = np.searchsorted(column, np.arange(0, (column.max() + 1 if len(column) else 0)
-                                             + s.columns, s.columns))
-    for a, z in zip(ends[:-1], ends[1:]):
-        if z > a:
-            part = np.zeros((len(nodes), s.columns), dtype=np.float32)
-            part[owner[a:z], column[a:z] % s.columns] = 1
-            overlap += part @ part.T
+    width_ = min(s.columns, int(column[-1]) + 1) if len(column) else 1
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width_):
+        a, z = np.searchsorted(column, [first, first + width_])
+        part = np.zeros((len(nodes), width_), dtype=np.float32)
+        part[owner[a:z], column[a:z] - first] = 1
+        overlap += part @ part.T  # this fragment's partial overlaps
     linked = s.linked(overlap.astype(np.int64), n[:, None], n[None, :])
-    label = np.arange(len(nodes))
-    while True:  # the smallest label among each node's links, until none changes
-        least = np.where(linked, label[None, :], len(nodes)).min(axis=1)
-        least = least[np.minimum(least, label)]
-        if (least >= label).all():
-            break
-        label = np.minimum(label, least)
+    label = _labels(linked)
     moved = label != np.arange(len(nodes))
     return np.stack([nodes[moved], nodes[label[moved]]], 1)
 
@@ -408,18 +457,10 @@ def jaccard_components(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.min(order).alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("sketch").alias("sketch")), "shingle-nodes")
     met = blocks(docs, frequent_shingles(rows, s), s)
-    pairs = stored(possible_pairs(met.where("kind = 0").select("a", "b"), nodes, s),
-                   "shingle-pairs")
-    # Groups of the larger blocks: the block's place is tied to each node.
-    places = met.where("kind = 1").select(F.xxhash64(F.lit("block"), "a").alias("a"), "b")
-    groups = components(places, "shingle-groups").join(
-        nodes.select("node"), "node", "left_semi")
-    groups = stored(groups, "shingle-group-nodes")
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("node"))
-              .union(groups.select("node")).distinct()
-              .join(nodes, "node").select("node", "rep.doc_id", "rep.text_hash"))
-    segs = segments(docs, stored(wanted, "shingle-wanted"), s)
-    links = pair_links(pairs, segs, s).union(cell_links(groups, segs, s))
+    pairs = possible_pairs(met.where("kind = 0").select("a", "b"), nodes, s)
+    ties = possible_ties(met.where("kind = 1").select("a", "b").distinct(), nodes, s)
+    groups = stored(components(pairs.union(ties), "shingle-groups"), "shingle-group-nodes")
+    links = cell_links(docs, groups, nodes, s)
     joined = components(links, "shingle-links")
     # The first document of each component, for the nodes that have links.
     rep = (joined.join(nodes.select("node", "rep"), "node")

@@ -36,6 +36,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _POWERS: list[np.ndarray] = []
 
 
+def release() -> None:
+    """Give the tables' memory back."""
+    _POWERS.clear()
+
+
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``n`` of them."""
     if not _POWERS or len(_POWERS[0]) < n:
