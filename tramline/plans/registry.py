@@ -1,8 +1,10 @@
 """Registry of named queries: a Spark builder and, where one exists, the
 equivalent DuckDB SQL over the same parquet tables.
 
-A builder takes ``(spark, sf_dir)`` and returns a lazy ``DataFrame``; the
-caller runs it. Output column names are identical on both sides.
+A builder takes ``(spark, sf_dir)`` and returns a ``DataFrame`` that the caller
+runs. What it reads beside the given tables (stored telemetry, CSV copies, the
+staged feed) is written on first use, and streams are drained in the builder;
+the rest is lazy. Output column names are identical on both sides.
 """
 
 from __future__ import annotations

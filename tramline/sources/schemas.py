@@ -33,7 +33,6 @@ BUS_COLUMNS = [
 ]
 
 BUS_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in BUS_COLUMNS])
-BUS_DDL = ", ".join(f"`{n}` {t.simpleString()}" for n, t in BUS_COLUMNS)
 BUS_FIELD_COUNT = len(BUS_COLUMNS)
 
 # Bike station CSV (snake_case names for the original headers
