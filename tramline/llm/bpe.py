@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -24,11 +25,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import python_ready, table
+from tramline.llm.common import python_ready, table, with_release
 
 #: Distinct pieces of text (matches of the pattern) whose ids a worker keeps;
 #: beyond it the store starts anew, so memory is bounded.
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 250_000
 #: Texts of these characters (Latin letters, general punctuation) are split by
 #: the regex module, others by the tokenizers library: the two know different
 #: versions of the Unicode tables, which agree here, and the former is faster.
@@ -127,12 +128,16 @@ def codec(path: str | None = None, pattern: str | None = None) -> Codec:
 def encode(text: Column | str, path: str | None = None, pattern: str | None = None) -> Column:
     """Struct column (ids, starts, ends): token ids with character offsets."""
     @F.pandas_udf("ids array<int>, starts array<int>, ends array<int>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        c, rows = codec(path, pattern), []
-        for t in texts:
-            ids = c.encode(t or "")
-            rows.append((np.array(ids, dtype=np.int32), *c.offsets(t or "", ids)))
-        return pd.DataFrame(rows, columns=["ids", "starts", "ends"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = codec(path, pattern)
+
+        def spans(texts: pd.Series) -> pd.DataFrame:
+            rows = []
+            for t in texts:
+                ids = c.encode(t or "")
+                rows.append((np.array(ids, dtype=np.int32), *c.offsets(t or "", ids)))
+            return pd.DataFrame(rows, columns=["ids", "starts", "ends"])
+        return with_release(map(spans, batches), c.known.clear)
     return run(text)
 
 
@@ -149,16 +154,20 @@ def round_trip(text: Column | str, path: str | None = None, pattern: str | None
     """Struct column: token count and digests of ids and decoded bytes. Ids of
     a text are encoded, decoded and digested in one pass and never stored."""
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(path, pattern)
-        rows = []
-        for t in texts:
-            ids = c.encode(t or "")
-            back = c.decode_bytes(ids)
-            listed = ",".join(map(c.digits.__getitem__, ids)).encode()
-            rows.append((len(ids), hashlib.sha256(listed).hexdigest(),
-                         hashlib.sha256(back).hexdigest(), back == (t or "").encode()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "exact"])
+
+        def digests(texts: pd.Series) -> pd.DataFrame:
+            rows = []
+            for t in texts:
+                ids = c.encode(t or "")
+                back = c.decode_bytes(ids)
+                listed = ",".join(map(c.digits.__getitem__, ids)).encode()
+                rows.append((len(ids), hashlib.sha256(listed).hexdigest(),
+                             hashlib.sha256(back).hexdigest(), back == (t or "").encode()))
+            return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256",
+                                               "exact"])
+        return with_release(map(digests, batches), c.known.clear)
     return run.asNondeterministic()(text)
 
 

@@ -19,6 +19,7 @@ their own row; other columns are not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import held_out, python_ready, scratch_name, table
+from tramline.llm.common import held_out, python_ready, scratch_name, table, with_release
 
 BLOCK = 256
 #: Blocks parsed in lockstep (with ``BLOCK``, this bounds the memory of a batch
@@ -244,8 +245,9 @@ def language(text: Column | str, model: Model, spark: SparkSession) -> Column:
     shared = spark.sparkContext.broadcast(model)  # languages x chars, a bounded sample
 
     @F.pandas_udf(SCHEMA)
-    def run(batch: pd.Series) -> pd.DataFrame:
-        return identify(list(batch), shared.value)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return with_release((identify(list(b), shared.value) for b in batches),
+                            _parsers.cache_clear)
     return run.asNondeterministic()(text)
 
 
