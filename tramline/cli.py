@@ -11,7 +11,10 @@
 Batch runs read the folder once; ``--stream`` watches it (``--trigger`` for
 a processing-time interval, otherwise it drains what is there and stops).
 Results go to ``--output`` (parquet; streams also need ``--checkpoint`` when
-restarts must resume) or, without it, are shown on the console.
+restarts must resume) or, without it, are shown on the console. Streams that
+carry a table from trigger to trigger (arrivals, busiest-stops,
+distance-histogram) keep it in ``--output``, or beside the checkpoint, and at
+their end write their rows to ``<output>-result``.
 """
 
 from __future__ import annotations
@@ -210,6 +213,9 @@ def run(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
         await_end(begin(sink, checkpoint, args.trigger))
         if not args.output:
             _show(result(spark, sink), args.rows)
+        elif not hasattr(begin, "console"):
+            # The sink holds running state; the analysis' rows go beside it.
+            result(spark, sink).write.mode("overwrite").parquet(f"{sink.rstrip('/')}-result")
         return sink
     # Console: for watching a feed interactively (rows go through the driver).
     stream, mode = begin.console
