@@ -27,7 +27,17 @@ def test_sql_twin(spark, name):
     assert report["ok"], report
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"op5_warc_zip"}))
+def test_leaks_are_the_contaminated_documents(spark):
+    docs, items = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    hits = {(r.doc_id, r.item_id) for r in QUERIES["op2_decontaminate"](spark, SF).collect()}
+    texts = [(r.item_id, r.text) for r in items.collect()]
+    exact = {(r.doc_id, i) for r in docs.collect() for i, t in texts if t in r.text}
+    assert exact and exact <= hits
+    flagged = decontaminate.decontaminate(docs, items).where("contaminated")
+    assert {r.doc_id for r in flagged.collect()} == {d for d, _ in hits}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"op2_decontaminate"}))
 def test_whole_table(spark, name):
     docs = table(spark, SF, "documents")
     got = QUERIES[name](spark, SF)

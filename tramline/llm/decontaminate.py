@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import python_ready, scratch_name, table
+from tramline.llm.common import python_ready, scratch_name, table, with_release
 
 Q = 8  # a gram is one 64-bit word, so equal words are equal grams
 HITS = "array<struct<item_id: bigint, first: int, last: int, edits: int>>"
@@ -45,7 +45,7 @@ class Settings:
     least_bytes: int = 24
     block_bytes: int = 4 << 20
     #: Bytes of documents that are matched together.
-    batch_bytes: int = 4 << 20
+    batch_bytes: int = 1 << 20
 
     def edits(self, m: int) -> int:
         return max(0, min(m // self.bytes_per_edit, (m - Q + 1 - self.least_shared) // Q))
@@ -275,10 +275,12 @@ def hits(text: Column | str, benchmark: DataFrame, s: Settings = Settings()) ->
         shared = benchmark.sparkSession.sparkContext.broadcast(index)
 
         @F.pandas_udf(HITS)
-        def run(texts: pd.Series) -> pd.Series:
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             names = ("item_id", "first", "last", "edits")
-            return pd.Series([[dict(zip(names, h)) for h in merged(found)]
-                              for found in find(list(texts), shared.value)], dtype=object)
+            return with_release(
+                pd.Series([[dict(zip(names, h)) for h in merged(found)]
+                           for found in find(list(texts), shared.value)], dtype=object)
+                for texts in batches)
         return run.asNondeterministic()(text)
     return F.concat(*[matcher(index) for index in blocks(benchmark, s)])
 
@@ -302,5 +304,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(F.size(name) == 0).drop(name)
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """One row per hit: doc_id, item_id, first and last character, edits.
+    Documents without a hit have no row."""
+    found = decontaminate(docs, benchmark, s)
+    return found.select("doc_id", F.explode_outer("hits").alias("hit")).where(
+        F.col("hit").isNotNull()).select("doc_id", "hit.*")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
