@@ -29,7 +29,7 @@ from tramline.llm.common import python_ready, table, with_release
 
 #: Distinct pieces of text (matches of the pattern) whose ids a worker keeps;
 #: beyond it the store starts anew, so memory is bounded.
-KNOWN_PIECES = 250_000
+KNOWN_PIECES = 500_000
 #: Texts of these characters (Latin letters, general punctuation) are split by
 #: the regex module, others by the tokenizers library: the two know different
 #: versions of the Unicode tables, which agree here, and the former is faster.
@@ -68,7 +68,7 @@ class Codec:
         self.split = pre_tokenizers.Split(Regex(pattern), "isolated")
         self.find = regex.compile(pattern).findall
         self.plain = regex.compile(PLAIN).fullmatch
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
         # Decoding goes back from the library's own token names to bytes.
         byte_of = {c: b for b, c in enumerate(table_)}
         size = max(ranks.values()) + 1
@@ -87,13 +87,17 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         pieces = self.pieces(text)
         known = self.known
+        try:
+            return list(chain.from_iterable(map(known.__getitem__, pieces)))
+        except KeyError:
+            pass
         new = [p for p in set(pieces) if p not in known]
         if len(known) + len(new) > KNOWN_PIECES:
             known.clear()
             new = list(set(pieces))
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known.update((p, e.ids) for p, e in zip(new, found))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        # Tuples of numbers are no concern of the garbage collector's.
+        known.update((p, tuple(e.ids)) for p, e in zip(new, found))
         return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
     def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:

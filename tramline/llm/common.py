@@ -28,10 +28,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def python_ready(df: DataFrame) -> SparkSession:
-    """The session of ``df``, with this package on the Python workers."""
-    ship_package(df.sparkSession)
-    return df.sparkSession
+    """The session of ``df``, with this package on the Python workers, and
+    batches of 2,000 rows where the session has Spark's own 10,000: whole texts
+    are wide rows, and a worker holds a batch several times over."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "2000")
+    return spark
 
 
 def with_release(rows: Iterator, *caches: Callable[[], None]) -> Iterator:
