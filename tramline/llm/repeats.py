@@ -38,8 +38,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import broadcast_if_small, python_ready, stored, table, width
-from tramline.llm.shingles import _BASE, _tables, mix
+from tramline.llm.common import broadcast_if_small, python_ready, stored, table, width, with_release
+from tramline.llm.shingles import _BASE, _tables, mix, release
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ class Settings:
     blocks: tuple[int, ...] = (64, 8, 1)
     #: Bytes of texts that are hashed together; a batch takes some 150 times as
     #: much memory. A longer text is one batch.
-    batch_bytes: int = 512 << 10
+    batch_bytes: int = 256 << 10
 
     @property
     def window(self) -> int:
@@ -173,7 +173,8 @@ def anchors(docs: DataFrame, s: Settings) -> DataFrame:
 
     return stored(docs.select(F.col("doc_id").cast("string").alias("doc_id"),
                               F.xxhash64("text").alias("text_hash"), "text")
-                  .mapInPandas(run, ANCHORS), "repeat-anchors")
+                  .mapInPandas(lambda batches: with_release(run(batches), release), ANCHORS),
+                  "repeat-anchors")
 
 
 def bodies(docs: DataFrame, picked: DataFrame, s: Settings) -> DataFrame:
@@ -196,7 +197,8 @@ def bodies(docs: DataFrame, picked: DataFrame, s: Settings) -> DataFrame:
                                 r["witness"], raw[a:a + r["starts"] + s.length - 1]))
             yield pd.DataFrame(out, columns=_BODY_NAMES)
 
-    return stored(rows.mapInPandas(run, BODIES), "repeat-bodies")
+    return stored(rows.mapInPandas(lambda batches: with_release(run(batches)), BODIES),
+                  "repeat-bodies")
 
 
 def with_runs(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -377,19 +379,22 @@ def repeated_runs(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     twice = each.where("n > 1").select("key", "class")
     found = [rows.where("key IS NULL").select(*names),
              keyed.join(twice, ["key", "class"]).select(*names)]
-    several = each.groupBy("key").agg(F.count("*").alias("k"), F.min("n").alias("least")).where(
-        "k > 1 AND least = 1").select("key")
-    picked = each.join(several, "key").withColumn("witness", F.col("n") > 1)
+    # Stored, here and below, so that joins with a hot key stand alone.
+    several = stored(each.groupBy("key").agg(F.count("*").alias("k"), F.min("n").alias("least"))
+                     .where("k > 1 AND least = 1").select("key"), "repeat-several")
+    picked = each.join(broadcast_if_small(several, 1_000_000), "key").withColumn(
+        "witness", F.col("n") > 1)
     left = bodies(docs, picked, s)
     for block in (*s.blocks, 0):
         counts = left.groupBy("key").agg(F.count("*").alias("k"),
                                          F.min("witness").alias("settled"))
-        counts = counts.where("k > 1 AND NOT settled").drop("settled")
-        cells = left.join(counts.where(F.col("k") <= s.cell), "key", "left_semi")
+        counts = stored(counts.where("k > 1 AND NOT settled").drop("settled"), "repeat-counts")
+        few, many = counts.where(F.col("k") <= s.cell), counts.where(F.col("k") > s.cell)
+        cells = left.join(broadcast_if_small(few, 1_000_000), "key", "left_semi")
         found.append(_in_cells(cells, s, spark))
-        wide = left.join(counts.where(F.col("k") > s.cell), "key", "left_semi")
-        if not block or wide.isEmpty():
+        if not block or many.isEmpty():
             break
+        wide = left.join(broadcast_if_small(many), "key", "left_semi")
         blocks = stored(cut(wide, block, s), "repeat-blocks")
         folded = stored(blocks.groupBy("key", "class").agg(
             F.count("*").alias("n"), F.min("witness").alias("all_witness"),
