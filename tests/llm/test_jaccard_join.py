@@ -105,5 +105,21 @@ def test_stage_keeps_one_of_each(spark, frame, edge_rows):
     assert {1, 2, 3, None} <= set(ids) and ids.count(5) == 2  # equal rows are one document
 
 
+def test_stage_takes_five_words_and_80_percent(spark, frame):
+    """Copies whose 5-word Jaccard lies between 0.80 and 0.85, and one below."""
+    def words(name, n=100):
+        return [f"{name}{i}" for i in range(n)]
+
+    changed = words("b")
+    changed[30], changed[60] = "x", "y"
+    rows = [(1, words("b")), (2, changed),                     # 86 / 106 = 0.811
+            (3, words("c")), (4, words("c") + words("d", 22)),  # 96 / 118 = 0.814
+            (5, words("e")), (6, words("e", 82)),              # 78 / 96 = 0.8125
+            (7, words("f")), (8, words("f") + words("g", 25))]  # 96 / 121 = 0.793
+    docs = frame([(i, " ".join(w)) for i, w in rows])
+    assert {r.doc_id for r in J.keep_first(spark, docs, "").collect()} == {1, 3, 5, 7, 8}
+    assert len({r.component_id for r in J.jaccard_components(docs).collect()}) == 8  # op8: 4 / 85
+
+
 def test_empty_table(frame):
     assert J.jaccard_components(frame([])).count() == 0

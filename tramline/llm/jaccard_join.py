@@ -475,10 +475,14 @@ def jaccard_components(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
                     (F.col("top").isNull() | (F.col("top") == own)).alias("first")))
 
 
+#: Near copies for the pipeline's stage; op8's own contract is the default.
+STAGE = Settings(words=5, percent=80)
+
+
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component only the document with the smallest
-    doc_id (then text hash); all columns as they were."""
-    found = jaccard_components(docs)
+    """Pipeline stage: of each component (five words, 80 %) only the document
+    with the smallest doc_id (then text hash); all columns as they were."""
+    found = jaccard_components(docs, STAGE)
     gone = stored(found.where("NOT first").select(F.col("doc_id").alias("gone_doc_id"),
                                                   F.col("text_hash").alias("gone_text_hash"))
                   .distinct(), "near-copies")
