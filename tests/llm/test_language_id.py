@@ -96,3 +96,37 @@ def test_stage_keeps_text_and_rejects_noise(spark, frame, rng):
     out = L.keep_languages(spark, docs, "")
     assert out.columns == docs.columns
     assert {r.doc_id for r in out.collect()} == {i for i, _ in rows}
+
+
+def test_rare_languages_do_not_stop_the_rejection(spark, frame, rng):
+    """Beside a large language, one with an empty text, one with two letters,
+    and one of a few hundred characters, whose texts must stay."""
+    def prose(words, n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    large = ["the", "cat", "sat", "under", "nine", "green", "trees", "with", "apples", "and"]
+    small = ["кот", "сидит", "под", "девятью", "зелёными", "деревьями", "вместе", "яблоки"]
+    rows = [(i, prose(large, 80)) for i in range(1, 90)]
+    noise = ["".join(rng.choice(letters) for _ in range(2000)) for letters in
+             ("bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZéßñ", "adehinprstuw ", "квзйцшщжхюяыдт")]
+    docs = frame(rows, lang="en")
+    rare = [(1001, "", "aa"), (1002, "ab", "ab"), (1003, prose(small, 60), "ru")]
+    for i, text, lang in rare:
+        assert not frame([(i, text)]).where(~held_out()).isEmpty()  # it is learned from
+        docs = docs.union(frame([(i, text)], lang=lang))
+    docs = docs.union(frame([*((2000 + k, x) for k, x in enumerate(noise)),
+                             (3000, prose(small, 80)), (3001, prose(large, 80))]))
+    kept = {r.doc_id for r in L.keep_languages(spark, docs, "").collect()}
+    assert kept == {i for i, _ in rows} | {1002, 1003, 3000, 3001}
+
+
+def test_limits_of_large_languages_are_one(rng):
+    """Every long sample has the lowest rate of all, with rare ones or without."""
+    def sample(words):
+        return " ".join(rng.choice(words) for _ in range(2000))
+
+    large = (("p", sample(["one", "two", "three", "seven", "eleven"])),
+             ("q", sample(["eins", "zwei", "drei", "sieben", "elf"])))
+    limits = L._reject_rates(large)
+    assert limits[0] == limits[1] < 1
+    assert L._reject_rates((("a", ""), *large, ("z", "xy"))) == (1.0, *limits, 1.0)

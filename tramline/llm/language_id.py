@@ -13,7 +13,10 @@ all languages alike).
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; equal rates go to the alphabetically first language; score is the margin
 1 - best rate / second best rate, or 1 - rate if one language was learned;
-without any labelled text every document is ``und``. Repeated rows each get
+without any labelled text every document is ``und``. A text of at least
+``least_bytes`` is rejected if its rate is above the limit of the language that
+parses it best; a language with too little labelled text for a limit rejects
+none of the texts that it alone parses best. Repeated rows each get
 their own row; other columns are not looked at.
 """
 
@@ -124,10 +127,10 @@ class Parser:
 
 @dataclass(frozen=True)
 class Model:
-    """Samples by language, and the phrase rate above which a long text is in
-    none of them."""
+    """Samples by language, and for each the phrase rate above which a long text
+    that it parses best is in none of them (none given: no text is)."""
     samples: tuple[tuple[str, str], ...]
-    reject_rate: float = 1.0
+    reject_rates: tuple[float, ...] = ()
     #: Texts of fewer bytes are never rejected for their rate.
     least_bytes: int = 200
 
@@ -200,22 +203,45 @@ def fit(docs: DataFrame, chars: int = 60_000, docs_per_lang: int = 400) -> Model
         if len(texts.setdefault(r["lang"], "")) < chars:
             texts[r["lang"]] += r["piece"] + "\n"
     samples = tuple((lang, t[:chars]) for lang, t in sorted(texts.items()))
-    return Model(samples, _reject_rate(samples))
+    return Model(samples, _reject_rates(samples))
+
+
+def _reject_rates(samples: tuple[tuple[str, str], ...],
+                  least_bytes: int = Model.least_bytes) -> tuple[float, ...]:
+    """A limit for each language. The common one is the lowest rate of a long
+    sample's characters in random order (its last tenth, shuffled, against its
+    rest), for every language whose own last tenth parses better than that. Any
+    other has a limit of its own: the rate of its whole sample, shuffled, if half
+    of the sample parses the other half better. A language whose sample is too
+    short for that, or parses no better in order, has none (1), and takes no
+    other language's limit away."""
+    rng = np.random.default_rng(7)
 
+    def rate(text: str, sample: str) -> float:
+        return rates([text], (("", sample),))[0, 0]
 
-def _reject_rate(samples: tuple[tuple[str, str], ...]) -> float:
-    """The lowest rate of the samples' characters in random order (each
-    sample's last tenth, shuffled, against its rest), if the same text in its
-    own order parses better in every language; else no text is rejected."""
-    own, noise = [], []
-    rng = np.random.default_rng(7)
+    def shuffled(text: str) -> str:
+        return "".join(rng.permutation(list(text)))
+
+    own, noise = {}, {}
     for lang, text in samples:
         cut = len(text) * 9 // 10
-        rest = ((lang, text[:cut]),)
-        tail = text[cut:]
-        own.append(rates([tail], rest)[0, 0])
-        noise.append(rates(["".join(rng.permutation(list(tail)))], rest)[0, 0])
-    return float(min(noise)) if own and max(own) < min(noise) else 1.0
+        if len(_classes(text[cut:])) >= least_bytes:
+            own[lang] = rate(text[cut:], text[:cut])
+            noise[lang] = rate(shuffled(text[cut:]), text[:cut])
+    common = min((noise[k] for k in noise if own[k] < noise[k]), default=0.0)
+    limits = []
+    for lang, text in samples:
+        limit = common
+        if own.get(lang, 1.0) >= common:
+            half = len(text) // 2
+            limit = 1.0
+            if len(_classes(text[half:])) >= least_bytes:
+                random_order = rate(shuffled(text), text)
+                if rate(text[half:], text[:half]) < random_order:
+                    limit = random_order
+        limits.append(float(limit))
+    return tuple(limits)
 
 
 def identify(texts: list[str | None], model: Model) -> pd.DataFrame:
@@ -233,7 +259,10 @@ def identify(texts: list[str | None], model: Model) -> pd.DataFrame:
     second = ordered[:, 1] if r.shape[1] > 1 else np.ones(len(r))
     score = np.where(second > 0, 1 - first / np.maximum(second, 1e-12), 0.0)
     sizes = np.array([len(t.encode()) for t in whole])
-    odd = (sizes >= model.least_bytes) & (first > model.reject_rate)
+    limits = np.array(model.reject_rates or [1.0] * r.shape[1])
+    # Languages that parse a text equally well: the lowest limit counts.
+    limit = np.where(r == first[:, None], limits, np.inf).min(axis=1)
+    odd = (sizes >= model.least_bytes) & (first > limit)
     return pd.DataFrame({
         "lang_pred": np.where(known, np.array(langs, dtype=object)[best], "und"),
         "score": np.where(known, np.clip(score, 0, 1), 0.0),
