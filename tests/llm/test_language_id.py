@@ -130,3 +130,20 @@ def test_limits_of_large_languages_are_one(rng):
     limits = L._reject_rates(large)
     assert limits[0] == limits[1] < 1
     assert L._reject_rates((("a", ""), *large, ("z", "xy"))) == (1.0, *limits, 1.0)
+
+
+def test_all_sampled_documents_are_learned_from(frame):
+    """400 long documents share a sample, from within their texts; few short
+    ones give it whole."""
+    long = [(i, f"<{i}>" + "".join(f" d{i}w{k}" for k in range(300))) for i in range(200)]
+    docs = frame(long, lang="aa").union(frame([(900, "few short words"), (901, "and some")],
+                                              lang="bb"))
+    learned = {r.doc_id for r in docs.where(~held_out()).collect()}
+    samples = dict(L.fit(docs).samples)
+    used = {int(w[1:].split("w")[0]) for w in samples["aa"].split() if w[0] == "d" and "w" in w}
+    assert used == {i for i, _ in long if i in learned}
+    assert 55_000 < len(samples["aa"]) <= 60_000
+    assert sum(f"<{i}>" in samples["aa"] for i in learned) < 20  # not their openings
+    assert set(samples["bb"].split("\n")) - {""} == {t for i, t in [(900, "few short words"),
+                                                                     (901, "and some")]
+                                                     if i in learned}

@@ -182,8 +182,9 @@ def _phrases(coded: list[np.ndarray], sizes: np.ndarray, parsers, width: int) ->
 
 def fit(docs: DataFrame, chars: int = 60_000, docs_per_lang: int = 400) -> Model:
     """Learn from a bounded sample of the labelled documents: about
-    ``docs_per_lang`` of each language (chosen by a hash of the id), the first
-    ``chars`` / 40 characters of each, ``chars`` a language. Documents held out
+    ``docs_per_lang`` of each language (chosen by a hash of the id) share its
+    ``chars`` characters as evenly as their lengths allow; each gives one piece
+    of at most ``chars`` / 40 that starts at a hashed place. Documents held out
     are never used. ``lang`` serves as the label only."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                           & F.col("text").isNotNull() & ~held_out()
@@ -195,17 +196,34 @@ def fit(docs: DataFrame, chars: int = 60_000, docs_per_lang: int = 400) -> Model
     share = F.create_map(*[F.lit(x) for lang, n in counts.items()
                            for x in (lang, min(1.0, docs_per_lang / n))])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    most = chars // 40
+    over = F.greatest(F.char_length("text") - most, F.lit(0)) + 1
     rows = (labelled.where(place < share[F.col("lang")])
-            .select("lang", "doc_id", F.substring("text", 1, chars // 40).alias("piece"))
+            .withColumn("at", F.xxhash64(F.lit(11), "doc_id"))
+            .select("lang", "doc_id", "at", F.substring(
+                "text", (F.pmod("at", over) + 1).cast("int"), F.lit(most)).alias("piece"))
             .collect())
-    texts: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"])):
-        if len(texts.setdefault(r["lang"], "")) < chars:
-            texts[r["lang"]] += r["piece"] + "\n"
-    samples = tuple((lang, t[:chars]) for lang, t in sorted(texts.items()))
+    pieces: dict[str, list[tuple[int, int, str]]] = {}
+    for r in rows:
+        pieces.setdefault(r["lang"], []).append((r["at"], r["doc_id"], r["piece"]))
+    samples = tuple((lang, _sample(sorted(found), chars)) for lang, found in sorted(pieces.items()))
     return Model(samples, _reject_rates(samples))
 
 
+def _sample(pieces: list[tuple[int, int, str]], chars: int) -> str:
+    """At most ``chars`` characters of (hash, id, text), in their order: as many
+    of each as of any other, or the whole text if it is shorter; a line each."""
+    take, left = {}, chars
+    for n, i in enumerate(sorted(range(len(pieces)), key=lambda i: len(pieces[i][2]))):
+        take[i] = min(len(pieces[i][2]), max(0, left // (len(pieces) - n) - 1))
+        left -= take[i] + 1
+    lines = []
+    for i, (at, _, text) in enumerate(pieces):
+        first = (at >> 20) % (len(text) - take[i] + 1)
+        lines.append(text[first:first + take[i]] + "\n")
+    return "".join(lines)[:chars]
+
+
 def _reject_rates(samples: tuple[tuple[str, str], ...],
                   least_bytes: int = Model.least_bytes) -> tuple[float, ...]:
     """A limit for each language. The common one is the lowest rate of a long
