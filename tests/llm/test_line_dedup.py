@@ -113,6 +113,22 @@ def test_stage_keeps_columns_and_drops_emptied(spark, frame, edge_rows):
     assert got[1].text is None and got[2].text == "" and got[3].text == " \n\t "
 
 
+def test_exact_repeats_of_short_lines(spark, frame):
+    """Within a document at any length, across documents from ten characters."""
+    long = "a line that is long enough for the near test"
+    rows = [(1, "tiny\n\ntiny\n \nover ten chars\n\ntiny "), (2, f"tiny\nover ten chars\nx\n{long}\nx"),
+            (3, "over ten charts\n\t\r\n\t\r\ntiny"), (None, "y\ny"), (2, "tiny\nother\ntiny")]
+    rows += rows[:1]
+    got = sorted(((r.doc_id or 0, r.n_exact, r.n_near, r.text)
+                  for r in line_dedup(frame(rows)).collect()))
+    first = (1, 1, 0, "tiny\n\n \nover ten chars\n\ntiny ")
+    assert got == sorted([first, first, (2, 2, 0, f"tiny\nx\n{long}"), (3, 0, 0, rows[2][1]),
+                          (0, 1, 0, "y"), (2, 1, 0, "tiny\nother")])
+    kept = drop_repeated_lines(spark, frame(rows), "").collect()
+    assert sorted(r.text for r in kept) == sorted(x[3] for x in got)
+    assert all(r.n_chars == len(r.text) for r in kept)
+
+
 def test_empty_table(frame):
     assert line_dedup(frame([])).count() == 0
 

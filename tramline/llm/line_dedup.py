@@ -17,8 +17,14 @@ bit-parallel edit distance in one 64-bit word.
 Exact copies fold in aggregates before every shuffle of lines. The shared
 hashes are broadcast only if a count shows them few; else they are joined.
 
-Defined results: lines of fewer than ``least_chars`` characters (blanks at the
-ends not counted) are never touched; rows equal in doc_id and text count as
+Lines of fewer than ``least_chars`` characters (blanks at the ends not counted)
+go for being equal to an earlier line only: from ``short_exact`` characters on
+wherever that is, shorter ones within their own document, as ordinary short
+lines of different documents are no copies. They fold by the same aggregates;
+the hashes of the latter hold their document.
+
+Defined results: blank lines are never touched, and without ``short_exact`` no
+line under ``least_chars`` is; rows equal in doc_id and text count as
 one document, whose lines are kept or dropped alike; a null id counts as the
 smallest; null and empty texts stay as they are.
 """
@@ -37,10 +43,17 @@ from tramline.llm.common import broadcast_if_small, scratch_name, stored, table
 class Settings:
     edits: int = 2
     least_chars: int = 20
+    #: Characters from which an equal short line counts in any document; shorter
+    #: ones count in the same document. None leaves all short lines alone.
+    short_exact: int | None = None
     #: Shared hashes (8 bytes each) up to which they are broadcast.
     broadcast_hashes: int = 1_000_000
 
 
+#: What the query and the pipeline's stage remove.
+WHOLE = Settings(short_exact=10)
+
+
 def with_segment_hashes(lines: DataFrame, s: Settings) -> DataFrame:
     """``lines`` with ``segs``, hashes of a line's own segments, which also
     probe lines of its length, and of the other substrings it probes with. The
@@ -110,10 +123,19 @@ def lines_of(docs: DataFrame, s: Settings) -> DataFrame:
                         F.split("text", "\n").alias("lines"))
     # Outer, as a plain explode would split every text once more for a filter.
     lines = split.select("doc_id", "text_hash", F.posexplode_outer("lines").alias("n", "line"))
-    return (lines.where(F.char_length(F.trim("line")) >= s.least_chars)
-            .select(F.struct("doc_id", "text_hash", "n").alias("at"),
-                    F.xxhash64("line").alias("h1"),
-                    F.xxhash64(F.lit(7), "line").alias("h2"), "line"))
+    at = F.struct("doc_id", "text_hash", "n").alias("at")
+    if s.short_exact is None:
+        return (lines.where(F.char_length(F.trim("line")) >= s.least_chars)
+                .select(at, F.xxhash64("line").alias("h1"),
+                        F.xxhash64(F.lit(7), "line").alias("h2"), F.lit(True).alias("long"), "line"))
+    lines = lines.withColumn("size", F.char_length(F.trim("line")))
+    anywhere = F.col("size") >= min(s.short_exact, s.least_chars)
+    return (lines.where(anywhere | (F.trim(F.translate("line", "\r\t", "")) != ""))
+            .select(at, F.when(anywhere, F.xxhash64("line"))
+                    .otherwise(F.xxhash64("line", "doc_id", "text_hash")).alias("h1"),
+                    F.when(anywhere, F.xxhash64(F.lit(7), "line"))
+                    .otherwise(F.xxhash64(F.lit(7), "line", "doc_id", "text_hash")).alias("h2"),
+                    (F.col("size") >= s.least_chars).alias("long"), "line"))
 
 
 def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -149,8 +171,8 @@ def dropped_lines(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Per document (doc_id, text_hash): the numbers (from 0) of the lines that
     go, and how many of them are near and exact repeats."""
     lines = lines_of(docs, s)
-    near = near_lines(lines, s).withColumn("near", F.lit(True))
-    places = lines.drop("line")
+    near = near_lines(lines.where("long").drop("long"), s).withColumn("near", F.lit(True))
+    places = lines.drop("line", "long")
     first = places.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     # Only lines seen twice and near lines matter from here on. They are stored,
     # so that the join below stands alone and its hot lines can be split.
@@ -182,7 +204,7 @@ def kept_text(name: str) -> Column:
     return F.when(F.col(name).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
 
 
-def line_dedup(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+def line_dedup(docs: DataFrame, s: Settings = WHOLE) -> DataFrame:
     """doc_id, counts of lines and of those that go for being equal (n_exact)
     or near (n_near) to an earlier one, and the text that is left."""
     found = with_dropped(docs.select("doc_id", "text"), "lost", s)
@@ -198,7 +220,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     ``n_chars`` (if there) counted anew for these; other columns as they were.
     A row of whose text only blank lines would be left goes."""
     name = scratch_name(docs, "lost_lines")
-    found = with_dropped(docs, name, Settings())
+    found = with_dropped(docs, name, WHOLE)
     lost = F.col(name).isNotNull()
     text = kept_text(name)
     found = found.withColumn("text", text).where(~lost | (F.trim(F.translate("text", "\n\r\t", ""))
