@@ -96,3 +96,25 @@ def test_empty_tables(spark, frame, benchmark):
     assert D.decontaminate(frame([]), benchmark).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert not D.decontaminate(frame([(1, ITEMS[0][1])]), none).first().contaminated
+
+
+def test_short_items_match_whole_words(spark, frame, rng):
+    """Items too short for the lemma: verbatim, between borders of words."""
+    items = [(1, "capital of Norway 7?"), (2, "北京是中国首都"), (3, "été à Paris"), (4, "oslo"),
+             (5, "Norwegen"), (6, ITEMS[1][1])]
+    short = spark.createDataFrame(items, "item_id long, text string")
+    texts = {
+        10: (f"{prose(rng, 9)} Capital  of\nNorway 7? {prose(rng, 9)}", [1]),
+        11: ("我知道北京是中国首都。", [2]), 12: ("été à paris", [3]), 13: ("(été à Paris)", [3]),
+        14: ("l'été à parisien", []), 15: ("vété à paris", []), 16: ("capital of Norway 8?", []),
+        17: ("in norwegens hills", []), 18: ("norwegen, oslo", [5]), 19: (ITEMS[1][1], [6]), 20: ("", [])}
+    rows = [(i, t) for i, (t, _) in texts.items()]
+    got = {r.doc_id: r for r in D.decontaminate(frame(rows), short).collect()}
+    assert {i: r["items"] for i, r in got.items()} == {i: x for i, (_, x) in texts.items()}
+    assert [(h["first"], h["last"], h.edits) for h in got[11].hits] == [(3, 10, 0)]
+    h = got[10].hits[0]
+    assert texts[10][0][h["first"]:h["last"]] == "Capital  of\nNorway 7?"
+    only = short.where("item_id IN (2, 3, 4, 5)")
+    for least, found in ((1, [4, 5]), (9, [])):  # the option; no item long enough for pieces
+        r = D.decontaminate(frame([(1, "norwegen, oslo")]), only, D.Settings(least_exact=least))
+        assert r.first()["items"] == found

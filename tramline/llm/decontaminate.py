@@ -12,14 +12,19 @@ blocks, each matched against all documents in the same scan). Documents are
 read once, row by row, and never shuffled.
 
 Texts are compared in lower case with every run of white space as one blank.
+Items of fewer than ``least_bytes`` bytes after that are too short for the lemma:
+they match whole and without edits, between borders of words (a border is also
+beside each character of a script that is written without blanks).
+
 Defined results: a null or empty text has no hits; a null item text, or one
-of fewer than ``least_bytes`` bytes after that normalisation, matches
-nothing; equal items all report; repeated rows each get their own row; other
+of fewer than ``least_exact`` bytes, matches nothing (an answer of a word or
+two is in most texts; 1 takes them all); equal items all report; repeated rows each get their own row; other
 columns are not looked at.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +48,8 @@ class Settings:
     #: Shared grams that an occurrence must guarantee.
     least_shared: int = 8
     least_bytes: int = 24
+    #: Shorter items match nothing.
+    least_exact: int = Q
     block_bytes: int = 4 << 20
     #: Bytes of documents that are matched together.
     batch_bytes: int = 1 << 20
@@ -90,16 +97,61 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
 
+#: Scripts written without blanks: Thai and Lao, Myanmar, Khmer, then Han and kana.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F),
+             (0x31A0, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
+
+
+def _in_word(c: str) -> bool:
+    """Whether a character (or none) holds together with its neighbours."""
+    return (c.isalnum() or unicodedata.category(c or " ")[0] == "M") \
+        and not any(a <= ord(c) <= z for a, z in _UNSPACED)
+
+
+def _border(raw: bytes, i: int) -> bool:
+    """Whether no word goes on over the place of a character's first byte."""
+    return not (_in_word(raw[max(0, i - 4):i].decode(errors="ignore")[-1:])
+                and _in_word(raw[i:i + 4].decode(errors="ignore")[:1]))
+
+
+class Short:
+    """Items too short for pieces, which match whole."""
+
+    def __init__(self, items: dict[bytes, list[int | None]]):
+        self.items = items
+        #: By size of head (a whole word of Q bytes at most): heads, sizes of items.
+        self.heads = {}
+        for k in {min(len(t), Q) for t in items}:
+            of = [t for t in items if min(len(t), Q) == k]
+            heads = {int.from_bytes(t[:k], "little") for t in of}
+            self.heads[k] = (np.array(sorted(heads), dtype=np.uint64), {len(t) for t in of})
+
+    def places(self, b: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """Each place where an item stands between borders, and the item.
+        ``b`` ends with zeros."""
+        raw, g = b.tobytes(), grams(b)
+        for k, (heads, sizes) in self.heads.items():
+            head = g & np.uint64((1 << 8 * k) - 1)
+            near = np.minimum(np.searchsorted(heads, head), len(heads) - 1)
+            for i in np.flatnonzero(heads[near] == head).tolist():
+                for m in sizes:
+                    if raw[i:i + m] in self.items and _border(raw, i) and _border(raw, i + m):
+                        yield i, raw[i:i + m]
+
+
 class Index:
-    """Grams of a block of items' pieces."""
+    """Grams of a block of items' pieces; items too short for them apart."""
 
     def __init__(self, items: list[tuple[int | None, str]], s: Settings):
         self.settings = s
         pieces, owner, codes, piece_of, place_of = [], [], [], [], []
+        short: dict[bytes, list[int | None]] = {}
         for item, text in items:
             b, _ = _folded(normalised(text))
             b = np.frombuffer(b.tobytes().strip(b" "), dtype=np.uint8)
             if len(b) < s.least_bytes:
+                if len(b) >= max(1, s.least_exact):
+                    short.setdefault(b.tobytes(), []).append(item)
                 continue
             starts = list(range(0, max(1, len(b) - s.piece + 1), s.stride))
             if len(b) > s.piece and starts[-1] != len(b) - s.piece:
@@ -112,6 +164,7 @@ class Index:
                 place_of.append(np.arange(len(g)))
                 pieces.append(p)
                 owner.append(item)
+        self.short = Short(short)
         self.owner = owner
         self.size = np.array([len(p) for p in pieces], dtype=np.int64)
         self.edits = np.array([s.edits(len(p)) for p in pieces], dtype=np.int64)
@@ -206,7 +259,7 @@ class Index:
 def find(texts: list[str | None], index: Index) -> list[list[tuple]]:
     """Hits of each text: (item_id, first and last character, least edits)."""
     out: list[list[tuple]] = [[] for _ in texts]
-    if not len(index.size):
+    if not len(index.size) and not index.short.items:
         return out
     start = 0
     while start < len(texts):
@@ -226,6 +279,10 @@ def _match(parts, first_doc: int, index: Index, out: list[list[tuple]]) -> None:
     sizes = np.array([len(b) for _, b, _ in parts])
     begins = len(gap) + np.concatenate([[0], np.cumsum(sizes + len(gap))[:-1]])
     b = np.concatenate([gap, *[x for _, p, _ in parts for x in (p, gap)]])
+    if index.short.items:
+        _match_short(parts, begins, b, first_doc, index, out)
+    if not len(index.size):
+        return
     piece, low, high, place = index.regions(b)
     doc = np.searchsorted(begins, place, side="right") - 1
     for a in range(0, len(piece), 4096):
@@ -244,6 +301,19 @@ def _match(parts, first_doc: int, index: Index, out: list[list[tuple]]) -> None:
                                        int(chars[-1]), int(edits[i])))
 
 
+def _match_short(parts, begins, b: np.ndarray, first_doc: int, index: Index, out) -> None:
+    chars, held = None, -1
+    for place, text in sorted(index.short.places(b)):
+        k = int(np.searchsorted(begins, place, side="right")) - 1
+        raw, _, at = parts[k]
+        if k != held:
+            chars, held = np.cumsum((raw & 0xC0) != 0x80), k
+        first = place - int(begins[k])
+        for item in index.short.items[text]:
+            out[first_doc + k].append((item, int(chars[at[first]]) - 1,
+                                       int(chars[at[first + len(text) - 1]]), 0))
+
+
 def merged(hits: list[tuple]) -> list[tuple]:
     """One hit for each item and run of overlapping places."""
     result: list[tuple] = []
