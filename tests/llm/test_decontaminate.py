@@ -118,3 +118,26 @@ def test_short_items_match_whole_words(spark, frame, rng):
     for least, found in ((1, [4, 5]), (9, [])):  # the option; no item long enough for pieces
         r = D.decontaminate(frame([(1, "norwegen, oslo")]), only, D.Settings(least_exact=least))
         assert r.first()["items"] == found
+
+
+def test_blocks_are_indexed_outside_the_driver(spark, frame, benchmark, rng, edge_rows, monkeypatch):
+    """One block's text at a time is in the driver, and no index is; the hits
+    of many blocks are those of one."""
+    rows = [*edge_rows, *((i or None, f"{prose(rng, 9)} {t} {ITEMS[3][1]}") for i, t in ITEMS)]
+    rows += rows[-2:]
+    one = D.decontaminate(frame(rows), benchmark).collect()
+    monkeypatch.setattr(D, "Index", None)
+    s = D.Settings(block_bytes=200)
+    n, each = D.blocks(benchmark, s)
+    sizes = [sum(len(t.encode()) for _, t in items) for items in each]
+    assert n == len(sizes) > 3 and max(sizes) < sum(sizes) / 2
+    assert sum(sizes) == sum(len(t) for _, t in ITEMS) + len(ITEMS[0][1]) + len("short")
+    docs = frame(rows)
+    many = D.decontaminate(docs, benchmark, s).collect()
+
+    def plain(got):
+        return sorted(((r.doc_id, r.contaminated, r["items"], sorted(set(map(tuple, r.hits))))
+                       for r in got), key=str)
+    assert plain(many) == plain(one) and sum(r.contaminated for r in many) == len(ITEMS) + 2
+    found = D.with_hits(docs, benchmark, "found", s)
+    assert found.columns == [*docs.columns, "found"] and found.count() == len(rows)

@@ -6,10 +6,12 @@ the text, on diagonals at most k apart. Shared q-grams are counted in
 overlapping diagonal bands of 2(k+1) diagonals; regions that reach the bound
 are verified by banded alignment (all of a batch's regions at once).
 
-The index holds exact 8-byte grams of the pieces and is broadcast in blocks
-of at most ``block_bytes`` of benchmark text (a larger benchmark makes more
-blocks, each matched against all documents in the same scan). Documents are
-read once, row by row, and never shuffled.
+The index holds exact 8-byte grams of the pieces. The benchmark is dealt into
+blocks of about ``block_bytes`` of text; a block's items are broadcast and each
+Python worker builds their index, so the driver holds one block of text and a
+worker one index. Documents are read row by row and never shuffled. A benchmark
+of more than one block takes a job for each, which stores its hits (documents
+with hits only) before the next begins; they are joined to the documents then.
 
 Texts are compared in lower case with every run of white space as one blank.
 Items of fewer than ``least_bytes`` bytes after that are too short for the lemma:
@@ -25,15 +27,17 @@ columns are not looked at.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import python_ready, scratch_name, table, with_release
+from tramline.llm.common import python_ready, scratch_name, stored, table, with_release
 
 Q = 8  # a gram is one 64-bit word, so equal words are equal grams
 HITS = "array<struct<item_id: bigint, first: int, last: int, edits: int>>"
@@ -326,40 +330,77 @@ def merged(hits: list[tuple]) -> list[tuple]:
     return result
 
 
-def blocks(benchmark: DataFrame, s: Settings) -> Iterator[Index]:
-    """The benchmark as indexes of bounded size, read row by row."""
-    items, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where(F.col("text").isNotNull())
-    for item, text in rows.toLocalIterator():
-        items.append((item, text))
-        size += len(text)
-        if size >= s.block_bytes:
-            yield Index(items, s)
-            items, size = [], 0
-    yield Index(items, s)
-
-
-def hits(text: Column | str, benchmark: DataFrame, s: Settings = Settings()) -> Column:
-    """Array column of the benchmark hits of a text column."""
-    def matcher(index: Index) -> Column:
-        shared = benchmark.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf(HITS)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            names = ("item_id", "first", "last", "edits")
-            return with_release(
-                pd.Series([[dict(zip(names, h)) for h in merged(found)]
-                           for found in find(list(texts), shared.value)], dtype=object)
-                for texts in batches)
-        return run.asNondeterministic()(text)
-    return F.concat(*[matcher(index) for index in blocks(benchmark, s)])
+#: The worker's index: only that of the block it is matching.
+_held: dict[str, Index] = {}
+
+
+Items = list[tuple[int | None, str]]
+
+
+def _index(key: str, items: Items, s: Settings) -> Index:
+    if key not in _held:
+        _held.clear()
+        _held[key] = Index(items, s)
+    return _held[key]
+
+
+def blocks(benchmark: DataFrame, s: Settings) -> tuple[int, Iterator[Items]]:
+    """How many blocks of about ``block_bytes`` the benchmark's items make, and
+    the blocks, each collected when its turn comes."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
+        F.col("text").isNotNull())
+    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    n = max(1, -(-total // s.block_bytes))
+    if n > 1:
+        rows = stored(rows.repartition(n).withColumn("block", F.spark_partition_id()),
+                      "benchmark-blocks")
+
+    def each() -> Iterator[Items]:
+        for k in range(n):
+            block = rows.where(F.col("block") == k) if n > 1 else rows
+            yield [(r["item_id"], r["text"]) for r in block.collect()]
+    return n, each()
+
+
+def matcher(text: Column | str, items: Items, spark: SparkSession, s: Settings) -> Column:
+    """Array column of a text column's hits of a block's items."""
+    shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+
+    @F.pandas_udf(HITS)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names = ("item_id", "first", "last", "edits")
+        return with_release(
+            pd.Series([[dict(zip(names, h)) for h in merged(found)]
+                       for found in find(list(texts), _index(key, shared.value, s))], dtype=object)
+            for texts in batches)
+    return run.asNondeterministic()(text)
+
+
+def with_hits(docs: DataFrame, benchmark: DataFrame, name: str,
+              s: Settings = Settings()) -> DataFrame:
+    """``docs`` with an array column ``name`` of the benchmark hits of ``text``."""
+    spark = python_ready(docs)
+    n, each = blocks(benchmark, s)
+    if n == 1:
+        return docs.withColumn(name, matcher("text", next(each), spark, s))
+    key, key_hash = scratch_name(docs, "hit_doc"), scratch_name(docs, "hit_hash")
+    ids = docs.select(F.col("doc_id").alias(key), F.xxhash64("text").alias(key_hash), "text")
+    # Rows equal in doc_id and text have the same hits: once is enough.
+    found = [stored(ids.withColumn("hits", matcher("text", items, spark, s))
+                    .where(F.size("hits") > 0).select(key, key_hash, "hits")
+                    .dropDuplicates([key, key_hash]), "benchmark-hits") for items in each]
+    hits = stored(reduce(DataFrame.unionAll, found).groupBy(key, key_hash).agg(
+        F.array_sort(F.flatten(F.collect_list("hits"))).alias(name)), "benchmark-all-hits")
+    joined = docs.join(hits, docs["doc_id"].eqNullSafe(hits[key])
+                       & (F.xxhash64(docs["text"]) == hits[key_hash]), "left")
+    return joined.select(*[docs[c] for c in docs.columns], F.coalesce(
+        hits[name], F.array().cast(HITS)).alias(name))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: whether it holds a benchmark passage, the
     items, and each hit with its place in the text."""
-    python_ready(docs)
-    return (docs.select("doc_id", hits("text", benchmark, s).alias("hits"))
+    return (with_hits(docs.select("doc_id", "text"), benchmark, "hits", s)
             .select("doc_id", (F.size("hits") > 0).alias("contaminated"),
                     F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
                     .alias("items"), "hits"))
@@ -368,9 +409,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows of ``docs`` without a benchmark hit; all
     columns as they were."""
-    python_ready(docs)
     name = scratch_name(docs, "benchmark_hits")
-    found = docs.withColumn(name, hits("text", table(spark, sf_dir, "benchmark")))
+    found = with_hits(docs, table(spark, sf_dir, "benchmark"), name)
     return found.where(F.size(name) == 0).drop(name)
 
 
