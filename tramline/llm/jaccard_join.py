@@ -1,8 +1,10 @@
-"""N-gram Jaccard join by vertical partitioning.
+"""N-gram Jaccard join: prefix filter, parity bitmaps, whole sets in cells.
 
-Documents are sets of word shingles; equal sets are one node. One global order
-of shingles (rare ones first) is cut into fragments; overlaps of two sets are
-counted fragment by fragment and summed. Which pairs are counted:
+Documents are sets of word shingles; equal sets are one node. There is one global
+order of shingles (rare ones first), for the prefixes. Vertical partitioning (the
+order cut into fragments, overlaps of two sets counted fragment by fragment over
+the cluster and summed for each pair) was replaced: it took 6.35 x the input in
+disk, this takes 0.89. Which pairs are counted:
 
 * Two linked sets share one of their first shingles in the global order (the
   prefix), at places i and j with i + j no more than the differences the
@@ -13,9 +15,10 @@ counted fragment by fragment and summed. Which pairs are counted:
   returns a spanning forest of the ties that are left.
 * Ties make nodes into groups. Each group is dealt over cells
   of two tiles of nodes, to which each set goes whole; a cell counts overlaps
-  as products of incidence matrices, one for each fragment of the order, summed,
-  and returns a spanning forest of its links. So a group of n near copies gives
-  no n * n rows, and a set is sent once for each tile of its group.
+  as products of incidence matrices (of ``columns`` shingles at a time, in the
+  order of their hashes), and returns a spanning forest of its links. So a group
+  of n near copies gives no n * n rows, and a set is sent once for each tile of
+  its group.
 
 The order needs only be one order: shingles that many documents share come
 last, by the logarithm of their counts (counted over all documents in batches;
@@ -56,7 +59,7 @@ class Settings:
     batch_least: int = 3
     #: Hashes that a task gathers before it passes them on.
     gather: int = 2_000_000
-    #: Nodes in a tile, and shingles in a fragment of the order.
+    #: Nodes in a tile, and shingles in one product of a cell.
     tile: int = 256
     columns: int = 4096
     #: Nodes in a tile of bitmaps, and the fewest bits of one.
@@ -438,7 +441,7 @@ def _forest(nodes: np.ndarray, sets: list[bytes], s: Settings) -> np.ndarray:
         a, z = np.searchsorted(column, [first, first + width_])
         part = np.zeros((len(nodes), width_), dtype=np.float32)
         part[owner[a:z], column[a:z] - first] = 1
-        overlap += part @ part.T  # this fragment's partial overlaps
+        overlap += part @ part.T  # these columns' partial overlaps
     linked = s.linked(overlap.astype(np.int64), n[:, None], n[None, :])
     label = _labels(linked)
     moved = label != np.arange(len(nodes))
