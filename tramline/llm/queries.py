@@ -10,6 +10,7 @@ from tramline.llm.compression_bands import op1_compression_bands
 from tramline.llm.decontaminate import op2_decontaminate
 from tramline.llm.jaccard_join import op8_jaccard_join
 from tramline.llm.language_id import op7_language_id
+from tramline.llm.license_scan import op12_license_scan
 from tramline.llm.line_dedup import op9_line_dedup
 from tramline.llm.quality_trees import op3_quality_trees
 from tramline.llm.repeats import op4_repeats
@@ -26,6 +27,7 @@ QUERIES: dict[str, Builder] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op12_license_scan": op12_license_scan,
 }
 
 SQL: dict[str, str] = {
