@@ -13,6 +13,7 @@ from tramline.llm.language_id import op7_language_id
 from tramline.llm.license_scan import op12_license_scan
 from tramline.llm.line_dedup import op9_line_dedup
 from tramline.llm.quality_trees import op3_quality_trees
+from tramline.llm.ranked_search import OP11_SQL, op11_ranked_search
 from tramline.llm.repeats import op4_repeats
 from tramline.llm.warc_zip import OP5_SQL, op5_warc_zip
 
@@ -27,10 +28,12 @@ QUERIES: dict[str, Builder] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_ranked_search": op11_ranked_search,
     "op12_license_scan": op12_license_scan,
 }
 
 SQL: dict[str, str] = {
     "op5_warc_zip": OP5_SQL,
     "op10_chat_format": OP10_SQL,
+    "op11_ranked_search": OP11_SQL,
 }
