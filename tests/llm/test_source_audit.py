@@ -1,0 +1,169 @@
+"""Source audit against a plain computation, and the trees that price it."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm_helpers import rng  # noqa: F401
+
+from tramline.llm.common import table
+from tramline.llm.source_audit import (
+    Forest, Prices, Settings, op13_source_audit, share, source_audit, terms_of,
+)
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+SMALL = Settings(least_docs=2, segment_bits=3, block=2, held_terms=40, leaves=32)
+
+
+def plain(docs, least=10, top=10):
+    """Rows of the contract from (text, lang, source) rows."""
+    counts, seen, df = defaultdict(Counter), defaultdict(set), defaultdict(Counter)
+    for text, lang, source in docs:
+        lang, source = lang or "", source or ""
+        terms = TERM.findall((text or "").translate(UPPER))
+        counts[lang, source].update(terms)
+        seen[lang].add(source)
+        df[lang].update(set(terms))
+    rows = set()
+    for lang, sources in seen.items():
+        kept = [t for t, n in df[lang].items() if n >= least]
+        v = len(kept)
+
+        def shares(count):
+            whole = sum(count[t] for t in kept) + 2 * v
+            return {t: 1 + 10 ** 9 * (count[t] + 2) // whole for t in kept}
+
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+        p = {s: shares(counts[lang, s]) for s in sources}
+
+        def f(x, y):
+            return (x - y) ** 2 // (x + y)
+
+        for s in sources:
+            pairs = [(o, sum(f(p[s][t], p[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [(t, f(p[s][t], q[t])) for t in kept
+                     if counts[lang, s][t] > 0 and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda r: (-r[1], r[0].encode()))
+                rows |= {(lang, s, part, item, value, i + 1)
+                         for i, (item, value) in enumerate(found[:most])}
+    return rows
+
+
+def told(df):
+    rows = [(r.lang, r.source, r.part, r.item, r.value, r.rank) for r in df.collect()]
+    assert len(set(rows)) == len(rows)
+    return set(rows)
+
+
+def make(spark, docs):
+    return spark.createDataFrame([(*d, i, "t", "s") for i, d in enumerate(docs)],
+                                 "text string, lang string, source string, item long, "
+                                 "term string, segment string").repartition(3)
+
+
+def texts(rng, n, langs=("en", "fr", None), sources=9):
+    out = []
+    for _ in range(n):
+        source = rng.choice([None, *map(str, range(sources))])
+        skew = int(source or 3)
+        words = [f"w{'abcdefghijklmnopqrstuvwxyz'[min(25, int(rng.expovariate(0.1 + skew / 20)))]}"
+                 for _ in range(rng.choice([0, 1, 8, 40]))]
+        out.append((" ".join(words), rng.choice(langs), source))
+    return out
+
+
+def test_blocks_and_segments(spark, rng):
+    docs = texts(rng, 250)
+    docs += [(docs[3][0], "en", "hot")] * 300 + [("only once here", "de", s) for s in ("x", "y")]
+    docs += [(None, "en", "bare"), ("", "en", "empty"), (None, "it", "lone"), (None, None, None)]
+    got = told(source_audit(make(spark, docs), SMALL))
+    assert got == plain(docs, least=2)
+    # Kept terms, but one source; no kept terms, and two sources.
+    assert not [r for r in got if r[0] == "it"]
+    assert told(source_audit(make(spark, docs), Settings(least_docs=1000))) == plain(docs, 1000)
+
+
+def test_edge_texts(spark):
+    docs = [("long " * 50_000 + "été Été ÉTÉ a1b İx", "en", "a")] * 2 + [
+        ("\U0001F600 été long2 LONG", "en", "b")] * 2 + [(" \n\t", "en", "A"), ("", "", "a")]
+    assert told(source_audit(make(spark, docs), SMALL)) == plain(docs, least=2)
+    assert source_audit(make(spark, []), SMALL).count() == 0
+    for text, _, _ in docs:
+        assert [t.decode() for t in terms_of(text)] == TERM.findall(text.translate(UPPER))
+
+
+def test_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.text, r.lang, r.source) for r in table(spark, sf, "documents").collect()]
+    assert told(op13_source_audit(spark, sf)) == plain(docs)
+
+
+def random_leaves(rng, trees, width):
+    leaves = np.array([[rng.choice([0, 0, 0, 1, 1, 2, 50]) for _ in range(width)]
+                       for _ in range(trees)], dtype=np.int64)
+    leaves[:, rng.randrange(width)] = -1
+    leaves[1] = leaves[0]
+    return leaves
+
+
+def test_forest_shares_equal_subtrees(rng):
+    leaves = random_leaves(rng, 6, 64)
+    forest = Forest(leaves)
+    # As many nodes in each level as there are different stretches of counts.
+    for level, size in enumerate(forest.sizes()):
+        stretches = leaves.reshape(-1, 1 << level)
+        assert size == len(np.unique(stretches, axis=0))
+    assert forest.roots[0] == forest.roots[1]
+
+    def spread(level, node):
+        if level < 0:
+            return [int(forest.values[node])]
+        left, right = forest.levels[level]
+        return spread(level - 1, left[node]) + spread(level - 1, right[node])
+    for tree, root in enumerate(forest.roots):
+        assert spread(len(forest.levels) - 1, root) == leaves[tree].tolist()
+
+
+def test_prices_of_pairs(rng):
+    leaves = random_leaves(rng, 5, 128)
+    whole = np.array([900, 900, 1500, 77777, 900])
+    a, b = np.triu_indices(5, 1)
+    prices = Prices(Forest(leaves), a, b, whole)
+    for k, (x, y) in enumerate(zip(a, b)):
+        p, q = (1 + 10 ** 9 * (leaves[t] + 2) // whole[t] for t in (x, y))
+        f = np.where(leaves[x] >= 0, (p - q) ** 2 // (p + q), 0)
+        assert prices.total[k] == f.sum()
+        values, above = prices.places(k, x, y)
+        assert (values == f).all() and (above == ((p > q) & (leaves[x] > 0))).all()
+
+
+def test_equal_pairs_of_nodes_are_priced_once():
+    """Sparse counts: far fewer pairs of nodes are priced than there are places."""
+    leaves = np.zeros((20, 4096), dtype=np.int64)
+    leaves[np.arange(20), np.arange(20)] = 7
+    a, b = np.triu_indices(20, 1)
+    prices = Prices(Forest(leaves), a, b, np.full(20, 5000))
+    assert prices.priced < len(a) * 4096 / 100
+    p, q = 1 + 10 ** 9 * 9 // 5000, 1 + 10 ** 9 * 2 // 5000
+    assert (prices.total == 2 * ((p - q) ** 2 // (p + q))).all()
+
+
+@pytest.mark.parametrize("count", [0, 10 ** 9, 9 * 10 ** 9, 10 ** 10, 10 ** 15])
+def test_counts_beyond_64_bits(count):
+    got = share(np.array([count, 5]), np.array([count + 10, count + 10]))
+    assert got.tolist() == [1 + 10 ** 9 * (c + 2) // (count + 10) for c in (count, 5)]
+
+
+def test_counting_is_combined_in_each_task(spark):
+    """A hot source sends a row for each term and task, not for each document."""
+    from tramline.llm.source_audit import count_terms
+    docs = spark.range(0, 20_000, 1, 4).selectExpr(
+        "'same few words' AS text", "'en' AS lang", "'hot' AS source")
+    plan = count_terms(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    rows = {r.term: (r.n, r.docs) for r in count_terms(docs).collect()}
+    assert rows == {"": (0, 0), "same": (20_000,) * 2, "few": (20_000,) * 2, "words": (20_000,) * 2}

@@ -15,6 +15,7 @@ from tramline.llm.line_dedup import op9_line_dedup
 from tramline.llm.quality_trees import op3_quality_trees
 from tramline.llm.ranked_search import OP11_SQL, op11_ranked_search
 from tramline.llm.repeats import op4_repeats
+from tramline.llm.source_audit import OP13_SQL, op13_source_audit
 from tramline.llm.warc_zip import OP5_SQL, op5_warc_zip
 
 QUERIES: dict[str, Builder] = {
@@ -30,10 +31,12 @@ QUERIES: dict[str, Builder] = {
     "op10_chat_format": op10_chat_format,
     "op11_ranked_search": op11_ranked_search,
     "op12_license_scan": op12_license_scan,
+    "op13_source_audit": op13_source_audit,
 }
 
 SQL: dict[str, str] = {
     "op5_warc_zip": OP5_SQL,
     "op10_chat_format": OP10_SQL,
     "op11_ranked_search": OP11_SQL,
+    "op13_source_audit": OP13_SQL,
 }
