@@ -58,16 +58,37 @@ def test_busiest_reads_its_pairs_once(spark):
     assert "ReusedExchange" in executed(QUERIES["busiest_stops"](spark, SF_SMALL))
 
 
-def test_series_rows_shuffled_once(spark):
-    final = executed(QUERIES["change_points"](spark, SF_SMALL)).split("Initial Plan")[0]
-    lines = final.splitlines()
-    row_shuffles = []
+def exchanges(final: str) -> list[str]:
+    """What each exchange of a plan is fed by (the operator below it)."""
+    lines = [ln.strip(" :+-*()0123456789") for ln in final.splitlines()]
+    skip = ("AQEShuffleRead", "ShuffleQueryStage", "Exchange", "Project", "Filter", "Sort ")
+    out = []
     for i, ln in enumerate(lines):
-        if "Exchange hashpartitioning(vehicleID" in ln and "__slice" in ln:
-            child = lines[i + 1] if i + 1 < len(lines) else ""
-            if "Aggregate" not in child:       # partial aggregates ship one row per slice
-                row_shuffles.append(ln)
-    assert len(row_shuffles) == 1, final
+        if ln.startswith(("Exchange", "BroadcastExchange", "ReusedExchange")):
+            out.append(next((x.split()[0].split("(")[0] for x in lines[i + 1:]
+                             if x and not x.startswith(skip)), ""))
+    return out
+
+
+@pytest.mark.parametrize("name", ["change_points", "path_distance", "distance_histogram"])
+@pytest.mark.parametrize("broadcasts", [True, False])
+def test_series_rows_shuffled_once(spark, name, broadcasts):
+    """Rows and slice ends meet in a union, which alone is exchanged whole; all
+    other exchanges are of aggregates or of windows over these. No join."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in [] if broadcasts else keys:
+            spark.conf.set(k, "-1")
+        final = executed(QUERIES[name](spark, SF_SMALL)).split("Initial Plan")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    fed = exchanges(final)
+    assert fed.count("Union") == 1 and "Join" not in final, final
+    assert all(x in ("Union", "HashAggregate", "Window") for x in fed), final
+    sorts = [ln for ln in final.splitlines() if "Sort [" in ln]
+    assert sum("__mark" in ln for ln in sorts) == 1, final  # the rows, once
 
 
 def test_bounded_sides_are_broadcast(spark):
@@ -90,32 +111,6 @@ def test_day_filters_prune_partitions_and_push_down(spark):
     assert "PartitionFilters: [isnotnull(day" in text and "EqualTo(atStop,1)" in text
 
 
-def test_series_rows_shuffled_once_without_broadcast(spark):
-    # At scale the carried slice ends do not fit a broadcast: the join becomes
-    # a sort-merge join on (key, slice), and the window reuses its partitioning.
-    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")
-    try:
-        final = executed(QUERIES["change_points"](spark, SF_SMALL)).split("Initial Plan")[0]
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
-    lines = final.splitlines()
-    row_shuffles = [ln for i, ln in enumerate(lines)
-                    if "Exchange hashpartitioning(vehicleID" in ln and "__slice" in ln
-                    and "Aggregate" not in (lines[i + 1] if i + 1 < len(lines) else "")
-                    and "Window" not in (lines[i + 1] if i + 1 < len(lines) else "")]
-    # the rows' exchange, and the carried ends' exchange into the join
-    assert len(row_shuffles) <= 2, final
-    assert final.count("Exchange hashpartitioning(vehicleID") <= 4, final
-
-
 def test_bike_weekday_prunes_partitions_and_status_is_pushed(spark):
     text = plan(QUERIES["bike_extremes_by_hour"](spark, SF_SMALL))
     assert "(weekday(day" in text and "PartitionFilters" in text

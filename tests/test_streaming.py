@@ -288,6 +288,54 @@ def test_totals_restart_and_wrong_sink(spark, tmp_dir):
         go(os.path.join(tmp_dir, "other"))
 
 
+CARRIED = {
+    "changes": (forms.change_points_step(width="1 day"), "changes"),
+    "arrivals": (forms.change_points_step(width="2 hours", slide="1 hour",
+                                          partition=("busLineID",)), "changes"),
+}
+
+
+def uncommit_last(checkpoint: str) -> int:
+    """Undo the commit of the last epoch, as if the driver had died before it."""
+    commits = os.path.join(checkpoint, "commits")
+    last = max(int(n) for n in os.listdir(commits) if n.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    return last
+
+
+@pytest.mark.parametrize("name", sorted(CARRIED))
+def test_retried_epoch_of_a_carried_stream(spark, tmp_dir, name):
+    """An epoch that wrote its tables but was not committed runs again, from the
+    carry of the epoch before, and changes nothing."""
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    step, table = CARRIED[name]
+    rows, stream = _feed(spark, src, 3)
+    run_carried(stream, step, label="retry", sink=sink, checkpoint=ckpt)
+    want = _rows(step(rows, None)[table], step(rows, None)[table].columns)
+    for _ in range(2):
+        last = uncommit_last(ckpt)
+        assert epochs(spark, f"{sink}/carry") == [last - 1, last]
+        run_carried(stream, step, label="retry", sink=sink, checkpoint=ckpt)
+        got = spark.read.parquet(f"{sink}/{table}").drop("epoch_id")
+        assert _rows(got, step(rows, None)[table].columns) == want
+
+
+def test_retried_epoch_of_the_histogram(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    _, stream = _feed(spark, src, 3)
+
+    def go():
+        await_end(histogram_per_batch(stream, max_speed=28.0, size=50, sink=sink, checkpoint=ckpt))
+        table = latest_histogram(spark, sink)
+        return _rows(table, table.columns)
+    want = go()
+    for _ in range(2):
+        last = uncommit_last(ckpt)
+        assert go() == want and epochs(spark, f"{sink}/carry") == [last - 1, last]
+
+
 def test_null_keys_and_places_do_not_stop_the_path_stream(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     write_files(src, [[line("2024-01-08 07:00:00"), line("2024-01-08 07:00:05").replace(",1,1,1", ",x,1,1"),

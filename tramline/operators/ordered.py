@@ -9,14 +9,13 @@ splits every series into time slices instead:
 1. the last row of every (key, slice) is found with a decomposable
    aggregate (``max_by`` on one numeric order of (ts, tie)), combined
    map-side, so the shuffle carries one row per key, slice and task;
-2. a ``lag`` over that small slice table (per key, ordered by slice) carries
+2. a ``lag`` over that small slice table (per key, ordered by slice) moves
    each slice's last row to the next non-empty slice of its key;
-3. the carried row is left-joined to the rows on (key, slice), and one
-   ``lag`` inside each (key, slice) gives every other row its predecessor.
-   The join and the window share the (key, slice) hash partitioning, so the
-   rows are shuffled once (or not at all for the join, when AQE broadcasts
-   the carried rows), and a hot key fans out to as many tasks as it has
-   slices.
+3. the moved rows are added to the rows as markers that come first in their
+   slice, and one ``lag`` inside each (key, slice) gives every row its
+   predecessor; then the markers go. There is no join: the rows are shuffled
+   and sorted once, by (key, slice), NULL keys are keys like any other, and a
+   hot key fans out to as many tasks as it has slices.
 
 The result is exact: the first row of a slice sees the last row of the
 previous non-empty slice.
@@ -26,8 +25,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,11 +37,15 @@ DEFAULT_SLICE_SECONDS = 3600
 _SLICE = "__slice"
 _LAST = "__last_of_slice"
 _CARRY = "__carry"
+_MARK = "__mark"
+
+
+def payload_names(ts: str, tiebreak: str, cols: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys([ts, tiebreak, *cols]))
 
 
 def _payload(ts: str, tiebreak: str, cols: Sequence[str]) -> Column:
-    names = list(dict.fromkeys([ts, tiebreak, *cols]))
-    return F.struct(*[F.col(c) for c in names])
+    return F.struct(*[F.col(c) for c in payload_names(ts, tiebreak, cols)])
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -59,7 +60,7 @@ def _slice_last(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
     ``max_by(field, order)``: all buffers are fixed-width, so Spark runs a
     hash aggregate (partial, map-side). Otherwise ``max(struct)`` (a sort-
     based aggregate) is used."""
-    names = list(dict.fromkeys([ts, tiebreak, *cols]))
+    names = payload_names(ts, tiebreak, cols)
     if isinstance(df.schema[tiebreak].dataType, _INTEGRAL):
         dec = "decimal(38,0)"
         # A slice holds either times or NULL times only, so any number does for
@@ -93,15 +94,15 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     sliced = df.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)))
     lasts = _slice_last(sliced, keys, ts, tiebreak, cols)
     w_slices = Window.partitionBy(*keys).orderBy(_SLICE)
-    # Joined null-safe: a NULL key or time is a series or slice of its own.
-    carry = lasts.select(*[F.col(c).alias(f"__c_{c}") for c in (*keys, _SLICE)],
-                         F.lag(_LAST).over(w_slices).alias(_CARRY))
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in (*keys, _SLICE)))
-    joined = sliced.join(carry, on=same, how="left")
-    w = Window.partitionBy(*keys, _SLICE).orderBy(ts, tiebreak)
-    return (joined
-            .withColumn(prev, F.coalesce(F.lag(payload).over(w), F.col(_CARRY)))
-            .drop(_CARRY, _SLICE, *[f"__c_{c}" for c in (*keys, _SLICE)]))
+    moved = lasts.select(*keys, _SLICE, F.lag(_LAST).over(w_slices).alias(_CARRY)).where(
+        F.col(_CARRY).isNotNull())
+    named = [c for c in payload_names(ts, tiebreak, cols) if c not in keys]
+    markers = moved.select(*keys, _SLICE, *[F.col(f"{_CARRY}.{c}").alias(c) for c in named],
+                           F.lit(True).alias(_MARK))
+    rows = sliced.withColumn(_MARK, F.lit(False)).unionByName(markers, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, _SLICE).orderBy(F.desc(_MARK), ts, tiebreak)
+    return (rows.withColumn(prev, F.lag(payload).over(w))
+            .where(~F.col(_MARK)).drop(_MARK, _SLICE))
 
 
 def change_points(df: DataFrame, partition: Sequence[str], ts: str, tiebreak: str,

@@ -165,7 +165,9 @@ def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dic
                 written[name] = spark.read.schema(table.schema).parquet(path)
         finally:
             batch.unpersist()
-        drop_epochs(spark, f"{sink}/carry", before=epoch)
+        # Spark commits the epoch after this: until then it may be run again, from
+        # the carry of the epoch before.
+        drop_epochs(spark, f"{sink}/carry", before=epoch - 1)
 
     return start(stream, mode="append", sink=sink, checkpoint=checkpoint,
                  processing_time=processing_time, per_batch=per_batch)
