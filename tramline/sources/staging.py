@@ -7,7 +7,7 @@ streams that add files get a fresh folder of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.session import fresh_dir
@@ -29,16 +29,19 @@ FEED_FILES = 2
 
 
 def write_feed(rows: DataFrame, path: str, *, parts: int = FEED_PARTS,
-               files: int = FEED_FILES) -> str:
+               files: int = FEED_FILES, delay_seconds: Column | None = None) -> str:
     """Write telemetry as a feed delivers it: ``parts`` consecutive stretches
     of time, each as ``files`` CSV files, one stretch after the other. A stream
-    that takes ``files`` files per trigger sees one stretch in each."""
-    bounds = rows.agg(F.min(F.unix_micros("date")).alias("lo"),
-                      F.max(F.unix_micros("date")).alias("hi")).first()
+    that takes ``files`` files per trigger sees one stretch in each. The time is
+    that of arrival: a reading's own, and ``delay_seconds`` (whole) on top."""
+    arrival = F.unix_micros("date")
+    if delay_seconds is not None:
+        arrival = arrival + delay_seconds.cast("long") * 1_000_000
+    bounds = rows.agg(F.min(arrival).alias("lo"), F.max(arrival).alias("hi")).first()
     if bounds.lo is None:
         return write_lines(bus_lines(rows), path)
     width = (bounds.hi - bounds.lo) // parts + 1
-    part = F.floor((F.unix_micros("date") - F.lit(bounds.lo)) / F.lit(width))
+    part = F.floor((arrival - F.lit(bounds.lo)) / F.lit(width))
     for i in range(parts):
         write_lines(bus_lines(rows.where(part == i)).repartition(files), path)
     return path

@@ -77,29 +77,33 @@ def drop_epochs(spark: SparkSession, sink: str, *, before: int) -> None:
 def start(stream: DataFrame, *, mode: str = "append", sink: str, checkpoint: str,
           processing_time: str | None = None,
           per_batch: Callable[[DataFrame, int], None] | None = None,
-          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+          name: str | None = None, state_partitions: int | None = None,
+          conf: dict[str, str] | None = None) -> StreamingQuery:
     """Start a query; ``processing_time`` (e.g. "10 seconds") for a live
     feed, otherwise it drains what is available now and stops.
 
     ``state_partitions`` is the number of state-store partitions of the
     stateful operators; a checkpoint keeps it for good. Default: the session's
     shuffle width, which does not depend on the executors there at the start.
-    Where given, the width is set for the moment the query starts."""
+    It and ``conf`` (settings of this query alone) are set for the moment the
+    query starts, which takes a copy of the session's settings."""
     spark = stream.sparkSession
     writer = _writer(stream, mode=mode, sink=sink, checkpoint=checkpoint, per_batch=per_batch)
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
     writer = writer.trigger(**trigger)
-    if not state_partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    settings = dict(conf or {})
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_sink(spark: SparkSession, sink: str, schema, *, mode: str = "append") -> DataFrame:
@@ -139,7 +143,8 @@ def run_latest(stream: DataFrame, keys: Sequence[str], *, label: str = "stream",
 
 
 def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dict[str, DataFrame]],
-            *, sink: str, checkpoint: str, processing_time: str | None = None) -> StreamingQuery:
+            *, sink: str, checkpoint: str, processing_time: str | None = None,
+            conf: dict[str, str] | None = None) -> StreamingQuery:
     """Run ``step(batch, carry)`` on every micro-batch. It returns tables by
     name, or functions of those written before; each is written to
     ``sink/<name>/epoch_id=N``, and ``carry`` is handed to the next epoch (only
@@ -170,7 +175,7 @@ def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dic
         drop_epochs(spark, f"{sink}/carry", before=epoch - 1)
 
     return start(stream, mode="append", sink=sink, checkpoint=checkpoint,
-                 processing_time=processing_time, per_batch=per_batch)
+                 processing_time=processing_time, per_batch=per_batch, conf=conf)
 
 
 def run_carried(stream: DataFrame, step, *, label: str, sink: str | None = None,
