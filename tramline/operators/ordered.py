@@ -38,6 +38,7 @@ _SLICE = "__slice"
 _LAST = "__last_of_slice"
 _CARRY = "__carry"
 _MARK = "__mark"
+_SEED = "__seed"
 
 
 def payload_names(ts: str, tiebreak: str, cols: Sequence[str]) -> list[str]:
@@ -77,25 +78,35 @@ def _slice_last(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
 
 def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                   cols: Sequence[str], *, prev: str = "prev",
-                  slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+                  slice_seconds: int | None = DEFAULT_SLICE_SECONDS,
+                  before: DataFrame | None = None) -> DataFrame:
     """Add struct column ``prev`` = (ts, tiebreak, *cols) of the previous row.
 
     The series is ``keys``, ordered by (``ts``, ``tiebreak``); ``tiebreak``
     must make the order total. NULL keys are a key like any other, and rows with
     a NULL time come first in their series, for every ``slice_seconds``;
     ``slice_seconds=None`` uses one window per key, for series known to be small.
+    ``before`` has a row for each series that goes on from an earlier table: what
+    stands before the first row here (it is not returned).
     """
     keys = list(keys)
     payload = _payload(ts, tiebreak, cols)
     if slice_seconds is None:
+        if before is not None:
+            raise ValueError("series that go on are read in slices")
         w = Window.partitionBy(*keys).orderBy(ts, tiebreak)
         return df.withColumn(prev, F.lag(payload).over(w))
 
     sliced = df.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(ts)) / F.lit(slice_seconds)))
     lasts = _slice_last(sliced, keys, ts, tiebreak, cols)
-    w_slices = Window.partitionBy(*keys).orderBy(_SLICE)
-    moved = lasts.select(*keys, _SLICE, F.lag(_LAST).over(w_slices).alias(_CARRY)).where(
-        F.col(_CARRY).isNotNull())
+    if before is not None:
+        lasts = lasts.withColumn(_SEED, F.lit(False)).unionByName(before.select(
+            *keys, payload.alias(_LAST), F.lit(True).alias(_SEED)), allowMissingColumns=True)
+    else:
+        lasts = lasts.withColumn(_SEED, F.lit(False))
+    w_slices = Window.partitionBy(*keys).orderBy(F.desc(_SEED), _SLICE)
+    moved = lasts.select(*keys, _SLICE, _SEED, F.lag(_LAST).over(w_slices).alias(_CARRY)).where(
+        F.col(_CARRY).isNotNull() & ~F.col(_SEED))
     named = [c for c in payload_names(ts, tiebreak, cols) if c not in keys]
     markers = moved.select(*keys, _SLICE, *[F.col(f"{_CARRY}.{c}").alias(c) for c in named],
                            F.lit(True).alias(_MARK))
@@ -106,14 +117,16 @@ def with_previous(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
 
 
 def change_points(df: DataFrame, partition: Sequence[str], ts: str, tiebreak: str,
-                  value: str, *, slice_seconds: int | None = DEFAULT_SLICE_SECONDS) -> DataFrame:
+                  value: str, *, slice_seconds: int | None = DEFAULT_SLICE_SECONDS,
+                  before: DataFrame | None = None) -> DataFrame:
     """Collapse consecutive repeats: keep rows whose ``value`` differs from
-    the previous row of the series (the first row is always kept).
+    the previous row of the series (the first row is always kept, unless the
+    series goes on from a row of ``before``).
 
     Output rows are the kept input rows, unchanged.
     """
     marked = with_previous(df, partition, ts, tiebreak, [value], prev="__cp_prev",
-                           slice_seconds=slice_seconds)
+                           slice_seconds=slice_seconds, before=before)
     changed = ~F.col(value).eqNullSafe(F.col(f"__cp_prev.{value}"))
     return marked.where(F.col("__cp_prev").isNull() | changed).drop("__cp_prev")
 

@@ -13,6 +13,7 @@ window.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 from functools import reduce
 from operator import and_
 
@@ -107,8 +108,13 @@ def change_points_step(*, width: str, slide: str | None = None,
     keys = ["window_start", "window_end", *partition]
     cols = [*keys, "date", "closerStopID", "delay"]
 
+    def dated(rows: DataFrame) -> DataFrame:
+        """Adds the order of readings of one time, as one number."""
+        least = F.lit(-(1 << 31))
+        stop, late_by = (F.coalesce(F.col(c), least).cast("long") for c in ("closerStopID", "delay"))
+        return rows.select(*cols, (F.shiftleft(stop, 32) + late_by - least).alias("tie"))
+
     def step(batch: DataFrame, carry: DataFrame | None) -> dict[str, DataFrame]:
-        tie = F.struct("new", "closerStopID", "delay")
         wt = window_ts or ts
         # A window never holds a NULL time: such rows have no window.
         rows = (batch.where(F.col("atStop") != 0)
@@ -117,27 +123,34 @@ def change_points_step(*, width: str, slide: str | None = None,
                 .select(F.col("window.start").alias("window_start"),
                         F.col("window.end").alias("window_end"),
                         *partition, "date", "closerStopID", "delay"))
+        first, newest = rows.agg(F.min(F.unix_micros("date")), F.max(F.unix_micros("date"))).first()
         late = rows.limit(0)
         if carry is not None:
             now = carry.agg(F.max(F.unix_micros("date"))).first()[0]
-            last = carry.select(*[F.col(c).alias(f"__{c}") for c in keys],
-                                F.col("date").alias("__last"))
-            same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys))
-            dated = rows.join(last, same, "left")
-            is_late = F.coalesce((F.col("date") < F.col("__last"))
-                                 | (F.unix_micros("window_end") <= F.lit(now)), F.lit(False))
-            late = dated.where(is_late).select(*cols)
-            rows = dated.where(~is_late).select(*cols, F.lit(1).alias("new")).unionByName(
-                carry.select(*cols, F.lit(0).alias("new")))
-        else:
-            rows = rows.select(*cols, F.lit(1).alias("new"))
-        kept = change_points(rows.withColumn("tie", tie), keys, "date", "tie", "closerStopID")
-        order = F.struct("date", tie)
-        ends = rows.groupBy(*keys).agg(*[F.max_by(c, order).alias(c)
-                                         for c in ("date", "closerStopID", "delay")])
-        newest = ends.agg(F.max(F.unix_micros("date"))).first()[0]
+            # Only a batch that starts before the newest reading can have late ones.
+            if None not in (now, first) and first < now:
+                last = carry.select(*[F.col(c).alias(f"__{c}") for c in keys],
+                                    F.col("date").alias("__last"))
+                same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys))
+                known = rows.join(last, same, "left")
+                is_late = F.coalesce((F.col("date") < F.col("__last"))
+                                     | (F.unix_micros("window_end") <= F.lit(now)), F.lit(False))
+                late, rows = known.where(is_late), known.where(~is_late).select(*cols)
+            newest = max((x for x in (now, newest) if x is not None), default=None)
+            carry = dated(carry)
+        rows = dated(rows)
+        changes = change_points(rows, keys, "date", "tie", "closerStopID", before=carry)
+        ends = rows.withColumn("new", F.lit(1))
+        if carry is not None:
+            ends = ends.unionByName(carry.withColumn("new", F.lit(0)))
+        # Of one time, a reading of this epoch is after the one carried to it.
+        wide = "decimal(38,0)"
+        order = ((F.unix_micros("date").cast(wide) * 2 + F.col("new"))
+                 * F.lit(Decimal(1 << 64)).cast(wide) + F.col("tie").cast(wide))
+        ends = ends.withColumn("at", order).groupBy(*keys).agg(
+            *[F.max_by(c, "at").alias(c) for c in ("date", "closerStopID", "delay")])
         still = ends.where(F.unix_micros("window_end") > F.lit(newest))
-        return {"carry": still, "changes": kept.where("new = 1").select(*cols),
+        return {"carry": still, "changes": changes.select(*cols),
                 "late": late.groupBy().agg(F.count("*").alias("late_rows"))}
 
     return step

@@ -1,13 +1,13 @@
 """Event-time reorder buffer: readings arrive in any order and leave in order.
 
-The state is keyed by (series, time slice). A reading is held in the list state
-of its slice; an event-time timer at the slice's end fires when the watermark
-gets there, the slice leaves in order, and its state is cleared. All slices
-released in one epoch lie before all those of later epochs, so a batch operator
-that carries the last reading of each series from epoch to epoch (``carried``)
-sees every series in time order, whatever the order of arrival was. A slice
-holds the readings of one series for ``slice_seconds``, so a hot vehicle is as
-many keys as it has slices, and state never outlives the watermark.
+The state is keyed by time slice and a bucket of the series. A reading is held in
+the list state of its slice; an event-time timer at the slice's end fires when
+the watermark gets there, the slice leaves in order, and its state is cleared.
+All slices released in one epoch lie before all those of later epochs, so a
+batch operator that carries the last reading of each series from epoch to epoch
+(``carried``) sees every series in time order, whatever the order of arrival
+was. A key holds what some series send in ``slice_seconds``, so a hot vehicle is
+as many keys as it has slices, and state never outlives the watermark.
 
 A reading whose slice has already left is late. Late readings are not dropped:
 they leave at once, tagged, and so do readings without a time. Each reading
@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tramline.session import fresh_dir, ship_package
+from tramline.session import fresh_dir
 from tramline.streaming.runner import EPOCH, await_end, carried, epochs
 
 KIND, IN_ORDER, LATE, UNDATED = "kind", "in_order", "late", "undated"
-_SLICE_END = "__slice_end_ms"
+_BUCKET, _SLICE_END = "__bucket", "__slice_end_ms"
 _HELD = "held"
 
 #: State variables with timers need this store.
@@ -56,63 +56,64 @@ def _from_plain(schema: T.StructType) -> list:
             else F.col(f.name) for f in schema.fields]
 
 
-class SliceBuffer(StatefulProcessor):
-    """State of one (series, slice): its readings, until the watermark passes."""
+def slice_buffer(columns: T.StructType, order: Sequence[str]) -> StatefulProcessor:
+    """The state of one (bucket of series, slice). A local class, which goes to
+    Spark's workers by value: those on the driver do not see shipped packages."""
+    names = columns.fieldNames()
+    places = [names.index(n) for n in order]
 
-    def __init__(self, columns: T.StructType, order: Sequence[str]):
-        self.columns, self.order = columns, list(order)
+    def place(values: tuple) -> list:  # nulls first, as Spark sorts
+        return [(False,) if values[i] is None else (True, values[i]) for i in places]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getListState(_HELD, self.columns)
+    class SliceBuffer(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.held = handle.getListState(_HELD, columns)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names, end = self.columns.fieldNames(), key[-1]
-        gone = end is None or end <= timerValues.getCurrentWatermarkInMs()
-        fresh = []
-        for row in rows:
-            values = tuple(row[n] for n in names)
-            if gone:
-                yield Row(*names, KIND)(*values, UNDATED if end is None else LATE)
-            else:
-                fresh.append(values)
-        if fresh:
-            if not self.held.exists():
-                self.handle.registerTimer(end)
-            self.held.appendList(fresh)
+        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            end = key[-1]
+            gone = end is None or end <= timerValues.getCurrentWatermarkInMs()
+            fresh = []
+            for row in rows:
+                values = tuple(row[n] for n in names)
+                if gone:
+                    yield Row(*names, KIND)(*values, UNDATED if end is None else LATE)
+                else:
+                    fresh.append(values)
+            if fresh:
+                self.handle.registerTimer(end)  # the same one however often
+                self.held.appendList(fresh)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        names = self.columns.fieldNames()
-        at = [names.index(n) for n in self.order]
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            held = sorted((tuple(v) for v in self.held.get()), key=place)
+            self.held.clear()
+            for values in held:
+                yield Row(*names, KIND)(*values, IN_ORDER)
 
-        def place(values):  # nulls first, as Spark sorts
-            return [(values[i] is not None, values[i]) if values[i] is not None else (False,)
-                    for i in at]
-        held = sorted((tuple(v) for v in self.held.get()), key=place)
-        self.held.clear()
-        for values in held:
-            yield Row(*names, KIND)(*values, IN_ORDER)
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return SliceBuffer()
 
 
 def in_order(stream: DataFrame, series: Sequence[str], *, ts: str = "date",
              order: Sequence[str] = (), lateness: str = "1 hour",
-             slice_seconds: int = 900) -> DataFrame:
-    """``stream`` with a column ``kind``, each series' slices whole and in order
-    of (``ts``, *``order``). Start it with ``runner.start(conf=STORE)``."""
-    ship_package(stream.sparkSession)
+             slice_seconds: int = 900, buckets: int = 16) -> DataFrame:
+    """``stream`` with a column ``kind``; slices leave whole, their readings by
+    series in order of (``ts``, *``order``). A key of the state is a slice of one
+    of ``buckets`` of the series: more buckets spread a slice over more tasks,
+    fewer make fewer calls. Start it with ``runner.start(conf=STORE)``."""
     plain = _plain(stream.schema)
     slice_ms = slice_seconds * 1000
     seconds = F.floor(F.col(ts) / F.lit(slice_seconds * 1_000_000)) + 1
     # The watermark follows ``ts``; what goes on is its number, which carries no
     # watermark, so that late readings reach the buffer instead of being dropped.
     rows = (stream.withWatermark(ts, lateness).select(*_to_plain(stream))
+            .withColumn(_BUCKET, F.pmod(F.xxhash64(*series), F.lit(buckets)).cast("int"))
             .withColumn(_SLICE_END, (seconds * F.lit(slice_ms)).cast("long")))
     out = T.StructType([*plain.fields, T.StructField(KIND, T.StringType())])
-    told = rows.groupBy(*series, _SLICE_END).transformWithState(
-        SliceBuffer(plain, [ts, *order]), out, "append", "eventTime")
+    told = rows.groupBy(_BUCKET, _SLICE_END).transformWithState(
+        slice_buffer(plain, [*series, ts, *order]), out, "append", "eventTime")
     return told.select(*_from_plain(stream.schema), KIND)
 
 
@@ -124,11 +125,12 @@ def held_rows(spark: SparkSession, checkpoint: str, schema: T.StructType) -> Dat
 
 def start_in_order(stream: DataFrame, series: Sequence[str], step, *, sink: str, checkpoint: str,
                    ts: str = "date", order: Sequence[str] = (), lateness: str = "1 hour",
-                   slice_seconds: int = 900, processing_time: str | None = None) -> StreamingQuery:
+                   slice_seconds: int = 900, buckets: int = 16,
+                   processing_time: str | None = None) -> StreamingQuery:
     """Run a ``carried`` step on the readings in order; the others are written to
     the table ``aside`` of the sink, as they are."""
     ordered = in_order(stream, series, ts=ts, order=order, lateness=lateness,
-                       slice_seconds=slice_seconds)
+                       slice_seconds=slice_seconds, buckets=buckets)
 
     def split(batch: DataFrame, carry: DataFrame | None) -> dict:
         tables = step(batch.where(F.col(KIND) == IN_ORDER).drop(KIND), carry)

@@ -18,7 +18,9 @@ sink's own commit log keeps the output exactly-once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,14 +162,25 @@ def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dic
                 raise RuntimeError(f"{sink} has no state of epoch {epoch - 1}: it is not the sink "
                                    "this checkpoint was run with")
             carry = spark.read.parquet(f"{sink}/carry/{EPOCH}={epoch - 1}")
+        written: dict[str, DataFrame] = {}
+
+        def write(name: str, table: DataFrame) -> None:
+            path = f"{sink}/{name}/{EPOCH}={epoch}"
+            table.write.mode("overwrite").parquet(path)
+            written[name] = spark.read.schema(table.schema).parquet(path)
+
         batch.persist()
         try:
-            written: dict[str, DataFrame] = {}
-            for name, table in step(batch, carry).items():
-                table = table(written) if callable(table) else table
-                path = f"{sink}/{name}/{EPOCH}={epoch}"
-                table.write.mode("overwrite").parquet(path)
-                written[name] = spark.read.schema(table.schema).parquet(path)
+            tables = step(batch, carry)
+            direct = {n: t for n, t in tables.items() if not callable(t)}
+            # These do not need each other: their jobs run side by side.
+            with ThreadPoolExecutor(max(1, len(direct))) as pool:
+                run_one = inheritable_thread_target(spark)(write)
+                for job in [pool.submit(run_one, n, t) for n, t in direct.items()]:
+                    job.result()
+            for name, of_written in tables.items():
+                if name not in direct:
+                    write(name, of_written(written))
         finally:
             batch.unpersist()
         # Spark commits the epoch after this: until then it may be run again, from
