@@ -59,7 +59,7 @@ class Settings:
     #: Sources of a block, on average.
     block: int = 48
     #: Distinct terms that a task gathers before it passes their counts on.
-    held_terms: int = 300_000
+    held_terms: int = 700_000
     #: Leaves of the pairs priced at a time.
     leaves: int = 1 << 20
 
@@ -94,8 +94,9 @@ def count_terms(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
                           for c in ("lang", "source", "text")])
     counted = named.mapInPandas(partial, "lang string, source string, term string, n long, docs long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"),
-                                                         F.sum("docs").alias("docs"))
+    # Tasks have combined their own rows: another map-side pass would find little.
+    return counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _rows(held: dict) -> Iterator[pd.DataFrame]:
