@@ -68,6 +68,18 @@ def bus_rows_stream(spark: SparkSession, path: str, *,
 def bike_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(good, bad) of a folder of bike-station CSV files: a good line has
     eleven fields, a station, a time and a number of bikes that parse."""
+    return split_bike_lines(read_lines(spark, path))
+
+
+def bike_rows_stream(spark: SparkSession, path: str, *,
+                     max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a streamed folder of bike-station CSV files."""
+    return split_bike_lines(read_lines(spark, path, stream=True,
+                                       max_files_per_trigger=max_files_per_trigger))
+
+
+def split_bike_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good typed rows, bad raw lines with their reason)."""
     fields = F.split(F.trim("value"), ",", -1)
     names = [f.name for f in BIKE_SCHEMA.fields]
     cols = []
@@ -76,7 +88,7 @@ def bike_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         text = f.dataType.simpleString() == "string"
         cols.append((parse_time(raw, TIME_FORMAT) if f.name == "time" else
                      raw if text else raw.try_cast(f.dataType)).alias(f.name))
-    parsed = read_lines(spark, path).select("value", F.size(fields).alias("__n"), *cols)
+    parsed = lines.select("value", F.size(fields).alias("__n"), *cols)
     reason = (F.when(F.col("__n") != len(names), F.lit(BAD_FIELD_COUNT))
               .when(F.col("station_id").isNull() | F.col("time").isNull()
                     | F.col("available_bikes").isNull(), F.lit(BAD_VALUE)))

@@ -37,13 +37,24 @@ def write_feed(rows: DataFrame, path: str, *, parts: int = FEED_PARTS,
     arrival = F.unix_micros("date")
     if delay_seconds is not None:
         arrival = arrival + delay_seconds.cast("long") * 1_000_000
+    return _write_by_arrival(rows, arrival, bus_lines, path, parts, files)
+
+
+def write_bike_feed(rows: DataFrame, path: str, *, parts: int = FEED_PARTS,
+                    files: int = FEED_FILES) -> str:
+    """Write bike readings as a feed delivers them, like ``write_feed``."""
+    return _write_by_arrival(rows, F.unix_micros("time"), bike_lines, path, parts, files)
+
+
+def _write_by_arrival(rows: DataFrame, arrival: Column, lines, path: str, parts: int,
+                      files: int) -> str:
     bounds = rows.agg(F.min(arrival).alias("lo"), F.max(arrival).alias("hi")).first()
     if bounds.lo is None:
-        return write_lines(bus_lines(rows), path)
+        return write_lines(lines(rows), path)
     width = (bounds.hi - bounds.lo) // parts + 1
     part = F.floor((arrival - F.lit(bounds.lo)) / F.lit(width))
     for i in range(parts):
-        write_lines(bus_lines(rows.where(part == i)).repartition(files), path)
+        write_lines(lines(rows.where(part == i)).repartition(files), path)
     return path
 
 
@@ -83,3 +94,11 @@ def staged_bike_csv(spark: SparkSession, sf_dir: str) -> str:
         _STAGED[key] = write_lines(bike_lines(bike_readings(spark, sf_dir)),
                                    fresh_dir(spark, "bike-csv"))
     return _STAGED[key]
+
+
+def staged_bike_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of bike-station CSV files in time order, for streams (cached)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "bike-feed")
+    if key not in _STAGED:
+        _STAGED[key] = write_bike_feed(bike_readings(spark, sf_dir), fresh_dir(spark, "bike-feed"))
+    return _STAGED[key]

@@ -146,7 +146,7 @@ def run_latest(stream: DataFrame, keys: Sequence[str], *, label: str = "stream",
 
 def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dict[str, DataFrame]],
             *, sink: str, checkpoint: str, processing_time: str | None = None,
-            conf: dict[str, str] | None = None) -> StreamingQuery:
+            conf: dict[str, str] | None = None, mode: str = "append") -> StreamingQuery:
     """Run ``step(batch, carry)`` on every micro-batch. It returns tables by
     name, or functions of those written before; each is written to
     ``sink/<name>/epoch_id=N``, and ``carry`` is handed to the next epoch (only
@@ -187,7 +187,7 @@ def carried(stream: DataFrame, step: Callable[[DataFrame, DataFrame | None], dic
         # the carry of the epoch before.
         drop_epochs(spark, f"{sink}/carry", before=epoch - 1)
 
-    return start(stream, mode="append", sink=sink, checkpoint=checkpoint,
+    return start(stream, mode=mode, sink=sink, checkpoint=checkpoint,
                  processing_time=processing_time, per_batch=per_batch, conf=conf)
 
 

@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.predicates import on_day
+from tramline.functions.predicates import hour_between, is_weekday, on_day
 from tramline.plans.batch_queries import (
-    BUCKET_KM, DAY, DAY_SQL, DELAY_LIMIT, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
+    BIKE_AVG_SQL, BUCKET_KM, DAY, DAY_SQL, DELAY_LIMIT, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
     as_text, haversine,
 )
 from tramline.plans.oracle import texted, with_tables
@@ -24,13 +24,16 @@ from tramline.plans.scan_queries import SCAN_SQL, bus_out
 from tramline.plans.transit import congestion_by_hour
 from tramline.session import fresh_dir
 from tramline.sources.csv import (
-    bus_lines, bus_rows_stream, read_bus_csv_stream, read_lines, split_bus_lines, typed,
+    bike_rows_stream, bus_lines, bus_rows_stream, read_bus_csv_stream, read_lines, split_bus_lines, typed,
 )
+from tramline.sources.schemas import STATUS_OPEN
 from tramline.sources.staging import (
-    FEED_FILES, FEED_PARTS, staged_bus_csv, staged_feed, write_feed, write_lines,
+    FEED_FILES, FEED_PARTS, staged_bike_feed, staged_bus_csv, staged_feed, write_feed, write_lines,
 )
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
+from tramline.streaming.extremes import extremes_after, run_extremes, side_by_side
+from tramline.streaming.reorder import finished, run_in_order
 from tramline.streaming.runner import (
     EPOCH, await_end, flatten_window, latest_rows, run, run_carried, run_latest, run_per_batch,
 )
@@ -161,7 +164,7 @@ def q_stream_arrivals_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
-@register_windowed("stream_change_points", with_tables("""
+CHANGES_SQL = with_tables("""
 SELECT window_start, window_end, vehicleID, busLineID, date, closerStopID, delay
 FROM (SELECT date_trunc('day', date) AS window_start,
              date_trunc('day', date) + INTERVAL 1 DAY AS window_end, *,
@@ -170,13 +173,34 @@ FROM (SELECT date_trunc('day', date) AS window_start,
       WINDOW w AS (PARTITION BY vehicleID, busLineID, date_trunc('day', date)
                    ORDER BY date, closerStopID, delay))
 WHERE rn = 1 OR prev_stop IS DISTINCT FROM closerStopID""",
-    "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)"), extra=("date",))
+    "picked AS (SELECT * FROM telemetry WHERE atStop <> 0)")
+
+
+@register_windowed("stream_change_points", CHANGES_SQL, extra=("date",))
 def q_stream_change_points(spark: SparkSession, sf: str) -> DataFrame:
     sink = run_carried(bus_stream(spark, sf), forms.change_points_step(width="1 day"),
                        label="change-points")
     return spark.read.parquet(f"{sink}/changes").drop(EPOCH)
 
 
+def disordered_feed(spark: SparkSession, sf: str) -> str:
+    """A feed whose readings arrive up to an hour after their time."""
+    delay = F.pmod(F.xxhash64("reading_id"), F.lit(3600))
+    return write_feed(telemetry(spark, sf), fresh_dir(spark, "disordered-feed"),
+                      delay_seconds=delay)
+
+
+@register_windowed("stream_change_points_disordered", CHANGES_SQL, extra=("date",))
+def q_stream_change_points_disordered(spark: SparkSession, sf: str) -> DataFrame:
+    # Every reading is up to an hour late; the reorder buffer puts them in order.
+    # The feed ends, so what is still held is told as well.
+    stream = bus_stream(spark, sf, disordered_feed(spark, sf))
+    step = forms.change_points_step(width="1 day")
+    sink, checkpoint = run_in_order(stream, ["vehicleID", "busLineID"], step, label="disordered",
+                                    lateness=LATENESS, slice_seconds=6 * 3600, buckets=4)
+    return finished(spark, step, "changes", stream.schema, sink=sink, checkpoint=checkpoint)
+
+
 @register_windowed("stream_arrivals_collapsed", with_tables(f"""
 SELECT window_start, window_end, busLineID AS lineID, closerStopID AS stationID,
        strftime(date, '%H:%M:%S') AS arrivalTime,
@@ -314,6 +338,26 @@ def q_stream_distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return latest_histogram(spark, sink)
 
 
+@register("stream_bike_extremes", with_tables("""
+SELECT e.hrs AS HOUR, e.min_bike, e.max_bike,
+       a.station_id AS min_bike_station_id, b.station_id AS max_bike_station_id
+FROM ext e
+JOIN avgs a ON a.hrs = e.hrs AND a.bikes = e.min_bike
+JOIN avgs b ON b.hrs = e.hrs AND b.bikes = e.max_bike""", BIKE_AVG_SQL))
+def q_stream_bike_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """The bike extremes kept current over a feed: averages move both ways, and
+    so do the extremes. Those told by the last epoch are returned."""
+    good, _ = bike_rows_stream(spark, staged_bike_feed(spark, sf), max_files_per_trigger=FEED_FILES)
+    picked = good.where(is_weekday("time") & (F.col("status") == STATUS_OPEN)
+                        & hour_between("time", 7, 19)).withColumn("HOUR", F.hour("time"))
+    sink = run_extremes(picked, "HOUR", "station_id", "available_bikes", label="bike-extremes",
+                        buckets=4)
+    return side_by_side(extremes_after(spark, sink), "HOUR").select(
+        "HOUR", F.col("min_value").alias("min_bike"), F.col("max_value").alias("max_bike"),
+        F.col("min_owner").alias("min_bike_station_id"),
+        F.col("max_owner").alias("max_bike_station_id"))
+
+
 # ---------------------------------------------------------------- restart, late rows
 
 DAILY_SQL = with_tables("""
