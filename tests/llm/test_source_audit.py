@@ -93,7 +93,7 @@ def test_edge_texts(spark):
     assert told(source_audit(make(spark, docs), SMALL)) == plain(docs, least=2)
     assert source_audit(make(spark, []), SMALL).count() == 0
     for text, _, _ in docs:
-        assert [t.decode() for t in terms_of(text)] == TERM.findall(text.translate(UPPER))
+        assert [t.decode() for t in terms_of(text.encode())] == TERM.findall(text.translate(UPPER))
 
 
 def test_whole_table(spark):

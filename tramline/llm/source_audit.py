@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,15 +60,16 @@ class Settings:
     #: Sources of a block, on average.
     block: int = 48
     #: Distinct terms that a task gathers before it passes their counts on.
-    held_terms: int = 700_000
+    held_terms: int = 500_000
     #: Leaves of the pairs priced at a time.
     leaves: int = 1 << 20
 
 
 # ---------------------------------------------------------------- counts
 
-def terms_of(text: str) -> list[bytes]:
-    return text.encode().lower().translate(_TO_BLANKS).split()
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a UTF-8 text: only A-Z lower-cased."""
+    return text.lower().translate(_TO_BLANKS).split()
 
 
 def count_terms(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -75,17 +77,17 @@ def count_terms(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     Each group has a row of the term ``''`` besides."""
     python_ready(docs)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         fresh = 0
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
+            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
                 pair = held.setdefault((lang, source), (Counter(), Counter()))
-                before = len(pair[1])
+                before = len(pair[0])
                 terms = terms_of(text)
                 pair[0].update(terms)
                 pair[1].update(set(terms))
-                fresh += len(pair[1]) - before
+                fresh += len(pair[0]) - before
                 if fresh >= settings.held_terms:
                     yield from _rows(held)
                     held, fresh = {}, 0
@@ -93,18 +95,21 @@ def count_terms(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
                           for c in ("lang", "source", "text")])
-    counted = named.mapInPandas(partial, "lang string, source string, term string, n long, docs long")
+    counted = named.withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        partial, "lang string, source string, term string, n long, docs long")
     # Tasks have combined their own rows: another map-side pass would find little.
     return counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
-def _rows(held: dict) -> Iterator[pd.DataFrame]:
+def _rows(held: dict) -> Iterator[pa.RecordBatch]:
     for (lang, source), (n, docs) in held.items():
-        terms = list(docs)
-        yield pd.DataFrame({"lang": lang, "source": source,
-                            "term": ["", *[t.decode() for t in terms]],
-                            "n": [0, *[n[t] for t in terms]], "docs": [0, *[docs[t] for t in terms]]})
+        size = len(n) + 1
+        terms = pa.array([b"", *n], pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(lang, size), pa.repeat(source, size), terms, pa.array([0, *n.values()], pa.int64()),
+             pa.array([0, *map(docs.__getitem__, n)], pa.int64())],
+            names=["lang", "source", "term", "n", "docs"])
 
 
 def kept_terms(counts: DataFrame, settings: Settings = Settings()) -> DataFrame:
