@@ -52,6 +52,17 @@ def _payload(ts: str, tiebreak: str, cols: Sequence[str]) -> Column:
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def reading_order(ts: str, tiebreak: str) -> Column:
+    """One number that orders readings by time and an integral tie-breaker. A
+    NULL time counts as 0 (rows of NULL times are not mixed with others); a NULL
+    tie-breaker comes before all others."""
+    dec = "decimal(38,0)"
+    return (F.coalesce(F.unix_micros(F.col(ts)), F.lit(0)).cast(dec)
+            * F.lit(Decimal(10 ** 19)).cast(dec)
+            + F.coalesce(F.col(tiebreak).cast(dec) + F.lit(Decimal(2 ** 63)).cast(dec),
+                         F.lit(Decimal(-1)).cast(dec)))
+
+
 def _slice_last(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
                 cols: Sequence[str]) -> DataFrame:
     """The last row (by ts, tiebreak) of every (key, slice), as a struct.
@@ -63,13 +74,7 @@ def _slice_last(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
     based aggregate) is used."""
     names = payload_names(ts, tiebreak, cols)
     if isinstance(df.schema[tiebreak].dataType, _INTEGRAL):
-        dec = "decimal(38,0)"
-        # A slice holds either times or NULL times only, so any number does for
-        # these; a NULL tie-breaker comes before all others.
-        order = (F.coalesce(F.unix_micros(F.col(ts)), F.lit(0)).cast(dec)
-                 * F.lit(Decimal(10 ** 19)).cast(dec)
-                 + F.coalesce(F.col(tiebreak).cast(dec) + F.lit(Decimal(2 ** 63)).cast(dec),
-                              F.lit(Decimal(-1)).cast(dec)))
+        order = reading_order(ts, tiebreak)
         picked = df.withColumn("__order", order).groupBy(*keys, _SLICE).agg(
             *[F.max_by(c, "__order").alias(c) for c in names])
         return picked.select(*keys, _SLICE, F.struct(*names).alias(_LAST))

@@ -39,7 +39,7 @@ def register(name: str, sql: str | None = None, note: str = ""):
 
 def _load_all() -> None:
     # Importing the modules fills REGISTRY.
-    from tramline.plans import batch_queries, scan_queries  # noqa: F401
+    from tramline.plans import batch_queries, scan_queries, stored_queries  # noqa: F401
     from tramline.streaming import stream_queries  # noqa: F401
 
 

@@ -75,7 +75,7 @@ def bike_readings_from_events(events: DataFrame) -> DataFrame:
 
 
 _STORED: dict[tuple[str, str, int], str] = {}
-_STORING = threading.Lock()
+_STORING = threading.RLock()  # a copy may be made of another
 
 
 def stamp(spark: SparkSession, path: str) -> int:
@@ -88,15 +88,17 @@ def stamp(spark: SparkSession, path: str) -> int:
                 *[f.getModificationTime() for f in files]])
 
 
-def _stored(spark: SparkSession, kind: str, sf_dir: str, write) -> DataFrame:
+def stored_copy(spark: SparkSession, kind: str, sf_dir: str, write, read=None) -> DataFrame:
     """The stored copy of a derived table, written on first use (by one thread)
-    and again when the events have changed."""
+    and again when the events have changed. ``read`` takes its path (default: a
+    Parquet scan)."""
     key = (spark.sparkContext.applicationId, f"{sf_dir}#{kind}",
            stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     with _STORING:
         if key not in _STORED:
             _STORED[key] = write(fresh_dir(spark, kind))
-    return _memo(spark, kind, _STORED[key], lambda: spark.read.parquet(_STORED[key]))
+    return _memo(spark, kind, _STORED[key],
+                 lambda: (read or spark.read.parquet)(_STORED[key]))
 
 
 def store_telemetry(rows: DataFrame, path: str) -> str:
@@ -118,7 +120,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry of ``sf_dir``: the stored, day-partitioned table (written on
     first use in this application)."""
     prepare(spark)
-    return _stored(spark, "telemetry", sf_dir, lambda path: store_telemetry(
+    return stored_copy(spark, "telemetry", sf_dir, lambda path: store_telemetry(
         telemetry_from_events(read_table(spark, sf_dir, "events")), path))
 
 
@@ -135,7 +137,7 @@ def store_bike_readings(rows: DataFrame, path: str) -> str:
 def bike_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bike readings of ``sf_dir``: the stored, day-partitioned table."""
     prepare(spark)
-    return _stored(spark, "bike-readings", sf_dir, lambda path: store_bike_readings(
+    return stored_copy(spark, "bike-readings", sf_dir, lambda path: store_bike_readings(
         bike_readings_from_events(read_table(spark, sf_dir, "events")), path))
 
 
