@@ -42,6 +42,20 @@ def windowed_counts(df: DataFrame, *, width: str, slide: str | None = None,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def windowed_counts_panes(df: DataFrame, *, width: str, slide: str, delay: str = "0 seconds",
+                          ts: str = TS, window_ts: str | None = None) -> DataFrame:
+    """Rows per sliding window, from panes: tumbling windows of ``slide`` are
+    counted first, and a closed pane (one row) goes into each window it is part
+    of. A reading is not copied into ``width / slide`` windows, and there is state
+    for a reading's pane, not for each of its windows. ``width`` must be a
+    multiple of ``slide``. For append mode, in which a window is told once."""
+    wt = window_ts or ts
+    panes = (df.withWatermark(wt, delay).groupBy(_window(wt, slide).alias("pane"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return panes.groupBy(F.window(F.window_time("pane"), width, slide).alias("window")).agg(
+        F.sum("n").alias("n"))
+
+
 def congestion_windows(df: DataFrame, *, width: str, box: dict = CITY_BOX,
                        hours: Iterable = PEAK_HOURS, delay: str = "0 seconds",
                        ts: str = TS, window_ts: str | None = None) -> DataFrame:

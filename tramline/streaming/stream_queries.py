@@ -33,14 +33,17 @@ from tramline.sources.staging import (
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
 from tramline.streaming.extremes import extremes_after, run_extremes, side_by_side
-from tramline.streaming.reorder import finished, run_in_order
+from tramline.streaming.reorder import STORE, finished, held_rows, in_order, run_in_order
 from tramline.streaming.runner import (
-    EPOCH, await_end, flatten_window, latest_rows, run, run_carried, run_latest, run_per_batch,
+    EPOCH, await_end, flatten_window, latest_rows, read_sink, run, run_carried, run_latest,
+    run_per_batch, start,
 )
 from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
 
 #: How far readings may lag behind the newest one before they count as late.
 LATENESS = "1 hour"
+#: Slices of the reorder buffer, in microseconds.
+SLICE_US = 6 * 3600 * 1_000_000
 
 
 WINDOW = ["window_start", "window_end"]
@@ -131,6 +134,22 @@ def q_stream_sliding_append(spark: SparkSession, sf: str) -> DataFrame:
     return table
 
 
+@register_windowed("stream_sliding_panes", with_tables(f"""
+SELECT * FROM (
+  SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, count(*) AS n
+  FROM (SELECT date_trunc('hour', date) AS window_start FROM telemetry
+        UNION ALL
+        SELECT date_trunc('hour', date) - INTERVAL 1 HOUR FROM telemetry)
+  GROUP BY 1)
+WHERE {closed('window_end')}"""))
+def q_stream_sliding_panes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding windows in append mode, from panes that are counted once."""
+    counts = forms.windowed_counts_panes(bus_stream(spark, sf), width="2 hours", slide="1 hour",
+                                         delay=LATENESS)
+    table, _ = run(flatten_window(counts), label="panes")
+    return table
+
+
 @register_windowed("stream_congestion", with_tables("""
 SELECT date_trunc('day', date) AS window_start,
          date_trunc('day', date) + INTERVAL 1 DAY AS window_end,
@@ -197,10 +216,47 @@ def q_stream_change_points_disordered(spark: SparkSession, sf: str) -> DataFrame
     stream = bus_stream(spark, sf, disordered_feed(spark, sf))
     step = forms.change_points_step(width="1 day")
     sink, checkpoint = run_in_order(stream, ["vehicleID", "busLineID"], step, label="disordered",
-                                    lateness=LATENESS, slice_seconds=6 * 3600, buckets=4)
+                                    lateness=LATENESS, slice_seconds=SLICE_US // 1_000_000,
+                                    buckets=4)
     return finished(spark, step, "changes", stream.schema, sink=sink, checkpoint=checkpoint)
 
 
+#: Every 40th reading arrives this much after its time.
+STRAGGLE_SECONDS = 10 * 86400
+
+@register("stream_late_kept", with_tables("""
+SELECT CASE WHEN part > slice_part THEN 'late' ELSE 'in_order' END AS kind,
+       strftime(date, '%Y-%m-%d') AS day, count(*) AS n
+FROM dealt GROUP BY 1, 2""", f"""
+arrivals AS (SELECT *, epoch_us(date) + CASE WHEN reading_id % 40 = 0
+                                             THEN {STRAGGLE_SECONDS * 1_000_000} ELSE 0 END AS arrival
+             FROM telemetry),
+bounds AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM arrivals),
+parts AS (SELECT a.*, (arrival - lo) // ((hi - lo) // {FEED_PARTS} + 1) AS part
+          FROM arrivals a, bounds),
+marks AS (SELECT part, max(epoch_us(date)) AS newest FROM parts GROUP BY part),
+ends AS (SELECT p.*, (epoch_us(date) // {SLICE_US} + 1) * {SLICE_US} AS slice_end FROM parts p),
+dealt AS (SELECT e.*, coalesce((SELECT min(m.part) FROM marks m
+                                WHERE m.newest - 3600000000 >= e.slice_end), 1000) AS slice_part
+          FROM ends e)"""))
+def q_stream_late_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed in which some readings come ten days late: they are kept as rows of
+    their own kind, beside those in order; with what is still held at the end,
+    every reading is told once."""
+    path = write_feed(telemetry(spark, sf), fresh_dir(spark, "straggling-feed"),
+                      delay_seconds=F.when(F.col("reading_id") % 40 == 0, STRAGGLE_SECONDS)
+                      .otherwise(0))
+    stream = bus_stream(spark, sf, path)
+    ordered = in_order(stream, ["vehicleID", "busLineID"], lateness=LATENESS,
+                       slice_seconds=SLICE_US // 1_000_000, buckets=4)
+    sink, checkpoint = fresh_dir(spark, "late-kept-sink"), fresh_dir(spark, "late-kept-ckpt")
+    await_end(start(ordered, sink=sink, checkpoint=checkpoint, conf=STORE))
+    told = read_sink(spark, sink, ordered.schema).select("kind", "date").unionByName(
+        held_rows(spark, checkpoint, stream.schema).select(F.lit("in_order").alias("kind"), "date"))
+    return told.groupBy("kind", F.date_format("date", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("n"))
+
+
 @register_windowed("stream_arrivals_collapsed", with_tables(f"""
 SELECT window_start, window_end, busLineID AS lineID, closerStopID AS stationID,
        strftime(date, '%H:%M:%S') AS arrivalTime,
