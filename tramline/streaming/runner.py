@@ -21,7 +21,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -228,11 +228,12 @@ def there(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+def latest_rows(table: DataFrame, keys: Sequence[str], *, keep_epoch: bool = False) -> DataFrame:
     """Fold update-mode epochs to the current rows per key (those of its last
-    epoch; a key may have several rows)."""
-    last = table.groupBy(*keys).agg(F.max(EPOCH).alias(EPOCH))
-    return table.join(last, [*keys, EPOCH], "left_semi").drop(EPOCH)
+    epoch; a key may have several rows; a NULL key is a key like any other)."""
+    rank = Window.partitionBy(*keys).orderBy(F.desc(EPOCH))
+    last = table.withColumn("__rank", F.rank().over(rank)).where("__rank = 1").drop("__rank")
+    return last if keep_epoch else last.drop(EPOCH)
 
 
 # Late rows by run and epoch: a query itself keeps its last progress entries only.

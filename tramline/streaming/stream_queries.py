@@ -39,6 +39,7 @@ from tramline.streaming.runner import (
     run_per_batch, start,
 )
 from tramline.streaming.state import histogram_per_batch, latest_histogram, path_distance_state
+from tramline.streaming.upsert import run_upsert
 
 #: How far readings may lag behind the newest one before they count as late.
 LATENESS = "1 hour"
@@ -424,6 +425,14 @@ FROM telemetry GROUP BY 1, 2""")
 SPLIT_DAY = "2024-01-15"
 
 
+@register_windowed("stream_upsert_compacted", DAILY_SQL)
+def q_stream_upsert_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily counts in update mode, in a sink that folds every second epoch."""
+    sink = run_upsert(_daily_counts(spark, staged_feed(spark, sf)), WINDOW, label="compacted",
+                      every=2)
+    return sink.table()
+
+
 def _daily_counts(spark: SparkSession, source: str, delay: str = LATENESS) -> DataFrame:
     return flatten_window(forms.windowed_counts(bus_stream(spark, "", source), width="1 day",
                                                 delay=delay))
