@@ -1,6 +1,7 @@
 """Line dedup against brute force; the bit-parallel distance alone."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,8 +78,11 @@ def brute_force(rows, s):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("seed, edits, limit", [(1, 2, 1_000_000), (2, 1, 0), (3, 3, 1_000_000)])
-def test_equals_brute_force(frame, edge_rows, seed, edits, limit):
+@pytest.mark.parametrize("seed, edits, limit, crowd, levels", [
+    (1, 2, 1_000_000, 64, 4), (2, 1, 0, 64, 4), (3, 3, 1_000_000, 64, 4),
+    (4, 2, 1_000_000, 2, 1), (5, 2, 0, 2, 3), (6, 1, 1_000_000, 1, 6), (7, 3, 1_000_000, 3, 2)])
+def test_equals_brute_force(frame, edge_rows, seed, edits, limit, crowd, levels):
+    """Also with every group of more than one, two or three lines as a crowd."""
     rnd = random.Random(seed)
     words = ["alpha", "beta", "gamma", "délta", "eps", "zeta zeta", "eta", "theta", "iota"]
     base = [" ".join(rnd.choice(words) for _ in range(rnd.randint(2, 9))) for _ in range(40)]
@@ -86,7 +90,7 @@ def test_equals_brute_force(frame, edge_rows, seed, edits, limit):
         edited(rnd.choice(base), rnd.choice([0, 0, 1, 2, 3, 4]), rnd)
         for _ in range(rnd.randint(0, 6)))) for i in range(160)]
     rows += rows[:4] + [r for r in edge_rows if r[0] != 7]
-    s = Settings(edits=edits, broadcast_hashes=limit)
+    s = Settings(edits=edits, broadcast_hashes=limit, crowd=crowd, levels=levels)
     docs = frame(rows)
     hashed = [tuple(r) for r in docs.select("doc_id", F.xxhash64("text"), "text").collect()]
     assert sorted(map(tuple, line_dedup(docs, s).collect()), key=str) == brute_force(hashed, s)
@@ -102,6 +106,21 @@ def test_hot_line_and_hot_segment(frame):
     assert sum(r.n_near for r in got.values()) > 250
 
 
+def test_crowd_of_lines_with_one_opening(spark, frame):
+    """Twenty thousand different lines that share a third: only those with a
+    near copy go, and lines meet few others."""
+    rnd = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = ["Posted by the editor on " + "".join(rnd.choices(letters, k=30)) for _ in range(20_000)]
+    for i in range(100, len(lines), 100):
+        lines[i] = edited(lines[i - 57], 2, rnd)
+    started = time.time()
+    got = line_dedup(frame(list(enumerate(lines)))).where("n_near > 0").collect()
+    near = {i for i in range(100, len(lines), 100) if lines[i] != lines[i - 57]}
+    assert {r.doc_id for r in got} == near
+    assert time.time() - started < 300
+
+
 def test_stage_keeps_columns_and_drops_emptied(spark, frame, edge_rows):
     line = "a line that is long enough to count as one"
     docs = frame([*edge_rows, (20, line), (21, line), (22, f"{line}\nand another line of its own")])

@@ -14,6 +14,11 @@ so never lists the pairs of a group: equal hash, then a parity bitmap of the
 characters (an edit changes at most two of its bits), then a banded
 bit-parallel edit distance in one 64-bit word.
 
+Where very many different lines share a segment (an opening, a form), a shared
+one says little: they are cut again beside it, and must share a segment of that
+part as well, as often as it takes. So a line meets few others, and the work
+grows with the number of lines, not with the square of a crowd.
+
 Exact copies fold in aggregates before every shuffle of lines. The shared
 hashes are broadcast only if a count shows them few; else they are joined.
 
@@ -32,6 +37,7 @@ smallest; null and empty texts stay as they are.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +54,27 @@ class Settings:
     short_exact: int | None = None
     #: Shared hashes (8 bytes each) up to which they are broadcast.
     broadcast_hashes: int = 1_000_000
+    #: Different lines from which those that share a segment are a crowd, which
+    #: is cut further, and how often.
+    crowd: int = 64
+    levels: int = 4
 
 
 #: What the query and the pipeline's stage remove.
 WHOLE = Settings(short_exact=10)
 
 
-def with_segment_hashes(lines: DataFrame, s: Settings) -> DataFrame:
-    """``lines`` with ``segs``, hashes of a line's own segments, which also
-    probe lines of its length, and of the other substrings it probes with. The
-    lowest bit of a hash tells own ones."""
+def with_segments(lines: DataFrame, part: str, s: Settings, parent: str | None = None,
+                  places: bool = False) -> DataFrame:
+    """``lines`` with ``segs``, hashes of the own segments of the text in column
+    ``part``, which also probe texts of its length, and of the other substrings
+    it probes with. The lowest bit of a hash tells own ones. ``parent`` is a key
+    that goes into the hashes. With ``places`` an element is a struct of the hash
+    and where its substring lies: (hash, first, size, i)."""
     parts, rows = s.edits + 1, []
+    seed = f"{parent}, " if parent else ""
     # Lengths are columns of their own, so that no expression repeats them.
-    lines = lines.withColumn("chars", F.char_length("line"))
+    lines = lines.withColumn("chars", F.char_length(part))
     lines = lines.select("*", *[F.expr(f"INT((chars - {k}) div {parts})").alias(f"base{k}")
                                 for k in range(parts)])
     lines = lines.select("*", *[F.expr(f"{parts} - (chars - {k} - {parts} * base{k})")
@@ -75,8 +89,10 @@ def with_segment_hashes(lines: DataFrame, s: Settings) -> DataFrame:
             high = min(i - 1, shorter + (parts - i))
             for shift in range(low, high + 1):
                 own = int(shorter == 0 and shift == 0)
-                rows.append(f"(XXHASH64({i}, chars - {shorter}, SUBSTRING(line, {start} + {shift},"
-                            f" {size})) & -2L) | {own}L")
+                key = (f"(XXHASH64({seed}{i}, chars - {shorter}, SUBSTRING({part}, {start} + {shift},"
+                       f" {size})) & -2L) | {own}L")
+                rows.append(f"NAMED_STRUCT('hash', {key}, 'first', {start} + {shift}, 'size', {size},"
+                            f" 'i', {i})" if places else key)
     return lines.withColumn("segs", F.expr(f"ARRAY({', '.join(rows)})"))
 
 
@@ -138,33 +154,92 @@ def lines_of(docs: DataFrame, s: Settings) -> DataFrame:
                     (F.col("size") >= s.least_chars).alias("long"), "line"))
 
 
+def _shared(keyed: DataFrame, s: Settings) -> DataFrame:
+    """Keys that different lines share, one of them as an own segment, and by
+    how many rows (``n``); stored."""
+    return stored(keyed.groupBy("key").agg(
+        F.min("h1").alias("a"), F.max("h1").alias("z"), F.max("own").alias("own"),
+        F.count(F.lit(1)).alias("n")).where("a <> z AND own = 1").select("key", "n"), "line-hashes")
+
+
+def _few(keys: DataFrame, s: Settings) -> DataFrame:
+    return broadcast_if_small(keys.select("key"), s.broadcast_hashes)
+
+
+def _met(candidates: DataFrame, s: Settings) -> DataFrame:
+    """(h1, h2) of the lines that have a near one before them among those with
+    the same ``key``, where one has it as an own segment."""
+    candidates.createOrReplaceTempView(view := scratch_name(candidates, "line_candidates"))
+    return candidates.sparkSession.sql(f"""
+        SELECT b.h1, b.h2 FROM {view} b LEFT SEMI JOIN {view} a
+        ON a.key = b.key AND a.own + b.own > 0 AND a.at < b.at
+           AND ABS(CHAR_LENGTH(a.line) - CHAR_LENGTH(b.line)) <= {s.edits}
+           AND BIT_COUNT(a.bits ^ b.bits) <= {2 * s.edits}
+           AND {edit_distance('a.line', 'b.line', s.edits)} <= {s.edits}""")
+
+
 def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Hashes of the lines that have a different, near line before them."""
-    spark = lines.sparkSession
     # An outer explode: a plain one would first compute the array as a filter.
-    keyed = with_segment_hashes(lines, s).select(
+    keyed = with_segments(lines, "line", s).select(
         "at", "h1", "h2", "line", F.explode_outer("segs").alias("seg")).select(
         F.col("seg").bitwiseAND(F.lit(-2)).alias("key"),
         F.col("seg").bitwiseAND(F.lit(1)).alias("own"), "at", "h1", "h2", "line")
-    shared = stored(keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("z"),
-                                             F.max("own").alias("own"))
-                    .where("a <> z AND own = 1").select("key"), "line-hashes")
-    if shared.count() <= s.broadcast_hashes:
-        shared = F.broadcast(shared)
-    found = (keyed.join(shared, "key", "left_semi")
+    shared = _shared(keyed, s)
+    found = (keyed.join(_few(shared, s), "key", "left_semi")
              .groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("line").alias("line"),
                                       F.collect_set(F.struct("key", "own")).alias("segs")))
     candidates = stored(found.withColumn("bits", parity(F.col("line"))), "line-candidates")
-    rows = candidates.select("h1", "h2", "at", "line", "bits", F.explode("segs").alias("seg"))
-    rows.createOrReplaceTempView(view := scratch_name(rows, "line_candidates"))
-    near = spark.sql(f"""
-        SELECT DISTINCT h1, h2 FROM (
-        SELECT b.h1, b.h2 FROM {view} b LEFT SEMI JOIN {view} a
-        ON a.seg.key = b.seg.key AND a.seg.own + b.seg.own > 0 AND a.at < b.at
-           AND ABS(CHAR_LENGTH(a.line) - CHAR_LENGTH(b.line)) <= {s.edits}
-           AND BIT_COUNT(a.bits ^ b.bits) <= {2 * s.edits}
-           AND {edit_distance('a.line', 'b.line', s.edits)} <= {s.edits})""")
-    return near
+    rows = candidates.select("h1", "h2", "at", "line", "bits", F.explode("segs").alias("seg")).select(
+        "h1", "h2", "at", "line", "bits", "seg.key", "seg.own")
+    # Copies are one row here, so this counts different lines.
+    crowds = stored(rows.groupBy("key").count().where(F.col("count") > s.crowd).select("key"),
+                    "line-crowds")
+    if crowds.isEmpty():
+        return _met(rows, s).distinct()
+    crowds = _few(crowds, s)
+    crowded = rows.join(crowds, "key", "left_semi").select("h1", "h2").distinct()
+    lines = candidates.select("h1", "h2", "at", "line", "bits").join(
+        crowded, ["h1", "h2"], "left_semi")
+    return _met(rows.join(crowds, "key", "left_anti"), s).unionByName(
+        _near_in_crowds(lines, crowds, s)).distinct()
+
+
+def _placed(rows: DataFrame, part: str, s: Settings, parent: str | None = None) -> DataFrame:
+    """A row for each substring that stands for a line: its key, whether it is an
+    own segment, and ``rest``, the text to its right in ``part`` or, for the last
+    segments, to its left."""
+    placed = with_segments(rows, part, s, parent, places=True).select(
+        "at", "h1", "h2", "line", "bits", F.col(part).alias("whole"), F.explode_outer("segs").alias("seg"))
+    rest = F.expr("IF(2 * seg.i <= " + str(s.edits + 2) + ", SUBSTRING(whole, seg.first + seg.size),"
+                  " SUBSTRING(whole, 1, seg.first - 1))")
+    return placed.select(F.col("seg.hash").bitwiseAND(F.lit(-2)).alias("key"),
+                         F.col("seg.hash").bitwiseAND(F.lit(1)).alias("own"),
+                         "at", "h1", "h2", "line", "bits", rest.alias("rest"))
+
+
+def _near_in_crowds(lines: DataFrame, crowds: DataFrame, s: Settings) -> DataFrame:
+    """Near lines among those that share a segment with very many others.
+
+    Where a pair's edits leave a segment alone, the texts on the one side of it
+    are as near as the lines are. So this side is cut into segments of its own,
+    and of a crowd only lines that share one of these as well are compared. What
+    is a crowd still is cut again; the last of ``levels`` compares all it has."""
+    rows = _placed(lines, "line", s).join(crowds, "key", "left_semi")
+    found = []
+    for level in range(s.levels):
+        sides = rows.select("at", "h1", "h2", "line", "bits", "rest", F.col("key").alias("parent"))
+        rows = stored(_placed(sides.dropDuplicates(["h1", "h2", "parent", "rest"]), "rest", s,
+                              "parent"), "line-crowd")
+        shared = _shared(rows, s)
+        last = level + 1 == s.levels
+        small = shared if last else shared.where(F.col("n") <= s.crowd)
+        found.append(_met(rows.join(_few(small, s), "key", "left_semi").drop("rest"), s))
+        crowds = shared.where(F.col("n") > s.crowd)
+        if last or crowds.isEmpty():
+            break
+        rows = rows.join(_few(crowds, s), "key", "left_semi")
+    return reduce(DataFrame.unionByName, found)
 
 
 def dropped_lines(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
