@@ -60,3 +60,11 @@ def test_long_chunk_of_repetition_inside_prose(frame):
     mixed = prose[:9000] + " buy now" * 900
     r = compression_bands(frame([(1, mixed)]), Bands()).first()
     assert r.bad_chunk_share > 0.25 and not r.kept
+
+
+def test_empty_table_and_clashing_names(frame, edge_rows):
+    assert compression_bands(frame([])).count() == 0
+    clash = frame(edge_rows).selectExpr("*", "1 AS kept", "2 AS ratio", "3 AS m")
+    got = compression_bands(clash)
+    assert got.columns.count("kept") == 1 and got.count() == len(edge_rows)
+    assert len({r.ratio for r in got.where("doc_id = 5").collect()}) == 1

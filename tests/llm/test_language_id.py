@@ -147,3 +147,8 @@ def test_all_sampled_documents_are_learned_from(frame):
     assert set(samples["bb"].split("\n")) - {""} == {t for i, t in [(900, "few short words"),
                                                                      (901, "and some")]
                                                      if i in learned}
+
+
+def test_empty_table(frame, edge_rows):
+    assert L.predict(frame([]), L.fit(frame([]))).count() == 0
+    assert L.predict(frame([]), L.fit(frame(edge_rows, lang="en"))).count() == 0

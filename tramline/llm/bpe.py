@@ -9,7 +9,8 @@ character: such tokens decode to bytes that are no valid UTF-8 alone, which
 is why decoding joins bytes first and reads characters last.
 
 Defined results: a null text counts as empty, gives no ids and decodes to the
-empty text; ids that the vocabulary does not have raise an error.
+empty text; ids that the vocabulary does not have raise an error; an empty table
+gives an empty table, repeated rows a row each; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ Defined results: rows without conv_id or turn belong to no conversation and
 are left out; a null role or text reads as empty (null and empty differ in
 the hash); a row repeated exactly counts once; different rows with one turn
 number are ordered by role, then text. Turn numbers are part of the identity
-of a turn. Other columns are not looked at.
+of a turn. An empty table gives an empty table. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -7,8 +7,8 @@ band is repetition (menus, spam, one word over and over); below it, noise
 (encoded data, random strings). All work is per row: one scan, no shuffle.
 
 Defined results: a null or empty text has no words and ratio 0, and fails the
-base rule (fewer than 50 words); repeated rows each get their own row; other
-columns are not looked at.
+base rule (fewer than 50 words); repeated rows each get their own row; an empty
+table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations

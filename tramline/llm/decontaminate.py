@@ -20,8 +20,9 @@ beside each character of a script that is written without blanks).
 
 Defined results: a null or empty text has no hits; a null item text, or one
 of fewer than ``least_exact`` bytes, matches nothing (an answer of a word or
-two is in most texts; 1 takes them all); equal items all report; repeated rows each get their own row; other
-columns are not looked at.
+two is in most texts; 1 takes them all); equal items all report; repeated rows
+each get their own row; without documents there is no row, without items no hit;
+other columns are not looked at.
 """
 
 from __future__ import annotations

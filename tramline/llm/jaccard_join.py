@@ -27,7 +27,8 @@ known to be frequent are dealt over many tasks.
 
 Defined results: texts without words have n_shingles 0 and are linked with
 nothing; a null doc_id is never a component's id unless all are null; rows
-equal in doc_id and text are one document. Sets are compared as sets of 64-bit
+equal in doc_id and text are one document; an empty table gives an empty table;
+other columns are not looked at. Sets are compared as sets of 64-bit
 hashes.
 """
 

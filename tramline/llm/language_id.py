@@ -16,8 +16,8 @@ Defined results: a null text, or one without a letter, is ``und`` with score
 without any labelled text every document is ``und``. A text of at least
 ``least_bytes`` is rejected if its rate is above the limit of the language that
 parses it best; a language with too little labelled text for a limit rejects
-none of the texts that it alone parses best. Repeated rows each get
-their own row; other columns are not looked at.
+none of the texts that it alone parses best. Repeated rows each get their own
+row; an empty table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -31,7 +31,8 @@ the hashes of the latter hold their document.
 Defined results: blank lines are never touched, and without ``short_exact`` no
 line under ``least_chars`` is; rows equal in doc_id and text count as
 one document, whose lines are kept or dropped alike; a null id counts as the
-smallest; null and empty texts stay as they are.
+smallest; null and empty texts stay as they are; an empty table gives an empty
+table; other columns are not looked at.
 """
 
 from __future__ import annotations

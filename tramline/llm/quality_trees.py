@@ -10,7 +10,8 @@ Defined results: a null text counts as empty; empty texts get the score of
 their (all-zero) statistics; without labels, or with one class only, every
 score is the smoothed share of label 1. A document labelled twice counts
 twice. Labels, lang, source and doc_id are no inputs of a score; repeated rows
-each get their own row.
+each get their own row; an empty table of documents gives an empty table; equal
+statistics get equal scores; columns other than those named are not looked at.
 """
 
 from __future__ import annotations

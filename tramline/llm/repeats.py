@@ -23,8 +23,8 @@ Texts are bytes in UTF-8. Positions are judged on the input. Hashes have 64
 bits; equal hashes are taken for equal strings outside of cells.
 
 Defined results: a null text is empty; a text shorter than ``length`` keeps all
-its bytes; equal rows are different documents, each repeating the other; other
-columns are not looked at.
+its bytes; equal rows are different documents, each repeating the other; an empty table
+gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ manifest names. Equal payloads are found by a grouped maximum over digests
 Defined results: a null html is an empty payload; a null url becomes
 ``urn:page:<id>``; of equal payloads every row with the largest page_id is a
 response (so are all, if none has an id) and the others revisit it; repeated
-rows each get a record. Other columns are not looked at.
+rows each get a record; an empty table gives no archive and an empty table.
+Other columns are not looked at.
 """
 
 from __future__ import annotations
