@@ -2,8 +2,11 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from tramline import cli
 from tramline.sources.csv import bike_lines, bus_lines
+from tramline.sources.staging import write_feed
 from tramline.sources.tables import bike_readings, telemetry
 from conftest import SF_SMALL
 
@@ -35,6 +38,35 @@ def test_cli_bikes(spark, tmp_dir):
     assert out.count() > 0
 
 
+def test_cli_bikes_as_a_stream(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "bikes")
+    bike_lines(bike_readings(spark, SF_SMALL)).repartition(3).write.text(src)
+    want = cli.run(["bike-extremes", "--input", src], spark=spark)
+    out = os.path.join(tmp_dir, "out")
+    cli.run(["bike-extremes", "--input", src, "--stream", "--max-files-per-trigger", "1",
+             "--output", out], spark=spark)
+    got = spark.read.parquet(f"{out}-result")
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(
+        map(tuple, want.collect()))
+
+
+def test_cli_arrivals_out_of_order(spark, tmp_dir):
+    """One order of files is that of time, the other is not: same arrivals."""
+    rows = telemetry(spark, SF_SMALL).where("vehicleID = 7")
+    day = rows.groupBy(F.to_date("date").cast("string").alias("d")).count().orderBy(
+        F.desc("count")).first().d
+    told = []
+    for name, parts, more in (("a", 1, []), ("b", 4, ["--lateness", "1 day"])):
+        src, out = os.path.join(tmp_dir, name), os.path.join(tmp_dir, f"{name}-out")
+        write_feed(rows, src, parts=parts, files=1, delay_seconds=F.pmod(
+            F.xxhash64("reading_id"), F.lit(80_000)) if more else None)
+        cli.run(["arrivals", "--input", src, "--stream", "--vehicle", "7", "--day", day,
+                 "--width", "2 hours", "--slide", "1 hour", "--max-files-per-trigger", "1",
+                 "--output", out, *more], spark=spark)
+        told.append(sorted(map(tuple, spark.read.parquet(f"{out}-result").collect())))
+    assert told[0] == told[1] and told[0]
+
+
 def test_cli_stream_outputs(spark, tmp_dir):
     bus = os.path.join(tmp_dir, "bus")
     bus_lines(telemetry(spark, SF_SMALL)).write.text(bus)

@@ -6,13 +6,13 @@
     python -m tramline vehicles-per-stop --input DIR --start ... --horizon ... [--stream]
     python -m tramline stops-per-vehicle --input DIR --day 2013-01-07 [--stream]
     python -m tramline distance-histogram --input DIR --day 2013-01-07 --bucket 1 --max-speed 28
-    python -m tramline bike-extremes --input DIR [--first-hour 7 --last-hour 19]
+    python -m tramline bike-extremes --input DIR [--first-hour 7 --last-hour 19] [--stream]
 
 Batch runs read the folder once; ``--stream`` watches it (``--trigger`` for
 a processing-time interval, otherwise it drains what is there and stops).
 Results go to ``--output`` (parquet; streams also need ``--checkpoint`` when
 restarts must resume) or, without it, are shown on the console. Streams that
-carry a table from trigger to trigger (arrivals, busiest-stops,
+carry a table from trigger to trigger (arrivals, busiest-stops, bike-extremes,
 distance-histogram) keep it in ``--output``, or beside the checkpoint, and at
 their end write their rows to ``<output>-result``.
 """
@@ -26,11 +26,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.predicates import on_day, within_horizon
+from tramline.functions.predicates import hour_between, is_weekday, on_day, within_horizon
 from tramline.plans import bikes, transit
 from tramline.session import build_session, fresh_dir
-from tramline.sources.csv import bike_rows, bus_rows, bus_rows_stream
+from tramline.sources.csv import bike_rows, bike_rows_stream, bus_rows, bus_rows_stream
+from tramline.sources.schemas import STATUS_OPEN
 from tramline.streaming import forms
+from tramline.streaming.extremes import extremes_after, side_by_side, start_extremes
+from tramline.streaming.reorder import finished, start_in_order
 from tramline.streaming.runner import await_end, carried, flatten_window, read_sink, start
 from tramline.streaming.state import histogram_per_batch, latest_histogram
 
@@ -84,10 +87,23 @@ def _arrivals(spark, args):
         step = forms.change_points_step(width=args.width, slide=args.slide,
                                         partition=("busLineID",), window_ts=_window_ts(args))
 
+        checkpoints = []
+
         def begin(sink, checkpoint, trigger):
-            return carried(picked, step, sink=sink, checkpoint=checkpoint, processing_time=trigger)
-        return begin, lambda spark, sink: forms.arrivals_of(
-            spark.read.parquet(f"{sink}/changes"), args.delay_limit)
+            checkpoints.append(checkpoint)
+            if not args.lateness:
+                return carried(picked, step, sink=sink, checkpoint=checkpoint,
+                               processing_time=trigger)
+            return start_in_order(picked, ["busLineID"], step, sink=sink, checkpoint=checkpoint,
+                                  lateness=args.lateness, slice_seconds=args.slice_seconds,
+                                  processing_time=trigger)
+
+        def result(spark, sink):
+            changes = (finished(spark, step, "changes", picked.schema, sink=sink,
+                                checkpoint=checkpoints[-1])
+                       if args.lateness else spark.read.parquet(f"{sink}/changes"))
+            return forms.arrivals_of(changes, args.delay_limit)
+        return begin, result
     return transit.vehicle_arrivals(_bus(spark, args), vehicle=args.vehicle, day=args.day,
                                     delay_limit=args.delay_limit)
 
@@ -132,7 +148,16 @@ def _distance_histogram(spark, args):
 
 def _bike_extremes(spark, args):
     if args.stream:
-        raise SystemExit("bike-extremes is a batch analysis")
+        rows, _ = bike_rows_stream(spark, args.input,
+                                   max_files_per_trigger=args.max_files_per_trigger)
+        picked = rows.where(is_weekday("time") & (F.col("status") == STATUS_OPEN) & hour_between(
+            "time", args.first_hour, args.last_hour)).withColumn("HOUR", F.hour("time"))
+
+        def begin(sink, checkpoint, trigger):
+            return start_extremes(picked, "HOUR", "station_id", "available_bikes", sink=sink,
+                                  checkpoint=checkpoint, processing_time=trigger)
+        return begin, lambda spark, sink: bikes.extremes_columns(
+            side_by_side(extremes_after(spark, sink), "HOUR"))
     good, bad = bike_rows(spark, args.input)
     _tell_rejected(bad)
     return bikes.bike_extremes_by_hour(good, first_hour=args.first_hour,
@@ -162,6 +187,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--width", default="10 seconds", help="event-time window width (streams)")
     p.add_argument("--slide", default="5 seconds", help="window slide (sliding streams)")
     p.add_argument("--delay", default="0 seconds", help="watermark delay (streams)")
+    p.add_argument("--lateness", help='put readings that arrive up to so late in order, e.g. '
+                   '"1 hour" (arrivals stream; later ones are kept aside)')
+    p.add_argument("--slice-seconds", type=int, default=900,
+                   help="readings put in order leave in slices of this width")
     p.add_argument("--arrival-time", action="store_true",
                    help="windows on the time of arrival, not the reading's own (streams)")
     # The defaults are the box and peak hours of the congestion analysis.

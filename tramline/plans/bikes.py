@@ -30,3 +30,11 @@ def bike_extremes_by_hour(df: DataFrame, *, first_hour: int = 7, last_hour: int
                                min_owner="min_bike_station_id", max_owner="max_bike_station_id")
     return ext.select(F.col("hrs").alias("HOUR"), "min_bike", "max_bike",
                       "min_bike_station_id", "max_bike_station_id")
+
+
+def extremes_columns(ext: DataFrame) -> DataFrame:
+    """The columns of ``bike_extremes_by_hour`` from running extremes by HOUR."""
+    return ext.select("HOUR", F.col("min_value").alias("min_bike"),
+                      F.col("max_value").alias("max_bike"),
+                      F.col("min_owner").alias("min_bike_station_id"),
+                      F.col("max_owner").alias("max_bike_station_id"))

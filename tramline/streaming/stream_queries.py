@@ -18,6 +18,7 @@ from tramline.plans.batch_queries import (
     BIKE_AVG_SQL, BUCKET_KM, DAY, DAY_SQL, DELAY_LIMIT, HORIZON_SECONDS, HORIZON_SQL, HORIZON_START, MAX_SPEED, VEHICLE,
     as_text, haversine,
 )
+from tramline.plans.bikes import extremes_columns
 from tramline.plans.oracle import texted, with_tables
 from tramline.plans.registry import register
 from tramline.plans.scan_queries import SCAN_SQL, bus_out
@@ -409,10 +410,7 @@ def q_stream_bike_extremes(spark: SparkSession, sf: str) -> DataFrame:
                         & hour_between("time", 7, 19)).withColumn("HOUR", F.hour("time"))
     sink = run_extremes(picked, "HOUR", "station_id", "available_bikes", label="bike-extremes",
                         buckets=4)
-    return side_by_side(extremes_after(spark, sink), "HOUR").select(
-        "HOUR", F.col("min_value").alias("min_bike"), F.col("max_value").alias("max_bike"),
-        F.col("min_owner").alias("min_bike_station_id"),
-        F.col("max_owner").alias("max_bike_station_id"))
+    return extremes_columns(side_by_side(extremes_after(spark, sink), "HOUR"))
 
 
 # ---------------------------------------------------------------- restart, late rows
