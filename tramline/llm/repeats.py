@@ -459,4 +459,4 @@ def without_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
