@@ -15,9 +15,11 @@ characters (an edit changes at most two of its bits), then a banded
 bit-parallel edit distance in one 64-bit word.
 
 Where very many different lines share a segment (an opening, a form), a shared
-one says little: they are cut again beside it, and must share a segment of that
-part as well, as often as it takes. So a line meets few others, and the work
-grows with the number of lines, not with the square of a crowd.
+one says little. Lines of such a crowd are held against its first lines, which
+settles near copies of one line; if many are left they are cut again beside the
+segment, and must share a segment of that part as well, as often as it takes. So
+a line meets few others, and the work grows with the number of lines, not with
+the square of a crowd.
 
 Exact copies fold in aggregates before every shuffle of lines. The shared
 hashes are broadcast only if a count shows them few; else they are joined.
@@ -40,7 +42,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tramline.llm.common import broadcast_if_small, scratch_name, stored, table
@@ -167,12 +169,13 @@ def _few(keys: DataFrame, s: Settings) -> DataFrame:
     return broadcast_if_small(keys.select("key"), s.broadcast_hashes)
 
 
-def _met(candidates: DataFrame, s: Settings) -> DataFrame:
-    """(h1, h2) of the lines that have a near one before them among those with
-    the same ``key``, where one has it as an own segment."""
-    candidates.createOrReplaceTempView(view := scratch_name(candidates, "line_candidates"))
-    return candidates.sparkSession.sql(f"""
-        SELECT b.h1, b.h2 FROM {view} b LEFT SEMI JOIN {view} a
+def _met(later: DataFrame, earlier: DataFrame, s: Settings) -> DataFrame:
+    """(h1, h2) of the lines of ``later`` that have a near one before them in
+    ``earlier`` with the same ``key``, where one has it as an own segment."""
+    later.createOrReplaceTempView(view := scratch_name(later, "line_later"))
+    earlier.createOrReplaceTempView(other := scratch_name(earlier, "line_earlier"))
+    return later.sparkSession.sql(f"""
+        SELECT b.h1, b.h2 FROM {view} b LEFT SEMI JOIN {other} a
         ON a.key = b.key AND a.own + b.own > 0 AND a.at < b.at
            AND ABS(CHAR_LENGTH(a.line) - CHAR_LENGTH(b.line)) <= {s.edits}
            AND BIT_COUNT(a.bits ^ b.bits) <= {2 * s.edits}
@@ -197,13 +200,36 @@ def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     crowds = stored(rows.groupBy("key").count().where(F.col("count") > s.crowd).select("key"),
                     "line-crowds")
     if crowds.isEmpty():
-        return _met(rows, s).distinct()
+        return _met(rows, rows, s).distinct()
     crowds = _few(crowds, s)
-    crowded = rows.join(crowds, "key", "left_semi").select("h1", "h2").distinct()
-    lines = candidates.select("h1", "h2", "at", "line", "bits").join(
-        crowded, ["h1", "h2"], "left_semi")
-    return _met(rows.join(crowds, "key", "left_anti"), s).unionByName(
-        _near_in_crowds(lines, crowds, s)).distinct()
+    small = rows.join(crowds, "key", "left_anti")
+    found, left = _first_matches(stored(rows.join(crowds, "key", "left_semi"), "line-crowd"), s)
+    found = _met(small, small, s).unionByName(found)
+    if not left.isEmpty():
+        left = _few(left, s)
+        again = rows.join(left, "key", "left_semi").select("h1", "h2").distinct()
+        lines = candidates.select("h1", "h2", "at", "line", "bits").join(
+            again, ["h1", "h2"], "left_semi")
+        found = found.unionByName(_near_in_crowds(lines, left, s))
+    return found.distinct()
+
+
+def _first_matches(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Near lines in crowds: (h1, h2) of what is found, and the keys of crowds
+    that must be cut further.
+
+    Where a crowd is many near copies, nearly all lines match one of its first
+    ``crowd`` lines; where few lines are left without, these are held against all
+    the others. Only a crowd with many lines left is to be cut."""
+    first = rows.withColumn("place", F.row_number().over(
+        Window.partitionBy("key").orderBy("at", F.desc("own")))).where(
+        F.col("place") <= s.crowd).drop("place")
+    met = stored(_met(rows, first, s).distinct(), "line-met")
+    left = rows.join(broadcast_if_small(met), ["h1", "h2"], "left_anti")
+    counts = stored(left.groupBy("key").count(), "line-left")
+    few = counts.where(F.col("count") <= s.crowd)
+    rest = _met(left.join(_few(few, s), "key", "left_semi"), rows, s)
+    return met.unionByName(rest), counts.where(F.col("count") > s.crowd).select("key")
 
 
 def _placed(rows: DataFrame, part: str, s: Settings, parent: str | None = None) -> DataFrame:
@@ -234,11 +260,17 @@ def _near_in_crowds(lines: DataFrame, crowds: DataFrame, s: Settings) -> DataFra
                               "parent"), "line-crowd")
         shared = _shared(rows, s)
         last = level + 1 == s.levels
-        small = shared if last else shared.where(F.col("n") <= s.crowd)
-        found.append(_met(rows.join(_few(small, s), "key", "left_semi").drop("rest"), s))
+        small = rows.join(_few(shared if last else shared.where(F.col("n") <= s.crowd), s),
+                          "key", "left_semi").drop("rest")
+        found.append(_met(small, small, s))
         crowds = shared.where(F.col("n") > s.crowd)
         if last or crowds.isEmpty():
             break
+        rows = stored(rows.join(_few(crowds, s), "key", "left_semi"), "line-crowd")
+        met, crowds = _first_matches(rows.drop("rest"), s)
+        found.append(met)
+        if crowds.isEmpty():
+            break
         rows = rows.join(_few(crowds, s), "key", "left_semi")
     return reduce(DataFrame.unionByName, found)
 
