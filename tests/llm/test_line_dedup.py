@@ -79,7 +79,7 @@ def brute_force(rows, s):
 
 
 @pytest.mark.parametrize("seed, edits, limit, crowd, levels", [
-    (1, 2, 1_000_000, 64, 4), (2, 1, 0, 64, 4), (3, 3, 1_000_000, 64, 4),
+    (1, 2, 1_000_000, None, 4), (2, 1, 0, None, 4), (3, 3, 1_000_000, None, 4),
     (4, 2, 1_000_000, 2, 1), (5, 2, 0, 2, 3), (6, 1, 1_000_000, 1, 6), (7, 3, 1_000_000, 3, 2)])
 def test_equals_brute_force(frame, edge_rows, seed, edits, limit, crowd, levels):
     """Also with every group of more than one, two or three lines as a crowd."""
@@ -115,7 +115,8 @@ def test_crowd_of_lines_with_one_opening(spark, frame):
     for i in range(100, len(lines), 100):
         lines[i] = edited(lines[i - 57], 2, rnd)
     started = time.time()
-    got = line_dedup(frame(list(enumerate(lines)))).where("n_near > 0").collect()
+    s = Settings(short_exact=10, crowd=64)
+    got = line_dedup(frame(list(enumerate(lines))), s).where("n_near > 0").collect()
     near = {i for i in range(100, len(lines), 100) if lines[i] != lines[i - 57]}
     assert {r.doc_id for r in got} == near
     assert time.time() - started < 300

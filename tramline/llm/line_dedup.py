@@ -15,7 +15,7 @@ characters (an edit changes at most two of its bits), then a banded
 bit-parallel edit distance in one 64-bit word.
 
 Where very many different lines share a segment (an opening, a form), a shared
-one says little. Lines of such a crowd are held against its first lines, which
+one says little. With ``crowd`` set, lines of such a crowd are held against its first lines, which
 settles near copies of one line; if many are left they are cut again beside the
 segment, and must share a segment of that part as well, as often as it takes. So
 a line meets few others, and the work grows with the number of lines, not with
@@ -58,8 +58,8 @@ class Settings:
     #: Shared hashes (8 bytes each) up to which they are broadcast.
     broadcast_hashes: int = 1_000_000
     #: Different lines from which those that share a segment are a crowd, which
-    #: is cut further, and how often.
-    crowd: int = 64
+    #: is cut further, and how often. None compares all groups as they are.
+    crowd: int | None = None
     levels: int = 4
 
 
@@ -196,6 +196,8 @@ def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     candidates = stored(found.withColumn("bits", parity(F.col("line"))), "line-candidates")
     rows = candidates.select("h1", "h2", "at", "line", "bits", F.explode("segs").alias("seg")).select(
         "h1", "h2", "at", "line", "bits", "seg.key", "seg.own")
+    if s.crowd is None:
+        return _met(rows, rows, s).distinct()
     # Copies are one row here, so this counts different lines.
     crowds = stored(rows.groupBy("key").count().where(F.col("count") > s.crowd).select("key"),
                     "line-crowds")
@@ -210,7 +212,7 @@ def near_lines(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
         again = rows.join(left, "key", "left_semi").select("h1", "h2").distinct()
         lines = candidates.select("h1", "h2", "at", "line", "bits").join(
             again, ["h1", "h2"], "left_semi")
-        found = found.unionByName(_near_in_crowds(lines, left, s))
+        found = found.unionByName(_near_in_crowds(lines, left, stored(found, "line-met"), s))
     return found.distinct()
 
 
@@ -245,8 +247,10 @@ def _placed(rows: DataFrame, part: str, s: Settings, parent: str | None = None)
                          "at", "h1", "h2", "line", "bits", rest.alias("rest"))
 
 
-def _near_in_crowds(lines: DataFrame, crowds: DataFrame, s: Settings) -> DataFrame:
-    """Near lines among those that share a segment with very many others.
+def _near_in_crowds(lines: DataFrame, crowds: DataFrame, known: DataFrame, s: Settings
+                    ) -> DataFrame:
+    """Near lines among those that share a segment with very many others; those
+    ``known`` to have a near one before them are not asked about again.
 
     Where a pair's edits leave a segment alone, the texts on the one side of it
     are as near as the lines are. So this side is cut into segments of its own,
@@ -262,7 +266,7 @@ def _near_in_crowds(lines: DataFrame, crowds: DataFrame, s: Settings) -> DataFra
         last = level + 1 == s.levels
         small = rows.join(_few(shared if last else shared.where(F.col("n") <= s.crowd), s),
                           "key", "left_semi").drop("rest")
-        found.append(_met(small, small, s))
+        found.append(_met(small.join(broadcast_if_small(known), ["h1", "h2"], "left_anti"), small, s))
         crowds = shared.where(F.col("n") > s.crowd)
         if last or crowds.isEmpty():
             break
