@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_streaming import line, uncommit_last, write_files
-from tramline.sources.csv import bus_rows_stream
+from tramline.sources.csv import bus_rows_stream, split_bus_lines
 from tramline.sources.staging import FEED_FILES, write_feed
 from tramline.sources.tables import telemetry
 from tramline.streaming import forms
-from tramline.streaming.reorder import finished, held_rows, run_in_order
+from tramline.streaming.reorder import STORE, finished, held_rows, in_order, run_in_order
+from tramline.streaming.runner import await_end, start
 from conftest import SF_SMALL
 
 SERIES = ["vehicleID", "busLineID"]
@@ -121,3 +122,32 @@ def test_a_hot_series_is_many_keys(spark, tmp_dir):
     got = finished(spark, STEP, "changes", stream.schema, sink=sink, checkpoint=ckpt)
     assert got.count() == 24 * 60 - sum(1 for h in range(24) for m in range(60)
                                         if (h, m) > (0, 0) and m % 7 == ((m - 1) % 60) % 7)
+
+
+def test_readings_are_held_in_blocks(spark, tmp_dir):
+    """Calls of the state grow with blocks: many readings of a slice are one element,
+    few are held one by one, and together they leave in order, nulls first."""
+    src, sink, ckpt = (os.path.join(tmp_dir, p) for p in ("src", "sink", "ckpt"))
+    many = [line(f"2024-01-08 {7 + i % 2:02d}:{i * 7 % 60:02d}:{i * 11 % 60:02d}", stop=i % 5)
+            for i in range(200)]
+    few = [line("2024-01-08 06:00:00", stop=3), line("2024-01-08 07:30:00", stop=0),
+           line("2024-01-08 09:00:00", stop=1)]
+    last = [line(f"2024-01-11 07:{i % 60:02d}:00", stop=i % 5) for i in range(100)]
+    write_files(src, [many, few, last])
+    stream, _ = bus_rows_stream(spark, src, max_files_per_trigger=1)
+    stream = stream.withColumn("busLineID", F.when(F.col("closerStopID") != 3, F.col("busLineID")))
+    ordered = in_order(stream, SERIES, slice_seconds=86400, buckets=1)
+    await_end(start(ordered, sink=sink, checkpoint=ckpt, conf=STORE))
+    cols = ["vehicleID", "busLineID", "date", "closerStopID"]
+    told = spark.read.parquet(sink)
+    out = [tuple(r) for r in told.select(*cols).collect()]
+    assert out == sorted(out, key=lambda r: [(x is not None, x) for x in r[:3]])
+    assert len(out) == 203 and {r.kind for r in told.collect()} == {"in_order"}
+    got = told.drop("kind").unionByName(held_rows(spark, ckpt, stream.schema))
+    want, _ = split_bus_lines(spark.read.text(src))
+    want = want.withColumn("busLineID", F.when(F.col("closerStopID") != 3, F.col("busLineID")))
+    assert rows_of(got, want.columns) == rows_of(want, want.columns)
+
+    def state(name):
+        return spark.read.format("statestore").option("stateVarName", name).load(ckpt)
+    assert state("held_blocks").count() == 1 and state("held").count() == 0
