@@ -69,6 +69,33 @@ def test_passage_in_many_surroundings(frame):
         assert 500 <= r.n_removed < 510 and r.n_spans == 1 and r.spans[0]["first"] <= 300
 
 
+def test_passages_of_over_50_words(frame):
+    """Passages that stand in two documents go whole from 400 bytes on; of
+    shorter ones, whatever their number of words, nothing goes."""
+    rnd = random.Random(11)
+
+    def words(n, letters):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9)))
+                        for _ in range(n))
+
+    rows, planted = [], []
+    for n in range(51, 91):
+        p = words(n, "abcdefgh é")
+        for _ in range(2):
+            planted.append(len(p.encode()))
+            rows.append((len(rows), f"{words(40, 'klmnopqr')}\n{p}\n{words(40, 'stuvwxyz')}"))
+    # The line breaks on both sides agree too.
+    short = [n + 2 < 400 for n in planted]
+    assert 10 < sum(short) < len(short) - 10
+    clean = [(len(rows) + i, words(120, "ijklmnop")) for i in range(20)]
+    got = sorted(P.without_repeats(frame(rows + clean)).collect())
+    for r, size, brief in zip(got, planted, short):
+        assert r.n_removed == 0 if brief else size + 2 <= r.n_removed < size + 10
+    assert all(r.n_removed == 0 for r in got[len(rows):])
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == plain(
+        [t for _, t in rows + clean], 400)
+
+
 def test_maximal_repeats_have_all_occurrences():
     bodies = [b"xxabcdefyy", b"zzabcdefyw", b"qqabcdefgg"]
     import numpy as np
